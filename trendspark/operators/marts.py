@@ -15,7 +15,9 @@ from trendspark.operators.joins import broadcast_if_small
 from trendspark.operators.sequence import sequence
 from trendspark.operators.trends import rolling_trends
 
-MATCH_ORDER = [F.col("game_start_at").asc_nulls_last(), F.col("match_id").asc_nulls_last()]
+def match_order():
+    """Match order inside a player: start time, then match id (nulls last)."""
+    return [F.col("game_start_at").asc_nulls_last(), F.col("match_id").asc_nulls_last()]
 
 
 def eligible_matches(metrics: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFrame:
@@ -34,7 +36,7 @@ def player_match_sequence(metrics: DataFrame, tracked: DataFrame,
     """Tracked players' eligible matches numbered overall and per champion."""
     tracked_ids = broadcast_if_small(tracked.select("puuid").where(F.col("puuid").isNotNull()).distinct())
     kept = eligible_matches(metrics, cfg).join(tracked_ids, "puuid", "left_semi")
-    return sequence(kept, ["puuid"], MATCH_ORDER, group=["champion_id"])
+    return sequence(kept, ["puuid"], match_order(), group=["champion_id"])
 
 
 _TREND_IDS = ["participant_key", "match_id", "puuid", "champion_id", "champion_name",
