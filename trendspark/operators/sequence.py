@@ -4,6 +4,8 @@ A plain ``row_number() over (partition by entity order by ts)`` puts each entity
 one task; one entity holding a third of all rows would then be one task. Here the
 numbering is built from a global range partitioning instead:
 
+0. Group sizes are measured; groups up to ``chunk_rows`` (nearly always all of them)
+   use a plain window - bounded, one shuffle. Only larger groups take steps 1-3.
 1. ``repartitionByRange(entity, order...)`` splits every entity, however large, over
    several ordered partitions (Spark samples the key distribution).
 2. Inside each partition rows are sorted; ``monotonically_increasing_id`` then gives
@@ -33,14 +35,17 @@ def _sort_expr(c: str | Column) -> Column:
     return F.col(c).asc_nulls_last() if isinstance(c, str) else c
 
 
-def number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
-                out: str = "seq", total_out: str | None = None,
-                partitions: int | None = None, label: str = "seq") -> DataFrame:
-    """Add ``out`` = 1..n within each ``keys`` group following ``order``.
+# Default rows of one group a single task may hold before it is split.
+DEFAULT_CHUNK_ROWS = 1_000_000
+# Hot keys are broadcast to split the input; their number is measured first and
+# bounded by rows / chunk_rows. Above this count everything takes the range path.
+MAX_BROADCAST_HOT_KEYS = 1_000_000
 
-    ``order`` must make rows unique within a group (end it with an id) for a
-    deterministic result. ``total_out`` optionally adds the group's row count.
-    """
+
+def range_number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
+                      out: str = "seq", total_out: str | None = None,
+                      partitions: int | None = None, label: str = "seq") -> DataFrame:
+    """Exact numbering through a range partitioning (any group size, split across tasks)."""
     spark = df.sparkSession
     n_parts = partitions or shuffle_partitions(spark)
     sort_cols = [F.col(k).asc_nulls_last() for k in keys] + [_sort_expr(o) for o in order]
@@ -64,6 +69,46 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
     return joined.withColumn(out, seq).drop("_rp", "_ri", "_r0", "_off")
 
 
+def number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
+                out: str = "seq", total_out: str | None = None,
+                chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                partitions: int | None = None, label: str = "seq") -> DataFrame:
+    """Add ``out`` = 1..n within each ``keys`` group following ``order``.
+
+    ``order`` must make rows unique within a group (end it with an id) for a
+    deterministic result. ``total_out`` optionally adds the group's row count.
+
+    Group sizes are measured first (a partial aggregate). Groups of at most
+    ``chunk_rows`` rows - normally all of them - are numbered with a plain window
+    (one task holds at most ``chunk_rows`` rows of a group). Larger groups are
+    numbered through ``range_number_rows`` and the two parts are unioned.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    # Written once: counted here, broadcast below when small (one aggregate job).
+    hot = materialize(sizes.where(F.col("_size") > F.lit(chunk_rows)).select(*keys), f"{label}-hot")
+    n_hot = hot.count()
+    if n_hot == 0:
+        return window_number_rows(df, keys, order, out=out, total_out=total_out)
+    if n_hot > MAX_BROADCAST_HOT_KEYS:
+        return range_number_rows(df, keys, order, out=out, total_out=total_out,
+                                 partitions=partitions, label=label)
+    # The hot key list is small by construction (<= rows / chunk_rows, measured above).
+    hot_keys = F.broadcast(hot)
+    cold = window_number_rows(join_null_safe_semi(df, hot_keys, keys, anti=True), keys, order,
+                              out=out, total_out=total_out)
+    warm = range_number_rows(join_null_safe_semi(df, hot_keys, keys, anti=False), keys, order,
+                             out=out, total_out=total_out, partitions=partitions, label=label)
+    return cold.unionByName(warm)
+
+
+def join_null_safe_semi(df: DataFrame, keys_df: DataFrame, keys: list[str], anti: bool) -> DataFrame:
+    """Semi / anti join on ``keys`` where null keys match each other."""
+    from functools import reduce
+    r = keys_df.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(r[f"__k_{k}"]) for k in keys])
+    return df.join(r, cond, "left_anti" if anti else "left_semi")
+
+
 def window_number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
                        out: str = "seq", total_out: str | None = None) -> DataFrame:
     """Reference form with a plain window (one task per entity); used by tests."""
@@ -80,10 +125,19 @@ def sequence(df: DataFrame, entity: list[str], order: list[str | Column], *,
              count_out: str = "player_match_count",
              group_seq_out: str = "champion_match_sequence_number",
              group_count_out: str = "player_champion_match_count",
+             chunk_rows: int = DEFAULT_CHUNK_ROWS,
              label: str = "sequence") -> DataFrame:
-    """Number an entity's rows 1..n (and, with ``group``, within entity x group)."""
-    res = number_rows(df, entity, order, out=seq_out, total_out=count_out, label=label)
+    """Number an entity's rows 1..n (and, with ``group``, within entity x group).
+
+    The result is written once to the checkpoint folder: it is the shared input
+    of several marts, and its lineage (joins, numbering) is cut there. The input
+    is written first as well: group sizes are measured before numbering, and the
+    input (often a join) should not be computed twice.
+    """
+    df = materialize(df, f"{label}-input")
+    res = number_rows(df, entity, order, out=seq_out, total_out=count_out,
+                      chunk_rows=chunk_rows, label=label)
     if group:
         res = number_rows(res, [*entity, *group], order, out=group_seq_out,
-                          total_out=group_count_out, label=f"{label}-group")
-    return res
+                          total_out=group_count_out, chunk_rows=chunk_rows, label=f"{label}-group")
+    return materialize(res, label)

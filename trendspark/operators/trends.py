@@ -45,7 +45,7 @@ def _chunk_offsets(base: DataFrame, keys: list[str], metrics: Sequence[str]) ->
 
 
 def _hot_percent_ranks(rows: DataFrame, keys: list[str], seq_col: str, total_col: str,
-                       metrics: Sequence[str], suffix: str) -> DataFrame:
+                       metrics: Sequence[str], suffix: str, chunk_rows: int) -> DataFrame:
     """percent_rank per metric for entities longer than one chunk.
 
     rank = position of the first row with an equal value in (value asc nulls last)
@@ -55,7 +55,7 @@ def _hot_percent_ranks(rows: DataFrame, keys: list[str], seq_col: str, total_col
     for m in metrics:
         vals = rows.select(*keys, seq_col, total_col, m)
         pos = number_rows(vals, keys, [F.col(m).asc_nulls_last(), F.col(seq_col).asc()],
-                          out="_pos", label=f"rank-{m}")
+                          out="_pos", chunk_rows=chunk_rows, label=f"rank-{m}")
         first = pos.groupBy(*keys, m).agg(F.min("_pos").alias("_rank"))
         ranked = join_null_safe(pos, first, [*keys, m])
         pr = F.when(F.col(total_col) > 1,
@@ -81,6 +81,12 @@ def rolling_trends(df: DataFrame, keys: list[str], seq_col: str, total_col: str,
         raise ValueError("window must be >= 1")
     C = max(int(chunk_rows), window)
     metrics = list(metrics)
+    hot = F.col(total_col) > F.lit(C)
+    if df.where(hot).isEmpty():
+        # Every entity fits one task: the plain windows, one shuffle on the entity.
+        return window_rolling_trends(df, keys, seq_col, metrics, window=window, win_col=win_col,
+                                     rolling_suffix=rolling_suffix, expanding_suffix=expanding_suffix,
+                                     percentile_suffix=percentile_suffix)
     base = df.withColumn("_chunk", chunk_of(seq_col, C)).withColumn("_halo", F.lit(False))
     ext = base
     if window > 1:
@@ -119,13 +125,10 @@ def rolling_trends(df: DataFrame, keys: list[str], seq_col: str, total_col: str,
     res = res.withColumn("rolling_window_matches", F.lit(window)) \
              .withColumn("is_full_window", F.col("matches_in_window") == F.lit(window))
 
-    hot = F.col(total_col) > F.lit(C)
-    if df.where(hot).isEmpty():
-        return res
     # Entities longer than one chunk: replace the chunk-local percent ranks.
     pct_cols = [f"{m}_{percentile_suffix}" for m in metrics]
     hot_ranks = _hot_percent_ranks(df.where(hot), keys, seq_col, total_col, metrics,
-                                   percentile_suffix)
+                                   percentile_suffix, C)
     cold = res.where(~hot)
     hot_rows = res.where(hot).drop(*pct_cols).join(hot_ranks, [*keys, seq_col])
     return cold.unionByName(hot_rows.select(*cold.columns))
@@ -135,7 +138,7 @@ def window_rolling_trends(df: DataFrame, keys: list[str], seq_col: str, metrics:
                           window: int = 10, win_col: str | None = "is_win",
                           rolling_suffix: str = "rolling_avg", expanding_suffix: str = "career_avg",
                           percentile_suffix: str = "career_percentile") -> DataFrame:
-    """Plain-window reference form (one task per entity); used by tests as brute force."""
+    """Plain windows partitioned by the entity: the path when no entity exceeds one chunk."""
     part = Window.partitionBy(*keys)
     ordered = part.orderBy(F.col(seq_col).asc())
     rolling = ordered.rowsBetween(-(window - 1), 0)

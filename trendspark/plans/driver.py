@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,17 +77,27 @@ def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
 
 
 def staged(spark: SparkSession, sf_dir: str) -> models.Staged:
+    """Staged match tables over the stand-in raw tables.
+
+    The raw tables play the part of the landed raw data the models read. They are
+    derived from the driver tables once per session and persisted (memory, then
+    disk); a lost block is recomputed from its lineage.
+    """
     k = _key(spark, sf_dir, "staged")
     if k not in _CACHE:
+        keep = StorageLevel.MEMORY_AND_DISK
+        lines = standins.lines_with_team(spark, sf_dir).persist(keep)
         raw = {
             "raw_matches": standins.raw_matches(spark, sf_dir),
-            "raw_match_participants": standins.raw_participants(spark, sf_dir),
-            "raw_match_teams": standins.raw_teams(spark, sf_dir),
-            "raw_match_bans": standins.raw_bans(spark, sf_dir),
+            "raw_match_participants": standins.raw_participants(spark, sf_dir, lines),
+            "raw_match_teams": standins.raw_teams(spark, sf_dir, lines),
+            "raw_match_bans": standins.raw_bans(spark, sf_dir, lines),
             "raw_summoners": standins.raw_summoners(spark, sf_dir),
-            "raw_champion_mastery": standins.raw_mastery(spark, sf_dir),
+            "raw_champion_mastery": standins.raw_mastery(spark, sf_dir, lines),
         }
-        _CACHE[k] = models.stage(raw, standins.seed_champions(spark, sf_dir))
+        raw = {name: df.persist(keep) for name, df in raw.items()}
+        seed = standins.seed_champions(spark, sf_dir).persist(keep)
+        _CACHE[k] = models.stage(raw, seed)
     return _CACHE[k]
 
 

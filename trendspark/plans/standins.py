@@ -64,7 +64,8 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines_with_team(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines_with_team(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the supplier's region (team) and the part's brand number."""
     li = _t(spark, sf_dir, "lineitem")
     sup = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = broadcast_if_small(_t(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
@@ -75,8 +76,8 @@ def _lines_with_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(teams, "l_suppkey").join(part, "l_partkey")
 
 
-def raw_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines_with_team(spark, sf_dir).where(F.col("l_returnflag") != "R")
+def raw_participants(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = (lines if lines is not None else lines_with_team(spark, sf_dir)).where(F.col("l_returnflag") != "R")
     n = F.count(F.lit(1))
     cnt = lambda cond: F.count_if(cond).cast("int")
     isum = lambda e: F.sum(e).cast("int")
@@ -126,8 +127,8 @@ def raw_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines_with_team(spark, sf_dir)
+def raw_teams(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = lines if lines is not None else lines_with_team(spark, sf_dir)
     cnt = lambda cond: F.count_if(cond).cast("int")
     return lines.groupBy("l_orderkey", "team_id").agg(
         F.bool_or(F.col("l_linestatus") == "F").alias("win"),
@@ -145,8 +146,8 @@ def raw_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.lit("2024-01-01T00:00:00+00:00").alias("_extracted_at"))
 
 
-def raw_bans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines_with_team(spark, sf_dir).where(F.col("l_returnflag") == "R")
+def raw_bans(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = (lines if lines is not None else lines_with_team(spark, sf_dir)).where(F.col("l_returnflag") == "R")
     return lines.select(
         F.col("l_orderkey").alias("match_id"), F.col("team_id").cast("int").alias("team_id"),
         F.when(F.col("l_discount") == 0, F.lit(-1)).otherwise(F.col("brand_no")).alias("champion_id"),
@@ -172,8 +173,8 @@ def tracked_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("puuid"))
 
 
-def raw_mastery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines_with_team(spark, sf_dir).where(F.col("l_returnflag") != "R")
+def raw_mastery(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = (lines if lines is not None else lines_with_team(spark, sf_dir)).where(F.col("l_returnflag") != "R")
     return lines.groupBy("l_suppkey", "brand_no").agg(
         F.count_distinct("l_orderkey").cast("int").alias("champion_level"),
         F.count(F.lit(1)).cast("int").alias("champion_points"),

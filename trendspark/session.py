@@ -75,7 +75,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark)
     path = os.path.join(root, "tables", f"{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
