@@ -5,6 +5,7 @@ All readers take a declared schema; nothing is inferred at read time.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +47,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
            .option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT)
            .json(path))
+    if with_rejects:
+        # Both outputs read the parse once; Spark also requires a persisted parse to
+        # query the corrupt-record column on its own.
+        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if with_rejects:
         return good, raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
