@@ -111,6 +111,41 @@ def player_sequence_table(spark: SparkSession, sf_dir: str, cfg: TrendConfig = D
     return _CACHE[k]
 
 
+def _mart(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A mart built once per session and data folder and persisted (memory, then
+    disk), as the models store their marts as tables; views and checks read it."""
+    k = _key(spark, sf_dir, f"mart-{name}")
+    if k not in _CACHE:
+        _CACHE[k] = build().persist(StorageLevel.MEMORY_AND_DISK)
+    return _CACHE[k]
+
+
+def pm_mart(spark, sf):
+    return _mart(spark, sf, "pm", lambda: models.participant_metrics(staged(spark, sf)))
+
+
+def players_mart(spark, sf):
+    s = staged(spark, sf)
+    return _mart(spark, sf, "players", lambda: marts.dim_players(s.summoners, s.mastery, pm_mart(spark, sf)))
+
+
+def perf_mart(spark, sf):
+    return _mart(spark, sf, "perf", lambda: marts.participant_performance(pm_mart(spark, sf),
+                                                                          players_mart(spark, sf)))
+
+
+def rolling_mart(spark, sf):
+    return _mart(spark, sf, "rolling", lambda: marts.player_rolling_trends(player_sequence_table(spark, sf)))
+
+
+def champion_mart(spark, sf):
+    return _mart(spark, sf, "champion", lambda: marts.player_champion_trends(player_sequence_table(spark, sf)))
+
+
+def deltas_mart(spark, sf):
+    return _mart(spark, sf, "deltas", lambda: marts.player_match_deltas(player_sequence_table(spark, sf)))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     return ev.select(
@@ -193,14 +228,13 @@ def q_team_totals(spark, sf):
 @query("participant_metrics")
 def q_participant_metrics(spark, sf):
     """N1, N2, F1, F2, F9-F14."""
-    return models.participant_metrics(staged(spark, sf))
+    return pm_mart(spark, sf)
 
 
 @query("dim_players")
 def q_dim_players(spark, sf):
     """A3, A4, N6."""
-    s = staged(spark, sf)
-    return marts.dim_players(s.summoners, s.mastery, models.participant_metrics(s))
+    return players_mart(spark, sf)
 
 
 @query("dim_matches")
@@ -213,9 +247,7 @@ def q_dim_matches(spark, sf):
 @query("participant_performance")
 def q_participant_performance(spark, sf):
     """N7, P10, P17, F7."""
-    s = staged(spark, sf)
-    pm = models.participant_metrics(s)
-    return marts.participant_performance(pm, marts.dim_players(s.summoners, s.mastery, pm))
+    return perf_mart(spark, sf)
 
 
 @query("champion_appearances")
@@ -246,19 +278,19 @@ def q_player_sequence(spark, sf):
 @query("rolling_trends")
 def q_rolling_trends(spark, sf):
     """Flagship. W5-W9, P14-P16: rolling / career averages, percentiles, win rate."""
-    return marts.player_rolling_trends(player_sequence_table(spark, sf))
+    return rolling_mart(spark, sf)
 
 
 @query("champion_trends")
 def q_champion_trends(spark, sf):
     """The same windows per (player, champion)."""
-    return marts.player_champion_trends(player_sequence_table(spark, sf))
+    return champion_mart(spark, sf)
 
 
 @query("match_deltas")
 def q_match_deltas(spark, sf):
     """Each match against the player's own prior matches."""
-    return marts.player_match_deltas(player_sequence_table(spark, sf))
+    return deltas_mart(spark, sf)
 
 
 @query("events_sequence")
@@ -462,7 +494,7 @@ def q_dq_accepted_values(spark, sf):
 @query("dq_range")
 def q_dq_range(spark, sf):
     """Q5: kill participation within [0, 1] (teams share kills, so some exceed 1)."""
-    pm = models.participant_metrics(staged(spark, sf))
+    pm = pm_mart(spark, sf)
     return _dq(pm, quality.accepted_range(pm, "kill_participation", 0, 1))
 
 
@@ -476,9 +508,7 @@ def q_dq_group_size(spark, sf):
 @query("dq_negative")
 def q_dq_negative(spark, sf):
     """Q8: negative counts in the performance fact."""
-    s = staged(spark, sf)
-    pm = models.participant_metrics(s)
-    perf = marts.participant_performance(pm, marts.dim_players(s.summoners, s.mastery, pm))
+    perf = perf_mart(spark, sf)
     return _dq(perf, quality.no_negative(perf, ["kills", "deaths", "assists", "gold_earned",
                                                "creep_score", "vision_score"]))
 
@@ -486,46 +516,43 @@ def q_dq_negative(spark, sf):
 @query("dq_shares_sum")
 def q_dq_shares_sum(spark, sf):
     """Q9: damage shares of full (2-participant) teams sum to 1."""
-    pm = models.participant_metrics(staged(spark, sf))
+    pm = pm_mart(spark, sf)
     return _dq(pm, quality.shares_sum_to_one(pm, "damage_share", group_rows=2))
 
 
 @query("dq_baseline_excludes_current")
 def q_dq_baseline_excl(spark, sf):
     """Q10 (fails where a metric is null, as noted for the original check)."""
-    d = marts.player_match_deltas(player_sequence_table(spark, sf))
+    d = deltas_mart(spark, sf)
     return _dq(d, quality.baseline_excludes_current(d))
 
 
 @query("dq_first_no_baseline")
 def q_dq_first_no_baseline(spark, sf):
     """Q11."""
-    d = marts.player_match_deltas(player_sequence_table(spark, sf))
+    d = deltas_mart(spark, sf)
     return _dq(d, quality.first_has_no_baseline(d))
 
 
 @query("dq_gapless")
 def q_dq_gapless(spark, sf):
     """Q12/A10: champion sequences run 1..n."""
-    t = marts.player_champion_trends(player_sequence_table(spark, sf))
+    t = champion_mart(spark, sf)
     return _dq(t, quality.sequences_gapless(t, ["puuid", "champion_id"], "champion_match_sequence_number"))
 
 
 @query("dq_window_bound")
 def q_dq_window_bound(spark, sf):
     """Q13: a champion window never spans more games than the champion has."""
-    t = marts.player_champion_trends(player_sequence_table(spark, sf))
+    t = champion_mart(spark, sf)
     return _dq(t, quality.window_within_group(t))
 
 
 @query("dq_trend_coverage")
 def q_dq_trend_coverage(spark, sf):
     """Trend rows (union distinct) all present in the performance fact."""
-    seq = player_sequence_table(spark, sf)
-    s = staged(spark, sf)
-    pm = models.participant_metrics(s)
-    perf = marts.participant_performance(pm, marts.dim_players(s.summoners, s.mastery, pm))
-    rt, ct = marts.player_rolling_trends(seq), marts.player_champion_trends(seq)
+    perf = perf_mart(spark, sf)
+    rt, ct = rolling_mart(spark, sf), champion_mart(spark, sf)
     return _dq(rt, quality.covered_by([rt, ct], perf, "participant_key"))
 
 
@@ -538,10 +565,9 @@ def q_orphan_anti(spark, sf):
 
 # ------------------------------------------------------------------ views (V, O)
 def _trend_rows(spark, sf, metric_names=None):
-    seq = player_sequence_table(spark, sf)
     metrics = views.select_metrics(metric_names)
-    overall = marts.player_rolling_trends(seq)
-    per_champ = marts.player_champion_trends(seq)
+    overall = rolling_mart(spark, sf)
+    per_champ = champion_mart(spark, sf)
     return views.trend_rows(overall, per_champ, metrics), metrics
 
 
@@ -562,7 +588,7 @@ def q_point_metadata(spark, sf):
 @query("min_group_filter")
 def q_min_group_filter(spark, sf):
     """V3, O3: champion views with >= 5 games, ordered by games desc, label asc."""
-    t = marts.player_champion_trends(player_sequence_table(spark, sf))
+    t = champion_mart(spark, sf)
     return views.champion_groups(t)
 
 
@@ -606,8 +632,7 @@ def q_latest_value(spark, sf):
 @query("top_entity")
 def q_top_entity(spark, sf):
     """The player with most matches, labelled (display id or key prefix)."""
-    s = staged(spark, sf)
-    players = marts.dim_players(s.summoners, s.mastery, models.participant_metrics(s))
+    players = players_mart(spark, sf)
     top = views.top_entity(players).select("puuid", "matches_extracted")
     return views.display_label(top, players).select("puuid", "matches_extracted", "label")
 
@@ -615,8 +640,7 @@ def q_top_entity(spark, sf):
 @query("player_labels")
 def q_player_labels(spark, sf):
     """Every player's label (display id, else first 12 characters of the key)."""
-    s = staged(spark, sf)
-    players = marts.dim_players(s.summoners, s.mastery, models.participant_metrics(s))
+    players = players_mart(spark, sf)
     return views.display_label(players.select("puuid", "matches_extracted"), players).select(
         "puuid", "label")
 

@@ -66,8 +66,8 @@ raw_matches AS (
               CAST(day(o_orderdate) AS VARCHAR), CAST(o_custkey AS VARCHAR)) AS game_version,
     epoch_ms(o_orderdate) - 60000 AS game_creation,
     epoch_ms(o_orderdate) AS game_start_timestamp,
-    epoch_ms(o_orderdate) + CAST(CAST(round(o_totalprice / 100.0) AS INTEGER) AS BIGINT) * 1000 AS game_end_timestamp,
-    CAST(round(o_totalprice / 100.0) AS INTEGER) AS game_duration,
+    epoch_ms(o_orderdate) + CAST(CAST(floor(o_totalprice / 100.0 + 0.5) AS INTEGER) AS BIGINT) * 1000 AS game_end_timestamp,
+    CAST(floor(o_totalprice / 100.0 + 0.5) AS INTEGER) AS game_duration,
     {TS} AS _extracted_at
   FROM orders
 ),
@@ -82,15 +82,15 @@ raw_participants AS (
     CAST(count_if(l_linestatus = 'F') AS INTEGER) AS kills,
     CAST(count_if(l_returnflag = 'A') AS INTEGER) AS deaths,
     CAST(count_if(l_linestatus = 'O') AS INTEGER) AS assists,
-    CAST(sum(CAST(round(l_extendedprice) AS INTEGER)) AS INTEGER) AS total_damage_dealt_to_champions,
+    CAST(sum(CAST(floor(l_extendedprice + 0.5) AS INTEGER)) AS INTEGER) AS total_damage_dealt_to_champions,
     CAST(sum(CAST(l_quantity AS INTEGER)) AS INTEGER) AS total_damage_taken,
-    CAST(sum(CAST(round(l_tax * 100.0) AS INTEGER)) AS INTEGER) AS damage_dealt_to_objectives,
+    CAST(sum(CAST(floor(l_tax * 100.0 + 0.5) AS INTEGER)) AS INTEGER) AS damage_dealt_to_objectives,
     CAST(count(*) AS INTEGER) AS total_heal,
-    CAST(sum(CAST(round(l_extendedprice * (1 - l_discount)) AS INTEGER)) AS INTEGER) AS gold_earned,
-    CAST(sum(CAST(round(l_extendedprice * (1 - l_discount) * (1 - l_tax)) AS INTEGER)) AS INTEGER) AS gold_spent,
+    CAST(sum(CAST(floor(l_extendedprice * (1 - l_discount) + 0.5) AS INTEGER)) AS INTEGER) AS gold_earned,
+    CAST(sum(CAST(floor(l_extendedprice * (1 - l_discount) * (1 - l_tax) + 0.5) AS INTEGER)) AS INTEGER) AS gold_spent,
     CAST(sum(CAST(l_quantity AS INTEGER)) AS INTEGER) AS total_minions_killed,
     CAST(count(*) AS INTEGER) AS neutral_minions_killed,
-    CAST(sum(CAST(round(l_discount * 100.0) AS INTEGER)) AS INTEGER) AS vision_score,
+    CAST(sum(CAST(floor(l_discount * 100.0 + 0.5) AS INTEGER)) AS INTEGER) AS vision_score,
     CAST(count_if(l_discount > 0.05) AS INTEGER) AS wards_placed,
     CAST(count_if(l_tax > 0.05) AS INTEGER) AS wards_killed,
     CAST(count_if(l_quantity > 25) AS INTEGER) AS vision_wards_bought_in_game,
@@ -129,7 +129,7 @@ raw_summoners AS (
   SELECT s_suppkey AS puuid, s_name AS game_name,
     CASE WHEN s_acctbal >= 1000 THEN CAST(s_nationkey AS VARCHAR) END AS tag_line,
     'N' || CAST(s_nationkey AS VARCHAR) AS platform,
-    CAST(round(s_acctbal / 100.0) AS INTEGER) AS summoner_level,
+    CAST(floor(s_acctbal / 100.0 + 0.5) AS INTEGER) AS summoner_level,
     s_nationkey AS profile_icon_id, CAST(NULL AS BIGINT) AS revision_date, {TS} AS _extracted_at
   FROM supplier
 ),

@@ -34,7 +34,8 @@ def _ms(c) -> F.Column:
 
 
 def _iround(c) -> F.Column:
-    return F.round(c).cast("int")
+    """Nearest integer, halves up: floor(x + 0.5) (plain arithmetic, no decimal round)."""
+    return F.floor(c + F.lit(0.5)).cast("int")
 
 
 def brand_number(col: str = "p_brand") -> F.Column:
