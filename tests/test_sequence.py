@@ -63,3 +63,16 @@ def test_prior_baselines_against_self_join(spark, events, chunk):
         assert r[1] == e[0]
         for g, x in zip(r[2:], e[1:]):
             assert (g is None and x is None) or abs(g - x) < 1e-9
+
+
+def test_null_keys_and_window_one(spark):
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), ("a", 1, 3.0), ("a", 2, None)],
+                               "k string, t int, v double")
+    got = number_rows(df, ["k"], ["t"], out="seq", total_out="n", chunk_rows=1)
+    assert sorted((r["k"] or "", r["t"], r["seq"], r["n"]) for r in got.collect()) == \
+        [("", 1, 1, 2), ("", 2, 2, 2), ("a", 1, 1, 2), ("a", 2, 2, 2)]
+    r = rolling_trends(got, ["k"], "seq", "n", ["v"], window=1, win_col=None, chunk_rows=1)
+    rows = {(x["k"], x["seq"]): x for x in r.collect()}
+    assert rows[("a", 2)]["v_rolling_avg"] is None and rows[("a", 2)]["v_career_avg"] == 3.0
+    assert rows[("a", 2)]["v_career_percentile"] == 1.0       # null ranks last
+    assert all(x["is_full_window"] for x in rows.values())

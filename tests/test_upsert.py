@@ -62,3 +62,21 @@ def test_jsonl_reader(spark, tmpdir_path):
     empty = read_raw(spark, tmpdir_path, "raw_match_bans")      # nothing landed
     assert empty.count() == 0 and empty.columns == RAW_TABLES["raw_match_bans"].fieldNames()
     assert TABLE_KEYS["raw_match_participants"] == ("match_id", "puuid")
+
+
+def test_seed_csv_roundtrip(spark, tmpdir_path):
+    from trendspark.sources.io import read_seed, write_seed
+    from trendspark.sources.schemas import SEED_CHAMPIONS
+    src = os.path.join(tmpdir_path, "seed.csv")
+    with open(src, "w") as h:
+        h.write("champion_id,champion_key,champion_name,champion_title,primary_role,secondary_role,"
+                "resource_type,data_dragon_version\n")
+        h.write("86,Garen,Garen,the Might,Fighter,,None,14.18.1\n")
+        h.write("103,Ahri,Ahri,the Fox,Mage,Assassin,Mana,14.18.1\n")
+    seed = read_seed(spark, src)
+    garen = seed.where("champion_id = 86").first()
+    assert garen["secondary_role"] is None and garen["resource_type"] == "None"
+    out = os.path.join(tmpdir_path, "out")
+    write_seed(seed, out)
+    again = read_seed(spark, out, SEED_CHAMPIONS)
+    assert [r["champion_id"] for r in again.collect()] == [86, 103]

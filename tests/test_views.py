@@ -41,3 +41,15 @@ def test_last_n_and_series(spark):
     assert (latest["latest_roll"], latest["latest_x"]) == (60.0, 30)
     b = views.axis_bounds(pts).first()
     assert b["axis_lo"] == 0.0 and abs(b["axis_hi"] - (60 + 59 * 0.12)) < 1e-9
+
+
+def test_entity_rows_pushdown(spark, tmpdir_path):
+    import os
+    path = os.path.join(tmpdir_path, "mart")
+    spark.createDataFrame([("p", "Zed", 2, 1.0), ("p", "Ahri", 1, 2.0), ("q", "Ahri", 1, 3.0)],
+                          "puuid string, champion_name string, match_sequence_number long, m double") \
+        .write.parquet(path)
+    df = views.entity_rows(spark.read.parquet(path), "p", ["m"])
+    assert [(r["champion_name"], r["m"]) for r in df.collect()] == [("Ahri", 2.0), ("Zed", 1.0)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(puuid,p)" in plan          # the predicate reaches the parquet scan

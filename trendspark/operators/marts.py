@@ -95,15 +95,18 @@ def champion_meta(appearances: DataFrame, champions: DataFrame) -> DataFrame:
     (patch, queue, champion, match, flag) so the count-distinct needs no expand.
     """
     keys = ["patch", "queue_id"]
-    match_counts = (appearances.select(*keys, "match_id").distinct()
+    # Level 1: one row per (patch, queue, champion, match) - a partial aggregate, so
+    # a hot champion or match collapses before the shuffle. Both outputs below read
+    # it, so the appearances join is computed once.
+    per_match = (appearances
+                 .groupBy(*keys, "champion_id", "match_id")
+                 .agg(F.max(F.col("was_picked").cast("int")).alias("_p"),
+                      F.max(F.col("was_banned").cast("int")).alias("_b"),
+                      F.count(F.when(F.col("was_picked") & F.col("is_win"), F.lit(1))).alias("_w"),
+                      F.count(F.when(F.col("was_picked") & ~F.col("is_win"), F.lit(1))).alias("_l")))
+    match_counts = (per_match.select(*keys, "match_id").distinct()
                     .groupBy(*keys).agg(F.count(F.lit(1)).alias("matches_on_patch")))
-    flagged = (appearances
-               .groupBy(*keys, "champion_id", "match_id")
-               .agg(F.max(F.col("was_picked").cast("int")).alias("_p"),
-                    F.max(F.col("was_banned").cast("int")).alias("_b"),
-                    F.count(F.when(F.col("was_picked") & F.col("is_win"), F.lit(1))).alias("_w"),
-                    F.count(F.when(F.col("was_picked") & ~F.col("is_win"), F.lit(1))).alias("_l"))
-               .groupBy(*keys, "champion_id")
+    flagged = (per_match.groupBy(*keys, "champion_id")
                .agg(F.sum("_p").cast("long").alias("matches_picked"),
                     F.sum("_b").cast("long").alias("matches_banned"),
                     F.sum("_w").cast("long").alias("wins"),

@@ -145,3 +145,12 @@ def display_label(df: DataFrame, players: DataFrame, entity: str = "puuid",
     names = players.select(entity, label_col)
     return df.join(names, entity, "left").withColumn(
         "label", F.coalesce(F.col(label_col), F.substring(F.col(entity).cast("string"), 1, width)))
+
+
+def entity_rows(mart: DataFrame, entity_value, columns: Sequence[str], entity: str = "puuid",
+                order: Sequence[str] = ("champion_name", "match_sequence_number")) -> DataFrame:
+    """One entity's rows of a mart, ordered for display (the equality predicate is
+    pushed into the parquet scan when the mart is read from files)."""
+    cols = list(dict.fromkeys([entity, *columns, *order]))
+    return (mart.where(F.col(entity) == F.lit(entity_value)).select(*cols)
+            .orderBy(*[F.col(c).asc_nulls_last() for c in order]))
