@@ -84,11 +84,13 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
     numbered through ``range_number_rows`` and the two parts are unioned.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    # Written once: counted here, broadcast below when small (one aggregate job).
-    hot = materialize(sizes.where(F.col("_size") > F.lit(chunk_rows)).select(*keys), f"{label}-hot")
-    n_hot = hot.count()
-    if n_hot == 0:
+    stats = sizes.agg(F.max("_size").alias("largest"),
+                      F.count_if(F.col("_size") > F.lit(chunk_rows)).alias("n_hot")).first()
+    if stats is None or stats["largest"] is None or stats["n_hot"] == 0:
         return window_number_rows(df, keys, order, out=out, total_out=total_out)
+    n_hot = stats["n_hot"]
+    # Written once, then broadcast: its size is the measured count above.
+    hot = materialize(sizes.where(F.col("_size") > F.lit(chunk_rows)).select(*keys), f"{label}-hot")
     if n_hot > MAX_BROADCAST_HOT_KEYS:
         return range_number_rows(df, keys, order, out=out, total_out=total_out,
                                  partitions=partitions, label=label)
