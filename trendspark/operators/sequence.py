@@ -22,6 +22,7 @@ No step holds more than one partition's rows of an entity in a task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,14 +84,18 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
     (one task holds at most ``chunk_rows`` rows of a group). Larger groups are
     numbered through ``range_number_rows`` and the two parts are unioned.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    # One row per group; kept (memory, then disk) between the decision and the
+    # hot-key write so the input is aggregated once.
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).persist(StorageLevel.MEMORY_AND_DISK)
     stats = sizes.agg(F.max("_size").alias("largest"),
                       F.count_if(F.col("_size") > F.lit(chunk_rows)).alias("n_hot")).first()
     if stats is None or stats["largest"] is None or stats["n_hot"] == 0:
+        sizes.unpersist()
         return window_number_rows(df, keys, order, out=out, total_out=total_out)
     n_hot = stats["n_hot"]
     # Written once, then broadcast: its size is the measured count above.
     hot = materialize(sizes.where(F.col("_size") > F.lit(chunk_rows)).select(*keys), f"{label}-hot")
+    sizes.unpersist()
     if n_hot > MAX_BROADCAST_HOT_KEYS:
         return range_number_rows(df, keys, order, out=out, total_out=total_out,
                                  partitions=partitions, label=label)
