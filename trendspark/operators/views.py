@@ -82,7 +82,7 @@ def champion_groups(per_champion: DataFrame, entity: str = "puuid",
               .agg(F.count(F.lit(1)).alias("games"))
               .where(F.col("games") >= min_games))
     order = Window.partitionBy(entity).orderBy(F.desc("games"), F.asc("label"))
-    return groups.withColumn("option_order", F.row_number().over(order))
+    return groups.withColumn("option_order", F.row_number().over(order).cast("long"))
 
 
 def range_options(totals: DataFrame, total_col: str = "total") -> DataFrame:
