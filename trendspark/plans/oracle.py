@@ -367,32 +367,32 @@ def _deltas_sql(source: str, ids: str, part: str, order: str, metrics, rowkey: s
         for m in metrics)
     frame = (f"PARTITION BY {part}, metric_name ORDER BY {order} "
              f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
-    on = " AND ".join(f"c.{p.strip()} = pr.{p.strip()}" for p in part.split(","))
+    on = " AND ".join(f"cur.{p.strip()} = earlier.{p.strip()}" for p in part.split(","))
     return f"""
-unpivoted AS (
+long_metrics AS (
   {unions}
 ),
-baseline AS (
+prior_stats AS (
   SELECT *, avg(metric_value) OVER ({frame}) AS baseline_mean,
     stddev_samp(metric_value) OVER ({frame}) AS baseline_stddev,
     count(metric_value) OVER ({frame}) AS baseline_match_count
-  FROM unpivoted
+  FROM long_metrics
 ),
-percentiles AS (
-  SELECT c.{rowkey}, c.metric_name,
-    {_safe_div('count(pr.metric_value) FILTER (WHERE pr.metric_value <= c.metric_value)',
-               'nullif(count(pr.metric_value), 0)')} AS baseline_percentile_rank
-  FROM baseline c
-  LEFT JOIN baseline pr ON {on} AND c.metric_name = pr.metric_name AND pr.{order} < c.{order}
+prior_share AS (
+  SELECT cur.{rowkey}, cur.metric_name,
+    {_safe_div('count(earlier.metric_value) FILTER (WHERE earlier.metric_value <= cur.metric_value)',
+               'nullif(count(earlier.metric_value), 0)')} AS baseline_percentile_rank
+  FROM prior_stats cur
+  LEFT JOIN prior_stats earlier ON {on} AND cur.metric_name = earlier.metric_name AND earlier.{order} < cur.{order}
   GROUP BY 1, 2
 )
-SELECT b.*, b.metric_value - b.baseline_mean AS delta_from_baseline,
-  {_safe_div('b.metric_value - b.baseline_mean', 'nullif(b.baseline_mean, 0)')} AS pct_change_from_baseline,
-  {_safe_div('b.metric_value - b.baseline_mean', 'nullif(b.baseline_stddev, 0)')} AS z_score,
+SELECT s.*, s.metric_value - s.baseline_mean AS delta_from_baseline,
+  {_safe_div('s.metric_value - s.baseline_mean', 'nullif(s.baseline_mean, 0)')} AS pct_change_from_baseline,
+  {_safe_div('s.metric_value - s.baseline_mean', 'nullif(s.baseline_stddev, 0)')} AS z_score,
   p.baseline_percentile_rank,
-  b.baseline_match_count >= {min_baseline} AS has_sufficient_baseline
-FROM baseline b
-JOIN percentiles p USING ({rowkey}, metric_name)
+  s.baseline_match_count >= {min_baseline} AS has_sufficient_baseline
+FROM prior_stats s
+JOIN prior_share p USING ({rowkey}, metric_name)
 """
 
 
@@ -721,7 +721,7 @@ FROM (SELECT puuid, matches_extracted, riot_id FROM dim_players ORDER BY matches
 
 def _delta_ctes(deltas_sql: str) -> list[str]:
     """The CTE definitions of a ``_deltas_sql`` text."""
-    head = deltas_sql.strip().split("\nSELECT b.*", 1)[0].strip().rstrip(",")
+    head = deltas_sql.strip().split("\nSELECT s.*", 1)[0].strip().rstrip(",")
     parts, depth, cur = [], 0, ""
     for line in head.splitlines():
         cur += line + "\n"
@@ -733,4 +733,4 @@ def _delta_ctes(deltas_sql: str) -> list[str]:
 
 
 def _delta_body(deltas_sql: str) -> str:
-    return "SELECT b.*" + deltas_sql.strip().split("\nSELECT b.*", 1)[1]
+    return "SELECT s.*" + deltas_sql.strip().split("\nSELECT s.*", 1)[1]
