@@ -88,3 +88,10 @@ def test_quality_checks_catch_failures(spark, marts):
     assert Q.baseline_excludes_current(broken).count() > 0
     summary = Q.summary(nine, Q.group_size(nine, "match_id", 10)).first()
     assert (summary["rows_checked"], summary["rows_failing"]) == (252, 28)
+
+
+def test_write_marts(spark, marts, tmpdir_path):
+    stored = {k: v for k, v in marts.items() if k != "staged"}
+    paths = models.write_marts(stored, tmpdir_path, only=["dim_players", "fct_champion_meta"])
+    assert set(paths) == {"dim_players", "fct_champion_meta"}
+    assert spark.read.parquet(paths["dim_players"]).count() == 2
