@@ -121,3 +121,26 @@ def test_split_path_matches_default(spark, marts):
                     assert math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-12), (name, k, c, x, y)
                 else:
                     assert x == y, (name, k, c, x, y)
+
+
+def test_build_from_landing(spark, tmpdir_path):
+    import os
+
+    from fixtures import write_jsonl
+    landing = os.path.join(tmpdir_path, "landing")
+    for table, rows in raw_tables().items():
+        os.makedirs(os.path.join(landing, table))
+        write_jsonl(os.path.join(landing, table, "batch-1.jsonl"), rows)
+    seed = os.path.join(tmpdir_path, "seed.csv")
+    with open(seed, "w") as h:
+        h.write("champion_id,champion_key,champion_name,champion_title,primary_role,secondary_role,"
+                "resource_type,data_dragon_version\n")
+        for r in seed_rows():
+            h.write(",".join("" if r[k] is None else str(r[k]) for k in (
+                "champion_id", "champion_key", "champion_name", "champion_title", "primary_role",
+                "secondary_role", "resource_type", "data_dragon_version")) + "\n")
+    out = os.path.join(tmpdir_path, "marts")
+    models.build_from_landing(spark, landing, seed, out)
+    assert spark.read.parquet(os.path.join(out, "fct_participant_performance")).count() == 240
+    assert spark.read.parquet(os.path.join(out, "fct_player_match_deltas")).count() == 198
+    assert spark.read.parquet(os.path.join(out, "dim_champions")).count() == 3

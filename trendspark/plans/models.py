@@ -80,3 +80,19 @@ def write_marts(marts: dict[str, DataFrame], root: str, only: list[str] | None =
         write_table(df, path)
         paths[name] = path
     return paths
+
+
+def build_from_landing(spark, landing_root: str, seed_path: str, out_root: str | None = None,
+                       cfg: TrendConfig = DEFAULT) -> dict[str, DataFrame]:
+    """Landed JSON Lines (``<landing_root>/<raw table>/``) and the seed CSV -> all marts.
+
+    A raw table with nothing landed reads as an empty typed table. With ``out_root``
+    the stored marts are also written there (full rebuild).
+    """
+    from trendspark.sources.io import read_raw, read_seed
+    from trendspark.sources.schemas import RAW_TABLES
+    raw = {t: read_raw(spark, landing_root, t) for t in RAW_TABLES}
+    built = build(stage(raw, read_seed(spark, seed_path)), cfg=cfg)
+    if out_root:
+        write_marts(built, out_root)
+    return built
