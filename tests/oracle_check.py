@@ -93,7 +93,7 @@ def compare(spark, sf_dir: str, names=None, verbose: bool = True) -> dict[str, d
 if __name__ == "__main__":
     from trendspark.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "12g"})
     rep = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in rep.items() if not (v.get("values_match", True) and v.get("columns_match", True))]
     print("MISMATCH:", bad)
