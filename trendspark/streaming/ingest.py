@@ -11,10 +11,12 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trendspark.session import ensure_checkpoint_dir
+from trendspark.sources.io import CORRUPT
 from trendspark.sources.upsert import load_batch
 
 
@@ -26,7 +28,11 @@ def start_ingest(spark: SparkSession, landing_dir: str, table_root: str, schema:
     ``available_now`` processes what has landed and stops (scheduled batch runs);
     otherwise the query keeps running and picks up files as they arrive.
     """
-    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
+    # Malformed lines land in the corrupt-record column and are dropped per batch
+    # (they never reach the table as all-null rows).
+    read_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    reader = (spark.readStream.schema(read_schema).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing_dir)
@@ -34,7 +40,8 @@ def start_ingest(spark: SparkSession, landing_dir: str, table_root: str, schema:
         ensure_checkpoint_dir(spark), "streams", os.path.basename(table_root.rstrip("/")))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch.sparkSession, table_root, batch, keys)
+        good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        load_batch(batch.sparkSession, table_root, good, keys)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
