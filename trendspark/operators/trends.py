@@ -62,7 +62,7 @@ def _hot_percent_ranks(rows: DataFrame, keys: list[str], seq_col: str, total_col
                     (F.col("_rank") - 1).cast("double") / (F.col(total_col) - 1).cast("double")
                     ).otherwise(F.lit(0.0))
         one = ranked.select(*keys, seq_col, pr.alias(f"{m}_{suffix}"))
-        out = one if out is None else out.join(one, [*keys, seq_col])
+        out = one if out is None else join_null_safe(out, one, [*keys, seq_col])
     return out
 
 
@@ -130,7 +130,7 @@ def rolling_trends(df: DataFrame, keys: list[str], seq_col: str, total_col: str,
     hot_ranks = _hot_percent_ranks(df.where(hot), keys, seq_col, total_col, metrics,
                                    percentile_suffix, C)
     cold = res.where(~hot)
-    hot_rows = res.where(hot).drop(*pct_cols).join(hot_ranks, [*keys, seq_col])
+    hot_rows = join_null_safe(res.where(hot).drop(*pct_cols), hot_ranks, [*keys, seq_col])
     return cold.unionByName(hot_rows.select(*cold.columns))
 
 
