@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
+import gc
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendspark.session import materialize
+from trendspark.session import ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared checkpoint folder and read back (cuts the lineage)."""
-    return materialize(df, f"llm-{label}")
-
-
 def fresh(prefix: str = "c") -> str:
     """A column name no caller's column clashes with."""
     return f"__{prefix}_{uuid.uuid4().hex[:8]}"
@@ -27,3 +24,36 @@ def fresh(prefix: str = "c") -> str:
 def held_out(doc_id: str) -> F.Column:
     """crc32 of the id as text, mod 5, is 0; a null id counts as held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
+
+
+class Scratch:
+    """Written intermediates of one operator run, deleted when no longer read.
+
+    ``keep`` writes and rereads a table (cutting the lineage at the shared folder);
+    ``drop`` deletes tables; after either, shuffle files of finished steps are released,
+    so that disk use follows the widest step and not the sum of all steps.
+    """
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark = spark
+        self.root = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch = path
+        self.release()
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for frame in frames:
+            path = jvm.org.apache.hadoop.fs.Path(frame._scratch)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.release()
+
+    def release(self) -> None:
+        """Let the context cleaner remove shuffles that nothing refers to any more."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()

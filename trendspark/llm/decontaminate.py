@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import fresh, kept, table
+from trendspark.llm.common import Scratch, fresh, table
 from trendspark.llm.textscan import (
     Powers, Words, byte_codes, gram_hashes, sliding_min, text_slices)
 
@@ -230,7 +230,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_text: str = "text",
                   bench_text: str = "text", item: str = "item_id", out: str = "contamination",
                   span: int = SPAN, gram: int = GRAM, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Every document row with what it shares with the benchmark (see the module text)."""
-    windows = kept(benchmark_windows(benchmark, bench_text, item, span, gram), "bench-windows")
+    windows = Scratch(docs.sparkSession, "decontaminate").keep(
+        benchmark_windows(benchmark, bench_text, item, span, gram), "windows")
     return find_contamination(docs, windows, doc_text, out, span, gram, block_windows)
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from trendspark.llm import decontaminate
+from trendspark.llm import decontaminate, ngram_join, suffix_dedup, topk_search
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op3_ngram_jaccard": ngram_join.op3_ngram_jaccard,
+    "op4_exact_topk": topk_search.op4_exact_topk,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
 }
 
 ORACLE = {
     "op1_decontaminate": decontaminate.OP1_SQL,
+    "op4_exact_topk": topk_search.OP4_SQL,
 }
