@@ -84,21 +84,39 @@ def text_slices(column: pa.Array, bound: int = SLICE_BYTES) -> Iterator[Slice]:
         lo = hi
 
 
+class Rolling:
+    """Hashes of any substring of a slice in constant time."""
+
+    def __init__(self, data: np.ndarray, codes: np.ndarray, powers: Powers) -> None:
+        n = len(data)
+        up, self.down = powers.get(n + 1)
+        self.total = np.zeros(n + 1, np.uint64)
+        np.cumsum(codes[data] * up[:n], out=self.total[1:])
+
+    def all(self, size: int) -> np.ndarray:
+        n = len(self.total) - size
+        return splitmix((self.total[size:] - self.total[:n]) * self.down[:n])
+
+    def at(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return splitmix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
 class Words:
     """Words of a slice: byte bounds, owning row and 64-bit hashes.
 
-    ``counts`` has the number of words of each row and ``first`` the index of its first.
+    ``is_word`` gives each byte value's class: 0 (or False) is outside words, and a word
+    is a run of one class within a row. ``counts`` has the number of words of each row and ``first`` the index of its first.
     """
 
     def __init__(self, part: Slice, is_word: np.ndarray, codes: np.ndarray, powers: Powers) -> None:
         data, offsets = part.data, part.offsets
         n = len(data)
-        inside = np.zeros(n + 2, bool)
-        inside[1:-1] = is_word[data]
-        cut = np.zeros(n + 1, bool)
+        kind = np.zeros(n + 2, np.uint8)
+        kind[1:-1] = is_word[data]
+        cut = kind[1:] != kind[:-1]
         cut[offsets] = True
-        starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
-        ends = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
+        starts = np.flatnonzero(cut & (kind[1:] != 0))
+        ends = np.flatnonzero(cut & (kind[:-1] != 0))
         self.starts, self.ends = starts, ends
         up, down = powers.get(n + 1)
         total = np.zeros(n + 1, np.uint64)
