@@ -20,29 +20,30 @@ def test_participant_row_golden(spark, tmpdir_path):
     rows = flatten.participant_rows(_docs(spark, tmpdir_path, [MATCH_DOCUMENT]), "t").collect()
     assert len(rows) == 1
     r = rows[0].asDict()
-    assert (r["match_id"], r["kills"], r["deaths"], r["assists"]) == ("NA1_1", 8, 3, 7)
-    assert (r["total_minions_killed"], r["neutral_minions_killed"]) == (210, 12)
+    assert (r["match_id"], r["kills"], r["deaths"], r["assists"]) == ("XY7_900", 2, 9, 15)
+    assert (r["total_minions_killed"], r["neutral_minions_killed"]) == (61, 5)
     assert r["turret_takedowns"] == 0          # absent count -> 0
-    assert r["wards_killed"] == 3              # present, not a defaulted column
+    assert r["wards_killed"] == 6              # present, not a defaulted column
     assert r["_extracted_at"] == "t"
 
 
 def test_team_objectives_and_bans(spark, tmpdir_path):
     docs = _docs(spark, tmpdir_path, [MATCH_DOCUMENT])
     teams = {r["team_id"]: r for r in flatten.team_rows(docs, "t").collect()}
-    t100 = teams[100]
-    assert (t100["baron_kills"], t100["herald_kills"], t100["champion_kills"]) == (1, 1, 28)
-    assert t100["first_blood"] is True and t100["first_tower"] is True
-    t200 = teams[200]
-    assert (t200["baron_kills"], t200["champion_kills"], t200["first_blood"]) == (0, 0, False)
+    full = teams[200]
+    assert (full["dragon_kills"], full["inhibitor_kills"], full["champion_kills"], full["tower_kills"]) == (3, 2, 13, 4)
+    assert full["first_blood"] is False and full["first_tower"] is True
+    assert (full["baron_kills"], full["herald_kills"]) == (0, 0)
+    bare = teams[100]
+    assert (bare["dragon_kills"], bare["champion_kills"], bare["first_blood"]) == (0, 0, False)
     bans = [r["champion_id"] for r in flatten.ban_rows(docs, "t").orderBy("pick_turn").collect()]
-    assert bans == [157, -1]                   # declined ban kept at this layer
+    assert bans == [12, -1, 40]                   # declined ban kept at this layer
 
 
 def test_match_row_missing_end(spark, tmpdir_path):
     r = flatten.match_rows(_docs(spark, tmpdir_path, [MATCH_DOCUMENT]), "t").first()
     assert r["game_end_timestamp"] is None
-    assert r["game_version"] == "14.18.615.9137" and r["queue_id"] == 420
+    assert r["game_version"] == "7.2.31.4" and r["queue_id"] == 440
 
 
 def test_empty_documents_give_no_rows(spark, tmpdir_path):
@@ -54,16 +55,27 @@ def test_empty_documents_give_no_rows(spark, tmpdir_path):
 
 
 def test_static_champions(spark, tmpdir_path):
-    doc = {"version": "14.18.1", "data": {
-        "Ahri": {"key": "103", "id": "Ahri", "name": "Ahri", "title": "the Nine-Tailed Fox",
-                 "tags": ["Mage", "Assassin"], "partype": "Mana"},
-        "Garen": {"key": "86", "id": "Garen", "name": "Garen", "tags": ["Fighter"]},
-        "Zac": {"key": "154", "id": "Zac", "name": "Zac", "tags": None, "partype": "Blood"}}}
+    doc = {"version": "7.2.0", "data": {
+        "Brook": {"key": "31", "id": "Brook", "name": "Brook of Stone", "title": "slow water",
+                  "tags": ["Guard", "Healer", "Walker"], "partype": "Tide"},
+        "Ember": {"key": "5", "id": "Ember", "name": "Ember", "tags": ["Caster"]},
+        "Quill": {"key": "77", "id": "Quill", "name": "Quill", "tags": None, "partype": "Ink"}}}
     rows = {r["champion_id"]: r for r in
             flatten.static_champion_rows(_docs(spark, tmpdir_path, [doc], schemas.STATIC_DOCUMENT)).collect()}
-    assert rows[103]["primary_role"] == "Mage" and rows[103]["secondary_role"] == "Assassin"
-    assert rows[86]["secondary_role"] == "" and rows[86]["champion_title"] == ""
-    assert rows[154]["primary_role"] == "" and rows[154]["data_dragon_version"] == "14.18.1"
+    assert rows[31]["primary_role"] == "Guard" and rows[31]["secondary_role"] == "Healer"
+    assert rows[5]["secondary_role"] == "" and rows[5]["champion_title"] == ""
+    assert rows[77]["primary_role"] == "" and rows[77]["data_dragon_version"] == "7.2.0"
+
+
+def test_one_stamp_in_utc(spark, tmpdir_path):
+    lines = {"match": spark.createDataFrame([(json.dumps(MATCH_DOCUMENT),), ("{oops",)], "value string"),
+             "mastery": spark.createDataFrame([('{"puuid": "p", "championId": "one"}',)], "value string")}
+    tables, rejects = flatten.flatten_documents(spark, lines, "XY7")
+    stamps = {r["_extracted_at"] for t in tables.values() for r in t.collect()}
+    assert len(stamps) == 1 and stamps.pop().endswith("+00:00")
+    assert set(tables) == set(schemas.RAW_TABLES) and tables["raw_summoners"].count() == 0
+    assert sorted((r["kind"], r["reason"]) for r in rejects.collect()) == [
+        ("mastery", "a field does not fit its type"), ("match", "not a JSON object")]
 
 
 def test_summoner_and_mastery(spark):

@@ -5,7 +5,7 @@ import pytest
 from fixtures import write_jsonl
 from trendspark.sources.io import read_jsonl, read_raw
 from trendspark.sources.schemas import RAW_TABLES, TABLE_KEYS
-from trendspark.sources.upsert import VersionedTable, load_batch, upsert
+from trendspark.sources.upsert import CommitConflict, VersionedTable, load_batch, upsert
 
 SCHEMA = "k string, v int, note string"
 
@@ -41,13 +41,103 @@ def test_versioned_load(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "table")
     b1 = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x")], SCHEMA)
     b2 = spark.createDataFrame([("b", 20, "y")], SCHEMA)
-    assert load_batch(spark, root, b1, ["k"]) == 2
-    first = VersionedTable(spark, root).current_path()
+    assert load_batch(spark, root, b1, ["k"], buckets=4) == 2
+    table = VersionedTable(spark, root)
+    before = table.manifest()
     assert load_batch(spark, root, b2, ["k"]) == 2
     assert load_batch(spark, root, b2, ["k"]) == 2          # replay: same table
-    assert VersionedTable(spark, root).current_path() != first
-    assert spark.read.parquet(first).count() == 2           # old version untouched
+    assert sorted(map(tuple, table.read().collect())) == [("a", 1, "x"), ("b", 20, "y")]
     assert load_batch(spark, root, spark.createDataFrame([], SCHEMA), ["k"]) == 2
+    assert len(table.versions()) == 2 and table.versions()[-1] == 2     # older versions expired
+    now = table.manifest()
+    touched = [k for k in now["buckets"] if now["buckets"][k] != before["buckets"].get(k)]
+    assert len(touched) == 1                                 # the other bucket kept its files
+
+
+def test_untouched_buckets_keep_their_files(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "table")
+    load_batch(spark, root, spark.createDataFrame([(f"k{i}", i, "x") for i in range(200)], SCHEMA), ["k"], buckets=16)
+    table = VersionedTable(spark, root)
+    before = set(table.read().inputFiles())
+    assert load_batch(spark, root, spark.createDataFrame([("k7", 70, "y")], SCHEMA), ["k"]) == 200
+    after = set(table.read().inputFiles())
+    assert len(before & after) >= 15 and len(after - before) >= 1
+
+
+def test_conflicting_commit_is_rejected_and_lost_manifests_are_noticed(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "table")
+    rows = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x")], SCHEMA)
+    load_batch(spark, root, rows, ["k"])
+    table = VersionedTable(spark, root)
+    base = table.manifest()
+    table.commit(spark.createDataFrame([("c", 3, "y")], SCHEMA), ["k"], base)
+    with pytest.raises(CommitConflict):
+        table.commit(spark.createDataFrame([("d", 4, "z")], SCHEMA), ["k"], base)
+    assert [tuple(r) for r in table.read().collect()] == [("c", 3, "y")]
+    for name in os.listdir(os.path.join(root, "_versions")):
+        os.remove(os.path.join(root, "_versions", name))
+    with pytest.raises(RuntimeError):                       # never taken for a new table
+        load_batch(spark, root, rows, ["k"])
+
+
+def test_crash_before_publishing_leaves_the_table(spark, tmpdir_path, monkeypatch):
+    root = os.path.join(tmpdir_path, "table")
+    load_batch(spark, root, spark.createDataFrame([("a", 1, "x"), ("b", 2, "x")], SCHEMA), ["k"])
+
+    def crash(self, version, manifest):
+        raise OSError("killed")
+    monkeypatch.setattr(VersionedTable, "_publish", crash)
+    with pytest.raises(OSError):
+        load_batch(spark, root, spark.createDataFrame([("c", 3, "y")], SCHEMA), ["k"])
+    monkeypatch.undo()
+    assert load_batch(spark, root, spark.createDataFrame([("c", 3, "y")], SCHEMA), ["k"]) == 3
+
+
+def test_row_set_does_not_depend_on_the_columns_read(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "raw_matches")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.jsonl"), "w") as h:
+        h.write('{"match_id": "good", "queue_id": 420}\n\n')
+        h.write('{"match_id": "text", "queue_id": "abc"}\n')
+        h.write('{"match_id": "large", "game_duration": 30000000000}\n')
+        h.write("[1, 2]\n")
+    df, bad = read_jsonl(spark, path, RAW_TABLES["raw_matches"], with_rejects=True)
+    assert [r["match_id"] for r in df.collect()] == ["good"]
+    assert [r["match_id"] for r in df.select("match_id").collect()] == ["good"] and df.count() == 1
+    assert bad.count() == 3 and {r["reason"] for r in bad.collect()} == {
+        "not a JSON object", "a field does not fit its type"}
+
+
+def test_landing_twice_counts_once(spark, tmpdir_path):
+    import time
+
+    from fixtures import raw_tables, seed_rows
+    from trendspark.plans.models import build_from_landing
+    from trendspark.sources.io import write_seed
+    from trendspark.sources.schemas import SEED_CHAMPIONS
+    landing = os.path.join(tmpdir_path, "landing")
+    for batch in ("a", "b"):
+        for name, rows in raw_tables().items():
+            os.makedirs(os.path.join(landing, name), exist_ok=True)
+            write_jsonl(os.path.join(landing, name, f"{batch}.jsonl"), rows)
+        time.sleep(0.05)
+    with open(os.path.join(landing, "raw_matches", "b.jsonl"), "a") as h:
+        h.write("{broken\n")
+    seed = os.path.join(tmpdir_path, "seed")
+    write_seed(spark.createDataFrame([tuple(r[f] for f in SEED_CHAMPIONS.fieldNames()) for r in seed_rows()], SEED_CHAMPIONS), seed)
+    out = os.path.join(tmpdir_path, "marts")
+    built = build_from_landing(spark, landing, seed, out)
+    perf = spark.read.parquet(os.path.join(out, "fct_participant_performance"))
+    assert perf.count() == 240 and perf.select("participant_key").distinct().count() == 240
+    assert spark.read.parquet(os.path.join(out, "dim_matches")).count() == 28
+    assert spark.read.parquet(os.path.join(out, "dim_players")).count() == 2
+    assert spark.read.parquet(os.path.join(out, "rejects", "raw_matches")).count() == 1
+    assert built["dim_champions"].count() == 3
+    # the stored snapshot: unchanged on a second run, a changed champion opens a version
+    from trendspark.plans.models import update_snapshot
+    assert update_snapshot(spark, out, built["dim_champions"]).count() == 3
+    changed = built["dim_champions"].selectExpr("* except (primary_role)", "if(champion_id = 86, 'Other', primary_role) as primary_role")
+    assert update_snapshot(spark, out, changed.select(*built["dim_champions"].columns)).count() == 4
 
 
 def test_jsonl_reader(spark, tmpdir_path):
@@ -79,4 +169,20 @@ def test_seed_csv_roundtrip(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "out")
     write_seed(seed, out)
     again = read_seed(spark, out, SEED_CHAMPIONS)
-    assert [r["champion_id"] for r in again.collect()] == [86, 103]
+    assert sorted(r["champion_id"] for r in again.collect()) == [86, 103]
+    files = sorted(f for f in os.listdir(out) if f.endswith(".csv"))
+    ids = [r["champion_id"] for f in files for r in read_seed(spark, os.path.join(out, f), SEED_CHAMPIONS).collect()]
+    assert ids == [86, 103]
+
+
+def test_rebuild_keeps_no_old_partition(spark, tmpdir_path):
+    from trendspark.sources.io import write_table
+    root = os.path.join(tmpdir_path, "mart")
+    df = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], SCHEMA)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(df, root, ["note"])
+        write_table(df.where("k = 'a'"), root, ["note"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r["k"] for r in spark.read.parquet(root).collect()] == ["a"]

@@ -12,24 +12,41 @@ def test_select_metrics():
 
 
 def test_range_options(spark):
-    totals = spark.createDataFrame([("a", 100), ("b", 137), ("c", 8)], "view string, total long")
+    totals = spark.createDataFrame([("u", 21), ("v", 10), ("w", 1000)], "view string, total long")
     got = {}
     for r in views.range_options(totals).collect():
         got.setdefault(r["view"], []).append(r["range_n"])
-    assert got == {"a": [10, 20, 50], "b": [10, 20, 50, 100]}
+    assert got == {"u": [10, 20], "w": [10, 20, 50, 100]}
 
 
 def test_champion_groups(spark):
-    rows = [("p", "Ahri")] * 6 + [("p", "Garen")] * 11 + [("p", "Zed")] * 8 + [("p", "Lux")] * 4 + [("p", None)] * 5
+    rows = [("p", "Brook")] * 7 + [("p", "Ember")] * 9 + [("p", "Quill")] * 9 + [("p", "Rook")] * 3 + [("p", "")] * 6
     df = spark.createDataFrame(rows, "puuid string, champion_name string")
     got = [(r["label"], r["games"]) for r in views.champion_groups(df).orderBy("option_order").collect()]
-    assert got == [("Garen", 11), ("Zed", 8), ("Ahri", 6), ("—", 5)]
+    assert got == [("Ember", 9), ("Quill", 9), ("Brook", 7), ("—", 6)]
+
+
+def test_last_n_when_a_label_covers_two_ids(spark):
+    # two ids, each numbered 1..10, share one label: the view has 20 rows
+    rows = [("p", "x", i, k * 100 + i) for k in (1, 2) for i in range(1, 11)]
+    df = spark.createDataFrame(rows, "puuid string, view string, seq long, match_sequence_number long")
+    assert views.last_n(df, 30).count() == 20
+    assert sorted(r["seq"] for r in views.last_n(df, 4).collect()) == [9, 9, 10, 10]
+
+
+def test_axis_bounds_of_ranges(spark):
+    pts = spark.createDataFrame([("p", "all", "m", i, float(100 - i), None) for i in range(1, 31)],
+                                "puuid string, view string, metric string, x long, raw double, roll double")
+    ranged = views.range_points(pts)
+    keys = ["puuid", "view", "metric", "range_n"]
+    got = {r["range_n"]: (r["axis_lo"], r["axis_hi"]) for r in views.axis_bounds(ranged, keys, pad=0.0).collect()}
+    assert got == {0: (70.0, 99.0), 10: (70.0, 79.0), 20: (70.0, 89.0), 50: (70.0, 99.0), 100: (70.0, 99.0)}
 
 
 def test_last_n_and_series(spark):
     rows = [("p", "all", i, 1.0 * i, None if i == 3 else 2.0 * i, f"2024-01-{i:02d}") for i in range(1, 31)]
     df = spark.createDataFrame(rows, "puuid string, view string, seq long, m double, m_rolling_avg double, d string")
-    df = df.selectExpr("*", "cast(d as date) as game_date")
+    df = df.selectExpr("*", "cast(d as date) as game_date", "seq as match_sequence_number")
     sliced = views.last_n(views.with_totals(df), 10)
     assert sorted(r["seq"] for r in sliced.collect()) == list(range(21, 31))
     summary = views.range_summary(sliced).first()

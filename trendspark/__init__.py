@@ -12,6 +12,14 @@ Main entry points (see README for the full operator map):
 * ``sources.upsert.upsert`` / ``load_batch`` - idempotent keyed upsert
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel by value: executors need pyspark, numpy and
+# pyarrow, but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"
 
 __all__ = ["__version__"]

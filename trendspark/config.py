@@ -41,15 +41,10 @@ TREND_METRICS: tuple[str, ...] = (
     "damage_per_gold",
 )
 
-# Metrics offered by the trend view, in display order (column, label, format).
-VIEW_METRICS: tuple[tuple[str, str, str], ...] = (
-    ("cs_per_minute", "CS per minute", "num"),
-    ("gold_per_minute", "Gold per minute", "int"),
-    ("damage_per_minute", "Damage to champions per minute", "int"),
-    ("kda_ratio_perfect_adjusted", "KDA ratio", "num"),
-    ("kill_participation", "Kill participation", "pct"),
-    ("damage_share", "Damage share", "pct"),
-    ("vision_score_per_minute", "Vision score per minute", "num"),
+# Metrics offered by the trend view, in display order.
+VIEW_METRICS: tuple[str, ...] = (
+    "cs_per_minute", "gold_per_minute", "damage_per_minute", "kda_ratio_perfect_adjusted",
+    "kill_participation", "damage_share", "vision_score_per_minute",
 )
 RANGE_OPTIONS: tuple[int, ...] = (10, 20, 50, 100)
 MIN_GROUP_GAMES = 5

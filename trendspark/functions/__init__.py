@@ -4,7 +4,6 @@ from trendspark.functions.scalars import (  # noqa: F401
     epoch_ms_to_timestamp,
     kda_adjusted,
     kda_strict,
-    nullif_empty,
     patch_from_version,
     per_minute,
     queue_name,

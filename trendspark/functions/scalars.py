@@ -64,10 +64,6 @@ def seconds_to_minutes(seconds: str | Column) -> Column:
     return col(seconds).cast("double") / F.lit(60.0)
 
 
-def nullif_empty(c: str | Column) -> Column:
-    return F.nullif(col(c), F.lit(""))
-
-
 def kda_strict(kills: str | Column, deaths: str | Column, assists: str | Column) -> Column:
     """(kills + assists) / deaths, null when deaths is 0 or null."""
     return safe_divide(col(kills) + col(assists), F.nullif(col(deaths), F.lit(0)))
@@ -84,17 +80,14 @@ def win_label(is_win: str | Column) -> Column:
 
 
 def split_identifier(text: str | Column) -> tuple[Column, Column, Column]:
-    """Split 'name#tag' at the first '#', trimming both parts.
+    """Split 'name#tag' at the first '#', trimming all white space from both parts.
 
     Returns (name, tag, is_valid); invalid when '#' is missing or either part is empty.
     """
     t = col(text)
     has_hash = F.instr(t, "#") > 0
-    name = F.trim(F.substring_index(t, "#", 1))
-    tag = F.trim(F.regexp_extract(t, r"^[^#]*#(.*)$", 1))
+    edges = r"(?U)^\s+|\s+$"
+    name = F.regexp_replace(F.substring_index(t, "#", 1), edges, "")
+    tag = F.regexp_replace(F.regexp_extract(t, r"(?s)^[^#]*#(.*)$", 1), edges, "")
     valid = F.coalesce(has_hash & (F.length(name) > 0) & (F.length(tag) > 0), F.lit(False))
     return (F.when(valid, name), F.when(valid, tag), valid)
-
-
-def round_doubles(columns: Iterable[str], digits: int = 6) -> dict[str, Column]:
-    return {c: F.round(F.col(c), digits) for c in columns}

@@ -1,23 +1,28 @@
 """Nested match / profile documents -> the six flat raw tables.
 
-Documents are parsed once (``spark.read.schema(MATCH_DOCUMENT).json``) and every
-raw table is a projection of the same frame: explode participants, explode teams,
+``flatten_documents`` parses each landed document once, stores the parse, and makes
+every raw table a projection of it: explode participants, explode teams,
 explode teams then bans. Missing keys become null; the count columns listed in
 ``PARTICIPANT_COUNT_DEFAULTS`` become 0, like the extraction defaults.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.config import PARTICIPANT_COUNT_DEFAULTS
-from trendspark.sources.schemas import PARTICIPANT_FIELDS
+from trendspark.session import materialize
+from trendspark.sources.io import REJECT_SCHEMA, empty_frame, parse_lines
+from trendspark.sources.schemas import (
+    ACCOUNT_DOCUMENT, MASTERY_DOCUMENT, MATCH_DOCUMENT, PARTICIPANT_FIELDS, SUMMONER_DOCUMENT)
 
 
 def _stamp(extracted_at: str | Column | None) -> Column:
     if extracted_at is None:
-        return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        extracted_at = datetime.now(timezone.utc).isoformat(timespec="microseconds")
     return F.lit(extracted_at) if isinstance(extracted_at, str) else extracted_at
 
 
@@ -146,10 +151,36 @@ def static_champion_rows(doc: DataFrame, version: str | Column | None = None) ->
 
 
 def flatten_matches(docs: DataFrame, extracted_at: str | Column | None = None) -> dict[str, DataFrame]:
-    """Fan one parsed document set out to the four match raw tables."""
+    """Fan one parsed document set out to the four match raw tables, with one stamp."""
+    extracted_at = extracted_at or datetime.now(timezone.utc).isoformat(timespec="microseconds")
     return {
         "raw_matches": match_rows(docs, extracted_at),
         "raw_match_participants": participant_rows(docs, extracted_at),
         "raw_match_teams": team_rows(docs, extracted_at),
         "raw_match_bans": ban_rows(docs, extracted_at),
     }
+
+
+def flatten_documents(spark: SparkSession, lines: dict[str, DataFrame], platform: str,
+                      extracted_at: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Landed documents (a ``value`` column of JSON per kind) -> the six raw tables and the rejects.
+
+    Kinds are ``match``, ``account``, ``summoner`` and ``mastery`` (one entry per line);
+    missing kinds give empty tables. Each kind is parsed once into a stored table; the
+    whole load carries one UTC stamp. Rejects have line, reason, file and kind.
+    """
+    stamp = extracted_at or datetime.now(timezone.utc).isoformat(timespec="microseconds")
+    schemas = {"match": MATCH_DOCUMENT, "account": ACCOUNT_DOCUMENT,
+               "summoner": SUMMONER_DOCUMENT, "mastery": MASTERY_DOCUMENT}
+    parsed, rejects = {}, empty_frame(spark, REJECT_SCHEMA).withColumn("kind", F.lit("").cast("string"))
+    for kind, schema in schemas.items():
+        if kind not in lines:
+            parsed[kind] = empty_frame(spark, schema)
+            continue
+        good, bad = parse_lines(lines[kind], schema)
+        parsed[kind] = materialize(good.select(*schema.fieldNames()), f"documents-{kind}")
+        rejects = rejects.unionByName(bad.withColumn("kind", F.lit(kind)))
+    tables = flatten_matches(parsed["match"], stamp)
+    tables["raw_summoners"] = summoner_rows(parsed["account"], parsed["summoner"], platform, stamp)
+    tables["raw_champion_mastery"] = mastery_rows(parsed["mastery"], stamp)
+    return tables, rejects

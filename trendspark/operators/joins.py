@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, semi / anti joins, null-safe equi joins."""
+"""Join helpers: size-checked broadcast and null-safe equi joins."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default ceiling for an explicit broadcast: the build side must be proven smaller.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of ``df`` (from file sizes / statistics, no job run)."""
     try:
@@ -20,13 +16,20 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimated size is under ``limit_bytes``.
+def session_limit(df: DataFrame) -> int:
+    """The session's own broadcast threshold in bytes (negative: never broadcast)."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
+    """Hint a broadcast only when the estimated size is under the session's threshold
+    (or ``limit_bytes``).
 
     Otherwise the frame is returned unchanged and the planner keeps a shuffle join
     (sort-merge, with AQE able to split skewed partitions).
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit_bytes else df
+    limit = session_limit(df) if limit_bytes is None else limit_bytes
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
 def null_free_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,18 +38,6 @@ def null_free_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).where(cond)
 
 
-def semi_join(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key exists in ``keys_df`` (EXISTS)."""
-    right = broadcast_if_small(keys_df.select(*keys).distinct())
-    return df.join(right, on=keys, how="left_semi")
-
-
-def anti_join(df: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key does not exist in ``keys_df`` (NOT EXISTS)."""
-    right = broadcast_if_small(keys_df.select(*keys).distinct())
-    return df.join(right, on=keys, how="left_anti")
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join where null keys match each other (``<=>``); keys appear once."""
     r = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])

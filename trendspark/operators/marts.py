@@ -14,6 +14,7 @@ from trendspark.operators.baseline import match_deltas
 from trendspark.operators.joins import broadcast_if_small
 from trendspark.operators.sequence import sequence
 from trendspark.operators.trends import rolling_trends
+from trendspark.session import materialize
 
 def match_order():
     """Match order inside a player: start time, then match id (nulls last)."""
@@ -96,14 +97,15 @@ def champion_meta(appearances: DataFrame, champions: DataFrame) -> DataFrame:
     """
     keys = ["patch", "queue_id"]
     # Level 1: one row per (patch, queue, champion, match) - a partial aggregate, so
-    # a hot champion or match collapses before the shuffle. Both outputs below read
-    # it, so the appearances join is computed once.
-    per_match = (appearances
+    # a hot champion or match collapses before the shuffle. It is written once, because
+    # both branches below read it (with different columns) and the join is not repeated.
+    per_match = materialize(appearances
                  .groupBy(*keys, "champion_id", "match_id")
                  .agg(F.max(F.col("was_picked").cast("int")).alias("_p"),
                       F.max(F.col("was_banned").cast("int")).alias("_b"),
                       F.count(F.when(F.col("was_picked") & F.col("is_win"), F.lit(1))).alias("_w"),
-                      F.count(F.when(F.col("was_picked") & ~F.col("is_win"), F.lit(1))).alias("_l")))
+                      F.count(F.when(F.col("was_picked") & ~F.col("is_win"), F.lit(1))).alias("_l")),
+        "champion-matches")
     match_counts = (per_match.select(*keys, "match_id").distinct()
                     .groupBy(*keys).agg(F.count(F.lit(1)).alias("matches_on_patch")))
     flagged = (per_match.groupBy(*keys, "champion_id")
@@ -111,9 +113,8 @@ def champion_meta(appearances: DataFrame, champions: DataFrame) -> DataFrame:
                     F.sum("_b").cast("long").alias("matches_banned"),
                     F.sum("_w").cast("long").alias("wins"),
                     F.sum("_l").cast("long").alias("losses")))
-    agg = flagged
     dim = broadcast_if_small(champions.select("champion_id", "champion_name", "primary_role"))
-    joined = (agg.join(match_counts, keys, "inner")
+    joined = (flagged.join(match_counts, keys, "inner")
               .join(dim, "champion_id", "left"))
     total = F.nullif(F.col("matches_on_patch"), F.lit(0))
     return joined.select(

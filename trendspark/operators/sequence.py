@@ -38,9 +38,6 @@ def _sort_expr(c: str | Column) -> Column:
 
 # Default rows of one group a single task may hold before it is split.
 DEFAULT_CHUNK_ROWS = 1_000_000
-# Hot keys are broadcast to split the input; their number is measured first and
-# bounded by rows / chunk_rows. Above this count everything takes the range path.
-MAX_BROADCAST_HOT_KEYS = 1_000_000
 
 
 def range_number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
@@ -92,15 +89,10 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
     if stats is None or stats["largest"] is None or stats["n_hot"] == 0:
         sizes.unpersist()
         return window_number_rows(df, keys, order, out=out, total_out=total_out)
-    n_hot = stats["n_hot"]
-    # Written once, then broadcast: its size is the measured count above.
+    # Written once, so its size is known; broadcast only under the session's threshold.
     hot = materialize(sizes.where(F.col("_size") > F.lit(chunk_rows)).select(*keys), f"{label}-hot")
     sizes.unpersist()
-    if n_hot > MAX_BROADCAST_HOT_KEYS:
-        return range_number_rows(df, keys, order, out=out, total_out=total_out,
-                                 partitions=partitions, label=label)
-    # The hot key list is small by construction (<= rows / chunk_rows, measured above).
-    hot_keys = F.broadcast(hot)
+    hot_keys = broadcast_if_small(hot)
     cold = window_number_rows(join_null_safe_semi(df, hot_keys, keys, anti=True), keys, order,
                               out=out, total_out=total_out)
     warm = range_number_rows(join_null_safe_semi(df, hot_keys, keys, anti=False), keys, order,
@@ -118,7 +110,7 @@ def join_null_safe_semi(df: DataFrame, keys_df: DataFrame, keys: list[str], anti
 
 def window_number_rows(df: DataFrame, keys: list[str], order: list[str | Column], *,
                        out: str = "seq", total_out: str | None = None) -> DataFrame:
-    """Reference form with a plain window (one task per entity); used by tests."""
+    """Plain windows, one task per entity: the path when no group exceeds one chunk."""
     w = Window.partitionBy(*keys).orderBy(*[_sort_expr(o) for o in order])
     res = df.withColumn(out, F.row_number().over(w).cast("long"))
     if total_out:

@@ -22,7 +22,7 @@ def select_metrics(requested: Sequence[str] | None = None) -> list[str]:
 
     Default: the first six catalogue metrics.
     """
-    catalogue = [m for m, _, _ in VIEW_METRICS]
+    catalogue = list(VIEW_METRICS)
     if requested is None:
         return catalogue[:6]
     wanted = set(requested)
@@ -93,10 +93,27 @@ def range_options(totals: DataFrame, total_col: str = "total") -> DataFrame:
             .where(F.col("range_n") < F.col(total_col)))
 
 
-def last_n(rows: DataFrame, n: int, seq: str = "seq", total: str = "total") -> DataFrame:
-    """The last ``n`` rows of each view. Sequences are gapless 1..total, so this is a
-    filter on the finished mart - nothing is recomputed and nothing is sorted."""
-    return rows.where(F.col(seq) > F.col(total) - F.lit(n))
+def last_n(rows: DataFrame, n: int, keys: Sequence[str] = ("puuid", "view"),
+           order: Sequence[str] = ("seq", "match_sequence_number")) -> DataFrame:
+    """The last ``n`` rows of each view, taken after the rolling calculation.
+
+    A view groups by label while sequences count per id, so rows are ranked within the
+    view (newest first) rather than compared with a count; the rank limit is applied in
+    each task before the shuffle.
+    """
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return rows.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).drop("_rank")
+
+
+def range_points(points: DataFrame, ranges: Sequence[int] = RANGE_OPTIONS,
+                 keys: Sequence[str] = ("puuid", "view", "metric")) -> DataFrame:
+    """Points of each chosen range: the last N points of every series (``range_n`` = N),
+    and all of them (``range_n`` = 0). Nulls are out already, so N counts drawn points."""
+    newest = Window.partitionBy(*keys).orderBy(F.desc("x"), F.desc_nulls_last("raw"), F.desc_nulls_last("roll"))
+    options = F.array(F.lit(0), *[F.lit(n) for n in ranges])
+    return (points.withColumn("_rank", F.row_number().over(newest))
+            .withColumn("range_n", F.explode(F.filter(options, lambda n: (n == 0) | (F.col("_rank") <= n))))
+            .drop("_rank"))
 
 
 def with_totals(rows: DataFrame, keys: Sequence[str] = ("puuid", "view")) -> DataFrame:

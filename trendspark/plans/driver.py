@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +20,7 @@ from trendspark.operators.baseline import match_deltas
 from trendspark.operators.sequence import number_rows, sequence
 from trendspark.operators.trends import rolling_trends
 from trendspark.plans import models, standins
+from trendspark.session import discard, materialize
 from trendspark.sources.upsert import upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,7 +32,7 @@ def _snap_round(c, snap: float, unit: float):
 
 
 def stable_round(c):
-    """Report a double with about 9 significant digits, identically in any engine.
+    """Report a double with a fixed number of decimals by size, identically in any engine.
 
     Two engines may sum a window in different orders and differ in the last bits;
     snapping to a finer grid first makes exact ties (x/128 and similar) round the
@@ -73,20 +73,26 @@ _CACHE: dict[tuple, object] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    return (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), _stamp(spark, sf_dir), what)
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the tables, so tables rewritten in place are read anew."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path)))
 
 
 def staged(spark: SparkSession, sf_dir: str) -> models.Staged:
     """Staged match tables over the stand-in raw tables.
 
     The raw tables play the part of the landed raw data the models read. They are
-    derived from the driver tables once per session and persisted (memory, then
-    disk); a lost block is recomputed from its lineage.
+    derived from the driver tables once per session and written to the shared folder,
+    so the models' filters and columns are pushed into their scans.
     """
     k = _key(spark, sf_dir, "staged")
     if k not in _CACHE:
-        keep = StorageLevel.MEMORY_AND_DISK
-        lines = standins.lines_with_team(spark, sf_dir).persist(keep)
+        lines = materialize(standins.lines_with_team(spark, sf_dir), "lines")
         raw = {
             "raw_matches": standins.raw_matches(spark, sf_dir),
             "raw_match_participants": standins.raw_participants(spark, sf_dir, lines),
@@ -95,8 +101,9 @@ def staged(spark: SparkSession, sf_dir: str) -> models.Staged:
             "raw_summoners": standins.raw_summoners(spark, sf_dir),
             "raw_champion_mastery": standins.raw_mastery(spark, sf_dir, lines),
         }
-        raw = {name: df.persist(keep) for name, df in raw.items()}
-        seed = standins.seed_champions(spark, sf_dir).persist(keep)
+        raw = {name: materialize(df, name) for name, df in raw.items()}
+        seed = materialize(standins.seed_champions(spark, sf_dir), "seed")
+        discard(lines)
         _CACHE[k] = models.stage(raw, seed)
     return _CACHE[k]
 
@@ -106,17 +113,16 @@ def player_sequence_table(spark: SparkSession, sf_dir: str, cfg: TrendConfig = D
     k = _key(spark, sf_dir, f"seq-{cfg}")
     if k not in _CACHE:
         s = staged(spark, sf_dir)
-        pm = models.participant_metrics(s)
-        _CACHE[k] = marts.player_match_sequence(pm, standins.tracked_players(spark, sf_dir), cfg)
+        _CACHE[k] = marts.player_match_sequence(pm_mart(spark, sf_dir), standins.tracked_players(spark, sf_dir), cfg)
     return _CACHE[k]
 
 
 def _mart(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A mart built once per session and data folder and persisted (memory, then
-    disk), as the models store their marts as tables; views and checks read it."""
+    """A mart built once per session and data folder and written to the shared folder,
+    as the models store their marts as tables; views and checks read it."""
     k = _key(spark, sf_dir, f"mart-{name}")
     if k not in _CACHE:
-        _CACHE[k] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        _CACHE[k] = materialize(build(), f"mart-{name}")
     return _CACHE[k]
 
 
@@ -259,10 +265,10 @@ def q_champion_appearances(spark, sf):
 
 @query("champion_meta")
 def q_champion_meta(spark, sf):
-    """A5-A7, N8, N9, F15, F5, F4."""
+    """A5-A7, N8, N9, F15, F5, F4; the dimension lacks some champions, whose names are null."""
     s = staged(spark, sf)
     return marts.champion_meta(marts.champion_appearances(s.participants, s.bans, s.matches),
-                               s.champions)
+                               s.champions.where("champion_id % 10 <> 3"))
 
 
 # ------------------------------------------------------------- sequences (W, U2)
@@ -381,9 +387,18 @@ def q_turn_explode(spark, sf):
 
 @query("split_identifier")
 def q_split_identifier(spark, sf):
-    """'name#tag' split at the first '#', trimmed, invalid when a part is empty."""
+    """'name#tag' split at the first '#', trimmed, invalid when a part is empty.
+
+    Of five customers in a row one lacks the '#', one the name, one the tag, and one has
+    white space around both parts."""
     c = spark.read.parquet(f"{sf}/customer.parquet")
-    name, tag, ok = scalars.split_identifier("c_name")
+    kind = F.col("c_custkey") % 5
+    text = (F.when(kind == 0, F.translate("c_name", "#", "")).when(kind == 1, F.concat(F.lit(" \t#"), "c_name"))
+            .when(kind == 2, F.concat("c_name", F.lit("\n")))
+            .when(kind == 3, F.regexp_replace("c_name", "#.*$", "#\t "))
+            .otherwise(F.concat(F.lit("\t "), F.regexp_replace("c_name", "#", " #\n"), F.lit(" \t"))))
+    c = c.withColumn("text", text)
+    name, tag, ok = scalars.split_identifier("text")
     return c.select("c_custkey", name.alias("id_name"), tag.alias("id_tag"), ok.alias("id_valid"))
 
 
@@ -424,23 +439,26 @@ def q_keyed_upsert(spark, sf):
 
 
 def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    v1 = standins.seed_champions(spark, sf, size_max=25, version="1")
-    v2 = standins.seed_champions(spark, sf, version="2")
+    """Three runs: brands ending in 1 come later, brands ending in 2 leave and return."""
+    every = standins.seed_champions(spark, sf, version="2")
+    v1 = standins.seed_champions(spark, sf, size_max=25, version="1").where("champion_id % 10 <> 1")
+    v2 = every.where("champion_id % 10 <> 2")
     key, checks = "champion_id", ["primary_role", "secondary_role", "resource_type",
                                   "champion_name", "champion_title"]
-    snap = scd2.scd2_merge(None, v1, key, checks, "1995-01-01 00:00:00")
-    return scd2.scd2_merge(snap, v2, key, checks, "1998-01-01 00:00:00")
+    snap = scd2.scd2_merge(None, v1, key, checks, "1996-03-01 00:00:00")
+    snap = scd2.scd2_merge(snap, v2, key, checks, "1998-01-01 00:00:00")
+    return scd2.scd2_merge(snap, every, key, checks, "1999-06-01 00:00:00")
 
 
 @query("scd2_merge")
 def q_scd2_merge(spark, sf):
-    """Two snapshot runs (parts up to size 25, then all parts) of the champion seed."""
+    """Three snapshot runs with new, changed, unchanged, deleted and returning champions."""
     return _snapshots(spark, sf)
 
 
 @query("scd2_asof")
 def q_scd2_asof(spark, sf):
-    """Participants joined to the champion version valid at match start."""
+    """Participants joined to the champion version valid at match start (null before the first)."""
     s = staged(spark, sf)
     facts = s.participants.join(s.matches.select("match_id", "game_start_at"), "match_id")
     facts = facts.select("participant_key", "champion_id", "game_start_at")
@@ -507,17 +525,19 @@ def q_dq_group_size(spark, sf):
 
 @query("dq_negative")
 def q_dq_negative(spark, sf):
-    """Q8: negative counts in the performance fact."""
-    perf = perf_mart(spark, sf)
+    """Q8 on the performance fact with deaths taken off the kills."""
+    perf = _broken(spark, sf)["negative"]
     return _dq(perf, quality.no_negative(perf, ["kills", "deaths", "assists", "gold_earned",
                                                "creep_score", "vision_score"]))
 
 
 @query("dq_shares_sum")
 def q_dq_shares_sum(spark, sf):
-    """Q9: damage shares of full (2-participant) teams sum to 1."""
-    pm = pm_mart(spark, sf)
-    return _dq(pm, quality.shares_sum_to_one(pm, "damage_share", group_rows=2))
+    """Q9 on the performance fact: shares of full (2-participant) teams; one region's are scaled."""
+    perf = perf_mart(spark, sf)
+    share = F.when(F.col("team_id") == 0, F.col("damage_share") * 1.5).otherwise(F.col("damage_share"))
+    perf = perf.withColumn("damage_share", share)
+    return _dq(perf, quality.shares_sum_to_one(perf, "damage_share", group_rows=2))
 
 
 @query("dq_baseline_excludes_current")
@@ -529,38 +549,77 @@ def q_dq_baseline_excl(spark, sf):
 
 @query("dq_first_no_baseline")
 def q_dq_first_no_baseline(spark, sf):
-    """Q11."""
-    d = deltas_mart(spark, sf)
+    """Q11 on deltas whose sequence is shifted, so second matches pose as first ones."""
+    d = _broken(spark, sf)["shifted"]
     return _dq(d, quality.first_has_no_baseline(d))
 
 
 @query("dq_gapless")
 def q_dq_gapless(spark, sf):
-    """Q12/A10: champion sequences run 1..n."""
-    t = champion_mart(spark, sf)
+    """Q12/A10: champion sequences run 1..n; those of every fifth champion start at 2."""
+    step = F.when(F.col("champion_id") % 5 == 0, 1).otherwise(0)
+    t = champion_mart(spark, sf).withColumn(
+        "champion_match_sequence_number", F.col("champion_match_sequence_number") + step)
     return _dq(t, quality.sequences_gapless(t, ["puuid", "champion_id"], "champion_match_sequence_number"))
 
 
 @query("dq_window_bound")
 def q_dq_window_bound(spark, sf):
-    """Q13: a champion window never spans more games than the champion has."""
-    t = champion_mart(spark, sf)
+    """Q13 on windows counted one too wide."""
+    t = _broken(spark, sf)["wide"]
     return _dq(t, quality.window_within_group(t))
 
 
 @query("dq_trend_coverage")
 def q_dq_trend_coverage(spark, sf):
-    """Trend rows (union distinct) all present in the performance fact."""
-    perf = perf_mart(spark, sf)
+    """Trend rows (union distinct) against a fact that lost its lost matches."""
+    perf = _broken(spark, sf)["winners"]
     rt, ct = rolling_mart(spark, sf), champion_mart(spark, sf)
     return _dq(rt, quality.covered_by([rt, ct], perf, "participant_key"))
 
 
 @query("orphan_anti")
 def q_orphan_anti(spark, sf):
-    """Bans whose match is missing from the matches table (relationships)."""
-    s = staged(spark, sf)
-    return _dq(s.bans, quality.relationships(s.bans, "match_id", s.matches, "match_id"))
+    """Bans whose match is missing from the matches table (relationships);
+    every seventh champion's bans name a match that does not exist."""
+    bans = _broken(spark, sf)["orphans"]
+    return _dq(bans, quality.relationships(bans, "match_id", staged(spark, sf).matches, "match_id"))
+
+
+def _broken(spark, sf) -> dict[str, DataFrame]:
+    """Tables that break a rule on purpose, so that the checks have something to find."""
+    perf, s = perf_mart(spark, sf), staged(spark, sf)
+    orphan = F.when(F.col("champion_id") % 7 == 0, -F.col("match_id")).otherwise(F.col("match_id"))
+    return {
+        "negative": perf.withColumn("kills", F.col("kills") - F.col("deaths")),
+        "shifted": deltas_mart(spark, sf).withColumn("match_sequence_number", F.col("match_sequence_number") - 1),
+        "wide": champion_mart(spark, sf).withColumn("matches_in_window", F.col("matches_in_window") + 1),
+        "winners": perf.where("is_win"),
+        "orphans": s.bans.withColumn("match_id", orphan),
+    }
+
+
+@query("dq_failing_rows")
+def q_dq_failing_rows(spark, sf):
+    """Q1, Q6, Q8, Q11, Q13, Q14: the failing rows themselves, by check and key."""
+    b, s = _broken(spark, sf), staged(spark, sf)
+    rt, ct = rolling_mart(spark, sf), champion_mart(spark, sf)
+    found = {
+        "not_null": quality.not_null(s.summoners, "riot_id").select(F.col("puuid").cast("string").alias("k")),
+        "relationships": quality.relationships(b["orphans"], "match_id", s.matches, "match_id").select(
+            F.concat_ws("-", "match_id", "team_id", "champion_id", "pick_turn").alias("k")),
+        "no_negative": quality.no_negative(b["negative"], ["kills", "deaths"]).select(F.col("participant_key").alias("k")),
+        "first_has_no_baseline": quality.first_has_no_baseline(b["shifted"]).select(
+            F.concat_ws("-", "participant_key", "metric_name").alias("k")),
+        "window_within_group": quality.window_within_group(b["wide"]).select(F.col("participant_key").alias("k")),
+        "covered_by": quality.covered_by([rt, ct], b["winners"], "participant_key").select(
+            F.col("participant_key").alias("k")),
+    }
+    rows = [df.select(F.lit(name).alias("check_name"), F.col("k").alias("failing_key")) for name, df in found.items()]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 # ------------------------------------------------------------------ views (V, O)
@@ -617,9 +676,10 @@ def q_range_summary(spark, sf):
 
 @query("axis_bounds")
 def q_axis_bounds(spark, sf):
-    """V7: padded axis bounds per series."""
+    """V7: padded axis bounds per series and chosen range (0: all points)."""
     rows, metrics = _trend_rows(spark, sf)
-    return views.axis_bounds(views.series_points(rows, metrics))
+    points = views.range_points(views.series_points(rows, metrics))
+    return views.axis_bounds(points, ["puuid", "view", "metric", "range_n"])
 
 
 @query("latest_value")
@@ -643,9 +703,3 @@ def q_player_labels(spark, sf):
     players = players_mart(spark, sf)
     return views.display_label(players.select("puuid", "matches_extracted"), players).select(
         "puuid", "label")
-
-
-def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
-
-

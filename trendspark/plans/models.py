@@ -1,17 +1,22 @@
 """The model graph as function composition: raw -> staging -> intermediate -> marts.
 
-``build`` returns lazily defined DataFrames except for the player sequence, which is
-materialised once (it feeds three marts; see ``operators.sequence``).
+``build`` stores two intermediates while it runs, because several marts read them: the
+participant metrics and the player sequence (``operators.sequence``). The marts
+themselves are lazily defined.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
-from trendspark.operators import marts, metrics, staging
+from trendspark.operators import marts, metrics, scd2, staging
+from trendspark.session import materialize
+from trendspark.sources.upsert import VersionedTable
 
 
 @dataclass
@@ -45,7 +50,7 @@ def participant_metrics(s: Staged) -> DataFrame:
 def build(s: Staged, tracked: DataFrame | None = None, cfg: TrendConfig = DEFAULT) -> dict[str, DataFrame]:
     """All marts. ``tracked`` defaults to the staged summoners."""
     tracked = tracked if tracked is not None else s.summoners.select("puuid")
-    pm = participant_metrics(s)
+    pm = materialize(participant_metrics(s), "participant-metrics")
     players = marts.dim_players(s.summoners, s.mastery, pm)
     seq = marts.player_match_sequence(pm, tracked, cfg)
     appearances = marts.champion_appearances(s.participants, s.bans, s.matches)
@@ -86,13 +91,39 @@ def build_from_landing(spark, landing_root: str, seed_path: str, out_root: str |
                        cfg: TrendConfig = DEFAULT) -> dict[str, DataFrame]:
     """Landed JSON Lines (``<landing_root>/<raw table>/``) and the seed CSV -> all marts.
 
-    A raw table with nothing landed reads as an empty typed table. With ``out_root``
-    the stored marts are also written there (full rebuild).
+    The files of a raw table are upserted in landing order by its natural key, so a batch
+    landed twice counts once. A raw table with nothing landed reads as an empty typed
+    table. Each raw table is parsed once and written to the shared folder. With
+    ``out_root`` the marts are also stored there (full rebuild), the snapshot of the
+    champions is merged with the stored one, and the lines that did not fit a schema are
+    stored under ``rejects/<raw table>`` with their reasons.
     """
-    from trendspark.sources.io import read_raw, read_seed
+    from trendspark.sources.io import read_raw, read_rejects, read_seed, write_table
     from trendspark.sources.schemas import RAW_TABLES
-    raw = {t: read_raw(spark, landing_root, t) for t in RAW_TABLES}
+    raw = {t: materialize(read_raw(spark, landing_root, t), t) for t in RAW_TABLES}
     built = build(stage(raw, read_seed(spark, seed_path)), cfg=cfg)
     if out_root:
         write_marts(built, out_root)
+        update_snapshot(spark, out_root, built["dim_champions"])
+        for t in RAW_TABLES:
+            write_table(read_rejects(spark, landing_root, t), f"{out_root.rstrip('/')}/rejects/{t}")
     return built
+
+
+SNAPSHOT = "snp_champion_balance"
+
+
+def update_snapshot(spark, out_root: str, champions: DataFrame, now: str | None = None) -> DataFrame:
+    """Merge today's champions into the stored type-2 history and publish it as a new version.
+
+    The first run opens a row per champion; later runs close changed rows and open new
+    ones. A run that changes nothing publishes the same history.
+    """
+    table = VersionedTable(spark, f"{out_root.rstrip('/')}/{SNAPSHOT}")
+    base = table.manifest()
+    checked = [c for c in champions.columns if c != "champion_id"]
+    stamp = F.lit(now).cast("timestamp") if now else F.lit(datetime.now(timezone.utc).isoformat()).cast("timestamp")
+    merged = scd2.scd2_merge(table.read(base["version"]) if base else None, champions, "champion_id", checked, stamp)
+    table.commit(merged, ["champion_id"], base)
+    table.expire()
+    return table.read()

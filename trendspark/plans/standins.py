@@ -67,7 +67,9 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines_with_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the supplier's region (team) and the part's brand number."""
-    li = _t(spark, sf_dir, "lineitem")
+    li = _t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     sup = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = broadcast_if_small(_t(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
     teams = sup.join(nat, sup["s_nationkey"] == nat["n_nationkey"]).select(

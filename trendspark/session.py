@@ -9,6 +9,7 @@ session; a private folder is set only when it is unset (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -59,7 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.conf.get(_CHECKPOINT_KEY, None)
     if not configured:
-        # Only reached when nobody configured a shared folder: local mode / tests.
+        # A folder of this machine is right only where driver and tasks share one process.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="trendspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -78,5 +81,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a materialised table that nothing reads any more."""
+    spark = df.sparkSession
+    root = f"{ensure_checkpoint_dir(spark)}/tables/"
+    jvm = spark.sparkContext._jvm
+    for name in {f.split("/tables/", 1)[1].split("/", 1)[0] for f in df.inputFiles() if "/tables/" in f}:
+        path = jvm.org.apache.hadoop.fs.Path(root + name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -5,14 +5,15 @@ All readers take a declared schema; nothing is inferred at read time.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.sources.schemas import RAW_TABLES, SEED_CHAMPIONS
+from trendspark.sources.schemas import RAW_TABLES, SEED_CHAMPIONS, TABLE_KEYS
+from trendspark.sources.upsert import newest_per_key
 
 CORRUPT = "_corrupt_record"
+REJECT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("line", "reason", "file")])
 
 
 def _path_has_data(spark: SparkSession, path: str) -> bool:
@@ -30,36 +31,56 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Lines (column ``value``) -> rows that fit the schema, and rejects with a reason.
+
+    Each line is parsed in one expression with all declared fields, so which lines fit
+    does not depend on the columns read later. Blank lines are neither. Other columns of
+    ``lines`` are kept with the rows; the rejects have line, reason and file.
+    """
+    others = [c for c in lines.columns if c != "value"]
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = (lines.where(F.trim("value") != "")
+              .withColumn("_row", F.from_json("value", full, options)))
+    bad = F.col(f"_row.{CORRUPT}").isNotNull() | F.col("_row").isNull()
+    good = parsed.where(~bad).select(*[F.col(f"_row.`{f.name}`").alias(f.name) for f in schema.fields], *others)
+    is_object = F.from_json("value", "map<string,string>").isNotNull()
+    rejects = parsed.where(bad).select(
+        F.col("value").alias("line"),
+        F.when(is_object, "a field does not fit its type").otherwise("not a JSON object").alias("reason"),
+        (F.col("_file") if "_file" in others else F.lit(None).cast("string")).alias("file"))
+    return good, rejects
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
-               with_rejects: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+               with_rejects: bool = False, with_file: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Newline-delimited JSON scan with a declared schema.
 
-    A missing or empty path yields an empty typed frame. Unreadable lines are kept
-    out of the result; with ``with_rejects`` they are returned as a second frame.
+    A missing or empty path yields an empty typed frame. Lines that do not fit are kept
+    out of the result; with ``with_rejects`` they are returned as a second frame (line,
+    reason, file). ``with_file`` adds ``_landed`` and ``_file``, which order landed files.
     """
+    landed = [T.StructField("_landed", T.TimestampType()), T.StructField("_file", T.StringType())]
     if not _path_has_data(spark, path):
-        good = empty_frame(spark, schema)
-        if with_rejects:
-            return good, empty_frame(spark, T.StructType([T.StructField(CORRUPT, T.StringType())]))
-        return good
-    read_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.schema(read_schema)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .json(path))
-    if with_rejects:
-        # Both outputs read the parse once; Spark also requires a persisted parse to
-        # query the corrupt-record column on its own.
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    if with_rejects:
-        return good, raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-    return good
+        good = empty_frame(spark, T.StructType([*schema.fields, *(landed if with_file else [])]))
+        return (good, empty_frame(spark, REJECT_SCHEMA)) if with_rejects else good
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_modification_time").alias("_landed"), F.col("_metadata.file_path").alias("_file"))
+    good, rejects = parse_lines(lines, schema)
+    good = good if with_file else good.drop("_landed", "_file")
+    return (good, rejects) if with_rejects else good
 
 
 def read_raw(spark: SparkSession, landing_root: str, table: str) -> DataFrame:
-    """One landed raw table (``<root>/<table>``) with its declared schema."""
-    return read_jsonl(spark, f"{landing_root.rstrip('/')}/{table}", RAW_TABLES[table])
+    """One landed raw table (``<root>/<table>``): its files upserted in landing order by key."""
+    rows = read_jsonl(spark, f"{landing_root.rstrip('/')}/{table}", RAW_TABLES[table], with_file=True)
+    return newest_per_key(rows, TABLE_KEYS[table], ["_landed", "_file"]).drop("_landed", "_file")
+
+
+def read_rejects(spark: SparkSession, landing_root: str, table: str) -> DataFrame:
+    """The lines of a landed raw table that do not fit its schema."""
+    return read_jsonl(spark, f"{landing_root.rstrip('/')}/{table}", RAW_TABLES[table], with_rejects=True)[1]
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -78,19 +99,14 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType = SEED_CHAMPI
 
 
 def write_seed(df: DataFrame, path: str, order_by: str = "champion_id") -> None:
-    """CSV with header, rows ordered by id (a reference table is small by nature)."""
-    (df.orderBy(order_by).coalesce(1).write.mode("overwrite")
+    """CSV with header; the files, read in name order, hold the rows in order of the id."""
+    (df.orderBy(order_by).write.mode("overwrite")
      .option("header", True).csv(path))
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full-rebuild materialisation of a mart as parquet."""
-    writer = df.write.mode("overwrite")
+    """Full-rebuild materialisation of a mart as parquet; old partitions go."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-
-
-def read_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """Parquet tables ``<root>/<name>.parquet``."""
-    return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}.parquet") for n in names}

@@ -1,47 +1,48 @@
 """Incremental ingest: landed JSON Lines -> keyed upsert, with Structured Streaming.
 
 Each micro-batch of newly landed files is upserted into a versioned table
-(``sources.upsert``). The upsert is idempotent, so a batch replayed after a failure
-(the file source and the checkpoint guarantee at-least-once delivery to
-``foreachBatch``) leaves the same table.
+(``sources.upsert``). Within a micro-batch the rows of a key's newest landed file win, so
+the table does not depend on how many files a trigger takes. The upsert is idempotent,
+so a batch replayed after a failure (the file source and the checkpoint guarantee
+at-least-once delivery to ``foreachBatch``) leaves the same table. Lines that do not fit
+the schema go to ``<table_root>-rejects`` with a reason, one folder per micro-batch.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trendspark.session import ensure_checkpoint_dir
-from trendspark.sources.io import CORRUPT
-from trendspark.sources.upsert import load_batch
+from trendspark.sources.io import parse_lines
+from trendspark.sources.upsert import load_batch, newest_per_key
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, table_root: str, schema: T.StructType,
                  keys: tuple[str, ...] | list[str], checkpoint_location: str | None = None,
-                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 available_now: bool = True, max_files_per_trigger: int | None = None,
+                 rejects_root: str | None = None) -> StreamingQuery:
     """Start a stream that upserts every new landed file batch into ``table_root``.
 
     ``available_now`` processes what has landed and stops (scheduled batch runs);
-    otherwise the query keeps running and picks up files as they arrive.
+    otherwise the query keeps running and picks up files as they arrive. The default
+    checkpoint lies beside the table, so a restarted application goes on from there.
     """
-    # Malformed lines land in the corrupt-record column and are dropped per batch
-    # (they never reach the table as all-null rows).
-    read_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    reader = (spark.readStream.schema(read_schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
+    table_root = table_root.rstrip("/")
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landing_dir)
-    location = checkpoint_location or os.path.join(
-        ensure_checkpoint_dir(spark), "streams", os.path.basename(table_root.rstrip("/")))
+    stream = reader.text(landing_dir).select(
+        "value", F.col("_metadata.file_modification_time").alias("_landed"), F.col("_metadata.file_path").alias("_file"))
+    location = checkpoint_location or f"{table_root}-checkpoint"
+    rejects = rejects_root or f"{table_root}-rejects"
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        load_batch(batch.sparkSession, table_root, good, keys)
+        good, bad = parse_lines(batch, schema)
+        newest = newest_per_key(good, keys, ["_landed", "_file"]).drop("_landed", "_file")
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{rejects}/batch={batch_id}")
+        load_batch(batch.sparkSession, table_root, newest, keys)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
