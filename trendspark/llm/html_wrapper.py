@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import Scratch, table
+from trendspark.llm.common import Scratch, fresh, table
 from trendspark.operators.joins import broadcast_if_small
 
 DEPTH = 100
@@ -324,8 +324,9 @@ def infer_wrappers(pages: DataFrame, host: str, page: str, scratch: Scratch) ->
 
 def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -> DataFrame:
     """(host, constants): paths with one text on all of enough pages, for body regions only."""
-    body = pages.join(broadcast_if_small(wrappers.where("region = ''").select(F.col("host").alias("h"))),
-                      F.col(host) == F.col("h")).select("h", F.col(page).cast("string").alias("p"))
+    bodies = broadcast_if_small(wrappers.where("region = ''").select(F.col("host").alias("h")))
+    body = (pages.select(F.col(host).alias("h"), F.col(page).cast("string").alias("p"))
+            .join(bodies, "h").select("h", "p"))
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,23 +354,24 @@ def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> Da
     """``pages`` with a string column ``out``, the main text of each page."""
     scratch = Scratch(pages.sparkSession, "wrappers")
     names, column = pages.columns, pages.columns.index(page)
-    hosted = pages.withColumn("__host", _host(url))
-    wrappers = infer_wrappers(hosted, "__host", page, scratch)
-    constants = scratch.keep(template_slots(hosted, "__host", page, wrappers), "constants")
+    host, region, fixed = fresh("host"), fresh("region"), fresh("fixed")
+    hosted = pages.withColumn(host, _host(url))
+    wrappers = infer_wrappers(hosted, host, page, scratch)
+    constants = scratch.keep(template_slots(hosted, host, page, wrappers), "constants")
     slots = (wrappers.join(constants, "host", "left")
-             .select(F.col("host").alias("__host"), F.col("region").alias("__region"),
-                     F.coalesce("constants", F.expr("cast(array() as array<string>)")).alias("__constants")))
-    joined = hosted.join(broadcast_if_small(scratch.keep(slots, "slots")), "__host", "left") \
-        .select(*names, "__region", "__constants")
+             .select(F.col("host").alias(host), F.col("region").alias(region),
+                     F.coalesce("constants", F.expr("cast(array() as array<string>)")).alias(fixed)))
+    joined = hosted.join(broadcast_if_small(scratch.keep(slots, "slots")), host, "left") \
+        .select(*names, region, fixed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
             last = batch.num_columns - 1
-            for body, region, fixed in zip(batch.column(column).to_pylist(), batch.column(last - 1).to_pylist(),
+            for body, where, skipped in zip(batch.column(column).to_pylist(), batch.column(last - 1).to_pylist(),
                                            batch.column(last).to_pylist()):
-                skip = set(fixed or ())
-                made.append("\n".join(t for p, t in page_blocks(body or "", region or "") if p not in skip))
+                skip = set(skipped or ())
+                made.append("\n".join(t for p, t in page_blocks(body or "", where or "") if p not in skip))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(made, pa.string())], names=[*names, out])
     return joined.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())]))
 

@@ -19,7 +19,7 @@ Everything is DataFrame or SQL functions. The templates are a small fixed list,
 vocabulary and weights are literals; document-side aggregates are combined before each shuffle.
 
 Defined cases: null and empty texts have no license of their own but may inherit; null
-parts of a path are left out of it; repeated rows repeat their result; a corpus without
+parts of a path are left out of it; a file without a path has no directory; repeated rows repeat their result; a corpus without
 licenses gives nulls.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.llm.common import Scratch, table
+from trendspark.operators.joins import join_null_safe
 
 MIN_COSINE = 0.6
 
@@ -129,7 +130,7 @@ def scan_licenses(files: DataFrame, path: str, text: str, templates: dict[str, s
     flat = F.translate(F.coalesce(body, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     size = F.size(F.filter(F.split(flat, "[^a-z0-9]+"), lambda w: w != ""))
     whole = scratch.keep(
-        distinct.select("path", "key", size.alias("words")).distinct().join(own, ["path", "key"], "left")
+        join_null_safe(distinct.select("path", "key", size.alias("words")).distinct(), own, ["path", "key"], "left")
         .withColumn("is_license_file", F.coalesce(F.col("licensed") * 2 >= F.col("words"), F.lit(False)))
         .withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")), "files")
     speaks = (whole.where("is_license_file").groupBy("dir").agg(
