@@ -133,6 +133,8 @@ def test_landing_twice_counts_once(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(out, "dim_players")).count() == 2
     assert spark.read.parquet(os.path.join(out, "rejects", "raw_matches")).count() == 1
     assert built["dim_champions"].count() == 3
+    checks = {(r["model"], r["check_name"]): r["rows_failing"] for r in spark.read.parquet(os.path.join(out, "checks")).collect()}
+    assert len(checks) > 90 and checks["raw_matches", "unique match_id"] == 0 and checks["stg_match_participants", "group_size"] == 0
     # the stored snapshot: unchanged on a second run, a changed champion opens a version
     from trendspark.plans.models import update_snapshot
     assert update_snapshot(spark, out, built["dim_champions"]).count() == 3

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.operators import flatten, views
-from trendspark.plans import driver, standins
+from trendspark.plans import driver, models, standins, suite
 from trendspark.plans.driver import query
 from trendspark.session import ensure_checkpoint_dir
 from trendspark.sources import io
@@ -231,9 +231,25 @@ def q_entity_mart_read(spark, sf):
 @query("staging_views")
 def q_staging_views(spark, sf):
     """Staging models as named views, read by SQL."""
-    s = driver.staged(spark, sf)
-    s.matches.createOrReplaceTempView("stg_matches")
-    s.teams.createOrReplaceTempView("stg_teams")
+    models.create_views(driver.staged(spark, sf))
     return spark.sql("""
         SELECT m.patch, count(*) AS n_teams, count_if(t.is_win) AS n_wins
-        FROM stg_matches m JOIN stg_teams t ON t.match_id = m.match_id GROUP BY m.patch""")
+        FROM stg_matches m JOIN stg_match_teams t ON t.match_id = m.match_id GROUP BY m.patch""")
+
+
+@query("dq_suite")
+def q_dq_suite(spark, sf):
+    """Q1-Q14: every declared check over the staging models, intermediates and marts."""
+    s = driver.staged(spark, sf)
+    tables = models.staging_models(s) | {
+        "int_match_team_totals": driver.q_team_totals(spark, sf),
+        "int_participant_metrics": driver.pm_mart(spark, sf),
+        "int_player_match_sequence": driver.player_sequence_table(spark, sf),
+        "int_champion_match_appearances": driver.q_champion_appearances(spark, sf),
+        "dim_champions": s.champions, "dim_players": driver.players_mart(spark, sf),
+        "dim_matches": driver.q_dim_matches(spark, sf), "fct_participant_performance": driver.perf_mart(spark, sf),
+        "fct_player_rolling_trends": driver.rolling_mart(spark, sf),
+        "fct_player_champion_trends": driver.champion_mart(spark, sf),
+        "fct_player_match_deltas": driver.deltas_mart(spark, sf), "fct_champion_meta": driver.q_champion_meta(spark, sf),
+    }
+    return suite.run_checks(tables)

@@ -42,6 +42,21 @@ def stage(raw: dict[str, DataFrame], seed: DataFrame) -> Staged:
     )
 
 
+def staging_models(s: Staged) -> dict[str, DataFrame]:
+    """The staged tables by the names of their models."""
+    return {"stg_matches": s.matches, "stg_match_participants": s.participants, "stg_match_teams": s.teams,
+            "stg_team_bans": s.bans, "stg_summoners": s.summoners, "stg_champion_mastery": s.mastery,
+            "stg_champions": s.champions}
+
+
+def create_views(s: Staged) -> list[str]:
+    """The staging models as named session views, for SQL."""
+    models = staging_models(s)
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)
+    return list(models)
+
+
 def participant_metrics(s: Staged) -> DataFrame:
     totals = metrics.team_totals(s.participants)
     return metrics.participant_metrics(s.participants, s.matches, totals)
@@ -95,15 +110,18 @@ def build_from_landing(spark, landing_root: str, seed_path: str, out_root: str |
     landed twice counts once. A raw table with nothing landed reads as an empty typed
     table. Each raw table is parsed once and written to the shared folder. With
     ``out_root`` the marts are also stored there (full rebuild), the snapshot of the
-    champions is merged with the stored one, and the lines that did not fit a schema are
-    stored under ``rejects/<raw table>`` with their reasons.
+    champions is merged with the stored one, the declared checks are run and stored under
+    ``checks``, and the lines that did not fit a schema under ``rejects/<raw table>``.
     """
+    from trendspark.plans.suite import run_checks
     from trendspark.sources.io import read_raw, read_rejects, read_seed, write_table
     from trendspark.sources.schemas import RAW_TABLES
     raw = {t: materialize(read_raw(spark, landing_root, t), t) for t in RAW_TABLES}
-    built = build(stage(raw, read_seed(spark, seed_path)), cfg=cfg)
+    staged = stage(raw, read_seed(spark, seed_path))
+    built = build(staged, cfg=cfg)
     if out_root:
         write_marts(built, out_root)
+        write_table(run_checks(raw | staging_models(staged) | built), f"{out_root.rstrip('/')}/checks")
         update_snapshot(spark, out_root, built["dim_champions"])
         for t in RAW_TABLES:
             write_table(read_rejects(spark, landing_root, t), f"{out_root.rstrip('/')}/rejects/{t}")

@@ -715,9 +715,60 @@ FROM (SELECT puuid, matches_extracted, riot_id FROM dim_players ORDER BY matches
     q["player_labels"] = _with(
         "SELECT puuid, coalesce(riot_id, substring(CAST(puuid AS VARCHAR), 1, 12)) AS label FROM dim_players")
     q |= _landing_sql()
+    meta_cte = ["known AS (SELECT * FROM dim_champions WHERE champion_id % 10 <> 3)", f"meta AS ({meta})"]
+    q["dq_suite"] = _with(_suite_sql(), *deltas_cte, rt_cte, ct_cte, *meta_cte)
     return q
 
 
+def _suite_sql() -> str:
+    """Failing rows of each declared check, counted one by one."""
+    from trendspark.plans.suite import CHECKS, check_label
+    at = {"stg_match_participants": "stg_participants", "stg_match_teams": "stg_teams", "stg_team_bans": "stg_bans",
+          "stg_champion_mastery": "stg_mastery", "stg_champions": "dim_champions", "int_match_team_totals": "team_totals",
+          "int_participant_metrics": "pm", "int_player_match_sequence": "seq",
+          "int_champion_match_appearances": "appearances", "fct_participant_performance": "perf",
+          "fct_player_rolling_trends": "rt", "fct_player_champion_trends": "ct", "fct_player_match_deltas": "deltas",
+          "fct_champion_meta": "meta"}
+    single = {
+        "baseline_excludes_current": "SELECT 1 FROM deltas WHERE baseline_match_count <> match_sequence_number - 1",
+        "first_has_no_baseline": "SELECT 1 FROM deltas WHERE match_sequence_number = 1 AND "
+                                 "coalesce(baseline_mean, z_score, delta_from_baseline) IS NOT NULL",
+        "sequences_gapless": "SELECT 1 FROM ct GROUP BY puuid, champion_id HAVING min(champion_match_sequence_number) <> 1 "
+                             "OR max(champion_match_sequence_number) <> count(*)",
+        "window_within_group": "SELECT 1 FROM ct WHERE matches_in_window > "
+                               "least(champion_match_sequence_number, player_champion_match_count)",
+        "group_size": "SELECT 1 FROM stg_participants GROUP BY match_id HAVING count(*) <> 10",
+        "no_negative": "SELECT 1 FROM perf WHERE least(kills, deaths, assists, creep_score, gold_earned, "
+                       "damage_to_champions, vision_score) < 0",
+        "shares_sum_to_one": "SELECT 1 FROM perf WHERE damage_share IS NOT NULL GROUP BY match_id, team_id "
+                             "HAVING count(*) = 5 AND abs(sum(damage_share) - 1) > 0.0001",
+        "covered_by": "SELECT 1 FROM (SELECT participant_key FROM rt UNION SELECT participant_key FROM ct) t "
+                      "WHERE participant_key NOT IN (SELECT participant_key FROM perf)",
+    }
+    parts = []
+    for model, check, cols, args in CHECKS:
+        if model.startswith("raw_"):
+            continue
+        t, c = at.get(model, model), cols[0] if cols else ""
+        if check == "not_null":
+            bad = f"SELECT 1 FROM {t} WHERE {c} IS NULL"
+        elif check.startswith("unique"):
+            keep = f"WHERE {c} IS NOT NULL" if check == "unique" else ""
+            bad = f"SELECT 1 FROM {t} {keep} GROUP BY {', '.join(cols)} HAVING count(*) > 1"
+        elif check == "accepted_values":
+            values = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in args["values"])
+            bad = f"SELECT 1 FROM {t} WHERE {c} NOT IN ({values})"
+        elif check == "accepted_range":
+            bad = f"SELECT 1 FROM {t} WHERE {c} NOT BETWEEN {args['low']} AND {args['high'] or '1e300'}"
+        elif check == "relationships":
+            bad = f"SELECT 1 FROM {t} ANTI JOIN {at.get(args['to'], args['to'])} USING ({c}) WHERE {c} IS NOT NULL"
+        else:
+            bad = single[check]
+        parts.append(f"SELECT '{model}' AS model, '{check_label(check, cols, args)}' AS check_name, "
+                     f"(SELECT count(*) FROM {t}) AS rows_checked, (SELECT count(*) FROM ({bad}) b) AS rows_failing")
+    return "\nUNION ALL ".join(parts)
+
+
 def _landing_sql() -> dict[str, str]:
     """The load path: what the documents say, straight from the tables."""
     q: dict[str, str] = {}
