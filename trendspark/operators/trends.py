@@ -26,6 +26,9 @@ from trendspark.operators.joins import broadcast_if_small, join_null_safe
 from trendspark.operators.sequence import number_rows
 
 
+RUN_SALTS = 64
+
+
 def chunk_of(seq_col: str, chunk_rows: int) -> Column:
     return F.floor((F.col(seq_col) - F.lit(1)) / F.lit(chunk_rows)).cast("long")
 
@@ -56,8 +59,13 @@ def _hot_percent_ranks(rows: DataFrame, keys: list[str], seq_col: str, total_col
         vals = rows.select(*keys, seq_col, total_col, m)
         pos = number_rows(vals, keys, [F.col(m).asc_nulls_last(), F.col(seq_col).asc()],
                           out="_pos", chunk_rows=chunk_rows, label=f"rank-{m}")
-        first = pos.groupBy(*keys, m).agg(F.min("_pos").alias("_rank"))
-        ranked = join_null_safe(pos, first, [*keys, m])
+        # Equal values lie in one run of positions; the run's first position is joined back
+        # per residue class of the position, so a very common value is not one join key.
+        first = (pos.groupBy(*keys, m).agg(F.min("_pos").alias("_rank"), F.count(F.lit(1)).alias("_c"))
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("_c"), F.lit(RUN_SALTS)) - 1)))
+                 .withColumn("_salt", F.pmod(F.col("_rank") + F.col("_salt"), F.lit(RUN_SALTS))).drop("_c"))
+        pos = pos.withColumn("_salt", F.pmod("_pos", F.lit(RUN_SALTS)))
+        ranked = join_null_safe(pos, first, [*keys, m, "_salt"])
         pr = F.when(F.col(total_col) > 1,
                     (F.col("_rank") - 1).cast("double") / (F.col(total_col) - 1).cast("double")
                     ).otherwise(F.lit(0.0))
