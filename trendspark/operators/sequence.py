@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendspark.operators.joins import broadcast_if_small, join_null_safe
-from trendspark.session import materialize, shuffle_partitions
+from trendspark.session import discard, materialize, shuffle_partitions
 
 _POS_MASK = (1 << 33) - 1
 
@@ -130,13 +130,15 @@ def sequence(df: DataFrame, entity: list[str], order: list[str | Column], *,
 
     The result is written once to the checkpoint folder: it is the shared input
     of several marts, and its lineage (joins, numbering) is cut there. The input
-    is written first as well: group sizes are measured before numbering, and the
-    input (often a join) should not be computed twice.
+    is written first as well, because group sizes are measured before numbering and the
+    input (often a join) should not be computed twice; that copy is deleted at the end.
     """
-    df = materialize(df, f"{label}-input")
-    res = number_rows(df, entity, order, out=seq_out, total_out=count_out,
+    source = materialize(df, f"{label}-input")
+    res = number_rows(source, entity, order, out=seq_out, total_out=count_out,
                       chunk_rows=chunk_rows, label=label)
     if group:
         res = number_rows(res, [*entity, *group], order, out=group_seq_out,
                           total_out=group_count_out, chunk_rows=chunk_rows, label=f"{label}-group")
-    return materialize(res, label)
+    done = materialize(res, label)
+    discard(source)
+    return done
