@@ -66,6 +66,11 @@ def template_counts(templates: dict[str, str] = TEMPLATES) -> list[tuple[str, st
     return [(name, w, _words(text).count(w)) for name, text in templates.items() for w in sorted(set(_words(text)))]
 
 
+def _once(df: DataFrame, value: F.Column, name: str) -> DataFrame:
+    """A column computed once per row: later filters are not pushed below a generator."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def scan_licenses(files: DataFrame, path: str, text: str, templates: dict[str, str] = TEMPLATES,
                   min_cosine: float = MIN_COSINE) -> DataFrame:
     """``path`` with own license, its cosine, and the resulting license and where it is from.
@@ -84,8 +89,7 @@ def scan_licenses(files: DataFrame, path: str, text: str, templates: dict[str, s
     # ASCII lower case only, so that the words do not depend on a locale
     folded = F.translate("t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.filter(F.split(folded, "[^a-z0-9]+"), lambda w: w != "")
-    lines = lines.select("path", "key", "line", words.alias("words")) \
-        .withColumn("known", F.array_intersect("words", vocabulary))
+    lines = _once(_once(lines, words, "words").drop("t"), F.array_intersect("words", vocabulary), "known")
     df = {r["w"]: r["c"] for r in lines.select(F.explode(F.concat("known", F.array(F.lit("")))).alias("w"))
           .groupBy("w").agg(F.count("*").alias("c")).collect()}      # one row per template word
     total = df.pop("", 0)
@@ -93,22 +97,27 @@ def scan_licenses(files: DataFrame, path: str, text: str, templates: dict[str, s
     rare = _idf(total, 0)
     weights = F.create_map(*[F.lit(x) for w in sorted(idf) for x in (w, idf[w])])
 
-    def squares(array: str, weight) -> F.Column:
-        return F.aggregate(F.array_distinct(array), F.lit(0.0), lambda acc, w: acc + F.pow(
-            F.size(F.filter(array, lambda x: x == w)) * weight(w), F.lit(2.0)))
-    inside = F.filter("words", lambda w: F.array_contains(vocabulary, w))
-    outside = F.filter("words", lambda w: ~F.array_contains(vocabulary, w))
-    # a cheap first bound: each outside word adds at least rare^2, each inside one at most count^2 top^2
-    top = max(idf.values(), default=0.0)
-    size_in, size_out = F.size("inside"), F.size("outside")
-    scored = (lines.where(F.size("known") > 0)
-              .select("path", "key", "line", F.size("words").alias("n"), inside.alias("inside"), outside.alias("outside"))
-              .where((size_in * size_in) * (top * top) * (1 - min_cosine ** 2)
-                     >= size_out * (rare * rare) * (min_cosine ** 2) * (1 - 1e-9))
-              .withColumn("in2", squares("inside", lambda w: F.element_at(weights, w)))
-              .withColumn("out2", squares("outside", lambda w: F.lit(rare)))
-              .where("in2 > 0")
-              .where(F.col("in2") >= (min_cosine - 1e-6) ** 2 * (F.col("in2") + F.col("out2"))))
+    def count(array: str, w: F.Column) -> F.Column:
+        return F.size(F.filter(array, lambda x: x == w))
+    # Lossless bounds from cheap to exact. Inside words occur at most n - (distinct outside
+    # words) times, none weighs more than the heaviest one present, and each distinct outside
+    # word adds at least rare^2 to the norm.
+    heaviest = F.array_max(F.transform("known", lambda w: F.element_at(weights, w)))
+    outside = F.size(F.array_except("words", vocabulary))
+    least = F.col("out") * (rare * rare * min_cosine ** 2 * (1 - 1e-9))
+    room = F.size("words") - F.col("out")
+    scored = _once(lines.where(F.size("known") > 0), F.struct(outside.alias("out"), heaviest.alias("top")), "b")
+    scored = (scored.select("path", "key", "line", "words", "known", "b.out", "b.top")
+              .where(F.col("top") * F.col("top") * room * room * (1 - min_cosine ** 2) >= least))
+    inside2 = F.aggregate("known", F.lit(0.0), lambda acc, w: acc + F.pow(
+        count("words", w) * F.element_at(weights, w), F.lit(2.0)))
+    scored = _once(scored, inside2, "in2").where((F.col("in2") > 0) & (F.col("in2") * (1 - min_cosine ** 2) >= least))
+    strange = F.array_except("words", vocabulary)
+    outside2 = F.aggregate(strange, F.lit(0.0), lambda acc, w: acc + F.pow(count("words", w) * F.lit(rare), F.lit(2.0)))
+    scored = (_once(scored, outside2, "out2")
+              .where(F.col("in2") >= (min_cosine - 1e-6) ** 2 * (F.col("in2") + F.col("out2")))
+              .select("path", "key", "line", F.size("words").alias("n"), "in2", "out2",
+                      F.filter("words", lambda w: F.array_contains(vocabulary, w)).alias("inside")))
     norms = {name: sum((c * idf[w]) ** 2 for n, w, c in counts if n == name) ** 0.5 for name in templates}
     rows = [(n, w, c * idf[w], norms[n]) for n, w, c in counts if norms[n] > 0]
     vectors = F.broadcast(spark.createDataFrame(rows, "template string, w string, tw double, tn double"))
