@@ -7,7 +7,9 @@ sequence is the one shingle. Two documents link when
 *Points.* Shingles are hashed into ``GROUPS`` groups; the counts per group are the
 class's point. The summed coordinate minima of two points bound their overlap from
 above, and the minima of a point with a node's coordinate maxima bound it for the whole
-node: ``CountTree`` packs points sorted by size into such nodes.
+node: ``CountTree`` packs points sorted by size into such nodes. Pairs that survive the
+tree are bounded once more on fine points, whose groups grow with the set (about two
+shingles each), before they are verified.
 
 *Blocks.* One tree over all points would be searched by every point, which grows with
 the square of the input since points of unrelated texts have overlapping boxes. So a
@@ -20,11 +22,13 @@ searched once.
 blocks (a join, no grouping), the surviving pairs are verified on whole sets and
 contracted to components. Then the blocks that still hold several components are
 searched with trees, only across components, in tiles of at most ``TILE`` members per
-side, and what survives is verified. Groups of near copies thus need no list of all
-their pairs, and no candidate is dropped.
+side: a first search names the members with any candidate, and only these get fine points
+and a second search whose pairs are verified. Groups of near copies thus need no list of
+all their pairs, and no candidate is dropped.
 
 Defined cases: null, empty and wordless texts have an empty set and are linked with
-nothing; rows with a null id get a class but lend it no id; repeated rows are copies.
+nothing; rows with a null id only count as copies of rows that have one, and else link
+with nothing; repeated rows are copies.
 Set keys are 64-bit hashes guarded by a second 64-bit hash: if two different sets ever
 share a key the job fails and asks for another ``seed``.
 """
@@ -44,9 +48,12 @@ from trendspark.llm.textscan import (
     U64, Powers, Words, byte_codes, gram_hashes, splitmix, text_slices)
 
 GROUPS = 64
+FINE_MOST = 8192             # most groups of a fine point
 LEAF = 32
 TILE = 2048
+PASSES = 2                   # residue classes of the block tokens, one after the other (bounds disk)
 HEAVY_LIST = 65_536          # most shingles that are moved last in the order (0.5 MB)
+BROADCAST_IDS = 1_000_000    # most document ids that are broadcast (16 MB); more are joined by shuffle
 
 
 def word_bytes() -> np.ndarray:
@@ -103,6 +110,37 @@ def count_points(row: np.ndarray, grams: np.ndarray, rows: int) -> np.ndarray:
     return np.minimum(flat, 255).astype(np.uint8).reshape(rows, GROUPS)
 
 
+def fine_points(row: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Counts per group with a power of two of groups, at least half the set's size."""
+    groups = np.clip(1 << np.ceil(np.log2(np.maximum(counts, 2) / 2)).astype(np.int64), GROUPS, FINE_MOST)
+    first = np.cumsum(groups) - groups
+    place = first[row] + ((grams >> U64(17)).astype(np.int64) & (groups[row] - 1))
+    flat = np.minimum(np.bincount(place, minlength=int(groups.sum())), 255).astype(np.uint8)
+    return [flat[a:a + g].tobytes() for a, g in zip(first.tolist(), groups.tolist())]
+
+
+def fine_bound(fine: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Summed minima of the fine points of pairs, the finer one folded to the coarser."""
+    groups = np.array([len(f) for f in fine])
+    least = np.minimum(groups[a], groups[b])
+    out = np.zeros(len(a), np.int64)
+    for g in np.unique(least):
+        at = np.flatnonzero(least == g)
+        members, code = np.unique(np.concatenate([a[at], b[at]]), return_inverse=True)
+        folded = np.empty((len(members), g), np.uint16)
+        for i, m in enumerate(members):
+            raw = np.frombuffer(fine[m], np.uint8).astype(np.int64)
+            raw[raw == 255] = 60_000                      # 255 or more: unlimited
+            folded[i] = np.minimum(raw.reshape(-1, g).sum(axis=0), 60_000)
+        x, y = code[:len(at)], code[len(at):]
+        step = max(1, (1 << 22) // int(g))
+        for s in range(0, len(at), step):
+            low = np.minimum(folded[x[s:s + step]], folded[y[s:s + step]])
+            total = low.sum(axis=1, dtype=np.int64)
+            out[at[s:s + step]] = np.where((low >= 60_000).any(axis=1), np.int64(1) << 40, total)
+    return out
+
+
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Summed coordinate minima (last axis); where both hold 255 the bound is unlimited."""
     low = np.minimum(a, b)
@@ -187,8 +225,9 @@ def _profile(docs: DataFrame, doc_id: str, text: str, k: int, seed: int) -> Data
         .mapInArrow(run, "id long, n long, cls long, guard long, point binary, kind int")
 
 
-def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, seed: int, heavy: np.ndarray) -> DataFrame:
-    """(token, cls): the first shingles of each set, frequent ones last."""
+def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, seed: int, heavy: np.ndarray,
+              turn: int) -> DataFrame:
+    """(token, cls): the first shingles of each set, frequent ones last, of one residue class."""
     sent = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,6 +243,7 @@ def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, seed: int,
                 grams, row = grams[order], row[order]
                 place = np.arange(len(grams)) - np.repeat(np.cumsum(counts) - counts, counts)
                 first = place < np.repeat(counts - -(-counts * num // den) + 1, counts)
+                first &= splitmix(grams) % U64(PASSES) == U64(turn)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(grams[first].view(np.int64)), pa.array(key[row[first]].view(np.int64))],
                     names=["token", "cls"])
@@ -229,48 +269,76 @@ def _bounded_pairs(pairs: DataFrame, classes: DataFrame, num: int, den: int) ->
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _tile_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Tree search in each (block, tile pair): pairs across components, (a, b) with a < b.
+def _search_block(rows: dict, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of one block's tile pair that may link across components."""
+    comp, side, size = rows["comp"], rows["side"], rows["n"]
+    point = np.frombuffer(b"".join(rows["point"]), np.uint8).reshape(-1, GROUPS)
+    left, right = side == rows["i"][0], side == rows["j"][0]
+    if rows["i"][0] == rows["j"][0]:
+        # members of the largest component need not ask: whoever differs asks them
+        names, counts = np.unique(comp, return_counts=True)
+        left = comp != names[counts.argmax()]
+    elif left.sum() > right.sum():
+        left, right = right, left
+    asks, holds = np.flatnonzero(left), np.flatnonzero(right)
+    if not len(asks) or not len(holds):
+        return asks[:0], asks[:0]
+    q, p = CountTree(point[holds], size[holds]).search(point[asks], size[asks], num, den)
+    a, b = asks[q], holds[p]
+    ok = comp[a] != comp[b]
+    return a[ok], b[ok]
+
+
+def _spread(members: DataFrame, tile: int, least: int) -> DataFrame:
+    """Members of blocks with several components, once per pair (i, j) of their block's tiles.
+
+    A block of at most ``tile`` members has the one pair (0, 0); ``side`` is the row's tile.
+    Blocks of fewer than ``least`` members are left out.
+    """
+    open_blocks = (members.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                                F.count("*").alias("c"))
+                   .where(f"x <> y and c >= {least}")
+                   .select("token", F.ceil(F.col("c") / tile).cast("int").alias("tiles")))
+    return (members.join(open_blocks, "token")
+            .withColumn("side", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            .withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")))
 
-    ``members``: token, i, j (tile pair), side (tile of the row), cls, comp, n, point;
-    a task reads its blocks one after the other and holds one at a time.
+
+def _tile_search(spread: DataFrame, num: int, den: int, fine: bool) -> DataFrame:
+    """Tree search in each block's tile pairs.
+
+    Without fine points the result is (token, cls), the members with any candidate; with
+    them it is the pairs (a, b) themselves, a < b. Blocks with one smallest class lie in
+    one partition (per tile pair), where a pair they share is reported once.
     """
-    def search(rows: dict) -> tuple[np.ndarray, np.ndarray]:
-        cls, comp, side = rows["cls"], rows["comp"], rows["side"]
-        point = np.frombuffer(b"".join(rows["point"]), np.uint8).reshape(-1, GROUPS)
-        size = rows["n"]
-        left, right = side == rows["i"][0], side == rows["j"][0]
-        if rows["i"][0] == rows["j"][0]:
-            # members of the largest component need not ask: whoever differs asks them
-            names, counts = np.unique(comp, return_counts=True)
-            left = comp != names[counts.argmax()]
-        elif left.sum() > right.sum():
-            left, right = right, left
-        asks, holds = np.flatnonzero(left), np.flatnonzero(right)
-        if not len(asks) or not len(holds):
-            return cls[:0], cls[:0]
-        q, p = CountTree(point[holds], size[holds]).search(point[asks], size[asks], num, den)
-        a, b = asks[q], holds[p]
-        ok = comp[a] != comp[b]
-        return np.minimum(cls[a[ok]], cls[b[ok]]), np.maximum(cls[a[ok]], cls[b[ok]])
+    names = ["lead", "i", "j", "token", "side", "cls", "comp", "n", "point", *(["fine"] if fine else [])]
+    number = names[:8]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(held).combine_chunks()
-            cols = {c: whole.column(c).to_numpy() for c in ("token", "i", "j", "side", "cls", "comp", "n")}
-            points = whole.column("point").to_pylist()
-            edge = np.flatnonzero(np.append(True, (cols["token"][1:] != cols["token"][:-1])
-                                            | (cols["i"][1:] != cols["i"][:-1]) | (cols["j"][1:] != cols["j"][:-1])))
-            out_a, out_b = [], []
+            cols = {c: whole.column(c).to_numpy() for c in number}
+            blobs = {c: whole.column(c).to_pylist() for c in names[8:]}
+            edge = np.flatnonzero(np.append(True, cols["token"][1:] != cols["token"][:-1]))
+            first, second = [], []
             for s, e in zip(edge, np.append(edge[1:], whole.num_rows)):
-                rows = {c: v[s:e] for c, v in cols.items()}
-                a, b = search(rows | {"point": points[s:e]})
-                out_a.append(a)
-                out_b.append(b)
-            pair = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+                rows = {c: v[s:e] for c, v in (cols | blobs).items()}
+                a, b = _search_block(rows, num, den)
+                cls = rows["cls"]
+                if fine:
+                    ok = may_link(fine_bound(rows["fine"], a, b), rows["n"][a], rows["n"][b], num, den)
+                    a, b = cls[a[ok]], cls[b[ok]]
+                    first.append(np.minimum(a, b))
+                    second.append(np.maximum(a, b))
+                else:
+                    some = cls[np.unique(np.append(a, b))]
+                    first.append(np.full(len(some), rows["token"][0]))
+                    second.append(some)
+            found = np.unique(np.stack([np.concatenate(first), np.concatenate(second)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -281,7 +349,7 @@ def _tile_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
                 before = [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in (0, 1, 2)]
                 if before != key[0].tolist():
                     change = np.append(0, change)
-            if len(change):  # all but the last block are complete
+            if len(change):  # all but the last group are complete
                 if change[-1]:
                     held.append(batch.slice(0, change[-1]))
                 yield from flush()
@@ -291,35 +359,53 @@ def _tile_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
         if held:
             yield from flush()
 
-    # rows are combined before the shuffle only by their count; a block's tile pair is the unit
-    sorted_rows = members.select("token", "i", "j", "side", "cls", "comp", "n", "point") \
-        .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return sorted_rows.mapInArrow(run, "a long, b long").distinct()
+    rows = spread.select(*names).repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j", "token")
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame,
-              k: int, num: int, den: int, seed: int, scratch: Scratch) -> DataFrame:
-    """The pairs whose whole sets reach the threshold."""
-    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = ends.join(classes.select("cls", "rep"), "cls").select(F.col("rep").alias("__rep"), F.col("cls").alias("__cls"))
+def _scan_classes(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame, k: int,
+                  seed: int, scratch: Scratch, what: str) -> DataFrame:
+    """(cls, value) of the wanted classes, from the text of their smallest id.
+
+    ``what`` is ``grams`` (the whole set) or ``fine`` (its fine point). The ids are
+    broadcast while there are at most BROADCAST_IDS of them, else joined by shuffle.
+    """
+    ids = scratch.keep(wanted.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
+                       .select(F.col("rep").alias("__rep"), F.col("cls").alias("__cls")), "wanted")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     texts = (docs.select(F.col(doc_id).cast("long").alias("__rep"), F.col(text).cast("string").alias("t"))
-             .join(wanted, "__rep").select("__cls", "t"))
+             .join(ids, "__rep").select("__cls", "t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             want = batch.column(0).to_numpy()
             for part, row, grams, counts in shingle_sets(batch.column(1), k):
                 key, _ = set_keys(grams, counts, seed)
-                offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
-                sets = pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams.view(np.int64)))
+                if what == "grams":
+                    offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
+                    value = pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams.view(np.int64)))
+                else:
+                    value = pa.array(fine_points(row, grams, counts), pa.binary())
                 cls = key.view(np.int64)
                 ok = pa.array(cls == want[part.lo:part.hi])  # an id may be shared by different texts
-                yield pa.RecordBatch.from_arrays([pa.array(cls), sets], names=["cls", "grams"]).filter(ok)
-    sets = scratch.keep(texts.mapInArrow(run, "cls long, grams array<long>").dropDuplicates(["cls"]), "sets")
-    both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("x")), "a")
-            .join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("y")), "b"))
+                yield pa.RecordBatch.from_arrays([pa.array(cls), value], names=["cls", "value"]).filter(ok)
+    kind = "array<long>" if what == "grams" else "binary"
+    return scratch.keep(texts.mapInArrow(run, f"cls long, value {kind}").dropDuplicates(["cls"]), what)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame,
+              k: int, num: int, den: int, seed: int, scratch: Scratch) -> DataFrame:
+    """The pairs whose whole sets reach the threshold."""
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls")))
+    sets = _scan_classes(ends, docs, doc_id, text, classes, k, seed, scratch, "grams")
+    both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("value").alias("x")), "a")
+            .join(sets.select(F.col("cls").alias("b"), F.col("value").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y")).cast("long")
-    return both.where(common * (num + den) >= (F.size("x") + F.size("y")).cast("long") * num).select("a", "b")
+    links = scratch.keep(
+        both.where(common * (num + den) >= (F.size("x") + F.size("y")).cast("long") * num).select("a", "b"), "links")
+    scratch.drop(sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num: int = 80,
@@ -339,38 +425,44 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
              .orderBy(F.desc("c"), "token").limit(HEAVY_LIST).select("token").collect())
     heavy = np.sort(np.array([r[0] for r in often], np.int64).view(np.uint64))
 
-    tokens = scratch.keep(_prefixes(docs, text, k, num, den, seed, heavy), "prefixes")
+    parts = []
+    for turn in range(PASSES):
+        tokens = scratch.keep(_prefixes(docs, text, k, num, den, seed, heavy, turn), "prefixes")
+        shared = (tokens.groupBy("token").agg(F.min("cls").alias("lead"), F.max("cls").alias("last"))
+                  .where("lead <> last"))
+        parts.append(scratch.keep(tokens.join(shared, "token").distinct(), "found"))
+        scratch.drop(tokens)
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.union(more)
     mixed = F.xxhash64("cls")
-    blocks = (tokens.groupBy("token").agg(
-        F.min("cls").alias("lead"), F.max("cls").alias("last"), F.count("*").alias("c"),
-        F.sum(mixed.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s1"),
+    blocks = (found.groupBy("token", "lead", "last").agg(
+        F.count("*").alias("c"), F.sum(mixed.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s1"),
         F.sum(F.shiftrightunsigned(mixed, 33)).alias("s2"))
-        .where("lead <> last")
-        .groupBy("lead", "last", "c", "s1", "s2").agg(F.min("token").alias("token"))
-        .select("token", "lead", "last"))
-    members = scratch.keep(tokens.join(blocks, "token").distinct(), "members")
+        .groupBy("lead", "last", "c", "s1", "s2").agg(F.min("token").alias("token")).select("token"))
+    members = scratch.keep(found.join(blocks, "token"), "members")  # token, cls, lead, last
+    scratch.drop(*parts)
 
     stars = (members.select(F.col("cls").alias("a"), F.col("lead").alias("b"))
              .union(members.select(F.col("last").alias("a"), F.col("cls").alias("b")))
              .where("a <> b").distinct())
     tried = scratch.keep(_bounded_pairs(stars, classes, num, den), "stars")
-    links = scratch.keep(_verified(tried, docs, doc_id, text, classes, k, num, den, seed, scratch), "links")
+    links = _verified(tried, docs, doc_id, text, classes, k, num, den, seed, scratch)
     roots = scratch.keep(connected_components(links), "roots")
 
-    labelled = (members.select("token", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-                .select("token", "cls", F.coalesce("root", "cls").alias("comp")))
-    open_blocks = (labelled.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                                 F.count("*").alias("c"))
-                   .where("x <> y and c > 2")  # a block of two is its star
-                   .select("token", F.ceil(F.col("c") / tile).cast("int").alias("tiles")))
-    side = F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")
-    spread = (labelled.join(open_blocks, "token").join(classes.select("cls", "n", "point"), "cls")
-              .withColumn("side", side)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-              .withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")))
-    rest = scratch.keep(_tile_pairs(spread, num, den).join(tried, ["a", "b"], "left_anti")
-                .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "rest")
-    more = scratch.keep(_verified(rest, docs, doc_id, text, classes, k, num, den, seed, scratch), "links")
+    labelled = (members.select("token", "lead", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+                .select("token", "lead", "cls", F.coalesce("root", "cls").alias("comp"))
+                .join(classes.select("cls", "n", "point"), "cls"))
+    asked = scratch.keep(_tile_search(_spread(labelled, tile, 3), num, den, fine=False)  # a block of two is its star
+                         .select(F.col("a").alias("token"), F.col("b").alias("cls")), "asked")
+    fine = _scan_classes(asked, docs, doc_id, text, classes, k, seed, scratch, "fine")
+    near = labelled.join(asked, ["token", "cls"]).join(fine.withColumnRenamed("value", "fine"), "cls")
+    rest = scratch.keep(
+        _tile_search(_spread(near, tile, 2), num, den, fine=True)
+        .join(tried, ["a", "b"], "left_anti")
+        .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "rest")
+    scratch.drop(asked, fine, members)
+    more = _verified(rest, docs, doc_id, text, classes, k, num, den, seed, scratch)
     if more.limit(1).count():
         roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     named = (classes.select("cls", "rep").join(roots.withColumnRenamed("node", "cls"), "cls")
