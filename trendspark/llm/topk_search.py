@@ -1,8 +1,9 @@
 """Exact top-k inner-product search by tiled matrix products.
 
 Vectors are packed into shards (the stored side) and query blocks, each a row with one
-matrix of at most ``SHARD`` or ``BLOCK`` vectors. Every shard meets every query block on
-the block's number (a stated query set against all rows, in blocks); a task multiplies
+matrix of at most ``SHARD`` or ``BLOCK`` vectors. Every shard meets every query block of
+its length on the block's number and the shard's group (a stated query set against all
+rows, in blocks); a task multiplies
 the two matrices, selects each query's best ``k`` of the tile and merges them with its
 earlier tiles of the same block. The per-query lists are then merged in two levels.
 
@@ -101,13 +102,27 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id",
     scratch = Scratch(vectors.sparkSession, "top-k")
     shards = scratch.keep(_packed(_quantised(vectors, vec_id, embedding, scale), SHARD), "shards")
     blocks = scratch.keep(_packed(_quantised(queries, vec_id, embedding, scale), BLOCK)
-                          .withColumn("block", F.monotonically_increasing_id()), "blocks")
-    names = blocks.select("dim", "block")
-    tiles = (shards.withColumnRenamed("ids", "c_ids").withColumnRenamed("mat", "c_mat").join(names, "dim")
-             .join(blocks.drop("dim"), "block"))
+                          .withColumn("id", F.monotonically_increasing_id()), "blocks")
+    # number the blocks of each vector length: one small row per block
+    order = Window.partitionBy("dim").orderBy("id")
+    numbers = scratch.keep(blocks.select("dim", "id").withColumn("block", F.row_number().over(order)), "numbers")
+    per_dim = {r["dim"]: r["n"] for r in numbers.groupBy("dim").agg(F.max("block").alias("n")).collect()}
+    if not per_dim:
+        per_dim = {0: 0}
+    # each block meets the shards in several groups, so few blocks still make many tasks
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    groups = max(1, -(-parts // max(1, sum(per_dim.values()))))
+    last = F.element_at(F.create_map(*[F.lit(x) for d in per_dim for x in (d, per_dim[d])]), F.col("dim"))
+    tiles = (shards.withColumnRenamed("ids", "c_ids").withColumnRenamed("mat", "c_mat")
+             .where(F.col("dim").isin(list(per_dim)) & (last > 0))
+             .withColumn("g", F.pmod(F.xxhash64("c_ids"), F.lit(groups)))
+             .withColumn("block", F.explode(F.sequence(F.lit(1), last)))
+             .join(blocks.join(numbers.drop("dim"), "id").drop("id")
+                   .withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))),
+                   ["dim", "block", "g"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, pd.DataFrame] = {}
+        best: dict[tuple, pd.DataFrame] = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 block, dim, c_ids, c_mat, q_ids, q_mat = (batch.column(j)[i].as_py() for j in range(6))
@@ -116,11 +131,12 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id",
                 c = np.frombuffer(c_mat).reshape(-1, dim)
                 at, vec, score = tile_top(qi, ci, tile_scores(q, c), k)
                 new = pd.DataFrame({"at": at, "query_id": qi[at], "vec_id": vec, "score": score})
-                if block in best:
-                    new = pd.concat([best[block], new])
+                key = (dim, block)
+                if key in best:
+                    new = pd.concat([best[key], new])
                     new = new.sort_values(["at", "score", "vec_id"], ascending=[True, False, True], kind="stable")
                     new = new[new.groupby("at").cumcount() < k]
-                best[block] = new
+                best[key] = new
                 if len(best) > 16:  # keep few blocks open; what leaves is merged later
                     gone = next(iter(best))
                     yield _rows(best.pop(gone))
