@@ -65,12 +65,12 @@ def test_compiled_character_map(trim, dummy):
     texts = _texts() + ["ﬁne ＡＢＣ　① ½ ㌔  x ", "  ﬁ", "　　", "İstanbul ẞ ﷺ", "áé ​ x"]
     known, lists = piece_codec._encoder(model)([piece_codec.normalised(model, t) for t in texts])
     for text, chunks in zip(texts, lists):
-        ids = [i for c in chunks for i in known[c][0]] + [model.eos]
+        ids = [i for c in chunks for i in known.ids[c]] + [model.eos]
         assert ids == lib.encode(text, add_eos=True)
         assert piece_codec.decode(model, ids) == lib.decode(ids)
         _, source = piece_codec.normalise(model, text)
         at, spans = 0, []
-        for size in (s for c in chunks for s in known[c][1]):
+        for size in (s for c in chunks for s in known.sizes(model, c)):
             spans.append((source[at], source[at + size]))
             at += size
         assert spans == [(p.begin, p.end) for p in lib.encode(text, return_type="proto").pieces]

@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import string
 from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from trendspark.llm.common import table
 
 MARK = "▁"
-CACHE = 200_000
+CACHE = 300_000
 LONG = 48          # chunks of more characters are merged with a heap
 _BLOCK = 65_536    # chunks merged at once
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -74,6 +75,29 @@ class CharMap:
         return found[0], self.strings[found[1]:end]
 
 
+def _chunk_rule(pieces: Iterable[str]) -> str:
+    """A pattern of chunks that no merge can leave, from what stands side by side in pieces.
+
+    If no piece holds a word mark after another character, a mark starts a chunk. A line
+    feed that is in no piece is a chunk. Punctuation that follows other characters in no
+    piece starts a chunk after them.
+    """
+    pieces = list(pieces)
+    if any(MARK in p.lstrip(MARK) for p in pieces):
+        return r"(?s:.+)"
+    apart = "" if any("\n" in p for p in pieces) else "\n"
+    marks = {c for c in string.punctuation}
+    while True:     # shrink to the characters that only ever follow marks of the set
+        bad = {b for p in pieces for a, b in zip(p, p[1:]) if b in marks and a != MARK and a not in marks}
+        if not bad:
+            break
+        marks -= bad
+    q = "".join(re.escape(c) for c in sorted(marks))
+    if not q:
+        return rf"{MARK}*[^{MARK}{apart}]+|{MARK}+" + (r"|\n" if apart else "")
+    return rf"{MARK}*[{q}]*[^{MARK}{apart}{q}]+|{MARK}*[{q}]+|{MARK}+" + (r"|\n" if apart else "")
+
+
 class PieceModel:
     """A loaded model: vocabulary, merges and normaliser settings (plain data, picklable)."""
 
@@ -117,11 +141,13 @@ class PieceModel:
         self.pair = np.array(keys, np.int64)[at]
         self.pair_out = np.array(out, np.int64)[at]
         self.pair_rank = np.array(order, np.int64)[at]
-        inner = any(MARK in n[1:].lstrip(MARK) or (n[0] != MARK and MARK in n) for n in usable)
-        marks_first = MARK + "*" if not inner else None
-        apart = "\n" if not any("\n" in n for n in usable) else ""
-        self.chunk = (rf"{marks_first}[^{MARK}{apart}]+|{MARK}+" + (r"|\n" if apart else "")
-                      if marks_first else r"(?s:.+)")
+        self.chunk = _chunk_rule(usable)
+        self.plain = [n.replace(MARK, " ") for n in self.names]
+        self.digits = [str(i) for i in range(len(self.names))]
+        self.code = np.full(0x110000, -1, np.int64)       # symbol of each single character
+        for c, i in self.symbol.items():
+            if len(c) == 1:
+                self.code[ord(c)] = i
 
     def state(self) -> dict:
         """Plain data to send to tasks, which need not have this module."""
@@ -209,13 +235,6 @@ def chunker(model: PieceModel) -> Callable[[str], list[str]]:
     return lambda text: [c for i, s in enumerate(user.split(text)) if s for c in ([s] if i % 2 else plain(s))]
 
 
-def _symbols(model: PieceModel, chunk: str) -> list[int]:
-    if chunk in model.user:
-        return [model.symbol[chunk]]
-    get = model.symbol.get
-    return [s if (s := get(c)) is not None else -1 - ord(c) for c in chunk]
-
-
 def _pair_lookup(model: PieceModel, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     key = np.where((a < 0) | (b < 0), -1, a << 32 | b)
     at = np.minimum(np.searchsorted(model.pair, key), max(len(model.pair) - 1, 0))
@@ -225,8 +244,8 @@ def _pair_lookup(model: PieceModel, a: np.ndarray, b: np.ndarray) -> tuple[np.nd
     return np.where(hit, model.pair_rank[at], _NO_PAIR), model.pair_out[at]
 
 
-def merge_matrix(model: PieceModel, ids: np.ndarray) -> list[list[int]]:
-    """Merge the rows of a matrix of symbols (equal lengths) to their final symbols."""
+def merge_matrix(model: PieceModel, ids: np.ndarray) -> tuple[list[list[int]], np.ndarray]:
+    """Merge the rows of a matrix of symbols (equal lengths): final symbols and their numbers."""
     n, width = ids.shape
     length = np.full(n, width)
     live = np.arange(n)
@@ -255,7 +274,7 @@ def merge_matrix(model: PieceModel, ids: np.ndarray) -> list[list[int]]:
             if len(ok):
                 at = side[ok]
                 rank[ok, at], out[ok, at] = _pair_lookup(model, ids[ok, at], ids[ok, at + 1])
-    return [final[i, :length[i]].tolist() for i in range(n)]
+    return final.tolist(), length
 
 
 def merge_long(model: PieceModel, ids: list[int]) -> list[int]:
@@ -317,22 +336,44 @@ def _pieces(model: PieceModel, chunk: str, symbols: list[int]) -> tuple[list[int
     return ids, sizes
 
 
-def encode_chunks(model: PieceModel, chunks: Iterable[str]) -> dict[str, tuple[list[int], list[int]]]:
-    """Ids and their character counts for each distinct chunk."""
-    out: dict = {}
-    by_size = sorted(set(chunks), key=len)
-    for size, group in groupby(by_size, key=len):
+class Encoded:
+    """Ids by chunk, and the character counts of chunks with unknown characters."""
+
+    def __init__(self) -> None:
+        self.ids: dict[str, list[int]] = {}
+        self.odd: dict[str, list[int]] = {}
+
+    def sizes(self, model: PieceModel, chunk: str) -> list[int]:
+        """Characters of the chunk that each id ends."""
+        return self.odd.get(chunk) or [len(model.names[i]) for i in self.ids[chunk]]
+
+
+def encode_chunks(model: PieceModel, chunks: Iterable[str], into: Encoded) -> None:
+    """Encode distinct chunks, those of one length together."""
+    top = len(model.names)
+    for size, group in groupby(sorted(chunks, key=len), key=len):
         group = list(group)
         for lo in range(0, len(group), _BLOCK):
             some = group[lo:lo + _BLOCK]
-            symbols = [_symbols(model, c) for c in some]
-            flat = [s for s in symbols if len(s) == size]
-            merged = iter(merge_matrix(model, np.array(flat, np.int64))) if flat and size <= LONG else None
-            for c, s in zip(some, symbols):
-                if len(s) == size:
-                    s = next(merged) if merged is not None else merge_long(model, s)
-                out[c] = _pieces(model, c, s)
-    return out
+            if model.user:
+                whole = [c for c in some if c in model.user]
+                into.ids.update((c, [model.symbol[c]]) for c in whole)
+                some = [c for c in some if c not in into.ids]
+            if not some:
+                continue
+            points = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), size)
+            ids = model.code[points]
+            if size <= LONG:
+                rows, length = merge_matrix(model, ids)
+                plain = ((ids >= 0) & (ids < top)).all(axis=1)
+                for c, row, n, ok in zip(some, rows, length.tolist(), plain.tolist()):
+                    if ok:
+                        into.ids[c] = row[:n]
+                    else:
+                        into.ids[c], into.odd[c] = _pieces(model, c, row[:n])
+            else:
+                for c, row in zip(some, ids.tolist()):
+                    into.ids[c], into.odd[c] = _pieces(model, c, merge_long(model, row))
 
 
 def decode(model: PieceModel, ids: Iterable[int]) -> str:
@@ -389,19 +430,20 @@ def load_model(path: str) -> PieceModel:
         return PieceModel(f.read())
 
 
-def _encoder(model: PieceModel) -> Callable[[list[str]], dict]:
+def _encoder(model: PieceModel) -> Callable[[list[str]], tuple[Encoded, list[list[str]]]]:
     """A table of encoded chunks that is kept between batches up to its bound."""
-    known: dict = {}
+    known = Encoded()
     cut = chunker(model)
 
-    def run(normal: list[str]) -> tuple[dict, list[list[str]]]:
+    def run(normal: list[str]) -> tuple[Encoded, list[list[str]]]:
         lists = [cut(t) for t in normal]
-        new = set().union(*lists) - known.keys()
-        if len(known) + len(new) > CACHE:
-            known.clear()
+        new = set().union(*lists) - known.ids.keys()
+        if len(known.ids) + len(new) > CACHE:
+            known.ids.clear()
+            known.odd.clear()
             new = set().union(*lists)
         if new:
-            known.update(encode_chunks(model, new))
+            encode_chunks(model, new, known)
         return known, lists
     return run
 
@@ -435,8 +477,8 @@ def encode_pieces(docs: DataFrame, text: str, model: PieceModel, out: str = "pie
                 both = [normalise(m, t) for t in some]
                 known, lists = encode([b[0] for b in both])
                 for (_, source), chunks in zip(both, lists):
-                    ids = [i for c in chunks for i in known[c][0]]
-                    size = np.array([s for c in chunks for s in known[c][1]], np.int64)
+                    ids = [i for c in chunks for i in known.ids[c]]
+                    size = np.array([s for c in chunks for s in known.sizes(m, c)], np.int64)
                     place = np.array(source)
                     last = np.cumsum(size)
                     made.append({"ids": [*ids, m.eos], "begins": [*place[last - size].tolist(), source[-1]],
@@ -467,19 +509,21 @@ def encode_digests(docs: DataFrame, text: str, model: PieceModel, out: str = "di
             made = []
             for _, some in _groups([t or "" for t in batch.column(column).cast(pa.string()).to_pylist()]):
                 known, lists = encode([normalised(m, t) for t in some])
-                if len(strings) > len(known):
+                if len(strings) > len(known.ids):
                     strings.clear()
                     plain.clear()
-                for c in known.keys() - strings.keys():
-                    ids = known[c][0]
-                    strings[c] = " ".join(map(str, ids))
-                    # the mark before the chunk keeps its own marks from counting as the prefix
-                    plain[c] = decode(m, [m.symbol[MARK], *ids]) if MARK in m.symbol else ""
+                digits, pieces, odd = m.digits, m.plain, known.odd
+                for c in known.ids.keys() - strings.keys():
+                    ids = known.ids[c]
+                    strings[c] = " ".join([digits[i] for i in ids])
+                    # with byte pieces: the mark before the chunk keeps its own marks from counting as the prefix
+                    plain[c] = "".join([pieces[i] for i in ids]) if c not in odd else \
+                        decode(m, [m.symbol[MARK], *ids]) if MARK in m.symbol else ""
                 for chunks in lists:
                     joined = " ".join(map(strings.__getitem__, chunks))
                     ids_text = f"{joined} {end}" if joined else end
                     if whole or MARK not in m.symbol:
-                        back = decode(m, [i for c in chunks for i in known[c][0]] + [m.eos])
+                        back = decode(m, [i for c in chunks for i in known.ids[c]] + [m.eos])
                     else:
                         back = "".join(map(plain.__getitem__, chunks))[1:]
                     made.append({"n_tokens": ids_text.count(" ") + 1,
