@@ -174,3 +174,28 @@ def test_extraction_over_hosts(spark):
     assert got[22] == ["unclosed"] and got[23] == [""] and got[24] == [""] and got[25] == ["only main"]
     assert got[26] == ["deep"] and got[27] == ["plain & text < 5 > 3"] and got[28] == ["\n".join(["w w"] * 20000)]
     assert html_wrapper.extract_text(df.where("page_id < 0"), "url", "html").count() == 0
+
+
+def test_pages_match_their_wrapper():
+    import json
+    rng = random.Random(6)
+
+    def made(depth):
+        return "".join(f"<{t}>{made(depth - 1) if depth else 'x'}</{t}>" + rng.choice(["", "text"])
+                       for t in rng.choices(["div", "p", "h2", "ul", "table"], k=rng.randint(0, 4)))
+    for _ in range(60):
+        pages = [made(3) for _ in range(6)]
+        wrapper = html_wrapper.merge_structures([json.dumps(html_wrapper.page_structure(p)) for p in pages])
+        for page in pages:
+            root, _ = html_wrapper.page_tree(list(html_wrapper.page_events(page)))
+            assert html_wrapper.match_page(root, html_wrapper.number_nodes(json.loads(wrapper)))
+    other, _ = html_wrapper.page_tree(list(html_wrapper.page_events("<div>a</div><div>b</div>")))
+    assert not html_wrapper.match_page(other, [["div", "", [["#", "", [], 1, 2]], 0, 2]])
+
+
+def test_wrapper_slots_decide(spark):
+    # two slots of one tag path, told apart by their place in the wrapper; one is template text
+    page = "<article><div>Share this</div><h1>Title {0}</h1><div>Body {0}</div></article>"
+    df = spark.createDataFrame([(i, "http://w.example/", page.format(i)) for i in range(8)], "id long, url string, html string")
+    got = {r.id: r.main for r in html_wrapper.extract_text(df, "url", "html").collect()}
+    assert got == {i: f"Title {i}\nBody {i}" for i in range(8)}

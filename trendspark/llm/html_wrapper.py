@@ -11,11 +11,14 @@ unions per host. Equal page structures are merged before (an aggregate), and a h
 structures are folded in salted groups first and then together, so a host with any share
 of the pages is spread over tasks.
 
+*Matching.* Each page is matched against its host's wrapper, so every block of text belongs to
+a slot of it; a slot is constant if it has one text on all pages that fill it, else varying.
+
 *Slots.* On the wrapper, the main region is the outermost ``article`` elements, else
 ``main``, else the body. Slots inside menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments (by element, role, or a word of class or id)
-do not belong to it. If the region is the body, slots whose text is the same on all of at
-least ``CONSTANT_PAGES`` pages of the host are template text and do not belong to it either.
+do not belong to it. Constant slots of at least ``CONSTANT_PAGES`` pages of the host are
+template text and do not belong to it either.
 
 *Text.* Slots of the region are read from the page: character references are decoded,
 white space inside a block is one space, blocks are trimmed and joined by a newline.
@@ -33,6 +36,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -247,36 +251,123 @@ def wrapper_region(wrapper: list) -> str:
     return "article" if "article" in found else "main" if "main" in found else ""
 
 
-def page_slots(page: str, region: str) -> Iterator[tuple[str, str]]:
-    """(path of the slot, block text) for each block of the main region, in page order."""
-    path: list[str] = []
+def page_tree(events: list[tuple[str, str]]) -> tuple[list, list]:
+    """(the page's sequence with repetitions, the node of each event); nodes are [key, children, slot]."""
+    root: list = []
+    open_lists, places = [root], []
+    skipped = 0
+    for kind, value in events:
+        node = None
+        if kind == "open":
+            if len(open_lists) > DEPTH:
+                skipped += 1
+            else:
+                node = [value, [], -1]
+                open_lists[-1].append(node)
+                open_lists.append(node[1])
+        elif kind == "close":
+            if skipped:
+                skipped -= 1
+            else:
+                open_lists.pop()
+        elif kind == "text" and value.strip():
+            if not (open_lists[-1] and open_lists[-1][-1][0] == "#"):
+                open_lists[-1].append(["#", [], -1])
+            node = open_lists[-1][-1]
+        places.append(node)
+    return root, places
+
+
+def number_nodes(wrapper: list) -> list:
+    """The wrapper with nodes [key, flag, children, number, end]: numbered in order, descendants up to ``end``."""
+    at = 0
+
+    def walk(nodes: list) -> list:
+        nonlocal at
+        out = []
+        for key, flag, children in nodes:
+            node, at = [key, flag, None, at, 0], at + 1
+            node[2] = walk(children)
+            node[4] = at
+            out.append(node)
+        return out
+    return walk(wrapper)
+
+
+def match_page(nodes: list, wrapper: list) -> bool:
+    """Match a page's sequence against a numbered wrapper and put the number into each node.
+
+    Elements that are not optional must occur, only repeated groups may repeat, order
+    holds; of several ways the leftmost is taken. A page that went into the wrapper
+    always matches; nodes of any other keep -1 where it does not.
+    """
+    known: dict[tuple[int, int], tuple[list, list] | None] = {}
+
+    def table_of(page: list, owner: int, expected: list) -> tuple[list, list] | None:
+        if (id(page), owner) in known:
+            return known[id(page), owner]
+        groups = [list(g) for _, g in groupby(page, key=lambda node: node[0])]
+        n, m = len(groups), len(expected)
+        ok = [[False] * (m + 1) for _ in range(n + 1)]
+        for i in range(n, -1, -1):
+            for j in range(m - n + i, i - 1, -1):
+                if j == m:
+                    ok[i][j] = i == n
+                    continue
+                key, flag, children, number = expected[j][:4]
+                ok[i][j] = (flag in ("?", "*") or key == "#") and ok[i][j + 1]
+                if i < n and ok[i + 1][j + 1] and not ok[i][j] and groups[i][0][0] == key \
+                        and (len(groups[i]) == 1 or flag in ("+", "*")):
+                    ok[i][j] = all(table_of(one[1], number, children) for one in groups[i])
+        known[id(page), owner] = (groups, ok) if n <= m and ok[0][0] else None
+        return known[id(page), owner]
+
+    def assign(page: list, owner: int, expected: list) -> None:
+        found = table_of(page, owner, expected)
+        if found is None:
+            return
+        groups, ok = found
+        i = j = 0
+        while i < len(groups):
+            key, flag, children, number = expected[j][:4]
+            if groups[i][0][0] == key and ok[i + 1][j + 1] and (len(groups[i]) == 1 or flag in ("+", "*")) \
+                    and all(table_of(one[1], number, children) for one in groups[i]):
+                for one in groups[i]:
+                    one[2] = number
+                    assign(one[1], number, children)
+                i += 1
+            j += 1
+    assign(nodes, -1, wrapper)
+    return table_of(nodes, -1, wrapper) is not None
+
+
+def event_blocks(events: list, places: list, region: str) -> Iterator[tuple[int, str]]:
+    """(slot of the wrapper, block text) for each block of the main region, in page order."""
     blocked = depth_in = 0          # boilerplate elements open; region elements open
     parts: list[str] = []
-    where = ""
+    where = -1
 
-    def block() -> Iterator[tuple[str, str]]:
+    def block() -> Iterator[tuple[int, str]]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
             yield where, text
-    for kind, value in page_events(page):
+    for (kind, value), node in zip(events, places):
         if kind == "text":
             if not blocked and (depth_in or not region):
-                if not parts:
-                    where = "/".join(path)
+                if node is not None and not any(p.strip() for p in parts):
+                    where = node[2]
                 parts.append(value)
             continue
         # a marked inline element is left out of its block without ending it
         if value.rstrip("!") not in INLINE:
             yield from block()
         if kind == "open":
-            path.append(value)
             if blocked or boilerplate(value, bool(depth_in)):
                 blocked += 1
             elif value == region:
                 depth_in += 1
         elif kind == "close":
-            path.pop()
             if blocked:
                 blocked -= 1
             elif value == region:
@@ -284,16 +375,33 @@ def page_slots(page: str, region: str) -> Iterator[tuple[str, str]]:
     yield from block()
 
 
-def page_blocks(page: str, region: str) -> list[tuple[str, str]]:
-    """Blocks of the host's region, or of the page's own ``main`` or body if it has none."""
+def page_blocks(page: str, region: str, wrapper: list | None = None) -> list[tuple[int, str]]:
+    """(slot, text) of the blocks of the host's region, or of the page's own ``main`` or body if it has none."""
+    events = list(page_events(page))
+    root, places = page_tree(events)
+    match_page(root, wrapper or [])
     for choice in dict.fromkeys((region, "main", "")):
         if not choice or re.search(rf"<{choice}\b", page, re.I):
-            blocks = list(page_slots(page, choice))
+            blocks = list(event_blocks(events, places, choice))
             if blocks or not choice:
                 return blocks
     return []
 
 
+class Wrappers:
+    """Numbered wrappers by their JSON, parsed once per task and run of pages."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, list] = {}
+
+    def __getitem__(self, text: str | None) -> list:
+        if text not in self.known:
+            if len(self.known) >= 1000:
+                self.known.clear()
+            self.known[text] = number_nodes(json.loads(text or "[]"))
+        return self.known[text]
+
+
 def _host(url: str) -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url).cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
@@ -322,57 +430,61 @@ def infer_wrappers(pages: DataFrame, host: str, page: str, scratch: Scratch) ->
                         .select("host", F.col("s").alias("wrapper"), "region"), "wrappers")
 
 
-def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -> DataFrame:
-    """(host, constants): paths with one text on all of enough pages, for body regions only."""
-    bodies = broadcast_if_small(wrappers.where("region = ''").select(F.col("host").alias("h")))
-    body = (pages.select(F.col(host).alias("h"), F.col(page).cast("string").alias("p"))
-            .join(bodies, "h").select("h", "p"))
+def with_wrappers(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -> DataFrame:
+    """(h, p, wrapper, region) of each page."""
+    return (pages.select(F.col(host).alias("h"), F.col(page).cast("string").alias("p"))
+            .join(broadcast_if_small(wrappers.withColumnRenamed("host", "h")), "h"))
 
+
+def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -> DataFrame:
+    """(host, constants): slots of the wrapper with one text on all of enough pages."""
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parsed = Wrappers()
         for batch in batches:
             seen: dict[tuple, list] = {}
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at: dict[str, list] = {}
-                for path, block in page_blocks(text or "", ""):
-                    at.setdefault(path, []).append(block)
-                for path, blocks in at.items():
+            for name, text, wrapper, region in zip(*(c.to_pylist() for c in batch.columns)):
+                at: dict[int, list] = {}
+                for slot, block in page_blocks(text or "", region, parsed[wrapper]):
+                    at.setdefault(slot, []).append(block)
+                for slot, blocks in at.items():
                     code = xxhash.xxh64_intdigest("\n".join(blocks)) >> 1
-                    low, high, n = seen.get((name, path), (code, code, 0))
-                    seen[name, path] = [min(low, code), max(high, code), n + 1]
+                    low, high, n = seen.get((name, slot), (code, code, 0))
+                    seen[name, slot] = [min(low, code), max(high, code), n + 1]
             rows = [(h, p, *v) for (h, p), v in seen.items()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((),) * 5,
-                                                (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()))],
-                names=["host", "path", "low", "high", "n"])
-    return (body.mapInArrow(slots, "host string, path string, low long, high long, n long")
-            .groupBy("host", "path").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
-            .where(f"low = high and n >= {CONSTANT_PAGES}")
-            .groupBy("host").agg(F.collect_set("path").alias("constants")))
+                                                (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+                names=["host", "slot", "low", "high", "n"])
+    return (with_wrappers(pages, host, page, wrappers)
+            .mapInArrow(slots, "host string, slot int, low long, high long, n long")
+            .groupBy("host", "slot").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+            .where(f"slot >= 0 and low = high and n >= {CONSTANT_PAGES}")
+            .groupBy("host").agg(F.collect_set("slot").alias("constants")))
 
 
 def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> DataFrame:
     """``pages`` with a string column ``out``, the main text of each page."""
     scratch = Scratch(pages.sparkSession, "wrappers")
     names, column = pages.columns, pages.columns.index(page)
-    host, region, fixed = fresh("host"), fresh("region"), fresh("fixed")
+    host, wrap, region, fixed = fresh("host"), fresh("wrapper"), fresh("region"), fresh("fixed")
     hosted = pages.withColumn(host, _host(url))
     wrappers = infer_wrappers(hosted, host, page, scratch)
     constants = scratch.keep(template_slots(hosted, host, page, wrappers), "constants")
     slots = (wrappers.join(constants, "host", "left")
-             .select(F.col("host").alias(host), F.col("region").alias(region),
-                     F.coalesce("constants", F.expr("cast(array() as array<string>)")).alias(fixed)))
+             .select(F.col("host").alias(host), F.col("wrapper").alias(wrap), F.col("region").alias(region),
+                     F.coalesce("constants", F.expr("cast(array() as array<int>)")).alias(fixed)))
     joined = hosted.join(broadcast_if_small(scratch.keep(slots, "slots")), host, "left") \
-        .select(*names, region, fixed)
+        .select(*names, wrap, region, fixed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parsed = Wrappers()
         for batch in batches:
             made = []
-            last = batch.num_columns - 1
-            for body, where, skipped in zip(batch.column(column).to_pylist(), batch.column(last - 1).to_pylist(),
-                                           batch.column(last).to_pylist()):
+            for body, wrapper, where, skipped in zip(batch.column(column).to_pylist(),
+                                                     *(c.to_pylist() for c in batch.columns[-3:])):
                 skip = set(skipped or ())
-                made.append("\n".join(t for p, t in page_blocks(body or "", where or "") if p not in skip))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(made, pa.string())], names=[*names, out])
+                made.append("\n".join(t for p, t in page_blocks(body or "", where or "", parsed[wrapper]) if p not in skip))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(made, pa.string())], names=[*names, out])
     return joined.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())]))
 
 
