@@ -199,3 +199,14 @@ def test_wrapper_slots_decide(spark):
     df = spark.createDataFrame([(i, "http://w.example/", page.format(i)) for i in range(8)], "id long, url string, html string")
     got = {r.id: r.main for r in html_wrapper.extract_text(df, "url", "html").collect()}
     assert got == {i: f"Title {i}\nBody {i}" for i in range(8)}
+
+
+def test_copies_are_not_template_evidence(spark):
+    page = "<body><h1>Title</h1><p>Body of the page</p></body>"
+    odd = "<body><h1>Own {0}</h1><table><tr><td>Cell {0}</td></tr></table></body>"
+    rows = [(i, "http://copies.example/", page) for i in range(7)] + [(10 + i, "http://mixed.example/", page) for i in range(7)]
+    rows += [(20 + i, "http://mixed.example/", odd.format(i)) for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, url string, html string").repartition(3)
+    got = {r.id: r.main for r in html_wrapper.extract_text(df, "url", "html").collect()}
+    assert {got[i] for i in [*range(7), *range(10, 17)]} == {"Title\nBody of the page"}
+    assert all(got[20 + i] == f"Own {i}\nCell {i}" for i in range(6))

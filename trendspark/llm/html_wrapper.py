@@ -12,13 +12,14 @@ structures are folded in salted groups first and then together, so a host with a
 of the pages is spread over tasks.
 
 *Matching.* Each page is matched against its host's wrapper, so every block of text belongs to
-a slot of it; a slot is constant if it has one text on all pages that fill it, else varying.
+a slot of it. A slot is constant if nearly all distinct pages of the host (``NEARLY_ALL``,
+counted by what their slots say, so copies count once) fill it, all with one text.
 
 *Slots.* On the wrapper, the main region is the outermost ``article`` elements, else
 ``main``, else the body. Slots inside menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments (by element, role, or a word of class or id)
-do not belong to it. Constant slots of at least ``CONSTANT_PAGES`` pages of the host are
-template text and do not belong to it either.
+do not belong to it. Constant slots of a host with at least ``CONSTANT_PAGES`` distinct pages
+are template text and do not belong to it either.
 
 *Text.* Slots of the region are read from the page: character references are decoded,
 white space inside a block is one space, blocks are trimmed and joined by a newline.
@@ -38,6 +39,7 @@ from collections.abc import Iterator
 from functools import reduce
 from itertools import groupby
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -50,6 +52,8 @@ from trendspark.operators.joins import broadcast_if_small
 
 DEPTH = 100
 CONSTANT_PAGES = 5
+NEARLY_ALL = 0.9
+PAGES = -2         # in place of a slot: the count of distinct pages
 SALTS = 32
 
 # Element kinds of HTML.
@@ -375,8 +379,13 @@ def event_blocks(events: list, places: list, region: str) -> Iterator[tuple[int,
     yield from block()
 
 
-def page_blocks(page: str, region: str, wrapper: list | None = None) -> list[tuple[int, str]]:
-    """(slot, text) of the blocks of the host's region, or of the page's own ``main`` or body if it has none."""
+def page_blocks(page: str, region: str) -> list[tuple[int, str]]:
+    """(slot, text) of the blocks of a page by itself."""
+    return region_blocks(page, region)[1]
+
+
+def region_blocks(page: str, region: str, wrapper: list | None = None) -> tuple[str, list[tuple[int, str]]]:
+    """The host's region, or the page's own ``main`` or body if it has none, and its blocks (slot, text)."""
     events = list(page_events(page))
     root, places = page_tree(events)
     match_page(root, wrapper or [])
@@ -384,8 +393,8 @@ def page_blocks(page: str, region: str, wrapper: list | None = None) -> list[tup
         if not choice or re.search(rf"<{choice}\b", page, re.I):
             blocks = list(event_blocks(events, places, choice))
             if blocks or not choice:
-                return blocks
-    return []
+                return choice, blocks
+    return "", []
 
 
 class Wrappers:
@@ -437,29 +446,51 @@ def with_wrappers(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -
 
 
 def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -> DataFrame:
-    """(host, constants): slots of the wrapper with one text on all of enough pages."""
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, constants): slots of the wrapper with one text on nearly all of enough distinct pages.
+
+    A page is what its slots say, so copies count once and pages that differ vary in some
+    slot. Pages are compared with those whose text is of the same region.
+    """
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parsed = Wrappers()
         for batch in batches:
-            seen: dict[tuple, list] = {}
+            seen: dict[tuple, None] = {}
             for name, text, wrapper, region in zip(*(c.to_pylist() for c in batch.columns)):
                 at: dict[int, list] = {}
-                for slot, block in page_blocks(text or "", region, parsed[wrapper]):
+                choice, blocks = region_blocks(text or "", region, parsed[wrapper])
+                for slot, block in blocks:
                     at.setdefault(slot, []).append(block)
-                for slot, blocks in at.items():
-                    code = xxhash.xxh64_intdigest("\n".join(blocks)) >> 1
-                    low, high, n = seen.get((name, slot), (code, code, 0))
-                    seen[name, slot] = [min(low, code), max(high, code), n + 1]
-            rows = [(h, p, *v) for (h, p), v in seen.items()]
+                if at:
+                    codes = {slot: xxhash.xxh64_intdigest("\n".join(some)) >> 1 for slot, some in at.items()}
+                    seen[name, choice, np.array(sorted(codes.items()), np.int64).tobytes()] = None
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*seen) if seen else ((),) * 3, (pa.string(), pa.string(), pa.binary()))],
+                names=["host", "choice", "said"])
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[tuple, list] = {}
+            for name, choice, said in zip(*(c.to_pylist() for c in batch.columns)):
+                for slot, code in [(PAGES, 0), *np.frombuffer(said, np.int64).reshape(-1, 2).tolist()]:
+                    low, high, n = seen.get((name, choice, slot), (code, code, 0))
+                    seen[name, choice, slot] = [min(low, code), max(high, code), n + 1]
+            rows = [(*k, *v) for k, v in seen.items()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((),) * 5,
-                                                (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                names=["host", "slot", "low", "high", "n"])
-    return (with_wrappers(pages, host, page, wrappers)
-            .mapInArrow(slots, "host string, slot int, low long, high long, n long")
-            .groupBy("host", "slot").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
-            .where(f"slot >= 0 and low = high and n >= {CONSTANT_PAGES}")
-            .groupBy("host").agg(F.collect_set("slot").alias("constants")))
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((),) * 6,
+                                                (pa.string(), pa.string(), *[pa.int64()] * 4))],
+                names=["host", "choice", "slot", "low", "high", "n"])
+    found = (with_wrappers(pages, host, page, wrappers)
+             .mapInArrow(contents, "host string, choice string, said binary").distinct()
+             .mapInArrow(slots, "host string, choice string, slot long, low long, high long, n long")
+             .groupBy("host", "choice", "slot")
+             .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")))
+    slot = F.struct("slot", "n", (F.col("low") == F.col("high")).alias("same"))
+    enough = F.array_max(F.transform(F.filter("slots", lambda s: s["slot"] == PAGES), lambda s: s["n"]))
+    template = F.filter("slots", lambda s: (s["slot"] >= 0) & s["same"] & (s["n"] >= F.col("pages") * NEARLY_ALL))
+    return (found.groupBy("host", "choice").agg(F.collect_list(slot).alias("slots"))
+            .withColumn("pages", enough).where(F.col("pages") >= CONSTANT_PAGES)
+            .select("host", F.explode(template).alias("s"), "choice")
+            .groupBy("host").agg(F.collect_set(F.struct("choice", F.col("s.slot").alias("slot"))).alias("constants")))
 
 
 def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> DataFrame:
@@ -472,7 +503,7 @@ def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> Da
     constants = scratch.keep(template_slots(hosted, host, page, wrappers), "constants")
     slots = (wrappers.join(constants, "host", "left")
              .select(F.col("host").alias(host), F.col("wrapper").alias(wrap), F.col("region").alias(region),
-                     F.coalesce("constants", F.expr("cast(array() as array<int>)")).alias(fixed)))
+                     F.coalesce("constants", F.expr("cast(array() as array<struct<choice: string, slot: bigint>>)")).alias(fixed)))
     joined = hosted.join(broadcast_if_small(scratch.keep(slots, "slots")), host, "left") \
         .select(*names, wrap, region, fixed)
 
@@ -482,8 +513,9 @@ def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> Da
             made = []
             for body, wrapper, where, skipped in zip(batch.column(column).to_pylist(),
                                                      *(c.to_pylist() for c in batch.columns[-3:])):
-                skip = set(skipped or ())
-                made.append("\n".join(t for p, t in page_blocks(body or "", where or "", parsed[wrapper]) if p not in skip))
+                choice, blocks = region_blocks(body or "", where or "", parsed[wrapper])
+                skip = {c["slot"] for c in skipped or () if c["choice"] == choice}
+                made.append("\n".join(t for p, t in blocks if p not in skip))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(made, pa.string())], names=[*names, out])
     return joined.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())]))
 
