@@ -210,3 +210,16 @@ def test_copies_are_not_template_evidence(spark):
     got = {r.id: r.main for r in html_wrapper.extract_text(df, "url", "html").collect()}
     assert {got[i] for i in [*range(7), *range(10, 17)]} == {"Title\nBody of the page"}
     assert all(got[20 + i] == f"Own {i}\nCell {i}" for i in range(6))
+
+
+def test_boilerplate_words_need_evidence(spark):
+    page = ("<article data-id='search-12'><section id='discussion' class='discussion'><p>Own {0}</p></section><h2 id='related-work'>Work</h2>"
+            "<div class='social-history'>Hist {0}</div><p id='ad-hoc-queries' title='class=ad'>Query {0}</p><svg-icon></svg-icon>"
+            "<title-card>Card {0}</title-card><div class='related'><a href='/{0}'>Other {0}</a></div><nav class='menu'>Menu {0}</nav>"
+            "<div class='share-buttons'>Tell a friend</div><div class='ad-box'>Buy {0}</div><p>End {0}</p></article>")
+    rows = [(i, "http://many.example/", page.format(i)) for i in range(6)] + [(9, "http://one.example/", page.format(9))]
+    df = spark.createDataFrame(rows, "id long, url string, html string")
+    got = {r.id: r.main for r in html_wrapper.extract_text(df, "url", "html").collect()}
+    for i in range(6):
+        assert got[i] == f"Own {i}\nHist {i}\nQuery {i}\nCard {i}\nEnd {i}"      # the constant heading is template
+    assert got[9] == "Own 9\nWork\nHist 9\nQuery 9\nCard 9\nTell a friend\nEnd 9"

@@ -17,8 +17,9 @@ counted by what their slots say, so copies count once) fill it, all with one tex
 
 *Slots.* On the wrapper, the main region is the outermost ``article`` elements, else
 ``main``, else the body. Slots inside menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments (by element, role, or a word of class or id)
-do not belong to it. Constant slots of a host with at least ``CONSTANT_PAGES`` distinct pages
+forms, scripts, styles and reader comments (by element, role or a whole class) do not
+belong to it; inside it, a class that may also name a part of an article counts only if all
+slots of the element are constant, or mostly link text, over the host's pages. Constant slots of a host with at least ``CONSTANT_PAGES`` distinct pages
 are template text and do not belong to it either.
 
 *Text.* Slots of the region are read from the page: character references are decoded,
@@ -63,11 +64,18 @@ INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i i
 RAW = set("script style textarea title noscript iframe template svg math noembed noframes xmp".split())
 BOILERPLATE_TAGS = set("nav aside form footer button select option input menu dialog head fieldset legend".split()) | RAW
 BOILERPLATE_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
-BOILERPLATE_WORDS = set(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
-    "gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar menu nav "
-    "navbar navigation breadcrumb breadcrumbs footer masthead comment comments respond reply replies discussion "
-    "share sharing social related recommended widget toolbar pagination pager search".split())
+# Classes that hold no article text wherever they stand, and those that may: inside the main
+# region the latter need evidence from the host's pages.
+SURE_WORDS = set(
+    "ad ads advert adverts advertisement advertisements advertising sponsored promo cookie cookies gdpr popup modal "
+    "newsletter sidebar navbar breadcrumb breadcrumbs masthead comment comments pagination pager".split())
+BOILERPLATE_WORDS = SURE_WORDS | set(
+    "sponsor promotion banner consent notice notices alert overlay subscribe subscription signup login menu nav "
+    "navigation footer respond reply replies discussion share sharing social related recommended widget toolbar "
+    "search".split())
+HOLDERS = set("area bar block box button buttons container content form inner item items links list outer panel section "
+              "slot unit wrap wrapper".split())      # a class of such words beside a word of the above counts as that word
+MARKS = "!~"           # behind a tag: boilerplate by its attributes, for sure or given evidence
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"},
@@ -76,33 +84,47 @@ NO_P_CLOSE = INLINE | VOID - {"hr"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|template|svg|math|noembed|noframes|xmp)\b[^>]*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|template|svg|math|noembed|noframes|xmp)(?=[\s/>])[^>]*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
-_ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+
+
+def class_mark(token: str) -> str:
+    """``!`` or ``~`` if one whole class is a word of boilerplate, alone or with holders only."""
+    whole = {token.lower()}
+    parts = whole if whole & BOILERPLATE_WORDS else {w.lower() for w in _PART.findall(token)}
+    words = parts & BOILERPLATE_WORDS
+    if not words or parts - words - HOLDERS:
+        return ""
+    return "!" if words & SURE_WORDS else "~"
 
 
 def element_key(tag: str, attrs: str) -> str:
-    """Name of an element kind: the tag, with ``!`` if its attributes mark boilerplate."""
-    marked = False
+    """Name of an element kind: the tag, with ``!`` or ``~`` if its attributes mark boilerplate."""
+    mark, classes = "", []
     for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
-        value = a or b or c
-        if name.lower() == "role":
-            marked |= value.lower().strip() in BOILERPLATE_ROLES
-        else:
-            marked |= any(w.lower() in BOILERPLATE_WORDS for w in _WORD.findall(value))
-    if marked and tag not in ("html", "body", "article", "main"):
-        return tag + "!"
-    if marked and tag == "article" and re.search(r"comment|reply|replies|respond", attrs, re.I):
-        return "article!"
-    return tag
+        name, value = name.lower(), a or b or c
+        if name == "role" and value.lower().strip() in BOILERPLATE_ROLES:
+            mark = "!"
+        elif name == "class":
+            classes = value.split()
+            marks = set(map(class_mark, classes))
+            mark = "!" if mark == "!" or "!" in marks else "~" if "~" in marks else ""
+    if tag == "article":
+        return "article!" if {"comment", "comments", "reply", "replies", "respond"} & {c.lower() for c in classes} else tag
+    return tag if tag in ("html", "body", "main") else tag + mark
+
+
+def bare(key: str) -> str:
+    return key.rstrip(MARKS)
 
 
 def page_events(page: str) -> Iterator[tuple[str, str]]:
-    """("open", key), ("close", key), ("text", raw) and ("break", "") of a repaired page.
+    """("open", key), ("close", key), ("text", raw), ("break", "") and ("link", "on" or "") of a repaired page.
 
-    Inline elements give no events unless they are marked as boilerplate.
+    Inline elements but links give no events unless they are marked as boilerplate.
     """
     stack: list[str] = []
     for m in _TOKEN.finditer(page):
@@ -117,13 +139,15 @@ def page_events(page: str) -> Iterator[tuple[str, str]]:
                 yield "text", html.escape(m.group()[9:].removesuffix("]]>"))
             continue
         tag = m.group("tag").lower()
+        if tag == "a":
+            yield "link", "" if m.group("end") else "on"
         if m.group("end"):
-            names = [s.rstrip("!") for s in stack]
+            names = [bare(s) for s in stack]
             if tag in names:
                 while True:
                     key = stack.pop()
                     yield "close", key
-                    if key.rstrip("!") == tag:
+                    if bare(key) == tag:
                         break
             elif tag == "p":
                 yield "break", ""
@@ -136,12 +160,12 @@ def page_events(page: str) -> Iterator[tuple[str, str]]:
         if tag in VOID:
             continue
         inline = tag in INLINE
-        if inline and not key.endswith("!"):
+        if inline and key == tag:
             continue
         for closing in ([] if inline or tag in NO_P_CLOSE else [{"p"}]) + ([CLOSES[tag]] if tag in CLOSES else []):
             scope = SCOPES.get(tag, set())
             for at in range(len(stack) - 1, -1, -1):
-                name = stack[at].rstrip("!")
+                name = bare(stack[at])
                 if name in closing:
                     while len(stack) > at:
                         yield "close", stack.pop()
@@ -236,10 +260,14 @@ def merge_structures(structures: list[str]) -> str:
     return json.dumps(reduce(align, map(json.loads, sorted(set(structures)))))
 
 
-def boilerplate(key: str, in_region: bool) -> bool:
-    """Whether an element kind is outside the main text; a page header is, an article's is not."""
-    tag = key.rstrip("!")
-    return key.endswith("!") or tag in BOILERPLATE_TAGS or tag == "header" and not in_region
+def boilerplate(key: str, in_region: bool, in_body: bool = False) -> bool:
+    """Whether an element kind is outside the main text; a page header is, an article's is not.
+
+    Kinds marked ``~`` are so outside the region; inside, or if it is the body, the host's pages decide.
+    """
+    tag = bare(key)
+    return (key.endswith("!") or tag in BOILERPLATE_TAGS
+            or not in_region and (tag == "header" or key.endswith("~") and not in_body))
 
 
 def wrapper_region(wrapper: list) -> str:
@@ -345,33 +373,50 @@ def match_page(nodes: list, wrapper: list) -> bool:
     return table_of(nodes, -1, wrapper) is not None
 
 
-def event_blocks(events: list, places: list, region: str) -> Iterator[tuple[int, str]]:
-    """(slot of the wrapper, block text) for each block of the main region, in page order."""
-    blocked = depth_in = 0          # boilerplate elements open; region elements open
+def event_blocks(events: list, places: list, region: str, unwanted: set[int] | frozenset = frozenset()
+                 ) -> Iterator[tuple[int, str, int]]:
+    """(slot of the wrapper, block text, characters in links) for each block of the main region, in page order.
+
+    ``unwanted`` are nodes of the wrapper that hold no main text, by evidence of the host.
+    """
+    blocked = depth_in = depth = 0          # boilerplate elements open; region elements open; elements open
+    link = 0                                # depth of the open link, plus one
+    linked = 0
     parts: list[str] = []
     where = -1
 
-    def block() -> Iterator[tuple[int, str]]:
+    def block() -> Iterator[tuple[int, str, int]]:
+        nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            yield where, text
+            yield where, text, min(linked, len(text))
+        linked = 0
     for (kind, value), node in zip(events, places):
         if kind == "text":
             if not blocked and (depth_in or not region):
                 if node is not None and not any(p.strip() for p in parts):
                     where = node[2]
                 parts.append(value)
+                if link:
+                    linked += len(" ".join(html.unescape(value).split()))
+            continue
+        if kind == "link":
+            link = depth + 1 if value else 0
             continue
         # a marked inline element is left out of its block without ending it
-        if value.rstrip("!") not in INLINE:
+        if bare(value) not in INLINE:
             yield from block()
         if kind == "open":
-            if blocked or boilerplate(value, bool(depth_in)):
+            depth += 1
+            if blocked or boilerplate(value, bool(depth_in), not region) or node is not None and node[2] in unwanted:
                 blocked += 1
             elif value == region:
                 depth_in += 1
         elif kind == "close":
+            depth -= 1
+            if link > depth + 1:
+                link = 0        # the link was never closed
             if blocked:
                 blocked -= 1
             elif value == region:
@@ -381,17 +426,18 @@ def event_blocks(events: list, places: list, region: str) -> Iterator[tuple[int,
 
 def page_blocks(page: str, region: str) -> list[tuple[int, str]]:
     """(slot, text) of the blocks of a page by itself."""
-    return region_blocks(page, region)[1]
+    return [b[:2] for b in region_blocks(page, region)[1]]
 
 
-def region_blocks(page: str, region: str, wrapper: list | None = None) -> tuple[str, list[tuple[int, str]]]:
-    """The host's region, or the page's own ``main`` or body if it has none, and its blocks (slot, text)."""
+def region_blocks(page: str, region: str, wrapper: list | None = None, unwanted: dict[str, set[int]] = {}
+                  ) -> tuple[str, list[tuple[int, str, int]]]:
+    """The host's region, or the page's own ``main`` or body if it has none, and its blocks."""
     events = list(page_events(page))
     root, places = page_tree(events)
     match_page(root, wrapper or [])
     for choice in dict.fromkeys((region, "main", "")):
         if not choice or re.search(rf"<{choice}\b", page, re.I):
-            blocks = list(event_blocks(events, places, choice))
+            blocks = list(event_blocks(events, places, choice, unwanted.get(choice, frozenset())))
             if blocks or not choice:
                 return choice, blocks
     return "", []
@@ -445,8 +491,29 @@ def with_wrappers(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -
             .join(broadcast_if_small(wrappers.withColumnRenamed("host", "h")), "h"))
 
 
+def unwanted_nodes(wrapper: list, slots: dict[int, tuple[int, bool, int, int]], pages: int) -> list[int]:
+    """Constant slots, and elements marked ``~`` whose slots are all constant or mostly link text.
+
+    ``slots`` holds the pages that fill a slot, whether all say the same, its characters and those in links.
+    """
+    fixed = {slot for slot, (n, same, _, _) in slots.items()
+             if slot >= 0 and same and pages >= CONSTANT_PAGES and n >= NEARLY_ALL * pages}
+    out = sorted(fixed)
+
+    def walk(nodes: list) -> None:
+        for key, _, children, number, end in nodes:
+            if key.endswith("~"):
+                inside = [slot for slot in range(number, end) if slot in slots]
+                size, linked = (sum(slots[slot][k] for slot in inside) for k in (2, 3))
+                if inside and (fixed.issuperset(inside) or 2 * linked >= size):
+                    out.append(number)
+            walk(children)
+    walk(wrapper)
+    return out
+
+
 def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -> DataFrame:
-    """(host, constants): slots of the wrapper with one text on nearly all of enough distinct pages.
+    """(host, skipped): nodes of the wrapper that hold no main text, by the host's distinct pages.
 
     A page is what its slots say, so copies count once and pages that differ vary in some
     slot. Pages are compared with those whose text is of the same region.
@@ -458,11 +525,12 @@ def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame)
             for name, text, wrapper, region in zip(*(c.to_pylist() for c in batch.columns)):
                 at: dict[int, list] = {}
                 choice, blocks = region_blocks(text or "", region, parsed[wrapper])
-                for slot, block in blocks:
-                    at.setdefault(slot, []).append(block)
+                for slot, block, linked in blocks:
+                    at.setdefault(slot, []).append((block, linked))
                 if at:
-                    codes = {slot: xxhash.xxh64_intdigest("\n".join(some)) >> 1 for slot, some in at.items()}
-                    seen[name, choice, np.array(sorted(codes.items()), np.int64).tobytes()] = None
+                    said = [(slot, xxhash.xxh64_intdigest("\n".join(b for b, _ in some)) >> 1,
+                             sum(len(b) for b, _ in some), sum(n for _, n in some)) for slot, some in sorted(at.items())]
+                    seen[name, choice, np.array(said, np.int64).tobytes()] = None
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*seen) if seen else ((),) * 3, (pa.string(), pa.string(), pa.binary()))],
                 names=["host", "choice", "said"])
@@ -471,26 +539,35 @@ def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame)
         for batch in batches:
             seen: dict[tuple, list] = {}
             for name, choice, said in zip(*(c.to_pylist() for c in batch.columns)):
-                for slot, code in [(PAGES, 0), *np.frombuffer(said, np.int64).reshape(-1, 2).tolist()]:
-                    low, high, n = seen.get((name, choice, slot), (code, code, 0))
-                    seen[name, choice, slot] = [min(low, code), max(high, code), n + 1]
+                for slot, code, size, links in [(PAGES, 0, 0, 0), *np.frombuffer(said, np.int64).reshape(-1, 4).tolist()]:
+                    low, high, n, chars, linked = seen.get((name, choice, slot), (code, code, 0, 0, 0))
+                    seen[name, choice, slot] = [min(low, code), max(high, code), n + 1, chars + size, linked + links]
             rows = [(*k, *v) for k, v in seen.items()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((),) * 6,
-                                                (pa.string(), pa.string(), *[pa.int64()] * 4))],
-                names=["host", "choice", "slot", "low", "high", "n"])
-    found = (with_wrappers(pages, host, page, wrappers)
-             .mapInArrow(contents, "host string, choice string, said binary").distinct()
-             .mapInArrow(slots, "host string, choice string, slot long, low long, high long, n long")
-             .groupBy("host", "choice", "slot")
-             .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")))
-    slot = F.struct("slot", "n", (F.col("low") == F.col("high")).alias("same"))
-    enough = F.array_max(F.transform(F.filter("slots", lambda s: s["slot"] == PAGES), lambda s: s["n"]))
-    template = F.filter("slots", lambda s: (s["slot"] >= 0) & s["same"] & (s["n"] >= F.col("pages") * NEARLY_ALL))
-    return (found.groupBy("host", "choice").agg(F.collect_list(slot).alias("slots"))
-            .withColumn("pages", enough).where(F.col("pages") >= CONSTANT_PAGES)
-            .select("host", F.explode(template).alias("s"), "choice")
-            .groupBy("host").agg(F.collect_set(F.struct("choice", F.col("s.slot").alias("slot"))).alias("constants")))
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((),) * 8,
+                                                (pa.string(), pa.string(), *[pa.int64()] * 6))],
+                names=["host", "choice", "slot", "low", "high", "n", "chars", "linked"])
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for wrapper, found in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                numbered, by_choice = number_nodes(json.loads(wrapper)), {}
+                for f in found:
+                    by_choice.setdefault(f["choice"], {})[f["slot"]] = (f["n"], f["same"], f["chars"], f["linked"])
+                made.append([{"choice": choice, "node": node} for choice, at in by_choice.items()
+                             for node in unwanted_nodes(numbered, at, at[PAGES][0])])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(made, pa.list_(pa.struct([("choice", pa.string()), ("node", pa.int64())])))],
+                names=["host", "skipped"])
+    sums = (with_wrappers(pages, host, page, wrappers)
+            .mapInArrow(contents, "host string, choice string, said binary").distinct()
+            .mapInArrow(slots, "host string, choice string, slot long, low long, high long, n long, chars long, linked long")
+            .groupBy("host", "choice", "slot")
+            .agg((F.min("low") == F.max("high")).alias("same"), *[F.sum(c).alias(c) for c in ("n", "chars", "linked")])
+            .groupBy("host").agg(F.collect_list(F.struct("choice", "slot", "n", "same", "chars", "linked")).alias("found")))
+    return (sums.join(wrappers.select("host", "wrapper"), "host").select("host", "wrapper", "found")
+            .mapInArrow(decide, "host string, skipped array<struct<choice: string, node: bigint>>"))
 
 
 def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> DataFrame:
@@ -500,10 +577,10 @@ def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> Da
     host, wrap, region, fixed = fresh("host"), fresh("wrapper"), fresh("region"), fresh("fixed")
     hosted = pages.withColumn(host, _host(url))
     wrappers = infer_wrappers(hosted, host, page, scratch)
-    constants = scratch.keep(template_slots(hosted, host, page, wrappers), "constants")
-    slots = (wrappers.join(constants, "host", "left")
+    skipped = scratch.keep(template_slots(hosted, host, page, wrappers), "skipped")
+    slots = (wrappers.join(skipped, "host", "left")
              .select(F.col("host").alias(host), F.col("wrapper").alias(wrap), F.col("region").alias(region),
-                     F.coalesce("constants", F.expr("cast(array() as array<struct<choice: string, slot: bigint>>)")).alias(fixed)))
+                     F.col("skipped").alias(fixed)))
     joined = hosted.join(broadcast_if_small(scratch.keep(slots, "slots")), host, "left") \
         .select(*names, wrap, region, fixed)
 
@@ -511,11 +588,14 @@ def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> Da
         parsed = Wrappers()
         for batch in batches:
             made = []
-            for body, wrapper, where, skipped in zip(batch.column(column).to_pylist(),
-                                                     *(c.to_pylist() for c in batch.columns[-3:])):
-                choice, blocks = region_blocks(body or "", where or "", parsed[wrapper])
-                skip = {c["slot"] for c in skipped or () if c["choice"] == choice}
-                made.append("\n".join(t for p, t in blocks if p not in skip))
+            for body, wrapper, where, nodes in zip(batch.column(column).to_pylist(),
+                                                   *(c.to_pylist() for c in batch.columns[-3:])):
+                unwanted: dict[str, set[int]] = {}
+                for n in nodes or ():
+                    unwanted.setdefault(n["choice"], set()).add(n["node"])
+                choice, blocks = region_blocks(body or "", where or "", parsed[wrapper], unwanted)
+                skip = unwanted.get(choice, ())
+                made.append("\n".join(t for p, t, _ in blocks if p not in skip))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(made, pa.string())], names=[*names, out])
     return joined.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())]))
 
