@@ -223,3 +223,15 @@ def test_boilerplate_words_need_evidence(spark):
     for i in range(6):
         assert got[i] == f"Own {i}\nHist {i}\nQuery {i}\nCard {i}\nEnd {i}"      # the constant heading is template
     assert got[9] == "Own 9\nWork\nHist 9\nQuery 9\nCard 9\nTell a friend\nEnd 9"
+
+
+def test_piece_query_gives_the_spans(spark, library):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(30).collect()}
+    seen = 0
+    for r in piece_codec.op2_piece_codec(spark, SF).collect():
+        if r.doc_id in docs:
+            want = [(p.id, p.begin, p.end) for p in library.encode(docs[r.doc_id] or "", return_type="proto").pieces]
+            assert list(zip(r.begins, r.ends))[:-1] == [w[1:] for w in want]
+            assert r.n_tokens == len(r.begins) and r.ids_sha256 == brute.sha(" ".join(str(i) for i in [*(w[0] for w in want), 2]))
+            seen += 1
+    assert seen >= 30

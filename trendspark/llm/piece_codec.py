@@ -36,10 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import table
+from trendspark.llm.common import fresh, table
 
 MARK = "▁"
 CACHE = 300_000
+DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
+SPANS = ("begins", "ends")
 LONG = 48          # chunks of more characters are merged with a heap
 _BLOCK = 65_536    # chunks merged at once
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -219,11 +221,20 @@ def normalise(model: PieceModel, text: str) -> tuple[str, list[int]]:
     return "".join(out), [*source, end]
 
 
-def normalised(model: PieceModel, text: str) -> str:
-    """The text of ``normalise`` without offsets; an identity map needs no scan."""
+def aligned(model: PieceModel, text: str) -> tuple[str, np.ndarray]:
+    """``normalise`` for any model; where no prefix can be replaced, offsets are read off the UTF-8 bytes at once."""
     if model.charmap or model.trim or model.suffix or not model.escape or model.user:
-        return normalise(model, text)[0]
-    return (MARK if model.dummy and text else "") + text.replace(" ", MARK)
+        out, source = normalise(model, text)
+        return out, np.array(source, np.int32)
+    data = np.frombuffer(text.encode(), np.uint8)
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    lead = [0] if model.dummy and text else []
+    return (MARK if lead else "") + text.replace(" ", MARK), np.concatenate([lead, starts, [len(data)]]).astype(np.int32)
+
+
+def normalised(model: PieceModel, text: str) -> str:
+    """The text of ``normalise`` without offsets."""
+    return aligned(model, text)[0]
 
 
 def chunker(model: PieceModel) -> Callable[[str], list[str]]:
@@ -460,55 +471,27 @@ def _groups(texts: list[str], bound: int = 2 << 20) -> Iterator[tuple[int, list[
 
 
 def encode_pieces(docs: DataFrame, text: str, model: PieceModel, out: str = "pieces") -> DataFrame:
-    """``docs`` with a struct column ``out``: ids (with the end id), and the span of
-    original bytes of each (``begins``, ``ends``; leading byte pieces and the end id are empty spans)."""
+    """``docs`` with a struct column ``out``: ids (with the end id), the span of original
+    bytes of each (``begins``, ``ends``; leading byte pieces and the end id are empty spans), and
+    n_tokens, ids_sha256 and decoded_sha256 of the ids."""
     sent = docs.sparkSession.sparkContext.broadcast(model.state())
     column, names = docs.columns.index(text), docs.columns
     ints = T.ArrayType(T.IntegerType())
-    kind = T.StructType([T.StructField(c, ints) for c in ("ids", "begins", "ends")])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = PieceModel.from_state(sent.value)
-        encode = _encoder(m)
-        arrow = pa.struct([(c, pa.list_(pa.int32())) for c in ("ids", "begins", "ends")])
-        for batch in batches:
-            made = []
-            for _, some in _groups([t or "" for t in batch.column(column).cast(pa.string()).to_pylist()]):
-                both = [normalise(m, t) for t in some]
-                known, lists = encode([b[0] for b in both])
-                for (_, source), chunks in zip(both, lists):
-                    ids = [i for c in chunks for i in known.ids[c]]
-                    size = np.array([s for c in chunks for s in known.sizes(m, c)], np.int64)
-                    place = np.array(source)
-                    last = np.cumsum(size)
-                    made.append({"ids": [*ids, m.eos], "begins": [*place[last - size].tolist(), source[-1]],
-                                 "ends": [*place[last].tolist(), source[-1]]})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, arrow)], names=[*names, out])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
-
-
-def encode_digests(docs: DataFrame, text: str, model: PieceModel, out: str = "digest") -> DataFrame:
-    """``docs`` with a struct column ``out``: n_tokens, ids_sha256, decoded_sha256.
-
-    The same encoding as ``encode_pieces``; ids and their decoding stay in the task.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(model.state())
-    column, names = docs.columns.index(text), docs.columns
-    kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                         T.StructField("decoded_sha256", T.StringType())])
+    kind = T.StructType([*[T.StructField(c, ints) for c in ("ids", "begins", "ends")], T.StructField("n_tokens", T.LongType()),
+                         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = PieceModel.from_state(sent.value)
         encode = _encoder(m)
+        lengths = np.array([len(n) for n in m.names], np.int32)
         strings: dict[str, str] = {}
         plain: dict[str, str] = {}
         end = str(m.eos)
         whole = m.trim or not m.dummy or m.suffix or not m.fallback  # else the chunks decode one by one
-        arrow = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
         for batch in batches:
-            made = []
-            for _, some in _groups([t or "" for t in batch.column(column).cast(pa.string()).to_pylist()]):
-                known, lists = encode([normalised(m, t) for t in some])
+            for lo, some in _groups([t or "" for t in batch.column(column).cast(pa.string()).to_pylist()]):
+                both = [aligned(m, t) for t in some]
+                known, lists = encode([b[0] for b in both])
                 if len(strings) > len(known.ids):
                     strings.clear()
                     plain.clear()
@@ -519,20 +502,40 @@ def encode_digests(docs: DataFrame, text: str, model: PieceModel, out: str = "di
                     # with byte pieces: the mark before the chunk keeps its own marks from counting as the prefix
                     plain[c] = "".join([pieces[i] for i in ids]) if c not in odd else \
                         decode(m, [m.symbol[MARK], *ids]) if MARK in m.symbol else ""
-                for chunks in lists:
+                flat, begins, ends, counts, of_ids, of_text = [], [], [], [], [], []
+                for (_, source), chunks in zip(both, lists):
+                    ids = [i for c in chunks for i in known.ids[c]]
+                    made = np.array([*ids, m.eos], np.int32)
+                    size = lengths[made[:-1]] if odd.keys().isdisjoint(chunks) else \
+                        np.array([s for c in chunks for s in known.sizes(m, c)], np.int32)
+                    last = np.cumsum(size)
+                    flat.append(made)
+                    begins += [source[last - size], source[-1:]]
+                    ends += [source[last], source[-1:]]
+                    counts.append(len(made))
                     joined = " ".join(map(strings.__getitem__, chunks))
-                    ids_text = f"{joined} {end}" if joined else end
+                    of_ids.append(hashlib.sha256((f"{joined} {end}" if joined else end).encode()).hexdigest())
                     if whole or MARK not in m.symbol:
-                        back = decode(m, [i for c in chunks for i in known.ids[c]] + [m.eos])
+                        back = decode(m, [*ids, m.eos])
                     else:
                         back = "".join(map(plain.__getitem__, chunks))[1:]
-                    made.append({"n_tokens": ids_text.count(" ") + 1,
-                                 "ids_sha256": hashlib.sha256(ids_text.encode()).hexdigest(),
-                                 "decoded_sha256": hashlib.sha256(back.encode()).hexdigest()})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, arrow)], names=[*names, out])
+                    of_text.append(hashlib.sha256(back.encode()).hexdigest())
+                bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                found = pa.StructArray.from_arrays(
+                    [*[pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(v), pa.int32())) for v in (flat, begins, ends)],
+                     pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
+                    names=kind.names)
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, len(some)).columns, found], names=[*names, out])
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
 
 
+def encode_digests(docs: DataFrame, text: str, model: PieceModel, out: str = "digest") -> DataFrame:
+    """``docs`` with a struct column ``out``: n_tokens, ids_sha256, decoded_sha256 of ``encode_pieces``."""
+    pieces = fresh("pieces")
+    return encode_pieces(docs, text, model, pieces).select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.struct(*[F.col(f"{pieces}.{c}") for c in DIGESTS]).alias(out))
+
+
 def default_model() -> str:
     """Path of the production model, a file of the installed tokenizer package."""
     import public_tokenizers
@@ -540,7 +543,7 @@ def default_model() -> str:
 
 
 def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every whole document encoded and decoded."""
+    """Every whole document encoded and decoded, with the byte span of each piece."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = encode_digests(docs, "text", load_model(default_model()))
-    return found.select("doc_id", *[F.col(f"digest.{c}").alias(c) for c in ("n_tokens", "ids_sha256", "decoded_sha256")])
+    found = encode_pieces(docs, "text", load_model(default_model()))
+    return found.select("doc_id", *[F.col(f"pieces.{c}").alias(c) for c in (*DIGESTS, *SPANS)])
