@@ -57,3 +57,19 @@ class Scratch:
         """Let the context cleaner remove shuffles that nothing refers to any more."""
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
+
+
+def common_from(counts: DataFrame, bound: int, c: str = "c") -> int:
+    """Smallest power-of-two-eighth count from which at most ``bound`` rows of ``counts`` have it.
+
+    A bound for what is sent to all tasks; the rest needs a join. Only a histogram of the
+    counts (eight steps to a doubling) reaches the driver.
+    """
+    steps = counts.groupBy(F.floor(F.log2(c) * 8).alias("step")).agg(F.count("*").alias("n"), F.min(c).alias("least"))
+    total, least = 0, 1 << 62
+    for row in sorted(steps.collect(), key=lambda r: -r["step"]):
+        total += row["n"]
+        if total > bound:
+            break
+        least = row["least"]
+    return least

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from trendspark.llm import (
     decontaminate, html_wrapper, language_id, license_scan, ngram_join, piece_codec, quality,
-    sharding, suffix_dedup, topk_search)
+    sharding, suffix_dedup, token_align, topk_search)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_html_extract": html_wrapper.op8_html_extract,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_token_align": token_align.op11_token_align,
 }
 
 ORACLE = {
