@@ -110,3 +110,31 @@ def test_empty_table(spark):
     scratch = Scratch(spark, "test")
     none = scratch.keep(spark.createDataFrame([], "doc_id long, link_a array<int>, link_b array<int>"), "none")
     assert token_align.link_sums(none, scratch).collect() == []
+
+
+def test_both_byte_level_encoders_agree_on_every_character():
+    """The rank encoder against the file's own library: each code point among letters, digits, spaces and marks."""
+    import os
+
+    from tokenizers import Tokenizer
+    a_file = token_align.default_files()[0]
+    with open(a_file, "rb") as f:
+        fast = token_align.ranked_encoder(f.read())
+    slow = Tokenizer.from_file(a_file)
+    slow.encode_special_tokens = True
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    points = [chr(c) for c in [*range(0, 0xD800, 2), *range(0xE000, 0x20000, 3)]]
+    for lo in range(0, len(points), 20_000):
+        some = [f" a{c}1 {c}{c}! {c}b {c}2  {c} '{c}" for c in points[lo:lo + 20_000]]
+        for text, e in zip(some, slow.encode_batch_fast(some, add_special_tokens=False)):
+            assert fast(text).tolist() == e.ids, text
+    for text in ODD:
+        assert fast(text or "").tolist() == slow.encode(text or "", add_special_tokens=False).ids
+
+
+def test_other_files_keep_their_library():
+    import json
+    with open(token_align.default_files()[0], "rb") as f:
+        whole = json.load(f)
+    whole["model"]["merges"][0], whole["model"]["merges"][1] = whole["model"]["merges"][1], whole["model"]["merges"][0]
+    assert token_align.ranked_encoder(json.dumps(whole).encode()) is None
