@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,3 +75,15 @@ def common_from(counts: DataFrame, bound: int, c: str = "c") -> int:
             break
         least = row["least"]
     return least
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside send at most ``rows`` rows at once to Python (rows with long lists)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -34,12 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import Scratch, common_from, table
+from trendspark.llm.common import Scratch, batch_rows, common_from, table
 
 WORK = 1 << 15     # ends of a merge piece
 HOT = 1 << 20      # pairs whose counts are sent to all tasks
 SLICE = 1 << 20    # text bytes aligned at once
 LINKS = 1 << 18    # links looked up at once
+ROWS = 1000        # rows sent to Python at once, as each has long lists
 _HELD = 1 << 20    # distinct pairs a counting task holds before it hands them on
 FIELDS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -86,22 +87,31 @@ def ranked_encoder(a_file: bytes) -> Callable[[str], np.ndarray] | None:
     return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
 
 
+def library_encoder(a_file: bytes):
+    """The file's own library; the strings of its special tokens are plain text."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"     # tasks share the cores
+    from tokenizers import Tokenizer
+    made = Tokenizer.from_str(a_file.decode())
+    made.encode_special_tokens = True
+    return made
+
+
 class Pair:
     """Both tokenizers inside a task, from the contents of their files."""
 
     def __init__(self, a_file: bytes, b_file: bytes) -> None:
-        import os
-
         import sentencepiece
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # tasks share the cores
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_str(a_file.decode())
-        self.a.encode_special_tokens = True                # their strings in a text are plain text
+        self.fast, self.a = ranked_encoder(a_file), None
+        if not self.fast:
+            self.a = library_encoder(a_file)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
-        letters = byte_alphabet()
-        self.fast = ranked_encoder(a_file)
-        size = self.a.get_vocab_size(with_added_tokens=True)
-        names = [self.a.id_to_token(i) or "" for i in range(size)]
+        letters, whole = byte_alphabet(), json.loads(a_file)
+        ids = whole["model"]["vocab"] | {t["content"]: t["id"] for t in whole["added_tokens"]}
+        size = max(ids.values()) + 1
+        names = [""] * size
+        for name, i in ids.items():
+            names[i] = name
         self.a_bytes = TokenBytes([bytes(letters[c] for c in n) if set(n) <= letters.keys() else n.encode() for n in names])
         self.b_bytes = TokenBytes([
             bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
@@ -308,13 +318,15 @@ def link_sums(aligned: DataFrame, scratch: Scratch, hot: int = HOT) -> DataFrame
     """Rows of ``aligned`` (with ``link_a``, ``link_b``) without the links but with ``n_best``
     (links whose pair is the commonest of its B id, ties included) and ``count_sum`` (the
     sum of the links' pair counts)."""
-    counts = scratch.keep(pair_counts(aligned), "counts")
+    spark = aligned.sparkSession
+    with batch_rows(spark, ROWS):
+        counts = scratch.keep(pair_counts(aligned), "counts")
     top = counts.groupBy("b").agg(F.max("c").alias("top"))              # at most one row per B id
     rated = scratch.keep(counts.join(F.broadcast(top), "b").select("pair", "c", (F.col("c") == F.col("top")).alias("best")), "rated")
     scratch.drop(counts)
     least = common_from(rated, hot)
     common = rated.where(F.col("c") >= least).toArrow().sort_by("pair")
-    sent = aligned.sparkSession.sparkContext.broadcast(
+    sent = spark.sparkContext.broadcast(
         (common["pair"].to_numpy(), common["c"].to_numpy(), common["best"].to_numpy()))
     kept = [f for f in aligned.schema.fields if f.name not in ("link_a", "link_b")]
     made = T.StructType([*kept, *[T.StructField(n, T.LongType()) for n in ("__row", "__best", "__sum")],
@@ -341,7 +353,8 @@ def link_sums(aligned: DataFrame, scratch: Scratch, hot: int = HOT) -> DataFrame
                  pa.array(_sums(count, sizes)), pa.ListArray.from_arrays(pa.array(rare, pa.int32()), pa.array(key[~hit]))],
                 names=made.names)
             first += batch.num_rows
-    summed = scratch.keep(aligned.mapInArrow(run, made), "summed")
+    with batch_rows(spark, ROWS):
+        summed = scratch.keep(aligned.mapInArrow(run, made), "summed")
     scratch.drop(aligned)
     rare = (summed.select("__row", F.explode("__rare").alias("pair")).groupBy("__row", "pair").agg(F.count("*").alias("n"))
             .join(rated.where(F.col("c") < least), "pair")
@@ -365,7 +378,9 @@ def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scratch = Scratch(spark, "align")
     digest = F.when(F.col("aligned.n_a") > 0, F.sha2("aligned.groups", 256)).otherwise("")
-    found = scratch.keep(align_tokens(docs, "text", *default_files()).select(
+    aligned = align_tokens(docs, "text", *default_files()).select(
         "doc_id", *[F.col(f"aligned.{n}").alias(n) for n in FIELDS], digest.alias("groups_sha256"),
-        F.col("aligned.link_a").alias("link_a"), F.col("aligned.link_b").alias("link_b")), "links")
+        F.col("aligned.link_a").alias("link_a"), F.col("aligned.link_b").alias("link_b"))
+    with batch_rows(spark, ROWS):
+        found = scratch.keep(aligned, "links")
     return link_sums(found, scratch)
