@@ -18,7 +18,7 @@ are sent to all tasks; the links of the other pairs are joined with theirs.
 Defined cases: null and empty texts, and texts whose joined token bytes are not a space
 and the text (such as texts with U+2581), have no tokens: zeros, and '' as digest. Rows
 are independent (repeated rows, null ids); other columns pass through; an empty table
-gives an empty result. Memory follows one slice of ``SLICE`` bytes or the longest text.
+gives an empty result. Memory follows one slice of ``SLICE`` characters or the longest text.
 """
 
 from __future__ import annotations
@@ -36,12 +36,12 @@ from pyspark.sql import types as T
 
 from trendspark.llm.common import Scratch, batch_rows, common_from, table
 
-WORK = 1 << 15     # ends of a merge piece
+WORK = 1 << 14     # ends of a merge piece
 HOT = 1 << 20      # pairs whose counts are sent to all tasks
-SLICE = 1 << 20    # text bytes aligned at once
-LINKS = 1 << 18    # links looked up at once
+SLICE = 1 << 17    # text characters aligned at once
+LINKS = 1 << 17    # links looked up at once
 ROWS = 1000        # rows sent to Python at once, as each has long lists
-_HELD = 1 << 20    # distinct pairs a counting task holds before it hands them on
+_HELD = 1 << 19    # distinct pairs a counting task holds before it hands them on
 FIELDS = ("n_a", "n_b", "n_groups", "n_links")
 
 
