@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from trendspark.llm import (
-    decontaminate, html_wrapper, language_id, license_scan, ngram_join, piece_codec, quality,
+    collocations, decontaminate, html_wrapper, language_id, license_scan, ngram_join, piece_codec, quality,
     sharding, suffix_dedup, token_align, topk_search)
 
 QUERIES = {
@@ -18,10 +18,12 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_language_id": language_id.op10_language_id,
     "op11_token_align": token_align.op11_token_align,
+    "op12_collocations": collocations.op12_collocations,
 }
 
 ORACLE = {
     "op1_decontaminate": decontaminate.OP1_SQL,
     "op4_exact_topk": topk_search.OP4_SQL,
     "op6_license_scan": license_scan.OP6_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }
