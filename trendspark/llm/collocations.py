@@ -10,8 +10,9 @@ ROLLUP over (language, first, second, third word) gives every shorter count, dow
 words of a language. Before it, windows lose the suffixes that cannot matter: the third
 word of a window that occurs fewer than ``least`` times, then the second word of a pair
 that does. Their counts stay with the prefix, so all marginals of ``least`` and more are
-exact. Both cuts need no further shuffle, because rows are dealt by the first two words;
-pairs that lead much of all rows are dealt by the third word, too.
+exact. Both cuts need no further shuffle, because rows are dealt by the first word; words
+that lead much of all windows are dealt by the other two words, too, and their pairs are
+cut after the sums. A block's windows of one first word travel as one row.
 
 *Scores.* floor(10^6 a a / (l r)) of the worse cut in decimals of 38 digits (counts below
 10^14). Pairs inside a counted triple with at least half of their occurrences go.
@@ -24,10 +25,12 @@ bytes of the phrase. Memory follows ``SLICE_BYTES`` or the longest text, in bloc
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +43,8 @@ INSIDE = (100, 50)   # a pair goes where 100 x triple >= 50 x pair
 TOP = 2000           # candidates reported per language
 BLOCK = 1 << 19      # windows counted at once
 SLICE_BYTES = 4 << 20
-HOT_SHARE = 512      # pairs that lead more than 1 / HOT_SHARE of all rows are dealt by three words
-SPREAD = 64
+HOT_SHARE = 64       # words that lead more than 1 / HOT_SHARE of all windows are spread
+SPREAD = 64          # parts of a hot word, and of a language when ranked
 _KEYS = ("lang", "w1", "w2", "w3")
 
 
@@ -64,79 +67,105 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, joined
 
 
-def _count_block(lang: str, words: pa.Array, follows: np.ndarray, lead: int) -> pa.RecordBatch:
-    """Counted windows of the first ``lead`` words of one language's run of words."""
+def _count_block(words: pa.Array, follows: np.ndarray, lead: int) -> tuple:
+    """Counted windows of the first ``lead`` words of a run: (dictionary with the pad first,
+    first, second and third word of each distinct window, its count)."""
     coded = words.dictionary_encode()
     ids, size = coded.indices.to_numpy().astype(np.int64) + 1, len(coded.dictionary) + 1      # 0 is the pad
     padded, chain = np.append(ids, [0, 0]), np.append(follows, [False, False])
     second = np.where(chain[:lead], padded[1:lead + 1], 0)
     third = np.where(chain[:lead] & chain[1:lead + 1], padded[2:lead + 2], 0)
     keys, seen = np.unique((padded[:lead] * size + second) * size + third, return_counts=True)
-    pair, rest = np.divmod(keys, size)
+    pair, third = np.divmod(keys, size)
     first, second = np.divmod(pair, size)
-    new = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
-    rows_of_pair = np.diff(np.append(new, len(pair)))
-    wide = np.repeat(rows_of_pair * HOT_SHARE >= len(pair), rows_of_pair) & (second > 0)
-    names = pa.concat_arrays([pa.array([""]), coded.dictionary.cast(pa.string())])
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int64))), names.take(pa.array(first)), names.take(pa.array(second)),
-         names.take(pa.array(rest)), pa.array(seen.astype(np.int64)), pa.array(wide)], names=[*_KEYS, "c", "wide"])
+    return pa.concat_arrays([pa.array([""]), coded.dictionary.cast(pa.string())]), first, second, third, seen
 
 
-def windows(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, w1, w2, w3, c, wide): longest windows, counted within blocks of a task.
-
-    ``wide`` marks the windows whose first two words lead many of a block's rows.
-    """
+def _blocks(batches: Iterator[pa.RecordBatch], sized: int, bound: int) -> Iterator[tuple]:
+    """(language, *counted windows) of the blocks of a task's rows (language, text)."""
     low = np.arange(256, dtype=np.uint8)
     low[65:91] += 32
-    sized, bound = BLOCK, SLICE_BYTES
+    for batch in batches:
+        langs = batch.column(0).to_numpy(zero_copy_only=False).astype(str)
+        for part in text_slices(batch.column(1), bound):
+            names, code = np.unique(langs[part.lo:part.hi], return_inverse=True)
+            starts, ends, joined = _words(part.data, part.offsets)
+            if not len(starts):
+                continue
+            sizes = ends - starts
+            at = np.append(0, np.cumsum(sizes))
+            body = low[part.data[np.repeat(starts - at[:-1], sizes) + np.arange(at[-1])]]
+            words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(body)])
+            own = code[np.searchsorted(part.offsets, starts, "right") - 1]
+            for k, name in enumerate(names):
+                mine = np.flatnonzero(own == k)      # words that follow one another stay neighbours
+                for lo in range(0, len(mine), sized):
+                    some = mine[lo:lo + sized + 2]
+                    yield str(name), *_count_block(words.take(pa.array(some)), joined[some], min(sized, len(mine) - lo))
+
+
+def hot_words(rows: DataFrame) -> set[tuple[str, str]]:
+    """The (language, word) pairs, ``2 * HOT_SHARE`` at most, that lead much of all counted windows.
+
+    A block names the words that lead 1 / (2 HOT_SHARE) of it, so every word that leads
+    1 / HOT_SHARE of all is among them.
+    """
+    sized, bound, share = BLOCK, SLICE_BYTES, 2 * HOT_SHARE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, names, first, _, _, _ in _blocks(batches, sized, bound):
+            lead = np.bincount(first, minlength=len(names))
+            wide = np.flatnonzero(lead * share >= len(first))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * (len(wide) + 1)), pa.concat_arrays([names.take(pa.array(wide)), pa.array([""])]),
+                 pa.array(np.append(lead[wide], len(first)))], names=["lang", "w1", "r"])
+    led = rows.mapInArrow(run, "lang string, w1 string, r long").groupBy("lang", "w1").agg(F.sum("r").alias("r"))
+    found = led.groupBy().agg(F.sum(F.when(F.col("w1") == "", F.col("r"))).alias("total")).first()["total"]
+    return {(r["lang"], r["w1"]) for r in led.where((F.col("w1") != "") & (F.col("r") * share >= (found or 1))).collect()}
+
+
+def windows(rows: DataFrame, hot: set[tuple[str, str]]) -> DataFrame:
+    """(lang, w1, salt, next): the counted windows of a block by their first word; ``next``
+    has a line ``w2 w3 count`` for each. Hot words are spread by the other two words."""
+    sized, bound, spread = BLOCK, SLICE_BYTES, SPREAD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = batch.column(0).to_numpy(zero_copy_only=False).astype(str)
-            for part in text_slices(batch.column(1), bound):
-                names, code = np.unique(langs[part.lo:part.hi], return_inverse=True)
-                starts, ends, joined = _words(part.data, part.offsets)
-                if not len(starts):
-                    continue
-                sizes = ends - starts
-                at = np.append(0, np.cumsum(sizes))
-                body = low[part.data[np.repeat(starts - at[:-1], sizes) + np.arange(at[-1])]]
-                words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(body)])
-                own = code[np.searchsorted(part.offsets, starts, "right") - 1]
-                for k, name in enumerate(names):
-                    mine = np.flatnonzero(own == k)      # words that follow one another stay neighbours
-                    for lo in range(0, len(mine), sized):
-                        some = mine[lo:lo + sized + 2]
-                        yield _count_block(str(name), words.take(pa.array(some)), joined[some], min(sized, len(mine) - lo))
-    found = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("l"), F.col(text).cast("string").alias("t"))
-    return found.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, c long, wide boolean")
+        for lang, names, first, second, third, seen in _blocks(batches, sized, bound):
+            salt = np.zeros(len(first), np.int64)
+            mine = pc.index_in(pa.array([w for k, w in hot if k == lang], pa.string()), names).drop_null().to_numpy()
+            if len(mine):
+                mark = np.array([zlib.crc32(w.encode()) for w in names.to_pylist()], np.int64)
+                salt = np.where(np.isin(first, mine), 1 + (mark[second] * 31 + mark[third]) % spread, 0)
+                order = np.lexsort((salt, first))
+                first, second, third, seen, salt = first[order], second[order], third[order], seen[order], salt[order]
+            lines = pc.binary_join_element_wise(names.take(pa.array(second)), names.take(pa.array(third)), pa.array(seen).cast(pa.string()), " ")
+            new = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (salt[1:] != salt[:-1])))
+            packed = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(new, len(first)), pa.int32()), lines), "\n")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang]).take(pa.array(np.zeros(len(new), np.int64))), names.take(pa.array(first[new])),
+                 pa.array(salt[new], pa.int32()), packed], names=["lang", "w1", "salt", "next"])
+    return rows.mapInArrow(run, "lang string, w1 string, salt int, next string")
 
 
 def phrase_counts(docs: DataFrame, scratch: Scratch, text: str = "text", lang: str = "lang", least: int = LEAST) -> DataFrame:
     """(level, lang, w1, w2, w3, c): exact counts of all phrases of up to three words with at
     least ``least`` occurrences (``level`` words), and of each language's words (level 0)."""
-    spark = docs.sparkSession
-    rows = scratch.keep(windows(docs, text, lang), "windows")
-    hot = (rows.where("wide").groupBy("lang", "w1", "w2").agg(F.count("*").alias("r"))
-           .where(F.col("r") * HOT_SHARE >= max(rows.count(), 1)).select("lang", "w1", "w2", F.lit(True).alias("hot")))
-    # at most HOT_SHARE pairs lead that many rows each
-    dealt = (rows.join(F.broadcast(hot), ["lang", "w1", "w2"], "left")
-             .withColumn("salt", F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("w3"), F.lit(SPREAD))).otherwise(0))
-             .repartition("lang", "w1", "w2", "salt"))
-    triples = dealt.groupBy("lang", "w1", "w2", "salt", "w3").agg(F.sum("c").alias("c"))
-    cut = triples.withColumn("w3", F.when(F.col("c") >= least, F.col("w3")).otherwise(""))
-    pair = F.sum("c").over(Window.partitionBy("lang", "w1", "w2", "salt"))
-    cut = (cut.groupBy("lang", "w1", "w2", "salt", "w3").agg(F.sum("c").alias("c"))
-           .withColumn("w2", F.when((F.col("salt") > 0) | (pair >= least), F.col("w2")).otherwise("")))
+    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("l"), F.col(text).cast("string").alias("t"))
+    dealt = windows(rows, hot_words(rows)).repartition("lang", "w1", "salt")     # few words a row: unpacked after the shuffle
+    line = dealt.select("lang", "w1", "salt", F.explode(F.split("next", "\n")).alias("line"))
+    triples = (line.groupBy("lang", "w1", "salt", F.substring_index("line", " ", 2).alias("rest"))
+               .agg(F.sum(F.substring_index("line", " ", -1).cast("long")).alias("c")))
+    parts = F.split("rest", " ")
+    cut = (triples.withColumn("w2", parts[0]).withColumn("w3", F.when(F.col("c") >= least, parts[1]).otherwise(""))
+           .groupBy("lang", "w1", "salt", "w2", "w3").agg(F.sum("c").alias("c")))
+    pair = F.sum("c").over(Window.partitionBy("lang", "w1", "salt", "w2"))
+    cut = cut.withColumn("w2", F.when((F.col("salt") > 0) | (pair >= least), F.col("w2")).otherwise(""))
     longest = scratch.keep(cut.groupBy(*_KEYS).agg(F.sum("c").alias("c")), "longest")
-    scratch.drop(rows)
     rolled = longest.rollup(*_KEYS).agg(F.grouping_id().alias("g"), F.sum("c").alias("c"))
     level = F.when(F.col("g") == 0, 3).when(F.col("g") == 1, 2).when(F.col("g") == 3, 1).when(F.col("g") == 7, 0)
-    blank = F.element_at(F.array("w1", "w2", "w3"), F.greatest("level", F.lit(1)))     # the last word of the prefix
+    last = F.element_at(F.array("w1", "w2", "w3"), F.greatest("level", F.lit(1)))     # the last word of the prefix
     counts = (rolled.withColumn("level", level).where("level is not null")
-              .where((F.col("level") == 0) | ((blank != "") & (F.col("c") >= least))))
+              .where((F.col("level") == 0) | ((last != "") & (F.col("c") >= least))))
     kept = scratch.keep(counts.select("level", *_KEYS, "c"), "counts")
     scratch.drop(longest)
     return kept
