@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from trendspark.llm import (
-    collocations, decontaminate, html_wrapper, language_id, license_scan, ngram_join, piece_codec, quality,
+    collocations, decontaminate, html_wrapper, language_id, license_scan, log_bilinear, ngram_join, piece_codec, quality,
     sharding, suffix_dedup, token_align, topk_search)
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_language_id": language_id.op10_language_id,
     "op11_token_align": token_align.op11_token_align,
     "op12_collocations": collocations.op12_collocations,
+    "op13_log_bilinear": log_bilinear.op13_log_bilinear,
 }
 
 ORACLE = {
