@@ -5,7 +5,7 @@ import pytest
 from fixtures import write_jsonl
 from trendspark.sources.io import read_jsonl, read_raw
 from trendspark.sources.schemas import RAW_TABLES, TABLE_KEYS
-from trendspark.sources.upsert import CommitConflict, VersionedTable, load_batch, upsert
+from trendspark.sources.upsert import load_batch, read_table, upsert
 
 SCHEMA = "k string, v int, note string"
 
@@ -37,62 +37,98 @@ def test_missing_column_null_extra_column_error(spark):
     assert "extra" in upsert(target, wide, ["k"], evolve=True).columns
 
 
-def test_versioned_load(spark, tmpdir_path):
+def _buckets(root):
+    return {d: sorted(f for f in os.listdir(os.path.join(base, d)) if f.endswith(".parquet"))
+            for base, dirs, _ in os.walk(root) for d in dirs if d.startswith("_bucket=")}
+
+
+def test_loads_one_after_another(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "table")
-    b1 = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x")], SCHEMA)
-    b2 = spark.createDataFrame([("b", 20, "y")], SCHEMA)
-    assert load_batch(spark, root, b1, ["k"], buckets=4) == 2
-    table = VersionedTable(spark, root)
-    before = table.manifest()
-    assert load_batch(spark, root, b2, ["k"]) == 2
-    assert load_batch(spark, root, b2, ["k"]) == 2          # replay: same table
-    assert sorted(map(tuple, table.read().collect())) == [("a", 1, "x"), ("b", 20, "y")]
-    assert load_batch(spark, root, spark.createDataFrame([], SCHEMA), ["k"]) == 2
-    assert len(table.versions()) == 2 and table.versions()[-1] == 2     # older versions expired
-    now = table.manifest()
-    touched = [k for k in now["buckets"] if now["buckets"][k] != before["buckets"].get(k)]
-    assert len(touched) == 1                                 # the other bucket kept its files
+    b1 = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x"), (None, 3, "x")], SCHEMA)
+    b2 = spark.createDataFrame([("b", 20, "y"), ("b", 21, "y")], SCHEMA)
+    assert read_table(spark, root) is None
+    assert load_batch(spark, root, spark.createDataFrame([], SCHEMA), ["k"], buckets=4) == 0 and read_table(spark, root) is None
+    assert load_batch(spark, root, b1, ["k"], buckets=4) == 3
+    assert load_batch(spark, root, b2, ["k"]) == 4
+    assert load_batch(spark, root, b2, ["k"], buckets=9) == 4          # replay: same table, the table's own buckets
+    assert sorted(map(tuple, read_table(spark, root).collect()), key=repr) == sorted(
+        [("a", 1, "x"), ("b", 20, "y"), ("b", 21, "y"), (None, 3, "x")], key=repr)
+    assert load_batch(spark, root, spark.createDataFrame([], SCHEMA), ["k"]) == 4
+    assert set(_buckets(root)) <= {f"_bucket={i}" for i in range(4)}
 
 
 def test_untouched_buckets_keep_their_files(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "table")
     load_batch(spark, root, spark.createDataFrame([(f"k{i}", i, "x") for i in range(200)], SCHEMA), ["k"], buckets=16)
-    table = VersionedTable(spark, root)
-    before = set(table.read().inputFiles())
+    before = _buckets(root)
     assert load_batch(spark, root, spark.createDataFrame([("k7", 70, "y")], SCHEMA), ["k"]) == 200
-    after = set(table.read().inputFiles())
-    assert len(before & after) >= 15 and len(after - before) >= 1
+    after = _buckets(root)
+    assert len(before) == 16 and sum(before[b] != after[b] for b in before) == 1
 
 
-def test_conflicting_commit_is_rejected_and_lost_manifests_are_noticed(spark, tmpdir_path):
+def test_key_type_mismatch_loses_no_row(spark, tmpdir_path):
+    """A batch whose keys have another type meets the stored rows' buckets."""
     root = os.path.join(tmpdir_path, "table")
-    rows = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x")], SCHEMA)
-    load_batch(spark, root, rows, ["k"])
-    table = VersionedTable(spark, root)
-    base = table.manifest()
-    table.commit(spark.createDataFrame([("c", 3, "y")], SCHEMA), ["k"], base)
-    with pytest.raises(CommitConflict):
-        table.commit(spark.createDataFrame([("d", 4, "z")], SCHEMA), ["k"], base)
-    assert [tuple(r) for r in table.read().collect()] == [("c", 3, "y")]
-    for name in os.listdir(os.path.join(root, "_versions")):
-        os.remove(os.path.join(root, "_versions", name))
-    with pytest.raises(RuntimeError):                       # never taken for a new table
-        load_batch(spark, root, rows, ["k"])
-
-
-def test_crash_before_publishing_leaves_the_table(spark, tmpdir_path, monkeypatch):
+    load_batch(spark, root, spark.range(200).selectExpr("id AS k", "id AS v"), ["k"], buckets=16)
+    assert load_batch(spark, root, spark.createDataFrame([("007", 70)], "k string, v long"), ["k"]) == 200
+    assert load_batch(spark, root, spark.createDataFrame([(8.0, 80)], "k double, v long"), ["k"]) == 200
+    got = {r["k"]: r["v"] for r in read_table(spark, root).collect()}
+    assert len(got) == 200 and got[7] == 70 and got[8] == 80 and all(got[i] == i for i in range(9, 200))
+
+
+def test_new_columns_reach_all_buckets(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "table")
-    load_batch(spark, root, spark.createDataFrame([("a", 1, "x"), ("b", 2, "x")], SCHEMA), ["k"])
+    load_batch(spark, root, spark.createDataFrame([(f"k{i}", i, "x") for i in range(40)], SCHEMA), ["k"], buckets=8)
+    wide = spark.createDataFrame([("k1", 10, "y", 5)], SCHEMA + ", extra int")
+    with pytest.raises(ValueError):
+        load_batch(spark, root, wide, ["k"])
+    assert load_batch(spark, root, wide, ["k"], evolve=True) == 40
+    rows = {r["k"]: r for r in read_table(spark, root).collect()}
+    assert rows["k1"]["extra"] == 5 and rows["k2"]["extra"] is None and len(rows) == 40
+    assert load_batch(spark, root, spark.createDataFrame([("k2", 9)], "k string, v int"), ["k"]) == 40
+
 
-    def crash(self, version, manifest):
-        raise OSError("killed")
-    monkeypatch.setattr(VersionedTable, "_publish", crash)
-    with pytest.raises(OSError):
-        load_batch(spark, root, spark.createDataFrame([("c", 3, "y")], SCHEMA), ["k"])
-    monkeypatch.undo()
+def test_failed_load_leaves_the_table(spark, tmpdir_path):
+    from pyspark.errors import PySparkException
+    root = os.path.join(tmpdir_path, "table")
+    load_batch(spark, root, spark.createDataFrame([("a", 1, "x"), ("b", 2, "x")], SCHEMA), ["k"])
+    bad = spark.createDataFrame([("a", "1", "y"), ("c", "many", "y")], "k string, v string, note string")
+    with pytest.raises(PySparkException):
+        load_batch(spark, root, bad, ["k"])
+    assert sorted(map(tuple, read_table(spark, root).collect())) == [("a", 1, "x"), ("b", 2, "x")]
     assert load_batch(spark, root, spark.createDataFrame([("c", 3, "y")], SCHEMA), ["k"]) == 3
 
 
+def test_a_load_counts_what_it_writes(spark, tmpdir_path):
+    """Of a batch that touches every bucket, nothing written is read again for the count."""
+    root = os.path.join(tmpdir_path, "table")
+    rows = spark.range(0, 500, 1, 2).selectExpr("cast(id AS string) AS k", "cast(id AS int) AS v", "'x' AS note")
+    load_batch(spark, root, rows, ["k"], buckets=4)
+    tracker = spark.sparkContext._jsc.sc().statusStore()
+    before = tracker.jobsList(None).size()
+    assert load_batch(spark, root, rows, ["k"]) == 500
+    used = tracker.jobsList(None).size() - before
+    assert used <= 8        # the schema, the stored bucket count, broadcasts and the write's own stages
+
+
+def test_a_file_landing_meanwhile_is_in_neither(spark, tmpdir_path):
+    """Rows and rejects come from one stored parse."""
+    from trendspark.session import materialize
+    from trendspark.sources.io import newest_landed, read_landed, rejected_lines
+    path = os.path.join(tmpdir_path, "raw_summoners")
+    os.makedirs(path)
+
+    def land(name, key):
+        with open(os.path.join(path, name), "w") as h:
+            h.write('{"puuid": "%s"}\n{broken %s\n' % (key, key))
+    land("a.jsonl", "p1")
+    parsed = materialize(read_landed(spark, tmpdir_path, "raw_summoners"), "landed")
+    assert [r["puuid"] for r in newest_landed(parsed, "raw_summoners").collect()] == ["p1"]
+    land("b.jsonl", "p2")
+    assert [(r["line"], r["reason"]) for r in rejected_lines(parsed).collect()] == [("{broken p1", "not a JSON object")]
+    assert rejected_lines(read_landed(spark, tmpdir_path, "raw_summoners")).count() == 2
+
+
 def test_row_set_does_not_depend_on_the_columns_read(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "raw_matches")
     os.makedirs(path)

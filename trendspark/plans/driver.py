@@ -438,16 +438,21 @@ def q_keyed_upsert(spark, sf):
     return upsert(target, batch, ["o_orderkey"])
 
 
-def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
+def snapshot_runs(spark: SparkSession, sf: str) -> tuple[list[tuple[DataFrame, str]], str, list[str]]:
     """Three runs: brands ending in 1 come later, brands ending in 2 leave and return."""
     every = standins.seed_champions(spark, sf, version="2")
     v1 = standins.seed_champions(spark, sf, size_max=25, version="1").where("champion_id % 10 <> 1")
     v2 = every.where("champion_id % 10 <> 2")
-    key, checks = "champion_id", ["primary_role", "secondary_role", "resource_type",
-                                  "champion_name", "champion_title"]
-    snap = scd2.scd2_merge(None, v1, key, checks, "1996-03-01 00:00:00")
-    snap = scd2.scd2_merge(snap, v2, key, checks, "1998-01-01 00:00:00")
-    return scd2.scd2_merge(snap, every, key, checks, "1999-06-01 00:00:00")
+    checks = ["primary_role", "secondary_role", "resource_type", "champion_name", "champion_title"]
+    return [(v1, "1996-03-01 00:00:00"), (v2, "1998-01-01 00:00:00"), (every, "1999-06-01 00:00:00")], "champion_id", checks
+
+
+def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    runs, key, checks = snapshot_runs(spark, sf)
+    snap = None
+    for source, now in runs:
+        snap = scd2.scd2_merge(snap, source, key, checks, now)
+    return snap
 
 
 @query("scd2_merge")
@@ -458,12 +463,12 @@ def q_scd2_merge(spark, sf):
 
 @query("scd2_asof")
 def q_scd2_asof(spark, sf):
-    """Participants joined to the champion version valid at match start (null before the first)."""
+    """Participants with the champion version valid at match start (null before the first), by one stream in time order."""
     s = staged(spark, sf)
     facts = s.participants.join(s.matches.select("match_id", "game_start_at"), "match_id")
     facts = facts.select("participant_key", "champion_id", "game_start_at")
     return scd2.as_of(facts, _snapshots(spark, sf), "champion_id", "champion_id",
-                      "game_start_at", ["primary_role", "champion_title", "dbt_scd_id"])
+                      "game_start_at", ["primary_role", "champion_title", "dbt_scd_id"], versions=0)
 
 
 @query("tracked_semi")

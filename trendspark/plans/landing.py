@@ -19,7 +19,8 @@ from trendspark.plans.driver import query
 from trendspark.session import ensure_checkpoint_dir
 from trendspark.sources import io
 from trendspark.sources.schemas import STATIC_DOCUMENT
-from trendspark.sources.upsert import VersionedTable, load_batch, newest_per_key
+from trendspark.sources.upsert import load_batch, newest_per_key, read_table
+from trendspark.streaming.ingest import start_ingest
 
 STAMP = "2024-01-01T00:00:00+00:00"
 
@@ -177,12 +178,59 @@ def q_landing_upsert(spark, sf):
 
 @query("store_upsert")
 def q_store_upsert(spark, sf):
-    """The batches loaded one after another into the bucketed store."""
+    """The batches loaded one after another into the table of key buckets, the last with text keys."""
     root = _folder(spark, "store")
-    for batch in _order_batches(spark, sf):
-        load_batch(spark, root, batch, ["o_orderkey"], buckets=8)
-    table = VersionedTable(spark, root)
-    return table.read().withColumn("rows_stored", F.lit(table.count()))
+    batches = _order_batches(spark, sf)
+    batches[2] = batches[2].withColumn("o_orderkey", F.format_string("%09d", "o_orderkey"))
+    for batch in batches:
+        rows = load_batch(spark, root, batch, ["o_orderkey"], buckets=8)
+    return read_table(spark, root).withColumn("rows_stored", F.lit(rows).cast("long"))
+
+
+class _Lost(RuntimeError):
+    """A run that is lost before its micro-batch counts as done."""
+
+
+@query("stored_snapshot")
+def q_stored_snapshot(spark, sf):
+    """Three runs of the stored history, closed versions apart from open ones."""
+    root = _folder(spark, "snapshot")
+    runs, key, checks = driver.snapshot_runs(spark, sf)
+    for source, now in runs:
+        history = models.store_snapshot(spark, root, source, key, checks, now)
+    return history
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf):
+    """§2.11: the batches landed as files and upserted by streams with one checkpoint; the second
+    run is lost after its load, so the third replays its micro-batch and then takes the rest."""
+    root = _folder(spark, "stream")
+    batches = _order_batches(spark, sf)
+    batches[1] = batches[1].distinct()      # a batch's files follow one another, so its keys are in one of them only
+
+    def land(i: int) -> None:
+        io.write_jsonl(batches[i], f"{root}/landing/batch={i}")
+
+    def run(on_batch=None) -> None:
+        # a file of a batch is a micro-batch's at least: batches land one after another
+        start_ingest(spark, f"{root}/landing/*", f"{root}/table", batches[0].schema, ["o_orderkey"],
+                     on_batch=on_batch).awaitTermination()
+
+    def lost(batch_id: int, rows: int) -> None:
+        raise _Lost(f"micro-batch {batch_id} of {rows} rows")
+    land(0)
+    run()
+    land(1)
+    try:
+        run(lost)
+    except Exception as failed:
+        if "_Lost" not in str(failed):
+            raise
+    land(2)
+    run()       # the replayed micro-batch
+    run()       # nothing is left
+    return read_table(spark, f"{root}/table")
 
 
 @query("jsonl_rejects")

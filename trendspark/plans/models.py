@@ -10,13 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
 from trendspark.operators import marts, metrics, scd2, staging
-from trendspark.session import materialize
-from trendspark.sources.upsert import VersionedTable
+from trendspark.session import discard, materialize
+from trendspark.sources.files import delete_path, path_has_data
 
 
 @dataclass
@@ -108,15 +108,17 @@ def build_from_landing(spark, landing_root: str, seed_path: str, out_root: str |
 
     The files of a raw table are upserted in landing order by its natural key, so a batch
     landed twice counts once. A raw table with nothing landed reads as an empty typed
-    table. Each raw table is parsed once and written to the shared folder. With
+    table. Each raw table is listed and parsed once; its rows and its rejects come from that
+    one stored parse. With
     ``out_root`` the marts are also stored there (full rebuild), the snapshot of the
     champions is merged with the stored one, the declared checks are run and stored under
     ``checks``, and the lines that did not fit a schema under ``rejects/<raw table>``.
     """
     from trendspark.plans.suite import run_checks
-    from trendspark.sources.io import read_raw, read_rejects, read_seed, write_table
+    from trendspark.sources.io import newest_landed, read_landed, read_seed, rejected_lines, write_table
     from trendspark.sources.schemas import RAW_TABLES
-    raw = {t: materialize(read_raw(spark, landing_root, t), t) for t in RAW_TABLES}
+    landed = {t: materialize(read_landed(spark, landing_root, t), f"landed-{t}") for t in RAW_TABLES}
+    raw = {t: materialize(newest_landed(landed[t], t), t) for t in RAW_TABLES}
     staged = stage(raw, read_seed(spark, seed_path))
     built = build(staged, cfg=cfg)
     if out_root:
@@ -124,24 +126,47 @@ def build_from_landing(spark, landing_root: str, seed_path: str, out_root: str |
         write_table(run_checks(raw | staging_models(staged) | built), f"{out_root.rstrip('/')}/checks")
         update_snapshot(spark, out_root, built["dim_champions"])
         for t in RAW_TABLES:
-            write_table(read_rejects(spark, landing_root, t), f"{out_root.rstrip('/')}/rejects/{t}")
+            write_table(rejected_lines(landed[t]), f"{out_root.rstrip('/')}/rejects/{t}")
+    for df in landed.values():
+        discard(df)
     return built
 
 
 SNAPSHOT = "snp_champion_balance"
+_PART, _OPEN = "_closed", "open"
+
+
+def stored_snapshot(spark, root: str) -> DataFrame | None:
+    """The whole stored history; None before the first run."""
+    return spark.read.parquet(root).drop(_PART) if path_has_data(spark, root) else None
+
+
+def store_snapshot(spark, root: str, source: DataFrame, key: str, checked: list[str], now) -> DataFrame:
+    """One run of a stored type-2 history; returns the whole history after it.
+
+    The history is partitioned by the time its rows were closed, the open rows apart. A
+    run reads the open rows only and writes two partitions in one job (dynamic overwrite):
+    the rows it closes, and the open rows after it. The files of versions closed by earlier runs are
+    neither read nor written again. ``now`` must grow from run to run.
+    """
+    stored = spark.read.parquet(root) if path_has_data(spark, root) else None
+    before = None if stored is None else stored.where(F.col(_PART) == _OPEN).drop(_PART)
+    merged = scd2.scd2_merge(before, source, key, checked, now)
+    part = F.coalesce(F.date_format("dbt_valid_to", "yyyyMMdd-HHmmss-SSSSSS"), F.lit(_OPEN))
+    seen = Observation()
+    (merged.withColumn(_PART, part).observe(seen, F.count_if(F.col("dbt_valid_to").isNull()).alias("open"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_PART).parquet(root))
+    if before is not None and not seen.get["open"]:     # every key was deleted: no open row replaced the old ones
+        delete_path(spark, f"{root.rstrip('/')}/{_PART}={_OPEN}")
+    return stored_snapshot(spark, root)
 
 
 def update_snapshot(spark, out_root: str, champions: DataFrame, now: str | None = None) -> DataFrame:
-    """Merge today's champions into the stored type-2 history and publish it as a new version.
+    """Merge today's champions into the stored type-2 history.
 
     The first run opens a row per champion; later runs close changed rows and open new
-    ones. A run that changes nothing publishes the same history.
+    ones. A run that changes nothing leaves the same history.
     """
-    table = VersionedTable(spark, f"{out_root.rstrip('/')}/{SNAPSHOT}")
-    base = table.manifest()
     checked = [c for c in champions.columns if c != "champion_id"]
     stamp = F.lit(now).cast("timestamp") if now else F.lit(datetime.now(timezone.utc).isoformat()).cast("timestamp")
-    merged = scd2.scd2_merge(table.read(base["version"]) if base else None, champions, "champion_id", checked, stamp)
-    table.commit(merged, ["champion_id"], base)
-    table.expire()
-    return table.read()
+    return store_snapshot(spark, f"{out_root.rstrip('/')}/{SNAPSHOT}", champions, "champion_id", checked, stamp)

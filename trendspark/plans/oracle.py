@@ -833,6 +833,10 @@ SELECT o_orderkey, o_custkey, if(o_custkey % 4 = 0, 'L', if(o_orderpriority = '1
 UNION ALL SELECT o_orderkey, o_custkey, 'U', o_orderpriority FROM orders
 WHERE o_orderpriority = '1-URGENT' AND o_custkey % 4 <> 0"""
     q["landing_upsert"] = landed
+    q["stream_upsert"] = """
+SELECT o_orderkey, o_custkey, if(o_custkey % 4 = 0, 'L', if(o_orderpriority = '1-URGENT', 'U', o_orderstatus)) AS o_orderstatus,
+  o_orderpriority FROM orders"""
+    q["stored_snapshot"] = _with("SELECT * FROM snap2", *_snapshot_ctes())
     q["store_upsert"] = f"SELECT *, count(*) OVER () AS rows_stored FROM ({landed}) t"
     q["jsonl_rejects"] = """
 SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'not a JSON object' WHEN o_orderkey % 13 = 0 THEN 'a field does not fit its type'

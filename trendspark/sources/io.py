@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendspark.sources.files import path_has_data
 from trendspark.sources.schemas import RAW_TABLES, SEED_CHAMPIONS, TABLE_KEYS
 from trendspark.sources.upsert import newest_per_key
 
@@ -16,27 +17,17 @@ CORRUPT = "_corrupt_record"
 REJECT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("line", "reason", "file")])
 
 
-def _path_has_data(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists and holds at least one non-empty file (Hadoop FS)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    summary = fs.getContentSummary(hpath)
-    return summary.getLength() > 0
-
-
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Lines (column ``value``) -> rows that fit the schema, and rejects with a reason.
+def parse_tagged(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lines (column ``value``) -> the declared fields and ``_reject``, null where a line fits.
 
     Each line is parsed in one expression with all declared fields, so which lines fit
-    does not depend on the columns read later. Blank lines are neither. Other columns of
-    ``lines`` are kept with the rows; the rejects have line, reason and file.
+    does not depend on the columns read later. A line that does not fit has null fields
+    and its text and reason in ``_reject``. Blank lines give no row. Other columns of
+    ``lines`` are kept.
     """
     others = [c for c in lines.columns if c != "value"]
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
@@ -44,13 +35,27 @@ def parse_lines(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     parsed = (lines.where(F.trim("value") != "")
               .withColumn("_row", F.from_json("value", full, options)))
     bad = F.col(f"_row.{CORRUPT}").isNotNull() | F.col("_row").isNull()
-    good = parsed.where(~bad).select(*[F.col(f"_row.`{f.name}`").alias(f.name) for f in schema.fields], *others)
     is_object = F.from_json("value", "map<string,string>").isNotNull()
-    rejects = parsed.where(bad).select(
-        F.col("value").alias("line"),
-        F.when(is_object, "a field does not fit its type").otherwise("not a JSON object").alias("reason"),
-        (F.col("_file") if "_file" in others else F.lit(None).cast("string")).alias("file"))
-    return good, rejects
+    reject = F.struct(F.col("value").alias("line"),
+                      F.when(is_object, "a field does not fit its type").otherwise("not a JSON object").alias("reason"))
+    return parsed.select(*[F.when(~bad, F.col(f"_row.`{f.name}`")).alias(f.name) for f in schema.fields], *others,
+                         F.when(bad, reject).alias("_reject"))
+
+
+def rows_that_fit(tagged: DataFrame) -> DataFrame:
+    return tagged.where("_reject IS NULL").drop("_reject")
+
+
+def rejected_lines(tagged: DataFrame) -> DataFrame:
+    """(line, reason, file) of the lines that do not fit."""
+    file = F.col("_file") if "_file" in tagged.columns else F.lit(None).cast("string")
+    return tagged.where("_reject IS NOT NULL").select("_reject.line", "_reject.reason", file.alias("file"))
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Lines (column ``value``) -> rows that fit the schema, and rejects with a reason."""
+    tagged = parse_tagged(lines, schema)
+    return rows_that_fit(tagged), rejected_lines(tagged)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
@@ -62,7 +67,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
     reason, file). ``with_file`` adds ``_landed`` and ``_file``, which order landed files.
     """
     landed = [T.StructField("_landed", T.TimestampType()), T.StructField("_file", T.StringType())]
-    if not _path_has_data(spark, path):
+    if not path_has_data(spark, path):
         good = empty_frame(spark, T.StructType([*schema.fields, *(landed if with_file else [])]))
         return (good, empty_frame(spark, REJECT_SCHEMA)) if with_rejects else good
     lines = spark.read.text(path).select(
@@ -72,15 +77,36 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
     return (good, rejects) if with_rejects else good
 
 
+def read_landed(spark: SparkSession, landing_root: str, table: str) -> DataFrame:
+    """One landed raw table as ``parse_tagged`` rows with ``_landed`` and ``_file``; one listing, one parse.
+
+    Store it once (``session.materialize``) and take rows and rejects from the stored
+    rows: a file that lands meanwhile is then in neither of them.
+    """
+    path = f"{landing_root.rstrip('/')}/{table}"
+    if not path_has_data(spark, path):
+        reject = T.StructType([T.StructField("line", T.StringType()), T.StructField("reason", T.StringType())])
+        return empty_frame(spark, T.StructType([
+            *RAW_TABLES[table].fields, T.StructField("_landed", T.TimestampType()), T.StructField("_file", T.StringType()),
+            T.StructField("_reject", reject)]))
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_modification_time").alias("_landed"), F.col("_metadata.file_path").alias("_file"))
+    return parse_tagged(lines, RAW_TABLES[table])
+
+
+def newest_landed(tagged: DataFrame, table: str) -> DataFrame:
+    """The raw table of ``read_landed`` rows: its files upserted in landing order by key."""
+    return newest_per_key(rows_that_fit(tagged), TABLE_KEYS[table], ["_landed", "_file"]).drop("_landed", "_file")
+
+
 def read_raw(spark: SparkSession, landing_root: str, table: str) -> DataFrame:
     """One landed raw table (``<root>/<table>``): its files upserted in landing order by key."""
-    rows = read_jsonl(spark, f"{landing_root.rstrip('/')}/{table}", RAW_TABLES[table], with_file=True)
-    return newest_per_key(rows, TABLE_KEYS[table], ["_landed", "_file"]).drop("_landed", "_file")
+    return newest_landed(read_landed(spark, landing_root, table), table)
 
 
 def read_rejects(spark: SparkSession, landing_root: str, table: str) -> DataFrame:
     """The lines of a landed raw table that do not fit its schema."""
-    return read_jsonl(spark, f"{landing_root.rstrip('/')}/{table}", RAW_TABLES[table], with_rejects=True)[1]
+    return rejected_lines(read_landed(spark, landing_root, table))
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
