@@ -67,8 +67,12 @@ def group_size(df: DataFrame, key: Sequence[str] | str, expected: int = 10,
             .where(F.col(count_name) != expected))
 
 
+def negative_condition(columns: Sequence[str]) -> Column:
+    return _any([F.col(c) < 0 for c in columns])
+
+
 def no_negative(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.where(_any([F.col(c) < 0 for c in columns]))
+    return df.where(negative_condition(columns))
 
 
 def shares_sum_to_one(df: DataFrame, share: str = "damage_share", group: Sequence[str] = ("match_id", "team_id"),
@@ -80,14 +84,30 @@ def shares_sum_to_one(df: DataFrame, share: str = "damage_share", group: Sequenc
                       & (F.abs(F.col(f"total_{share}") - 1.0) > tolerance))
 
 
+def _counts_current(seq: str = "match_sequence_number") -> Column:
+    return F.col("baseline_match_count") != F.col(seq) - 1
+
+
+def _first_with_baseline(seq: str = "match_sequence_number") -> Column:
+    return (F.col(seq) == 1) & (F.col("baseline_mean").isNotNull() | F.col("z_score").isNotNull()
+                                | F.col("delta_from_baseline").isNotNull())
+
+
+def _window_outside(seq: str = "champion_match_sequence_number", group_count: str = "player_champion_match_count") -> Column:
+    return (F.col("matches_in_window") > F.col(seq)) | (F.col("matches_in_window") > F.col(group_count))
+
+
+# failing conditions of the checks that look at one row, by name
+ROW_CONDITIONS = {"baseline_excludes_current": _counts_current, "first_has_no_baseline": _first_with_baseline,
+                  "window_within_group": _window_outside}
+
+
 def baseline_excludes_current(deltas: DataFrame, seq: str = "match_sequence_number") -> DataFrame:
-    return deltas.where(F.col("baseline_match_count") != F.col(seq) - 1)
+    return deltas.where(_counts_current(seq))
 
 
 def first_has_no_baseline(deltas: DataFrame, seq: str = "match_sequence_number") -> DataFrame:
-    return deltas.where((F.col(seq) == 1) & (
-        F.col("baseline_mean").isNotNull() | F.col("z_score").isNotNull()
-        | F.col("delta_from_baseline").isNotNull()))
+    return deltas.where(_first_with_baseline(seq))
 
 
 def sequences_gapless(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
@@ -98,8 +118,7 @@ def sequences_gapless(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame
 
 def window_within_group(df: DataFrame, seq: str = "champion_match_sequence_number",
                         group_count: str = "player_champion_match_count") -> DataFrame:
-    return df.where((F.col("matches_in_window") > F.col(seq))
-                    | (F.col("matches_in_window") > F.col(group_count)))
+    return df.where(_window_outside(seq, group_count))
 
 
 def covered_by(subsets: Sequence[DataFrame], fact: DataFrame, key: str) -> DataFrame:

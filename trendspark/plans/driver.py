@@ -103,6 +103,7 @@ def staged(spark: SparkSession, sf_dir: str) -> models.Staged:
         }
         raw = {name: materialize(df, name) for name, df in raw.items()}
         seed = materialize(standins.seed_champions(spark, sf_dir), "seed")
+        _CACHE[_key(spark, sf_dir, "raw")] = raw | {"champion_static": seed}
         discard(lines)
         _CACHE[k] = models.stage(raw, seed)
     return _CACHE[k]
@@ -117,6 +118,12 @@ def player_sequence_table(spark: SparkSession, sf_dir: str, cfg: TrendConfig = D
     return _CACHE[k]
 
 
+def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stand-in raw tables and the seed by name."""
+    staged(spark, sf_dir)
+    return _CACHE[_key(spark, sf_dir, "raw")]
+
+
 def _mart(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A mart built once per session and data folder and written to the shared folder,
     as the models store their marts as tables; views and checks read it."""

@@ -287,9 +287,10 @@ def q_staging_views(spark, sf):
 
 @query("dq_suite")
 def q_dq_suite(spark, sf):
-    """Q1-Q14: every declared check over the staging models, intermediates and marts."""
+    """Q1-Q14: every declared check over the seed, raw tables, staging models, intermediates and marts, in one job."""
     s = driver.staged(spark, sf)
-    tables = models.staging_models(s) | {
+    sources = {name: df for name, df in driver.sources(spark, sf).items() if name in {m for m, *_ in suite.CHECKS}}
+    tables = sources | models.staging_models(s) | {
         "int_match_team_totals": driver.q_team_totals(spark, sf),
         "int_participant_metrics": driver.pm_mart(spark, sf),
         "int_player_match_sequence": driver.player_sequence_table(spark, sf),

@@ -119,11 +119,12 @@ def build_from_landing(spark, landing_root: str, seed_path: str, out_root: str |
     from trendspark.sources.schemas import RAW_TABLES
     landed = {t: materialize(read_landed(spark, landing_root, t), f"landed-{t}") for t in RAW_TABLES}
     raw = {t: materialize(newest_landed(landed[t], t), t) for t in RAW_TABLES}
-    staged = stage(raw, read_seed(spark, seed_path))
+    seed = read_seed(spark, seed_path)
+    staged = stage(raw, seed)
     built = build(staged, cfg=cfg)
     if out_root:
         write_marts(built, out_root)
-        write_table(run_checks(raw | staging_models(staged) | built), f"{out_root.rstrip('/')}/checks")
+        write_table(run_checks({"champion_static": seed} | raw | staging_models(staged) | built), f"{out_root.rstrip('/')}/checks")
         update_snapshot(spark, out_root, built["dim_champions"])
         for t in RAW_TABLES:
             write_table(rejected_lines(landed[t]), f"{out_root.rstrip('/')}/rejects/{t}")

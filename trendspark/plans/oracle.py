@@ -723,7 +723,7 @@ FROM (SELECT puuid, matches_extracted, riot_id FROM dim_players ORDER BY matches
 def _suite_sql() -> str:
     """Failing rows of each declared check, counted one by one."""
     from trendspark.plans.suite import CHECKS, check_label
-    at = {"stg_match_participants": "stg_participants", "stg_match_teams": "stg_teams", "stg_team_bans": "stg_bans",
+    at = {"champion_static": "seed", "raw_match_participants": "raw_participants", "stg_match_participants": "stg_participants", "stg_match_teams": "stg_teams", "stg_team_bans": "stg_bans",
           "stg_champion_mastery": "stg_mastery", "stg_champions": "dim_champions", "int_match_team_totals": "team_totals",
           "int_participant_metrics": "pm", "int_player_match_sequence": "seq",
           "int_champion_match_appearances": "appearances", "fct_participant_performance": "perf",
@@ -747,8 +747,6 @@ def _suite_sql() -> str:
     }
     parts = []
     for model, check, cols, args in CHECKS:
-        if model.startswith("raw_"):
-            continue
         t, c = at.get(model, model), cols[0] if cols else ""
         if check == "not_null":
             bad = f"SELECT 1 FROM {t} WHERE {c} IS NULL"
