@@ -70,3 +70,31 @@ def test_entity_rows_pushdown(spark, tmpdir_path):
     assert [(r["champion_name"], r["m"]) for r in df.collect()] == [("Ahri", 2.0), ("Zed", 1.0)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(puuid,p)" in plan          # the predicate reaches the parquet scan
+
+
+def test_one_player_is_read_from_few_row_groups(spark, tmpdir_path):
+    """A mart laid out by player: a read of one player can skip all but one file; a player with very many rows spans several."""
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    from trendspark.operators import views
+    from trendspark.sources.io import write_entity_table
+    rows = spark.range(6000).selectExpr("IF(id % 3 = 0, 'hot', concat('p', id % 200)) AS puuid", "id AS match_id", "'c' AS champion_name",
+                                        "timestamp_seconds(id) AS game_start_at").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")      # small rows, several files
+    try:
+        write_entity_table(rows, os.path.join(tmpdir_path, "mart"), "puuid", ["game_start_at"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = glob.glob(os.path.join(tmpdir_path, "mart", "*.parquet"))
+
+    def holding(player):
+        stats = [pq.ParquetFile(f).metadata.row_group(g).column(0).statistics for f in files for g in range(pq.ParquetFile(f).num_row_groups)]
+        return sum(s.min <= player <= s.max for s in stats)
+    assert len(files) == 4 and holding("p77") == 1 and holding("p151") == 1 and 2 <= holding("hot") <= 3
+    stored = spark.read.parquet(os.path.join(tmpdir_path, "mart"))
+    found = views.entity_rows(stored, "p77", ["match_id"], order=["champion_name", "game_start_at"])
+    assert "EqualTo(puuid,p77)" in found._jdf.queryExecution().executedPlan().toString()
+    assert [r["match_id"] for r in found.collect()] == [i for i in range(6000) if i % 3 and i % 200 == 77]

@@ -5,7 +5,7 @@ Each is a function of DataFrames; parameters come from ``TrendConfig``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendspark.config import DEFAULT, TrendConfig
@@ -14,7 +14,6 @@ from trendspark.operators.baseline import match_deltas
 from trendspark.operators.joins import broadcast_if_small
 from trendspark.operators.sequence import sequence
 from trendspark.operators.trends import rolling_trends
-from trendspark.session import materialize
 
 def match_order():
     """Match order inside a player: start time, then match id (nulls last)."""
@@ -92,30 +91,28 @@ def champion_appearances(participants: DataFrame, bans: DataFrame, matches: Data
 def champion_meta(appearances: DataFrame, champions: DataFrame) -> DataFrame:
     """Pick / ban / presence / win rates per (patch, queue, champion).
 
-    Distinct matches per flag are counted after a dedupe to
-    (patch, queue, champion, match, flag) so the count-distinct needs no expand.
+    Distinct matches are counted in two levels, so the counts need no expand per flag: one
+    grouping sets aggregate gives a row per (patch, queue, champion, match) and one per
+    (patch, queue, match), combined in the tasks before the shuffle, so a hot champion or
+    match collapses; the second level counts both. The appearances are read once and
+    nothing is stored; a patch's number of matches reaches its champions by a window over
+    the few rows of the second level.
     """
     keys = ["patch", "queue_id"]
-    # Level 1: one row per (patch, queue, champion, match) - a partial aggregate, so
-    # a hot champion or match collapses before the shuffle. It is written once, because
-    # both branches below read it (with different columns) and the join is not repeated.
-    per_match = materialize(appearances
-                 .groupBy(*keys, "champion_id", "match_id")
-                 .agg(F.max(F.col("was_picked").cast("int")).alias("_p"),
-                      F.max(F.col("was_banned").cast("int")).alias("_b"),
-                      F.count(F.when(F.col("was_picked") & F.col("is_win"), F.lit(1))).alias("_w"),
-                      F.count(F.when(F.col("was_picked") & ~F.col("is_win"), F.lit(1))).alias("_l")),
-        "champion-matches")
-    match_counts = (per_match.select(*keys, "match_id").distinct()
-                    .groupBy(*keys).agg(F.count(F.lit(1)).alias("matches_on_patch")))
-    flagged = (per_match.groupBy(*keys, "champion_id")
-               .agg(F.sum("_p").cast("long").alias("matches_picked"),
-                    F.sum("_b").cast("long").alias("matches_banned"),
-                    F.sum("_w").cast("long").alias("wins"),
-                    F.sum("_l").cast("long").alias("losses")))
+    c = {n: F.col(n) for n in (*keys, "champion_id", "match_id")}
+    per_match = appearances.groupingSets([list(c.values()), [c[k] for k in (*keys, "match_id")]], *c.values()).agg(
+        F.grouping_id().alias("_match_only"),
+        F.max(F.col("was_picked").cast("int")).alias("_p"), F.max(F.col("was_banned").cast("int")).alias("_b"),
+        F.count_if(F.col("was_picked") & F.col("is_win")).alias("_w"),
+        F.count_if(F.col("was_picked") & ~F.col("is_win")).alias("_l"))
+    counted = per_match.groupBy(*keys, "champion_id", "_match_only").agg(
+        F.count("*").alias("_n"), F.sum("_p").cast("long").alias("matches_picked"), F.sum("_b").cast("long").alias("matches_banned"),
+        F.sum("_w").cast("long").alias("wins"), F.sum("_l").cast("long").alias("losses"))
+    matches = F.max(F.when(F.col("_match_only") > 0, F.col("_n"))).over(Window.partitionBy(*keys))
+    flagged = counted.withColumn("matches_on_patch", matches).where(
+        (F.col("_match_only") == 0) & F.col("patch").isNotNull() & F.col("queue_id").isNotNull())
     dim = broadcast_if_small(champions.select("champion_id", "champion_name", "primary_role"))
-    joined = (flagged.join(match_counts, keys, "inner")
-              .join(dim, "champion_id", "left"))
+    joined = flagged.join(dim, "champion_id", "left")
     total = F.nullif(F.col("matches_on_patch"), F.lit(0))
     return joined.select(
         surrogate_key("patch", "queue_id", "champion_id").alias("champion_meta_key"),

@@ -164,6 +164,19 @@ def display_label(df: DataFrame, players: DataFrame, entity: str = "puuid",
         "label", F.coalesce(F.col(label_col), F.substring(F.col(entity).cast("string"), 1, width)))
 
 
+def entity_slice(overall: DataFrame, per_champion: DataFrame, entity_value, n: int | None = None,
+                 metrics: Sequence[str] | None = None, entity: str = "puuid") -> DataFrame:
+    """One entity's rows of all its views with their totals: the last ``n`` of each (all by default).
+
+    The entity is chosen before anything else, so stored marts are read for it alone; the
+    windows were computed over its whole history, so the slice does not change them.
+    """
+    def mine(mart: DataFrame) -> DataFrame:
+        return mart.where(F.col(entity) == F.lit(entity_value))
+    rows = with_totals(trend_rows(mine(overall), mine(per_champion), select_metrics(metrics), entity), (entity, "view"))
+    return rows if n is None else last_n(rows, n, (entity, "view"))
+
+
 def entity_rows(mart: DataFrame, entity_value, columns: Sequence[str], entity: str = "puuid",
                 order: Sequence[str] = ("champion_name", "match_sequence_number")) -> DataFrame:
     """One entity's rows of a mart, ordered for display (the equality predicate is

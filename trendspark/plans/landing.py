@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from trendspark.plans import driver, models, standins, suite
 from trendspark.plans.driver import query
 from trendspark.session import ensure_checkpoint_dir
 from trendspark.sources import io
-from trendspark.sources.schemas import STATIC_DOCUMENT
+from trendspark.sources.schemas import RAW_TABLES, STATIC_DOCUMENT
 from trendspark.sources.upsert import load_batch, newest_per_key, read_table
 from trendspark.streaming.ingest import start_ingest
 
@@ -269,13 +270,56 @@ def q_table_rebuild(spark, sf):
 
 @query("entity_mart_read")
 def q_entity_mart_read(spark, sf):
-    """The stored performance fact of the player with most matches, in display order."""
-    players = driver.players_mart(spark, sf)
-    top = views.top_entity(players).first()[0]
-    return views.entity_rows(driver.perf_mart(spark, sf), top, ["participant_key", "kills", "game_start_at"],
+    """The stored performance fact of the player with most matches, in display
+    order; the mart is laid out by player."""
+    root = _folder(spark, "performance")
+    io.write_entity_table(driver.perf_mart(spark, sf), root, "puuid", ["game_start_at"])
+    top = views.top_entity(driver.players_mart(spark, sf)).first()[0]
+    return views.entity_rows(spark.read.parquet(root), top, ["participant_key", "kills", "game_start_at"],
                              order=["champion_name", "match_id"])
 
 
+CHOSEN = ["kill_participation", "gold_per_minute", "no_such_metric"]
+
+
+@query("player_range_view")
+def q_player_range_view(spark, sf):
+    """The last 20 rows of every view of one player, with a chosen list of metrics, from stored marts."""
+    root = _folder(spark, "trends")
+    stored = models.write_marts({"fct_player_rolling_trends": driver.rolling_mart(spark, sf),
+                                 "fct_player_champion_trends": driver.champion_mart(spark, sf)}, root)
+    top = views.top_entity(driver.players_mart(spark, sf).join(driver.rolling_mart(spark, sf), "puuid", "left_semi")).first()[0]
+    found = views.entity_slice(*[spark.read.parquet(p) for p in stored.values()], top, 20, CHOSEN)
+    return found.select("puuid", "view", "seq", "total", *[f"{m}_rolling_avg" for m in views.select_metrics(CHOSEN)])
+
+
+@query("build_landing")
+def q_build_landing(spark, sf):
+    """Raw tables landed as JSON Lines, one of them twice and with broken lines,
+    and the seed CSV, built into stored marts; rows and sums of each, the rejects and the failing checks."""
+    root = _folder(spark, "build")
+    sources = driver.sources(spark, sf)
+    for name in RAW_TABLES:
+        # a key's rows lie in one file, which is what landing order compares
+        whole = sources[name].repartition("match_id") if "match_id" in sources[name].columns else sources[name]
+        io.write_jsonl(whole, f"{root}/landing/{name}/batch=0")
+    again = sources["raw_matches"].select(F.to_json(F.struct("*")).alias("value"))
+    again.unionByName(again.select(F.substring("value", 1, 20).alias("value"))).write.text(f"{root}/landing/raw_matches/batch=1")
+    io.write_seed(sources["champion_static"], f"{root}/seed")
+    models.build_from_landing(spark, f"{root}/landing", f"{root}/seed", f"{root}/marts")
+
+    def rows(name: str, *columns: str) -> DataFrame:
+        stored = spark.read.parquet(f"{root}/marts/{name}")
+        values = [F.sum(F.col(c).cast("double")) for c in columns]
+        total = values[0] if values else F.lit(0.0)
+        return stored.agg(F.count("*").alias("n"), F.coalesce(total, F.lit(0.0)).alias("total")).select(F.lit(name).alias("item"), "n", "total")
+    out = [rows("dim_matches", "game_duration_seconds"), rows("dim_players", "matches_extracted"), rows("dim_champions", "champion_id"),
+           rows("fct_participant_performance", "kills"), rows("fct_player_rolling_trends", "match_sequence_number"),
+           rows("fct_player_champion_trends", "champion_match_sequence_number"), rows("fct_champion_meta", "matches_picked"),
+           rows("rejects/raw_matches"), rows(models.SNAPSHOT, "champion_id")]
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("staging_views")
 def q_staging_views(spark, sf):
     """Staging models as named views, read by SQL."""

@@ -88,16 +88,20 @@ def build(s: Staged, tracked: DataFrame | None = None, cfg: TrendConfig = DEFAUL
 def write_marts(marts: dict[str, DataFrame], root: str, only: list[str] | None = None) -> dict[str, str]:
     """Full rebuild of the stored marts as parquet under ``root`` (one folder each).
 
-    Returns the paths written. Intermediate (``int_*``) models are not stored, as in
+    Marts of one row per player and match are laid out by player, for reads of one
+    player. Returns the paths written. Intermediate (``int_*``) models are not stored, as in
     the original project where they are inlined into their consumers.
     """
-    from trendspark.sources.io import write_table
+    from trendspark.sources.io import write_entity_table, write_table
     paths = {}
     for name, df in marts.items():
         if name.startswith("int_") or (only and name not in only):
             continue
         path = f"{root.rstrip('/')}/{name}"
-        write_table(df, path)
+        if "puuid" in df.columns and name.startswith("fct_"):
+            write_entity_table(df, path, "puuid", ["game_start_at"] if "game_start_at" in df.columns else [])
+        else:
+            write_table(df, path)
         paths[name] = path
     return paths
 

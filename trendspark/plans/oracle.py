@@ -714,6 +714,26 @@ SELECT t.puuid, t.matches_extracted, coalesce(t.riot_id, substring(CAST(t.puuid
 FROM (SELECT puuid, matches_extracted, riot_id FROM dim_players ORDER BY matches_extracted DESC, puuid ASC LIMIT 1) t""")
     q["player_labels"] = _with(
         "SELECT puuid, coalesce(riot_id, substring(CAST(puuid AS VARCHAR), 1, 12)) AS label FROM dim_players")
+    q["player_range_view"] = _rounded(_with(
+        "SELECT puuid, view, seq, total, gold_per_minute_rolling_avg, kill_participation_rolling_avg FROM ttot "
+        "WHERE puuid = (SELECT puuid FROM dim_players SEMI JOIN rt USING (puuid) ORDER BY matches_extracted DESC, puuid LIMIT 1) "
+        + newest, *views_ctes), ["gold_per_minute_rolling_avg", "kill_participation_rolling_avg"])
+    eligible = ("SELECT * FROM pm SEMI JOIN stg_summoners USING (puuid) WHERE queue_id IN (400, 420, 440) "
+                "AND game_duration_seconds >= 300 AND NOT ended_in_early_surrender")
+
+    def stored(item: str, rows: str, total: str = "0") -> str:
+        return f"SELECT '{item}' AS item, count(*) AS n, coalesce(CAST(sum({total}) AS DOUBLE), 0) AS total FROM ({rows}) t"
+    q["build_landing"] = _with("\nUNION ALL ".join([
+        stored("dim_matches", "SELECT * FROM dim_matches", "game_duration_seconds"),
+        stored("dim_players", "SELECT * FROM dim_players", "matches_extracted"),
+        stored("dim_champions", "SELECT * FROM dim_champions", "champion_id"),
+        stored("fct_participant_performance", "SELECT * FROM perf", "kills"),
+        stored("fct_player_rolling_trends", f"SELECT row_number() OVER (PARTITION BY puuid) AS seq FROM ({eligible}) e", "seq"),
+        stored("fct_player_champion_trends", f"SELECT row_number() OVER (PARTITION BY puuid, champion_id) AS seq FROM ({eligible}) e", "seq"),
+        stored("fct_champion_meta", "SELECT * FROM meta", "matches_picked"),
+        stored("rejects/raw_matches", "SELECT * FROM raw_matches"),
+        stored("snp_champion_balance", "SELECT * FROM dim_champions", "champion_id")]),
+        "known AS (SELECT * FROM dim_champions)", f"meta AS ({meta})")
     q |= _landing_sql()
     meta_cte = ["known AS (SELECT * FROM dim_champions WHERE champion_id % 10 <> 3)", f"meta AS ({meta})"]
     q["dq_suite"] = _with(_suite_sql(), *deltas_cte, rt_cte, ct_cte, *meta_cte)

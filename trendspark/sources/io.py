@@ -136,3 +136,17 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def write_entity_table(df: DataFrame, path: str, entity: str, order: list[str]) -> None:
+    """Full-rebuild of a mart that is read one entity at a time.
+
+    Rows are range-partitioned and sorted by the entity, then ``order``, so an entity lies in
+    one file, or in neighbouring ones if it holds very many rows; files and row groups that
+    cannot hold it are skipped by their minima and maxima, and by a bloom filter of the entity.
+    """
+    keys = [entity, *order]
+    (df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static")
+     .option(f"parquet.bloom.filter.enabled#{entity}", "true")
+     .option(f"parquet.bloom.filter.adaptive.enabled#{entity}", "true").parquet(path))
