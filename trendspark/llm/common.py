@@ -28,6 +28,16 @@ def held_out(doc_id: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
 
 
+def own_columns(df: DataFrame) -> list[F.Column]:
+    """The columns of ``df`` by name, also where a name holds a dot."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` for any column names (it cannot look up names with a dot): batches go by position."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)
+
+
 class Scratch:
     """Written intermediates of one operator run, deleted when no longer read.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import Scratch, fresh, table
+from trendspark.llm.common import Scratch, fresh, map_batches, table
 from trendspark.llm.textscan import (
     Powers, Words, byte_codes, gram_hashes, sliding_min, text_slices)
 
@@ -197,7 +197,7 @@ def find_contamination(docs: DataFrame, windows: DataFrame, text: str, out: str,
                                   ("span_ends", pa.list_(pa.int32()))])
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(made, kind)], names=[*names, key])
 
-        result = result.mapInArrow(run, schema)
+        result = map_batches(result, run, schema)
     return result.withColumnRenamed(key, out)
 
 

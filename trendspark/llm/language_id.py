@@ -31,13 +31,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import Scratch, fresh, held_out, table
+from trendspark.llm.common import Scratch, fresh, held_out, map_batches, own_columns, table
 from trendspark.llm.textscan import U64, Powers, Rolling, byte_codes, splitmix, text_slices
 
 SIZES = (3, 4)
 HASHES = 4
 SLOT_BITS = 20
 GRAMS_PER_LANGUAGE = 20_000
+SLICE_BYTES = 256 << 10    # a dozen 8-byte arrays hold a slice
 SHARE = 0.25
 
 
@@ -51,7 +52,7 @@ def _grams(column: pa.Array) -> Iterator[tuple]:
     """(slice, row, gram hash) for the grams of bounded slices of a text column."""
     powers, codes, letter = Powers(), byte_codes(True), _letters()
     codes[~letter] = codes[32]
-    for part in text_slices(column):
+    for part in text_slices(column, SLICE_BYTES):
         roll = Rolling(part.data, codes, powers)
         row = np.repeat(np.arange(part.rows), np.diff(part.offsets))
         inside = np.append(0, np.cumsum(letter[part.data]))
@@ -176,7 +177,7 @@ def identify(docs: DataFrame, model: dict, text: str, out: str) -> DataFrame:
                 [pa.array(labels[which].tolist(), pa.string()), pa.array(np.where(which >= 0, np.concatenate(score), 0.0))],
                 names=["lang", "score"])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], made], names=[*names, out])
-    return ready.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
+    return map_batches(ready, run, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
 
 
 def identify_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -189,7 +190,7 @@ def identify_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def drop_undetermined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents in some learned language, columns unchanged; ``und`` is rejected."""
     tag = fresh("lang")
-    return identify_languages(docs, doc_id, text, lang, tag).where(F.col(f"{tag}.lang") != "und").select(*docs.columns)
+    return identify_languages(docs, doc_id, text, lang, tag).where(F.col(f"{tag}.lang") != "und").select(*own_columns(docs))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import Scratch, common_from, fresh, table
+from trendspark.llm.common import Scratch, common_from, fresh, map_batches, table
 from trendspark.llm.textscan import text_slices
 
 SHORT = 383          # words that are classes of their own
@@ -320,7 +320,7 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, p: d
                 yield pa.RecordBatch.from_arrays([*batch.slice(part.lo, n).columns, pa.array(first + np.arange(n)), scored, others],
                                                  names=[*names, row_id, out, rest])
                 first += n
-    made = scratch.keep(docs.mapInArrow(run, schema), "scored")
+    made = scratch.keep(map_batches(docs, run, schema), "scored")
     word = made.select(row_id, F.inline(rest)).join(counts.where(F.col("c") < vocabulary.least), "word", "left")
     extra, known = fresh("extra"), fresh("known")
     late = word.groupBy(row_id).agg(

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import fresh, table
+from trendspark.llm.common import fresh, map_batches, table
 
 MARK = "▁"
 CACHE = 300_000
@@ -526,7 +526,7 @@ def encode_pieces(docs: DataFrame, text: str, model: PieceModel, out: str = "pie
                      pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                     names=kind.names)
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, len(some)).columns, found], names=[*names, out])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
 
 
 def encode_digests(docs: DataFrame, text: str, model: PieceModel, out: str = "digest") -> DataFrame:

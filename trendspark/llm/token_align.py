@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendspark.llm.common import Scratch, batch_rows, common_from, table
+from trendspark.llm.common import Scratch, batch_rows, common_from, map_batches, table
 
 WORK = 1 << 14     # ends of a merge piece
 HOT = 1 << 20      # pairs whose counts are sent to all tasks
@@ -273,7 +273,7 @@ def align_tokens(docs: DataFrame, text: str, a_file: str, b_file: str, out: str
                      lists(got["group_ends"], got["n_groups"]), lists(got["link_a"], got["n_links"]),
                      lists(got["link_b"], got["n_links"])], names=ALIGNED.names)
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, len(some)).columns, made], names=[*names, out])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, ALIGNED)]))
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField(out, ALIGNED)]))
 
 
 def _keys(batch: pa.RecordBatch, a: int, b: int) -> np.ndarray:

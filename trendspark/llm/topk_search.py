@@ -139,19 +139,21 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id",
                 best[key] = new
                 if len(best) > 16:  # keep few blocks open; what leaves is merged later
                     gone = next(iter(best))
-                    yield _rows(best.pop(gone))
-        for frame in best.values():
-            yield _rows(frame)
+                    yield _rows(gone, best.pop(gone))
+        for key, frame in best.items():
+            yield _rows(key, frame)
 
-    def _rows(frame: pd.DataFrame) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pandas(frame[["query_id", "vec_id", "score"]], preserve_index=False)
+    def _rows(key: tuple, frame: pd.DataFrame) -> pa.RecordBatch:
+        whole = frame[["at", "query_id", "vec_id", "score"]].assign(dim=np.int32(key[0]), block=np.int32(key[1]))
+        return pa.RecordBatch.from_pandas(whole[["dim", "block", "at", "query_id", "vec_id", "score"]], preserve_index=False)
 
     lists = tiles.select("block", "dim", "c_ids", "c_mat", "ids", "mat") \
-        .mapInArrow(run, "query_id long, vec_id long, score long")
+        .mapInArrow(run, "dim int, block int, at long, query_id long, vec_id long, score long")
     ranked = [F.desc("score"), F.asc("vec_id")]
     branch = F.pmod(F.xxhash64("vec_id"), F.lit(MERGE_FAN))
-    first = Window.partitionBy("query_id", "branch").orderBy(*ranked)
-    last = Window.partitionBy("query_id").orderBy(*ranked)
+    row = ["dim", "block", "at"]           # a query row's place: rows that share an id keep lists of their own
+    first = Window.partitionBy(*row, "branch").orderBy(*ranked)
+    last = Window.partitionBy(*row).orderBy(*ranked)
     merged = (lists.withColumn("branch", branch).withColumn("r", F.row_number().over(first)).where(F.col("r") <= k)
               .withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k))
     return merged.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
