@@ -6,9 +6,11 @@ first or last byte may be a space.
 
 *Filter.* One array of language bitmasks: a gram of a language sets the language's bit in
 ``HASHES`` slots, and the AND of a gram's slots returns all languages that contain it in
-one look-up. A language contains the grams that are among its ``GRAMS_PER_LANGUAGE`` most
-frequent (counted over every learning text) and at least ``SHARE`` times as frequent in it
-as in the language where they are most frequent.
+one look-up. A language contains every gram that is at least ``SHARE`` times as frequent in it
+as in the language where the gram is most frequent (counted over every learning text), however
+rare. The tasks set the bits; the driver receives the finished filter in pages. It has at least
+``ROOM`` slots per gram of the richest language, up to ``2 ** MOST_BITS`` slots (128 MB a mask
+word): beyond that no gram is left out, but the fill and with it the corrected rate rise.
 
 *Decision.* Per language, the popcount of its bit over the grams of a text is corrected
 for false positives: with fill ``f`` a foreign gram matches with probability
@@ -17,8 +19,8 @@ largest wins; ties go to the language with more learning grams, then by name.
 
 Defined cases: null texts and texts without a letter give ``und`` and score 0; texts
 without a known gram give the language with most learning grams and score 0; without
-learning rows every text is ``und``; rows with a null id are held out. The filter's size is
-fixed, whatever the corpus; any number of languages fits (64 to a mask word).
+learning rows every text is ``und``; rows with a null id are held out. Any number of languages
+fits (64 to a mask word).
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +38,9 @@ from trendspark.llm.textscan import U64, Powers, Rolling, byte_codes, splitmix,
 
 SIZES = (3, 4)
 HASHES = 4
-SLOT_BITS = 20
-GRAMS_PER_LANGUAGE = 20_000
+ROOM = 16
+LEAST_BITS, MOST_BITS = 16, 24
+PAGE_BITS = 12             # slots of a page of the filter on its way to the driver
 SLICE_BYTES = 256 << 10    # a dozen 8-byte arrays hold a slice
 SHARE = 0.25
 
@@ -92,45 +95,78 @@ def gram_counts(rows: DataFrame, lang: str, text: str) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
-def learn_filter(rows: DataFrame, lang: str, text: str, per_language: int = GRAMS_PER_LANGUAGE,
-                 share: float = SHARE) -> dict:
-    """The filter and its false-positive rates, learned from all ``rows``.
-
-    At most ``per_language`` grams of each language reach the driver.
-    """
+def learn_filter(rows: DataFrame, lang: str, text: str, share: float = SHARE) -> dict:
+    """The filter and its false-positive rates, learned from all ``rows``."""
     rows = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     scratch = Scratch(rows.sparkSession, "language")
     counts = scratch.keep(gram_counts(rows, lang, text), "grams")
-    totals = counts.groupBy("lang").agg(F.sum("c").alias("n"))
-    rated = counts.join(totals, "lang").withColumn("rate", F.col("c") / F.col("n"))
-    peak = rated.groupBy("gram").agg(F.max("rate").alias("peak"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "gram"))
-    chosen = (rated.withColumn("place", place).where(F.col("place") <= per_language)
-              .join(peak, "gram").where(F.col("rate") >= share * F.col("peak")).select("lang", "gram").collect())
-    sizes = {r[0]: r[1] for r in totals.collect()}
-    scratch.drop(counts)
+    totals = counts.groupBy("lang").agg(F.sum("c").alias("n"), F.count("*").alias("kinds")).collect()
+    sizes = {r["lang"]: r["n"] for r in totals}
+    bits = int(np.ceil(np.log2(ROOM * max((r["kinds"] for r in totals), default=1))))
+    bits = min(max(bits, LEAST_BITS), MOST_BITS)
     langs = sorted(sizes)
-    words = max(1, -(-len(langs) // 64))
-    slots = np.zeros((1 << SLOT_BITS, words), np.uint64)
-    number = {name: k for k, name in enumerate(langs)}
-    which = np.array([number[r[0]] for r in chosen], np.int64)
-    grams = np.array([r[1] for r in chosen], np.int64).view(np.uint64)
-    for at in slot_places(grams):
-        np.bitwise_or.at(slots, (at, which // 64), U64(1) << (which % 64).astype(np.uint64))
+    slots = np.zeros((1 << bits, max(1, -(-len(langs) // 64))), np.uint64)
+    for page, word, masks in filter_pages(counts, langs, sizes, share, bits).collect():
+        slots[page << PAGE_BITS:(page + 1) << PAGE_BITS, word] = np.frombuffer(bytes(masks), np.uint64)
+    scratch.drop(counts)
     fill = np.array([((slots[:, k // 64] >> U64(k % 64)) & U64(1)).mean() for k in range(len(langs))])
     order = sorted(range(len(langs)), key=lambda k: (-sizes[langs[k]], langs[k]))
-    return {"langs": langs, "slots": slots, "false": fill ** HASHES, "order": np.array(order, np.int64)}
+    return {"langs": langs, "bits": bits, "slots": slots, "false": fill ** HASHES, "order": np.array(order, np.int64)}
 
 
-def slot_places(grams: np.ndarray) -> Iterator[np.ndarray]:
+def filter_pages(counts: DataFrame, langs: list[str], sizes: dict[str, int], share: float, bits: int) -> DataFrame:
+    """(page, word, masks): the filter of the counted grams, ``2 ** PAGE_BITS`` mask words to a row."""
+    number = {name: k for k, name in enumerate(langs)}
+    rate = 1 / np.array([sizes[name] for name in langs], float)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
+            flat = lists.flatten()
+            if not len(flat):
+                continue
+            k = np.array([number[name] for name in flat.field("lang").to_pylist()])
+            rates = flat.field("c").to_numpy() * rate[k]
+            begin = np.append(0, ends[:-1])
+            own = np.repeat(np.arange(len(ends)), ends - begin)
+            has = rates >= share * np.maximum.reduceat(rates, begin)[own]
+            grams = batch.column(0).to_numpy().view(np.uint64)
+            for word in np.unique(k // 64):
+                mine = np.flatnonzero(has & (k // 64 == word))
+                masks = np.zeros(len(grams), np.uint64)
+                np.bitwise_or.at(masks, own[mine], U64(1) << (k[mine] % 64).astype(np.uint64))
+                some = np.flatnonzero(masks)
+                for at in slot_places(grams[some], bits):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(at), pa.array(np.full(len(at), word, np.int32)), pa.array(masks[some].view(np.int64))],
+                        names=["slot", "word", "mask"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for entries in batch.column(2):
+                page = np.zeros(1 << PAGE_BITS, np.int64)
+                page[entries.values.field("at").to_numpy()] = entries.values.field("mask").to_numpy()
+                made.append(page.tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(made, pa.binary())], names=["page", "word", "masks"])
+    marked = (counts.groupBy("gram").agg(F.collect_list(F.struct("lang", "c")).alias("found"))
+              .mapInArrow(mark, "slot long, word int, mask long")
+              .groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")))
+    return (marked.groupBy(F.shiftright("slot", PAGE_BITS).alias("page"), "word")
+            .agg(F.collect_list(F.struct(F.col("slot").bitwiseAND((1 << PAGE_BITS) - 1).alias("at"), "mask")).alias("entries"))
+            .mapInArrow(pack, "page long, word int, masks binary"))
+
+
+def slot_places(grams: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     for j in range(HASHES):
-        yield (splitmix(grams + U64(j * 0x9E37)) >> U64(64 - SLOT_BITS)).astype(np.int64)
+        yield (splitmix(grams + U64(j * 0x9E37)) >> U64(64 - bits)).astype(np.int64)
 
 
 def language_masks(model: dict, grams: np.ndarray) -> np.ndarray:
     """All languages that contain each gram, as mask words."""
     masks = np.full((len(grams), model["slots"].shape[1]), ~U64(0))
-    for at in slot_places(grams):
+    for at in slot_places(grams, model["bits"]):
         masks &= model["slots"][at]
     return masks
 
