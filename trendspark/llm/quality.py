@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def context_vectors(docs: DataFrame, text: str, seed: int) -> np.ndarray:
                             total -= np.bincount(flat[~up], minlength=len(total))
         blocks = total.reshape(-1, _BLOCK * DIMS)
         used = np.flatnonzero(blocks.any(axis=1))
-        salt = np.random.default_rng().integers(_SALTS)     # spreads the first sums only
+        salt = TaskContext.get().partitionId() % _SALTS     # spreads the first sums; a rerun task gets its own again
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int64()), pa.array(np.full(len(used), salt), pa.int64()),
              pa.array([blocks[i].tobytes() for i in used], pa.binary())], names=["block", "salt", "v"])
@@ -200,6 +201,24 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return _logistic((np.tanh(z @ p[0] + p[1]) @ p[2] + p[3]) / model["heat"])
 
 
+def smallest_hashes(rows: DataFrame, sample: int) -> DataFrame:
+    """At most ``sample`` of ``rows`` (id, y, features), those with the smallest hashes of the id.
+
+    A hash threshold from the count goes first, so that all tasks together send about
+    ``sample`` rows to the driver and not ``sample`` each; if it leaves too few, it is doubled.
+    """
+    place = F.shiftrightunsigned(F.xxhash64("id"), 1)
+    total = rows.count()
+    share = min(1.0, 1.1 * sample / max(total, 1))
+    near = rows
+    while share < 1:
+        near = rows.where(place < int(share * (1 << 63)))
+        if near.count() >= sample:
+            break
+        near, share = rows, 2 * share
+    return near.orderBy(place, "y", "features").limit(sample)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    label: str = "quality", sample: int = SAMPLE, seed: int = 7) -> DataFrame:
     """(id, score) of every document row."""
@@ -208,8 +227,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     rows = scratch.keep(pooled(docs, doc_id, text, vectors), "features")
     known = labels.where(F.col(label).isin(0, 1)).select(
         F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
-    taught = (rows.join(known, "id").where(~held_out("id"))
-              .orderBy(F.xxhash64("id"), "y", "features").limit(sample).select("features", "y").collect())
+    taught = smallest_hashes(rows.join(known, "id").where(~held_out("id")), sample).select("features", "y").collect()
     x = np.array([np.frombuffer(bytes(r[0]), np.float32) for r in taught], np.float32).reshape(-1, FEATURES)
     model = train(x, np.array([r[1] for r in taught], np.int64), seed)
     sent = docs.sparkSession.sparkContext.broadcast(model)
