@@ -19,16 +19,18 @@ counted by what their slots say, so copies count once) fill it, all with one tex
 ``main``, else the body. Slots inside menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments (by element, role or a whole class) do not
 belong to it; inside it, a class that may also name a part of an article counts only if all
-slots of the element are constant, or mostly link text, over the host's pages. Constant slots of a host with at least ``CONSTANT_PAGES`` distinct pages
-are template text and do not belong to it either.
+slots of the element are constant, or mostly link text, over the host's pages. Constant slots of a host with at least ``CONSTANT_PAGES``
+distinct pages are template text and do not belong to it either; with ``keep_constant``, as in the
+query, only where the region is the whole body: text inside ``article`` and ``main`` then stays, so
+that it does not depend on how many pages its host has.
 
 *Text.* Slots of the region are read from the page: character references are decoded,
 white space inside a block is one space, blocks are trimmed and joined by a newline.
 
 Defined cases: null and empty pages give an empty text; a null or odd url forms a host of
 its own name or the empty one; broken markup is repaired and never dropped; elements
-nested deeper than ``DEPTH`` belong to the element at that depth; repeated rows repeat
-their result; a page without the host's region falls back to its own ``main`` or body.
+nested deeper than ``DEPTH`` belong to the element at that depth; very long pages are aligned and
+matched with one bit per pair of blocks; repeated rows repeat their result; a page without the host's region falls back to its own ``main`` or body.
 """
 
 from __future__ import annotations
@@ -73,8 +75,13 @@ BOILERPLATE_WORDS = SURE_WORDS | set(
     "sponsor promotion banner consent notice notices alert overlay subscribe subscription signup login menu nav "
     "navigation footer respond reply replies discussion share sharing social related recommended widget toolbar "
     "search".split())
+# A class of such words beside a word of the above counts as that word.
 HOLDERS = set("area bar block box button buttons container content form inner item items links list outer panel section "
-              "slot unit wrap wrapper".split())      # a class of such words beside a word of the above counts as that word
+              "slot unit wrap wrapper main page site global primary secondary left right top bottom desktop mobile message "
+              "post posts article articles blog entry story stories user reader readers".split())
+FRAMES = {"header", "footer"}                       # of the whole site, beside one of the next
+SITE = set("site page global main top".split())
+LAYOUT = set("has with without no hide show layout col cols column columns grid row".split())   # a holder's looks
 MARKS = "!~"           # behind a tag: boilerplate by its attributes, for sure or given evidence
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -92,12 +99,15 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 def class_mark(token: str) -> str:
-    """``!`` or ``~`` if one whole class is a word of boilerplate, alone or with holders only."""
+    """``!`` for a sure word of boilerplate beside holders only, ``~`` (needs evidence) for other words
+    beside holders, for a site's header, and for a sure word beside words of another kind."""
     whole = {token.lower()}
     parts = whole if whole & BOILERPLATE_WORDS else {w.lower() for w in _PART.findall(token)}
     words = parts & BOILERPLATE_WORDS
+    if parts & FRAMES and parts & SITE and not parts - FRAMES - SITE - HOLDERS:
+        return "~"
     if not words or parts - words - HOLDERS:
-        return ""
+        return "~" if words & SURE_WORDS and not parts & LAYOUT else ""
     return "!" if words & SURE_WORDS else "~"
 
 
@@ -203,22 +213,41 @@ def collapse(nodes: list) -> list:
     return out
 
 
+def common_lengths(a: list, b: list, since: int) -> list[int]:
+    """Bit rows of the longest common subsequences of the ends of two sequences.
+
+    Bit ``len(a) - 1 - i`` of row ``j - since`` is set if ``a[i:]`` and ``b[j:]`` have no more in common than
+    ``a[i + 1:]`` and ``b[j:]`` (bit-parallel recurrence: one row per element, one bit per pair).
+    """
+    n = len(a)
+    every, kinds = (1 << n) - 1, {}
+    for i, node in enumerate(a):
+        kinds.setdefault(node[0], bytearray(n // 8 + 1))[(n - 1 - i) >> 3] |= 1 << ((n - 1 - i) & 7)
+    bits = {key: int.from_bytes(made, "little") for key, made in kinds.items()}
+    row, rows = every, []
+    for node in reversed(b[since:]):
+        hit = row & bits.get(node[0], 0)
+        row = ((row + hit) | (row - hit)) & every
+        rows.append(row)
+    return rows[::-1]
+
+
 def align(a: list, b: list) -> list:
     """The expression of two sequences: longest common subsequence of kinds, rest optional."""
     if a == b:
         return a
     n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
     out: list = []
-    i = j = 0
+    i = j = since = 0
+    rows: list[int] = []
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
             out.append([a[i][0], _flag(a[i][1], b[j][1]), align(a[i][2], b[j][2])])
             i, j = i + 1, j + 1
-        elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
+            continue
+        if i < n and j < m and not rows:        # equal beginnings need no rows
+            rows, since = common_lengths(a, b, j), j
+        if j >= m or i < n and rows[j - since] >> (n - 1 - i) & 1:
             out.append([a[i][0], _flag(a[i][1], "?"), a[i][2]])
             i += 1
         else:
@@ -333,44 +362,71 @@ def match_page(nodes: list, wrapper: list) -> bool:
     holds; of several ways the leftmost is taken. A page that went into the wrapper
     always matches; nodes of any other keep -1 where it does not.
     """
-    known: dict[tuple[int, int], tuple[list, list] | None] = {}
-
-    def table_of(page: list, owner: int, expected: list) -> tuple[list, list] | None:
-        if (id(page), owner) in known:
-            return known[id(page), owner]
-        groups = [list(g) for _, g in groupby(page, key=lambda node: node[0])]
-        n, m = len(groups), len(expected)
-        ok = [[False] * (m + 1) for _ in range(n + 1)]
-        for i in range(n, -1, -1):
-            for j in range(m - n + i, i - 1, -1):
-                if j == m:
-                    ok[i][j] = i == n
-                    continue
-                key, flag, children, number = expected[j][:4]
-                ok[i][j] = (flag in ("?", "*") or key == "#") and ok[i][j + 1]
-                if i < n and ok[i + 1][j + 1] and not ok[i][j] and groups[i][0][0] == key \
-                        and (len(groups[i]) == 1 or flag in ("+", "*")):
-                    ok[i][j] = all(table_of(one[1], number, children) for one in groups[i])
-        known[id(page), owner] = (groups, ok) if n <= m and ok[0][0] else None
-        return known[id(page), owner]
+    shapes: dict[tuple, int] = {}               # sequences of equal shape match alike, so each is tried once
+    groups_of: dict[int, tuple[int, list, list]] = {}
+    known: dict[tuple[int, int], list[int] | None] = {}
+
+    def shape(page: list) -> tuple[int, list, list]:
+        """(number of the shape, runs of one kind, kind of each run: its key, whether single, its shapes)."""
+        if id(page) not in groups_of:
+            runs = [list(g) for _, g in groupby(page, key=lambda node: node[0])]
+            kinds = [(run[0][0], len(run) == 1, tuple(sorted({shape(one[1])[0] for one in run}))) for run in runs]
+            groups_of[id(page)] = shapes.setdefault(tuple(kinds), len(shapes)), runs, kinds
+            members.setdefault(groups_of[id(page)][0], kinds)
+        return groups_of[id(page)]
+
+    members: dict[int, list] = {}
+    fitting: dict[tuple, bool] = {}
+
+    def fits(kind: tuple, node: list) -> bool:
+        key, flag, children, number = node[:4]
+        if kind[0] != key or not (kind[1] or flag in ("+", "*")):
+            return False
+        if (kind, number) not in fitting:
+            fitting[kind, number] = all(table_of(one, number, children) is not None for one in kind[2])
+        return fitting[kind, number]
+
+    def table_of(which: int, owner: int, expected: list) -> list[int] | None:
+        """Bit i of entry j: runs i and on match the expected nodes j and on; None if the whole does not."""
+        if (which, owner) in known:
+            return known[which, owner]
+        kinds, m = members[which], len(expected)
+        n = len(kinds)
+        ok = None
+        if n <= m:
+            at: dict[tuple, bytearray] = {}
+            for i, kind in enumerate(kinds):
+                at.setdefault(kind, bytearray(n // 8 + 1))[i >> 3] |= 1 << (i & 7)
+            bits: dict[str, list] = {}
+            for kind, made in at.items():
+                bits.setdefault(kind[0], []).append((kind, int.from_bytes(made, "little")))
+            ok = [0] * m + [1 << n]
+            for j in range(m - 1, -1, -1):
+                after = ok[j + 1] >> 1
+                if expected[j][1] in ("?", "*") or expected[j][0] == "#":
+                    ok[j] = ok[j + 1]
+                for kind, places in bits.get(expected[j][0], ()):
+                    if after & places & ~ok[j] and fits(kind, expected[j]):
+                        ok[j] |= after & places
+        known[which, owner] = ok if ok and ok[0] & 1 else None
+        return known[which, owner]
 
     def assign(page: list, owner: int, expected: list) -> None:
-        found = table_of(page, owner, expected)
-        if found is None:
+        which, runs, kinds = shape(page)
+        ok = table_of(which, owner, expected)
+        if ok is None:
             return
-        groups, ok = found
         i = j = 0
-        while i < len(groups):
-            key, flag, children, number = expected[j][:4]
-            if groups[i][0][0] == key and ok[i + 1][j + 1] and (len(groups[i]) == 1 or flag in ("+", "*")) \
-                    and all(table_of(one[1], number, children) for one in groups[i]):
-                for one in groups[i]:
-                    one[2] = number
-                    assign(one[1], number, children)
+        while i < len(runs):
+            if ok[j + 1] >> (i + 1) & 1 and fits(kinds[i], expected[j]):
+                for one in runs[i]:
+                    one[2] = expected[j][3]
+                    assign(one[1], expected[j][3], expected[j][2])
                 i += 1
             j += 1
+    whole = shape(nodes)[0]
     assign(nodes, -1, wrapper)
-    return table_of(nodes, -1, wrapper) is not None
+    return table_of(whole, -1, wrapper) is not None
 
 
 def event_blocks(events: list, places: list, region: str, unwanted: set[int] | frozenset = frozenset()
@@ -491,14 +547,14 @@ def with_wrappers(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -
             .join(broadcast_if_small(wrappers.withColumnRenamed("host", "h")), "h"))
 
 
-def unwanted_nodes(wrapper: list, slots: dict[int, tuple[int, bool, int, int]], pages: int) -> list[int]:
-    """Constant slots, and elements marked ``~`` whose slots are all constant or mostly link text.
+def unwanted_nodes(wrapper: list, slots: dict[int, tuple[int, bool, int, int]], pages: int, constant: bool) -> list[int]:
+    """Elements marked ``~`` whose slots are all constant or mostly link text; with ``constant`` also constant slots.
 
     ``slots`` holds the pages that fill a slot, whether all say the same, its characters and those in links.
     """
     fixed = {slot for slot, (n, same, _, _) in slots.items()
              if slot >= 0 and same and pages >= CONSTANT_PAGES and n >= NEARLY_ALL * pages}
-    out = sorted(fixed)
+    out = sorted(fixed) if constant else []
 
     def walk(nodes: list) -> None:
         for key, _, children, number, end in nodes:
@@ -512,7 +568,7 @@ def unwanted_nodes(wrapper: list, slots: dict[int, tuple[int, bool, int, int]],
     return out
 
 
-def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame) -> DataFrame:
+def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame, keep_constant: bool = False) -> DataFrame:
     """(host, skipped): nodes of the wrapper that hold no main text, by the host's distinct pages.
 
     A page is what its slots say, so copies count once and pages that differ vary in some
@@ -556,7 +612,7 @@ def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame)
                 for f in found:
                     by_choice.setdefault(f["choice"], {})[f["slot"]] = (f["n"], f["same"], f["chars"], f["linked"])
                 made.append([{"choice": choice, "node": node} for choice, at in by_choice.items()
-                             for node in unwanted_nodes(numbered, at, at[PAGES][0])])
+                             for node in unwanted_nodes(numbered, at, at[PAGES][0], not (keep_constant and choice))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(made, pa.list_(pa.struct([("choice", pa.string()), ("node", pa.int64())])))],
                 names=["host", "skipped"])
@@ -570,14 +626,17 @@ def template_slots(pages: DataFrame, host: str, page: str, wrappers: DataFrame)
             .mapInArrow(decide, "host string, skipped array<struct<choice: string, node: bigint>>"))
 
 
-def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> DataFrame:
-    """``pages`` with a string column ``out``, the main text of each page."""
+def extract_text(pages: DataFrame, url: str, page: str, out: str = "main", keep_constant: bool = False) -> DataFrame:
+    """``pages`` with a string column ``out``, the main text of each page.
+
+    ``keep_constant`` keeps text inside ``article`` and ``main`` that all pages of the host share.
+    """
     scratch = Scratch(pages.sparkSession, "wrappers")
     names, column = pages.columns, pages.columns.index(page)
     host, wrap, region, fixed = fresh("host"), fresh("wrapper"), fresh("region"), fresh("fixed")
     hosted = pages.withColumn(host, _host(url))
     wrappers = infer_wrappers(hosted, host, page, scratch)
-    skipped = scratch.keep(template_slots(hosted, host, page, wrappers), "skipped")
+    skipped = scratch.keep(template_slots(hosted, host, page, wrappers, keep_constant), "skipped")
     slots = (wrappers.join(skipped, "host", "left")
              .select(F.col("host").alias(host), F.col("wrapper").alias(wrap), F.col("region").alias(region),
                      F.col("skipped").alias(fixed)))
@@ -603,6 +662,6 @@ def extract_text(pages: DataFrame, url: str, page: str, out: str = "main") -> Da
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every whole page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    found = extract_text(pages, "url", "html")
+    found = extract_text(pages, "url", "html", keep_constant=True)
     return found.select("page_id", "url", F.col("main").alias("text"),
                         F.char_length("main").cast("long").alias("n_chars"))
