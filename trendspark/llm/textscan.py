@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10      # a dozen 8-byte arrays hold a slice
 _MULT = 0x9E3779B97F4A7C15 | 1
 _MULT_INV = pow(_MULT, -1, 1 << 64)
 
