@@ -1,8 +1,9 @@
 """Repeated query rows, and columns with awkward names through the pipeline's stages."""
 import corpus_pipeline
+import numpy as np
 import pytest
 
-from trendspark.llm import topk_search
+from trendspark.llm import ngram_join, topk_search
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,3 +27,20 @@ def test_stages_take_awkward_columns(spark, name):
         assert all(r["n_tokens"] != 7 for r in out.collect())
     else:
         assert out.columns == odd.columns
+
+
+def test_tree_search_in_parts_finds_the_same_pairs(monkeypatch):
+    """Small parts hold the pairs of one large part, against brute force over all pairs."""
+    rng = np.random.default_rng(5)
+    points = rng.integers(0, 4, (700, ngram_join.GROUPS)).astype(np.uint8)
+    points[350:] = points[:350]
+    sizes = points.sum(axis=1).astype(np.int64)
+    tree = ngram_join.CountTree(points, sizes)
+    whole = set(zip(*(x.tolist() for x in tree.search(points, sizes, 60, 100))))
+    monkeypatch.setattr(ngram_join, "PAIRS", 50)
+    parts = list(tree.parts(points, sizes, 60, 100))
+    assert len(parts) > 1
+    assert {pair for q, p in parts for pair in zip(q.tolist(), p.tolist())} == whole
+    low = np.minimum(points[:, None], points[None]).sum(axis=2, dtype=np.int64)
+    brute = ngram_join.may_link(low, sizes[:, None], sizes[None], 60, 100)
+    assert whole == set(zip(*(x.tolist() for x in np.nonzero(brute))))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import Scratch, fresh, table
+from trendspark.llm.common import Scratch, batch_rows, fresh, table
 from trendspark.llm.components import connected_components
 from trendspark.llm.textscan import (
     U64, Powers, Words, byte_codes, gram_hashes, splitmix, text_slices)
@@ -51,6 +51,8 @@ GROUPS = 64
 FINE_MOST = 8192             # most groups of a fine point
 LEAF = 32
 TILE = 2048
+PAIRS = 1 << 18              # candidate pairs that a tree search holds at once
+FINE_ROWS = 1024             # rows with fine points that travel in one Arrow batch (8 MB)
 PASSES = 2                   # residue classes of the block tokens, one after the other (bounds disk)
 HEAVY_LIST = 65_536          # most shingles that are moved last in the order (0.5 MB)
 BROADCAST_IDS = 1_000_000    # most document ids that are broadcast (16 MB); more are joined by shuffle
@@ -133,7 +135,7 @@ def fine_bound(fine: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
             raw[raw == 255] = 60_000                      # 255 or more: unlimited
             folded[i] = np.minimum(raw.reshape(-1, g).sum(axis=0), 60_000)
         x, y = code[:len(at)], code[len(at):]
-        step = max(1, (1 << 22) // int(g))
+        step = max(1, (1 << 20) // int(g))
         for s in range(0, len(at), step):
             low = np.minimum(folded[x[s:s + step]], folded[y[s:s + step]])
             total = low.sum(axis=1, dtype=np.int64)
@@ -168,8 +170,15 @@ class CountTree:
             self.levels.append((top, low, high))
 
     def search(self, points: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, point) whose bound reaches the threshold, in blocks of queries."""
-        found_q, found_p = [], []
+        """Pairs (query, point) whose bound reaches the threshold."""
+        none = np.zeros(0, np.int64)
+        found_q, found_p = zip((none, none), *self.parts(points, sizes, num, den))
+        return np.concatenate(found_q), np.concatenate(found_p)
+
+    def parts(self, points: np.ndarray, sizes: np.ndarray, num: int,
+              den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs of ``search`` in parts of about PAIRS, by blocks of queries."""
+        found_q, found_p, held = [], [], 0
         sizes = sizes.astype(np.int64)
         for lo in range(0, len(points), 256):
             hi = min(lo + 256, len(points))
@@ -184,7 +193,12 @@ class CountTree:
             q, node = self._keep(points, sizes, q, node, self.points, self.sizes, self.sizes, num, den)
             found_q.append(q)
             found_p.append(self.order[node])
-        return np.concatenate(found_q), np.concatenate(found_p)
+            held += len(q)
+            if held >= PAIRS:
+                yield np.concatenate(found_q), np.concatenate(found_p)
+                found_q, found_p, held = [], [], 0
+        if held:
+            yield np.concatenate(found_q), np.concatenate(found_p)
 
     @staticmethod
     def _keep(points, sizes, q, node, top, low, high, num, den):
@@ -269,10 +283,18 @@ def _bounded_pairs(pairs: DataFrame, classes: DataFrame, num: int, den: int) ->
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _search_block(rows: dict, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs of one block's tile pair that may link across components."""
-    comp, side, size = rows["comp"], rows["side"], rows["n"]
-    point = np.frombuffer(b"".join(rows["point"]), np.uint8).reshape(-1, GROUPS)
+def _blobs(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column without nulls and the offset of each value, not copied."""
+    one = column.combine_chunks().cast(pa.large_binary())
+    if isinstance(one, pa.ChunkedArray):
+        one = pa.concat_arrays(one.chunks)
+    _, offsets, data = one.buffers()
+    return np.frombuffer(data, np.uint8), np.frombuffer(offsets, np.int64, len(one) + 1, one.offset * 8)
+
+
+def _search_block(rows: dict, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs of one block's tile pair that may link across components, in parts."""
+    comp, side, size, point = rows["comp"], rows["side"], rows["n"], rows["point"]
     left, right = side == rows["i"][0], side == rows["j"][0]
     if rows["i"][0] == rows["j"][0]:
         # members of the largest component need not ask: whoever differs asks them
@@ -282,11 +304,12 @@ def _search_block(rows: dict, num: int, den: int) -> tuple[np.ndarray, np.ndarra
         left, right = right, left
     asks, holds = np.flatnonzero(left), np.flatnonzero(right)
     if not len(asks) or not len(holds):
-        return asks[:0], asks[:0]
-    q, p = CountTree(point[holds], size[holds]).search(point[asks], size[asks], num, den)
-    a, b = asks[q], holds[p]
-    ok = comp[a] != comp[b]
-    return a[ok], b[ok]
+        return
+    for q, p in CountTree(point[holds], size[holds]).parts(point[asks], size[asks], num, den):
+        a, b = asks[q], holds[p]
+        ok = comp[a] != comp[b]
+        if ok.any():
+            yield a[ok], b[ok]
 
 
 def _spread(members: DataFrame, tile: int, least: int) -> DataFrame:
@@ -310,54 +333,77 @@ def _tile_search(spread: DataFrame, num: int, den: int, fine: bool) -> DataFrame
 
     Without fine points the result is (token, cls), the members with any candidate; with
     them it is the pairs (a, b) themselves, a < b. Blocks with one smallest class lie in
-    one partition (per tile pair), where a pair they share is reported once.
+    one partition (per tile pair), where most of the pairs they share meet. A task holds the
+    blocks that end in one batch, and pairs in parts of about PAIRS.
     """
     names = ["lead", "i", "j", "token", "side", "cls", "comp", "n", "point", *(["fine"] if fine else [])]
     number = names[:8]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            whole = pa.Table.from_batches(held).combine_chunks()
+        first: list[np.ndarray] = []
+        second: list[np.ndarray] = []
+        ready = 0
+
+        def found() -> pa.RecordBatch:
+            nonlocal ready
+            ready = 0
+            pairs = np.unique(np.stack([np.concatenate(first), np.concatenate(second)], axis=1), axis=0)
+            first.clear()
+            second.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        def blocks() -> Iterator[pa.RecordBatch]:
+            nonlocal ready
+            whole = pa.Table.from_batches(held)
+            held.clear()
             cols = {c: whole.column(c).to_numpy() for c in number}
-            blobs = {c: whole.column(c).to_pylist() for c in names[8:]}
-            edge = np.flatnonzero(np.append(True, cols["token"][1:] != cols["token"][:-1]))
-            first, second = [], []
-            for s, e in zip(edge, np.append(edge[1:], whole.num_rows)):
-                rows = {c: v[s:e] for c, v in (cols | blobs).items()}
-                a, b = _search_block(rows, num, den)
+            data, at = _blobs(whole.column("point"))
+            cols["point"] = data[at[0]:at[-1]].reshape(-1, GROUPS)
+            data, at = _blobs(whole.column("fine")) if fine else (data, at)
+            edge = np.ones(whole.num_rows, bool)
+            edge[1:] = False
+            for c in names[:4]:
+                edge[1:] |= cols[c][1:] != cols[c][:-1]
+            edge = np.append(np.flatnonzero(edge), whole.num_rows)
+            for s, e in zip(edge[:-1], edge[1:]):
+                rows = {c: v[s:e] for c, v in cols.items()}
                 cls = rows["cls"]
-                if fine:
-                    ok = may_link(fine_bound(rows["fine"], a, b), rows["n"][a], rows["n"][b], num, den)
-                    a, b = cls[a[ok]], cls[b[ok]]
-                    first.append(np.minimum(a, b))
-                    second.append(np.maximum(a, b))
-                else:
-                    some = cls[np.unique(np.append(a, b))]
-                    first.append(np.full(len(some), rows["token"][0]))
-                    second.append(some)
-            found = np.unique(np.stack([np.concatenate(first), np.concatenate(second)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                points = [data[at[r]:at[r + 1]] for r in range(s, e)] if fine else []
+                for a, b in _search_block(rows, num, den):
+                    if fine:
+                        ok = may_link(fine_bound(points, a, b), rows["n"][a], rows["n"][b], num, den)
+                        a, b = cls[a[ok]], cls[b[ok]]
+                        first.append(np.minimum(a, b))
+                        second.append(np.maximum(a, b))
+                    else:
+                        some = cls[np.unique(np.append(a, b))]
+                        first.append(np.full(len(some), rows["token"][0]))
+                        second.append(some)
+                    ready += len(first[-1])
+                    if ready >= PAIRS:
+                        yield found()
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = np.stack([batch.column(c).to_numpy() for c in (0, 1, 2)], axis=1)
+            key = np.stack([batch.column(c).to_numpy() for c in range(4)], axis=1)
             change = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             if held:
-                before = [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in (0, 1, 2)]
+                before = [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in range(4)]
                 if before != key[0].tolist():
                     change = np.append(0, change)
-            if len(change):  # all but the last group are complete
+            if len(change):  # all but the last block are complete
                 if change[-1]:
                     held.append(batch.slice(0, change[-1]))
-                yield from flush()
-                held = [batch.slice(change[-1])]
+                yield from blocks()
+                held.append(batch.slice(change[-1]))
             else:
                 held.append(batch)
         if held:
-            yield from flush()
+            yield from blocks()
+        if first:
+            yield found()
 
     rows = spread.select(*names).repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j", "token")
     return rows.mapInArrow(run, "a long, b long").distinct()
@@ -457,10 +503,11 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
                          .select(F.col("a").alias("token"), F.col("b").alias("cls")), "asked")
     fine = _scan_classes(asked, docs, doc_id, text, classes, k, seed, scratch, "fine")
     near = labelled.join(asked, ["token", "cls"]).join(fine.withColumnRenamed("value", "fine"), "cls")
-    rest = scratch.keep(
-        _tile_search(_spread(near, tile, 2), num, den, fine=True)
-        .join(tried, ["a", "b"], "left_anti")
-        .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "rest")
+    with batch_rows(spark, FINE_ROWS):
+        rest = scratch.keep(
+            _tile_search(_spread(near, tile, 2), num, den, fine=True)
+            .join(tried, ["a", "b"], "left_anti")
+            .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "rest")
     scratch.drop(asked, fine, members)
     more = _verified(rest, docs, doc_id, text, classes, k, num, den, seed, scratch)
     if more.limit(1).count():
