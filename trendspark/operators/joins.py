@@ -7,6 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendspark.session import shuffle_partitions
+
+TASK_BYTES = 4 << 20       # stored bytes of input that one task of a wide step takes
+_UNKNOWN = 1 << 50         # estimates above this are products of joins or defaults, not sizes
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of ``df`` (from file sizes / statistics, no job run)."""
     try:
@@ -16,6 +22,18 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
+def parts_for(*frames: DataFrame) -> int:
+    """Partitions in which a step over these stored frames holds ``TASK_BYTES`` a task; 0 where no size is known."""
+    size = sum(estimated_bytes(df) for df in frames)
+    return 0 if size > _UNKNOWN else -(-size // TASK_BYTES)
+
+
+def spread(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over ``parts`` partitions where the session's number is too small
+    for its size, else as it is; windows, joins and aggregates over the keys keep the partitions."""
+    return df.repartition(parts, *keys) if parts > shuffle_partitions(df.sparkSession) else df
+
+
 def session_limit(df: DataFrame) -> int:
     """The session's own broadcast threshold in bytes (negative: never broadcast)."""
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trendspark.config import DEFAULT, TrendConfig
 from trendspark.functions.scalars import queue_name, safe_divide, surrogate_key, win_label
 from trendspark.operators.baseline import match_deltas
-from trendspark.operators.joins import broadcast_if_small
+from trendspark.operators.joins import broadcast_if_small, parts_for, spread
 from trendspark.operators.sequence import sequence
 from trendspark.operators.trends import rolling_trends
 
@@ -32,16 +32,22 @@ def eligible_matches(metrics: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFram
 
 
 def player_match_sequence(metrics: DataFrame, tracked: DataFrame,
-                          cfg: TrendConfig = DEFAULT) -> DataFrame:
-    """Tracked players' eligible matches numbered overall and per champion."""
+                          cfg: TrendConfig = DEFAULT, stored: bool = False) -> DataFrame:
+    """Tracked players' eligible matches numbered overall and per champion.
+
+    ``stored``: the metrics are a stored table, which is read again rather than copied."""
     tracked_ids = broadcast_if_small(tracked.select("puuid").where(F.col("puuid").isNotNull()).distinct())
     kept = eligible_matches(metrics, cfg).join(tracked_ids, "puuid", "left_semi")
-    return sequence(kept, ["puuid"], match_order(), group=["champion_id"])
+    return sequence(kept, ["puuid"], match_order(), group=["champion_id"], store_input=not stored,
+                    parts=parts_for(metrics) if stored else 0)
 
 
 _TREND_IDS = ["participant_key", "match_id", "puuid", "champion_id", "champion_name",
               "team_position", "queue_id", "patch", "game_start_at",
               "match_sequence_number"]
+# what the filters of the sequence and the trend marts read of the metrics
+SEQUENCE_COLUMNS = [*[c for c in _TREND_IDS if c != "match_sequence_number"], "is_win",
+                    "game_duration_seconds", "ended_in_early_surrender", *DEFAULT.metrics]
 
 
 def player_rolling_trends(seq: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFrame:
@@ -127,9 +133,10 @@ def champion_meta(appearances: DataFrame, champions: DataFrame) -> DataFrame:
 
 
 def dim_matches(matches: DataFrame, teams: DataFrame, cfg: TrendConfig = DEFAULT) -> DataFrame:
-    winners = teams.groupBy("match_id").agg(
+    parts = parts_for(matches, teams)
+    winners = spread(teams.select("match_id", "team_id", "is_win"), parts, "match_id").groupBy("match_id").agg(
         F.max(F.when(F.col("is_win"), F.col("team_id"))).alias("winning_team_id"))
-    return matches.join(winners, "match_id", "left").select(
+    return spread(matches, parts, "match_id").join(winners, "match_id", "left").select(
         "match_id", "platform", "queue_id", queue_name("queue_id").alias("queue_name"),
         "game_mode", "game_type", "map_id", "game_version", "patch",
         "game_creation_at", "game_start_at", "game_end_at",

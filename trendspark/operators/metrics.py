@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendspark.functions.scalars import kda_adjusted, kda_strict, per_minute, safe_divide
+from trendspark.operators.joins import parts_for, spread
 
 TEAM_SUMS = {
     "team_kills": "kills",
@@ -35,8 +36,10 @@ def participant_metrics(participants: DataFrame, matches: DataFrame,
                         totals: DataFrame | None = None) -> DataFrame:
     """Participants joined to match and team context, with derived rates.
 
-    Inner joins: a participant without its match or team total drops out.
+    Inner joins: a participant without its match or team total drops out. They run in as
+    many partitions as the stored participants and matches need.
     """
+    parts = parts_for(participants, matches)
     totals = totals if totals is not None else team_totals(participants)
     m = matches.select("match_id", "queue_id", "patch", "platform", "game_start_at",
                        "game_duration_seconds", "game_duration_minutes")
@@ -51,7 +54,8 @@ def participant_metrics(participants: DataFrame, matches: DataFrame,
         "damage_to_objectives", "gold_earned", "gold_spent", "creep_score", "vision_score",
         "wards_placed", "wards_killed", "control_wards_bought", "is_win",
         "ended_in_early_surrender", "_extracted_at")
-    joined = p.join(m, "match_id", "inner").join(t, ["match_id", "team_id"], "inner")
+    joined = spread(p, parts, "match_id").join(spread(m, parts, "match_id"), "match_id", "inner")
+    joined = spread(joined, parts, "match_id", "team_id").join(t, ["match_id", "team_id"], "inner")
     minutes = F.col("game_duration_minutes")
     ka = F.col("kills") + F.col("assists")
     return joined.select(

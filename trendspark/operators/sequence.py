@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendspark.operators.joins import broadcast_if_small, join_null_safe
+from trendspark.operators.joins import broadcast_if_small, join_null_safe, parts_for, spread
 from trendspark.session import discard, materialize, shuffle_partitions
 
 _POS_MASK = (1 << 33) - 1
@@ -125,20 +125,24 @@ def sequence(df: DataFrame, entity: list[str], order: list[str | Column], *,
              group_seq_out: str = "champion_match_sequence_number",
              group_count_out: str = "player_champion_match_count",
              chunk_rows: int = DEFAULT_CHUNK_ROWS,
-             label: str = "sequence") -> DataFrame:
+             label: str = "sequence", store_input: bool = True, parts: int = 0) -> DataFrame:
     """Number an entity's rows 1..n (and, with ``group``, within entity x group).
 
     The result is written once to the checkpoint folder: it is the shared input
     of several marts, and its lineage (joins, numbering) is cut there. The input
     is written first as well, because group sizes are measured before numbering and the
     input (often a join) should not be computed twice; that copy is deleted at the end.
+    An input over stored tables needs no copy (``store_input``). The windows run in as many
+    partitions as the stored rows need (``parts`` of an input that is not copied).
     """
-    source = materialize(df, f"{label}-input")
-    res = number_rows(source, entity, order, out=seq_out, total_out=count_out,
+    source = materialize(df, f"{label}-input") if store_input else df
+    parts = parts_for(source) if store_input else parts
+    res = number_rows(spread(source, parts, *entity), entity, order, out=seq_out, total_out=count_out,
                       chunk_rows=chunk_rows, label=label)
     if group:
         res = number_rows(res, [*entity, *group], order, out=group_seq_out,
                           total_out=group_count_out, chunk_rows=chunk_rows, label=f"{label}-group")
     done = materialize(res, label)
-    discard(source)
+    if store_input:
+        discard(source)
     return done

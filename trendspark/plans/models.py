@@ -30,16 +30,18 @@ class Staged:
     champions: DataFrame
 
 
+# model of Staged -> its raw table (or the seed) and its staging
+STAGING = {
+    "matches": ("raw_matches", staging.stage_matches), "participants": ("raw_match_participants", staging.stage_participants),
+    "teams": ("raw_match_teams", staging.stage_teams), "bans": ("raw_match_bans", staging.stage_bans),
+    "summoners": ("raw_summoners", staging.stage_summoners), "mastery": ("raw_champion_mastery", staging.stage_mastery),
+    "champions": ("champion_static", staging.stage_champions),
+}
+
+
 def stage(raw: dict[str, DataFrame], seed: DataFrame) -> Staged:
-    return Staged(
-        matches=staging.stage_matches(raw["raw_matches"]),
-        participants=staging.stage_participants(raw["raw_match_participants"]),
-        teams=staging.stage_teams(raw["raw_match_teams"]),
-        bans=staging.stage_bans(raw["raw_match_bans"]),
-        summoners=staging.stage_summoners(raw["raw_summoners"]),
-        mastery=staging.stage_mastery(raw["raw_champion_mastery"]),
-        champions=staging.stage_champions(seed),
-    )
+    tables = raw | {"champion_static": seed}
+    return Staged(**{name: staged(tables[table]) for name, (table, staged) in STAGING.items()})
 
 
 def staging_models(s: Staged) -> dict[str, DataFrame]:
@@ -67,7 +69,7 @@ def build(s: Staged, tracked: DataFrame | None = None, cfg: TrendConfig = DEFAUL
     tracked = tracked if tracked is not None else s.summoners.select("puuid")
     pm = materialize(participant_metrics(s), "participant-metrics")
     players = marts.dim_players(s.summoners, s.mastery, pm)
-    seq = marts.player_match_sequence(pm, tracked, cfg)
+    seq = marts.player_match_sequence(pm, tracked, cfg, stored=True)
     appearances = marts.champion_appearances(s.participants, s.bans, s.matches)
     return {
         "int_match_team_totals": metrics.team_totals(s.participants),
@@ -122,7 +124,12 @@ def build_from_landing(spark, landing_root: str, seed_path: str, out_root: str |
     from trendspark.sources.io import newest_landed, read_landed, read_seed, rejected_lines, write_table
     from trendspark.sources.schemas import RAW_TABLES
     landed = {t: materialize(read_landed(spark, landing_root, t), f"landed-{t}") for t in RAW_TABLES}
-    raw = {t: materialize(newest_landed(landed[t], t), t) for t in RAW_TABLES}
+    raw = {}
+    for t in RAW_TABLES:
+        raw[t] = materialize(newest_landed(landed[t], t), t)
+        if out_root:
+            write_table(rejected_lines(landed[t]), f"{out_root.rstrip('/')}/rejects/{t}")
+        discard(landed[t])
     seed = read_seed(spark, seed_path)
     staged = stage(raw, seed)
     built = build(staged, cfg=cfg)
@@ -130,10 +137,6 @@ def build_from_landing(spark, landing_root: str, seed_path: str, out_root: str |
         write_marts(built, out_root)
         write_table(run_checks({"champion_static": seed} | raw | staging_models(staged) | built), f"{out_root.rstrip('/')}/checks")
         update_snapshot(spark, out_root, built["dim_champions"])
-        for t in RAW_TABLES:
-            write_table(rejected_lines(landed[t]), f"{out_root.rstrip('/')}/rejects/{t}")
-    for df in landed.values():
-        discard(df)
     return built
 
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendspark.operators.joins import broadcast_if_small
+from trendspark.operators.joins import broadcast_if_small, estimated_bytes, parts_for, session_limit, spread
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +66,8 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_with_team(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the supplier's region (team) and the part's brand number."""
+    """Line items with the supplier's region (team) and the part's brand number; the joins
+    run in as many partitions as the lines need."""
     li = _t(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
@@ -76,11 +77,20 @@ def lines_with_team(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("l_suppkey"), F.col("n_regionkey").alias("team_id"))
     part = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"),
                                             brand_number().alias("brand_no"))
-    return li.join(teams, "l_suppkey").join(part, "l_partkey")
+    parts = parts_for(li)
+    by_part = spread(li, parts, "l_partkey").join(spread(part, parts, "l_partkey"), "l_partkey")
+    if estimated_bytes(sup) <= session_limit(sup):
+        return by_part.join(F.broadcast(teams), "l_suppkey")
+    return spread(by_part, parts, "l_suppkey").join(spread(teams, parts, "l_suppkey"), "l_suppkey")
+
+
+def _lines_by(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """The lines dealt by a key, whose groups then need no second shuffle."""
+    return spread(lines_with_team(spark, sf_dir), parts_for(_t(spark, sf_dir, "lineitem")), key)
 
 
 def raw_participants(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    lines = (lines if lines is not None else lines_with_team(spark, sf_dir)).where(F.col("l_returnflag") != "R")
+    lines = (lines if lines is not None else _lines_by(spark, sf_dir, "l_orderkey")).where(F.col("l_returnflag") != "R")
     n = F.count(F.lit(1))
     cnt = lambda cond: F.count_if(cond).cast("int")
     isum = lambda e: F.sum(e).cast("int")
@@ -131,7 +141,7 @@ def raw_participants(spark: SparkSession, sf_dir: str, lines: DataFrame | None =
 
 
 def raw_teams(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    lines = lines if lines is not None else lines_with_team(spark, sf_dir)
+    lines = lines if lines is not None else _lines_by(spark, sf_dir, "l_orderkey")
     cnt = lambda cond: F.count_if(cond).cast("int")
     return lines.groupBy("l_orderkey", "team_id").agg(
         F.bool_or(F.col("l_linestatus") == "F").alias("win"),
@@ -177,7 +187,7 @@ def tracked_players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_mastery(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    lines = (lines if lines is not None else lines_with_team(spark, sf_dir)).where(F.col("l_returnflag") != "R")
+    lines = (lines if lines is not None else _lines_by(spark, sf_dir, "l_suppkey")).where(F.col("l_returnflag") != "R")
     return lines.groupBy("l_suppkey", "brand_no").agg(
         F.count_distinct("l_orderkey").cast("int").alias("champion_level"),
         F.count(F.lit(1)).cast("int").alias("champion_points"),
