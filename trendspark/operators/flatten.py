@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from trendspark.config import PARTICIPANT_COUNT_DEFAULTS
 from trendspark.session import materialize
-from trendspark.sources.io import REJECT_SCHEMA, empty_frame, parse_lines
+from trendspark.sources.io import REJECT_SCHEMA, empty_frame, parse_tagged, rejected_lines, rows_that_fit
 from trendspark.sources.schemas import (
     ACCOUNT_DOCUMENT, MASTERY_DOCUMENT, MATCH_DOCUMENT, PARTICIPANT_FIELDS, SUMMONER_DOCUMENT)
 
@@ -161,6 +161,21 @@ def flatten_matches(docs: DataFrame, extracted_at: str | Column | None = None) -
     }
 
 
+DOCUMENTS = {"match": MATCH_DOCUMENT, "account": ACCOUNT_DOCUMENT,
+             "summoner": SUMMONER_DOCUMENT, "mastery": MASTERY_DOCUMENT}
+
+
+def parse_documents(lines: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Landed documents of one kind -> their stored parse and their rejects (line, reason,
+    file, kind), both out of one parse of the lines."""
+    schema = DOCUMENTS[kind]
+    tagged = parse_tagged(lines, schema)
+    file = ["_file"] if "_file" in tagged.columns else []
+    stored = materialize(tagged.select(*schema.fieldNames(), *file, "_reject"), f"documents-{kind}")
+    return (rows_that_fit(stored).select(*schema.fieldNames()),
+            rejected_lines(stored).withColumn("kind", F.lit(kind)))
+
+
 def flatten_documents(spark: SparkSession, lines: dict[str, DataFrame], platform: str,
                       extracted_at: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Landed documents (a ``value`` column of JSON per kind) -> the six raw tables and the rejects.
@@ -170,16 +185,13 @@ def flatten_documents(spark: SparkSession, lines: dict[str, DataFrame], platform
     whole load carries one UTC stamp. Rejects have line, reason, file and kind.
     """
     stamp = extracted_at or datetime.now(timezone.utc).isoformat(timespec="microseconds")
-    schemas = {"match": MATCH_DOCUMENT, "account": ACCOUNT_DOCUMENT,
-               "summoner": SUMMONER_DOCUMENT, "mastery": MASTERY_DOCUMENT}
     parsed, rejects = {}, empty_frame(spark, REJECT_SCHEMA).withColumn("kind", F.lit("").cast("string"))
-    for kind, schema in schemas.items():
+    for kind, schema in DOCUMENTS.items():
         if kind not in lines:
             parsed[kind] = empty_frame(spark, schema)
             continue
-        good, bad = parse_lines(lines[kind], schema)
-        parsed[kind] = materialize(good.select(*schema.fieldNames()), f"documents-{kind}")
-        rejects = rejects.unionByName(bad.withColumn("kind", F.lit(kind)))
+        parsed[kind], bad = parse_documents(lines[kind], kind)
+        rejects = rejects.unionByName(bad)
     tables = flatten_matches(parsed["match"], stamp)
     tables["raw_summoners"] = summoner_rows(parsed["account"], parsed["summoner"], platform, stamp)
     tables["raw_champion_mastery"] = mastery_rows(parsed["mastery"], stamp)

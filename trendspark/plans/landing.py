@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.operators import flatten, views
+from trendspark.operators.joins import parts_for, spread
 from trendspark.plans import driver, models, standins, suite
 from trendspark.plans.driver import query
 from trendspark.session import ensure_checkpoint_dir
@@ -35,20 +36,26 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def match_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One JSON line per order; every 97th is cut short, every 89th has a text for a number."""
-    lines = _table(spark, sf, "lineitem").withColumn("team", (F.lit(100) + 100 * (F.col("l_suppkey") % 2)).cast("int"))
+    """One JSON line per order; every 97th is cut short, every 89th has a text for a number.
+
+    The lines of an order meet once, and its teams are made of them in its row."""
+    lines = _table(spark, sf, "lineitem")
+    parts = parts_for(lines)
+    team = (F.lit(100) + 100 * (F.col("l_suppkey") % 2)).cast("int")
     returned = F.col("l_returnflag") == "R"
     player = F.when(~returned, F.struct(
         F.col("l_suppkey").cast("string").alias("puuid"), F.col("l_linenumber").alias("participantId"),
-        F.col("team").alias("teamId"), (F.col("l_partkey") % 50).cast("int").alias("championId"),
+        team.alias("teamId"), (F.col("l_partkey") % 50).cast("int").alias("championId"),
         F.when(F.col("l_linestatus") == "F", F.col("l_quantity").cast("int")).alias("kills"),
         (F.col("l_quantity").cast("int") % 7).alias("deaths"), (F.col("l_linestatus") == "F").alias("win")))
     ban = F.when(returned, F.struct((F.col("l_partkey") % 50 - 1).cast("int").alias("championId"),
                                     F.col("l_linenumber").alias("pickTurn")))
-    teams = lines.groupBy("l_orderkey", "team").agg(
-        F.collect_list(player).alias("players"), F.collect_list(ban).alias("bans"),
-        F.count_if(returned).cast("int").alias("r"), F.count("*").cast("int").alias("n"),
-        F.bool_or(F.col("l_linestatus") == "F").alias("win"))
+    dealt = spread(lines.select("l_orderkey", team.alias("team"), player.alias("player"), ban.alias("ban"),
+                                (F.col("l_linestatus") == "F").alias("won"), returned.alias("returned")), parts, "l_orderkey")
+    teams = dealt.groupBy("l_orderkey", "team").agg(
+        F.collect_list("player").alias("players"), F.collect_list("ban").alias("bans"),
+        F.count_if("returned").cast("int").alias("r"), F.count("*").cast("int").alias("n"),
+        F.bool_or("won").alias("win"))
     none = F.lit(None).cast("boolean")
     objectives = F.map_from_entries(F.filter(F.array(
         F.when(F.col("r") > 0, F.struct(F.lit("baron"), F.struct(F.lit(True).alias("first"), F.col("r").alias("kills")))),
@@ -59,7 +66,7 @@ def match_documents(spark: SparkSession, sf: str) -> DataFrame:
                     F.when(F.col("team") == 100, objectives).alias("objectives"), "bans")
     per_order = teams.groupBy("l_orderkey").agg(F.flatten(F.collect_list("players")).alias("p"),
                                                 F.collect_list(team).alias("t"))
-    o = _table(spark, sf, "orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    o = spread(_table(spark, sf, "orders"), parts, "o_orderkey").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     start = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     doc = F.struct(
         F.struct(F.col("o_orderkey").cast("string").alias("matchId"),
@@ -75,24 +82,36 @@ def match_documents(spark: SparkSession, sf: str) -> DataFrame:
     return o.select(broken.alias("value"))
 
 
-def _documents(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    key = driver._key(spark, sf, "documents")
+def _accounts(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "supplier").where("s_suppkey % 5 <> 0").select(F.to_json(F.struct(
+        F.col("s_suppkey").cast("string").alias("puuid"), F.col("s_name").alias("gameName"),
+        F.when(F.col("s_nationkey") % 3 > 0, F.col("s_nationkey").cast("string")).alias("tagLine"))).alias("value"))
+
+
+def _profiles(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "supplier").where("s_suppkey % 7 <> 0").select(F.to_json(F.struct(
+        F.col("s_suppkey").cast("string").alias("puuid"), F.col("s_nationkey").cast("int").alias("profileIconId"),
+        F.floor("s_acctbal").cast("int").alias("summonerLevel"))).alias("value"))
+
+
+def _mastery(spark: SparkSession, sf: str) -> DataFrame:
+    return (_table(spark, sf, "lineitem").groupBy("l_suppkey", (F.col("l_partkey") % 50).alias("c"))
+            .agg(F.count("*").cast("int").alias("n"))
+            .select(F.to_json(F.struct(
+                F.col("l_suppkey").cast("string").alias("puuid"), F.col("c").cast("int").alias("championId"),
+                F.col("n").alias("championPoints"),
+                F.when(F.col("n") % 2 == 0, F.col("n")).alias("tokensEarned"))).alias("value")))
+
+
+_DOCUMENT_LINES = {"match": match_documents, "account": _accounts, "summoner": _profiles, "mastery": _mastery}
+_PLAYER = ("account", "summoner")
+
+
+def _documents(spark: SparkSession, sf: str, *kinds: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The tables and rejects of some kinds of documents, parsed when a query first reads those kinds."""
+    key = driver._key(spark, sf, f"documents-{kinds}")
     if key not in driver._CACHE:
-        s = _table(spark, sf, "supplier")
-        puuid = F.col("s_suppkey").cast("string")
-        account = s.where("s_suppkey % 5 <> 0").select(F.to_json(F.struct(
-            puuid.alias("puuid"), F.col("s_name").alias("gameName"),
-            F.when(F.col("s_nationkey") % 3 > 0, F.col("s_nationkey").cast("string")).alias("tagLine"))).alias("value"))
-        profile = s.where("s_suppkey % 7 <> 0").select(F.to_json(F.struct(
-            puuid.alias("puuid"), F.col("s_nationkey").cast("int").alias("profileIconId"),
-            F.floor("s_acctbal").cast("int").alias("summonerLevel"))).alias("value"))
-        mastery = (_table(spark, sf, "lineitem").groupBy("l_suppkey", (F.col("l_partkey") % 50).alias("c"))
-                   .agg(F.count("*").cast("int").alias("n"))
-                   .select(F.to_json(F.struct(
-                       F.col("l_suppkey").cast("string").alias("puuid"), F.col("c").cast("int").alias("championId"),
-                       F.col("n").alias("championPoints"),
-                       F.when(F.col("n") % 2 == 0, F.col("n")).alias("tokensEarned"))).alias("value")))
-        lines = {"match": match_documents(spark, sf), "account": account, "summoner": profile, "mastery": mastery}
+        lines = {kind: _DOCUMENT_LINES[kind](spark, sf) for kind in kinds}
         driver._CACHE[key] = flatten.flatten_documents(spark, lines, "N1", STAMP)
     return driver._CACHE[key]
 
@@ -100,43 +119,44 @@ def _documents(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], Data
 @query("doc_matches")
 def q_doc_matches(spark, sf):
     """Match header rows of the documents."""
-    return _documents(spark, sf)[0]["raw_matches"]
+    return _documents(spark, sf, "match")[0]["raw_matches"]
 
 
 @query("doc_participants")
 def q_doc_participants(spark, sf):
     """Participants with count defaults; missing arrays give no rows."""
-    return _documents(spark, sf)[0]["raw_match_participants"]
+    return _documents(spark, sf, "match")[0]["raw_match_participants"]
 
 
 @query("doc_teams")
 def q_doc_teams(spark, sf):
     """Teams with objectives looked up by name, defaults where absent."""
-    return _documents(spark, sf)[0]["raw_match_teams"]
+    return _documents(spark, sf, "match")[0]["raw_match_teams"]
 
 
 @query("doc_bans")
 def q_doc_bans(spark, sf):
     """Bans, two levels deep; empty arrays give no rows."""
-    return _documents(spark, sf)[0]["raw_match_bans"]
+    return _documents(spark, sf, "match")[0]["raw_match_bans"]
 
 
 @query("doc_summoners")
 def q_doc_summoners(spark, sf):
     """Account and profile documents combined, either of them missing for some."""
-    return _documents(spark, sf)[0]["raw_summoners"]
+    return _documents(spark, sf, *_PLAYER)[0]["raw_summoners"]
 
 
 @query("doc_mastery")
 def q_doc_mastery(spark, sf):
     """Mastery entries, tokens 0 where missing."""
-    return _documents(spark, sf)[0]["raw_champion_mastery"]
+    return _documents(spark, sf, "mastery")[0]["raw_champion_mastery"]
 
 
 @query("doc_rejects")
 def q_doc_rejects(spark, sf):
     """Document lines that are no JSON or do not fit, with their reasons."""
-    return _documents(spark, sf)[1].select("kind", "reason", F.md5(F.substring("line", 1, 30)).alias("line_md5"))
+    rejects = [_documents(spark, sf, *kinds)[1] for kinds in (("match",), _PLAYER, ("mastery",))]
+    return reduce(DataFrame.unionByName, rejects).select("kind", "reason", F.md5(F.substring("line", 1, 30)).alias("line_md5"))
 
 
 @query("doc_static")
