@@ -55,14 +55,17 @@ def trend_rows(overall: DataFrame, per_champion: DataFrame, metrics: Sequence[st
 
 def series_points(rows: DataFrame, metrics: Sequence[str], entity: str = "puuid") -> DataFrame:
     """Long points (entity, view, metric, x, raw, roll): null raw dropped, null roll
-    kept; a series is kept only with at least two points."""
-    packed = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("raw"),
-                                F.col(f"{m}_rolling_avg").alias("roll")) for m in metrics])
-    long = (rows.select(entity, "view", F.col("seq").alias("x"), F.inline(packed))
-            .where(F.col("raw").isNotNull()))
-    counts = long.groupBy(entity, "view", "metric").agg(F.count(F.lit(1)).alias("_n"))
-    keep = counts.where(F.col("_n") >= 2).select(entity, "view", "metric")
-    return long.join(keep, [entity, "view", "metric"], "left_semi")
+    kept; a series is kept only with at least two points.
+
+    Points are counted on the wide rows, one count per metric, so the rows meet their
+    counts once and become long after that. A null entity has no series."""
+    counts = rows.groupBy(entity, "view").agg(*[F.count(F.col(m)).alias(f"_n_{m}") for m in metrics])
+    held = [F.when(F.col(f"_n_{m}") >= 2, F.col(m)) for m in metrics]
+    packed = F.array(*[F.struct(F.lit(m).alias("metric"), raw.alias("raw"),
+                                F.col(f"{m}_rolling_avg").alias("roll")) for m, raw in zip(metrics, held)])
+    wide = rows.select(entity, "view", "seq", *metrics, *[f"{m}_rolling_avg" for m in metrics])
+    return (wide.join(counts, [entity, "view"]).select(entity, "view", F.col("seq").alias("x"), F.inline(packed))
+            .where(F.col("raw").isNotNull()).select(entity, "view", "metric", "x", "raw", "roll"))
 
 
 def point_metadata(rows: DataFrame, entity: str = "puuid") -> DataFrame:
