@@ -44,3 +44,18 @@ def test_tree_search_in_parts_finds_the_same_pairs(monkeypatch):
     low = np.minimum(points[:, None], points[None]).sum(axis=2, dtype=np.int64)
     brute = ngram_join.may_link(low, sizes[:, None], sizes[None], 60, 100)
     assert whole == set(zip(*(x.tolist() for x in np.nonzero(brute))))
+
+
+def test_a_full_chunk_table_keeps_what_the_batch_uses(monkeypatch):
+    """op2: at the table's bound known chunks of the batch are not encoded again."""
+    from trendspark.llm import piece_codec
+    model, asked = piece_codec.load_model(piece_codec.default_model()), []
+    encode = piece_codec.encode_chunks
+    monkeypatch.setattr(piece_codec, "CACHE", 6)
+    monkeypatch.setattr(piece_codec, "encode_chunks", lambda m, new, into: (asked.append(sorted(new)), encode(m, new, into)))
+    run = piece_codec._encoder(model)
+    run(["▁one▁two▁three▁four\n"])
+    known, lists = run(["▁four▁five▁one\n▁six▁seven"])
+    assert asked[1] == ["▁five", "▁seven", "▁six"]
+    ids = [i for c in lists[0] for i in known.ids[c]]
+    assert piece_codec.decode(model, ids) == "four five one\n six seven"

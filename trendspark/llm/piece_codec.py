@@ -7,10 +7,10 @@ source text it came from, so each piece projects to a span of original bytes.
 
 *Encoding.* No piece holds a word mark after another character (checked on loading), so
 merges never cross a word mark and the normalised text falls into chunks that are encoded
-on their own. A task encodes each distinct chunk of a batch once: all short chunks of one
+on their own. A task encodes each distinct chunk of a batch once: short chunks of like
 length are merged together as integer matrices (best-ranked adjacent pair, leftmost
-first), long ones with a heap. Chunks stay in a table of at most ``CACHE`` entries
-between batches. Unknown characters become byte pieces, or one unknown piece per run.
+first), long ones with a heap. Chunks stay in a table of about ``CACHE`` entries
+between batches; when it is full, those the batch at hand does not use go. Unknown characters become byte pieces, or one unknown piece per run.
 
 *Decoding* follows the library: control pieces vanish, byte runs are decoded with U+FFFD
 for malformed bytes, the first word mark is the dummy prefix and is dropped.
@@ -28,10 +28,11 @@ import heapq
 import re
 import string
 from collections.abc import Callable, Iterable, Iterator
-from itertools import groupby
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +44,11 @@ CACHE = 300_000
 DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
 SPANS = ("begins", "ends")
 LONG = 48          # chunks of more characters are merged with a heap
-_BLOCK = 65_536    # chunks merged at once
+GROUP = 1 << 20    # bytes of text encoded at once
+WIDTHS = (4, 8, 12, 16, 24, 32, LONG)
+_CELLS = 1 << 18   # symbols merged at once
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
-_NO_PAIR = np.int64(1) << 60
+_NO_PAIR = np.int32(1 << 30)
 
 
 class CharMap:
@@ -141,12 +144,12 @@ class PieceModel:
                     order.append(rank[scores[i]])
         at = np.argsort(np.array(keys, np.int64))
         self.pair = np.array(keys, np.int64)[at]
-        self.pair_out = np.array(out, np.int64)[at]
-        self.pair_rank = np.array(order, np.int64)[at]
+        self.pair_out = np.array(out, np.int32)[at]
+        self.pair_rank = np.array(order, np.int32)[at]
         self.chunk = _chunk_rule(usable)
         self.plain = [n.replace(MARK, " ") for n in self.names]
         self.digits = [str(i) for i in range(len(self.names))]
-        self.code = np.full(0x110000, -1, np.int64)       # symbol of each single character
+        self.code = np.full(0x110000, -1, np.int32)       # symbol of each single character
         for c, i in self.symbol.items():
             if len(c) == 1:
                 self.code[ord(c)] = i
@@ -247,45 +250,44 @@ def chunker(model: PieceModel) -> Callable[[str], list[str]]:
 
 
 def _pair_lookup(model: PieceModel, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    key = np.where((a < 0) | (b < 0), -1, a << 32 | b)
+    key = np.where((a < 0) | (b < 0), -1, a.astype(np.int64) << 32 | b)
     at = np.minimum(np.searchsorted(model.pair, key), max(len(model.pair) - 1, 0))
     if not len(model.pair):
-        return np.full(a.shape, _NO_PAIR), np.zeros(a.shape, np.int64)
+        return np.full(a.shape, _NO_PAIR), np.zeros(a.shape, np.int32)
     hit = model.pair[at] == key
     return np.where(hit, model.pair_rank[at], _NO_PAIR), model.pair_out[at]
 
 
-def merge_matrix(model: PieceModel, ids: np.ndarray) -> tuple[list[list[int]], np.ndarray]:
-    """Merge the rows of a matrix of symbols (equal lengths): final symbols and their numbers."""
+def merge_matrix(model: PieceModel, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Merge the rows of a matrix of symbols, padded with -1 at the end: final symbols and their numbers."""
     n, width = ids.shape
     length = np.full(n, width)
     live = np.arange(n)
     rank, out = _pair_lookup(model, ids[:, :-1], ids[:, 1:])
-    final = np.full((n, width), -(1 << 40), np.int64)
+    final = np.full((n, width), -1, np.int32)
     while len(live):
         best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(live), np.int64)
         row = np.arange(len(live))
         go = rank[row, best] < _NO_PAIR if rank.shape[1] else np.zeros(len(live), bool)
-        done = live[~go]
-        final[done, :ids.shape[1]] = ids[~go]
-        live, ids, rank, out, best = live[go], ids[go], rank[go], out[go], best[go]
-        if not len(live):
-            break
+        if not go.all():
+            done = live[~go]
+            final[done, :ids.shape[1]] = ids[~go]
+            live, ids, rank, out, best = live[go], ids[go], rank[go], out[go], best[go]
+            if not len(live):
+                break
         length[live] -= 1
         row, width = np.arange(len(live)), ids.shape[1]
-        merged = out[row, best]
-        cols = np.arange(width - 1)[None, :]
-        ids = np.take_along_axis(ids, cols + (cols > best[:, None]), axis=1)
-        ids[row, best] = merged
-        cols = np.arange(width - 2)[None, :]
-        keep = cols + (cols >= best[:, None])
-        rank, out = np.take_along_axis(rank, keep, axis=1), np.take_along_axis(out, keep, axis=1)
+        ids[row, best] = out[row, best]
+        cols = np.arange(width)[None, :]
+        ids = ids[cols != best[:, None] + 1].reshape(len(live), width - 1)
+        keep = cols[:, :-1] != np.minimum(best, width - 2)[:, None]
+        rank, out = rank[keep].reshape(len(live), width - 2), out[keep].reshape(len(live), width - 2)
         for side in (best - 1, best):                  # the pairs next to the merged symbol
             ok = np.flatnonzero((side >= 0) & (side < width - 2))
             if len(ok):
                 at = side[ok]
                 rank[ok, at], out[ok, at] = _pair_lookup(model, ids[ok, at], ids[ok, at + 1])
-    return final.tolist(), length
+    return final, length
 
 
 def merge_long(model: PieceModel, ids: list[int]) -> list[int]:
@@ -347,44 +349,97 @@ def _pieces(model: PieceModel, chunk: str, symbols: list[int]) -> tuple[list[int
     return ids, sizes
 
 
+def places(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places of runs, one run after the other: ``count`` places from ``first`` on."""
+    end = np.cumsum(count)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - count), count)
+
+
 class Encoded:
-    """Ids by chunk, and the character counts of chunks with unknown characters."""
+    """Ids of numbered chunks, one chunk after the other, and the characters that each id ends."""
 
     def __init__(self) -> None:
-        self.ids: dict[str, list[int]] = {}
-        self.odd: dict[str, list[int]] = {}
+        self.number: dict[str, int] = {}
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat, self.ended = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ids = self                                # ids[chunk]
+        self.used = np.zeros(0, np.int64)
+
+    def _run(self, chunk: str) -> slice:
+        k = self.number[chunk]
+        return slice(int(self.first[k]), int(self.first[k]) + int(self.count[k]))
+
+    def __getitem__(self, chunk: str) -> list[int]:
+        return self.flat[self._run(chunk)].tolist()
 
     def sizes(self, model: PieceModel, chunk: str) -> list[int]:
         """Characters of the chunk that each id ends."""
-        return self.odd.get(chunk) or [len(model.names[i]) for i in self.ids[chunk]]
+        return self.ended[self._run(chunk)].tolist()
+
+    def add(self, chunks: list[str], count: np.ndarray, flat: np.ndarray, ended: np.ndarray) -> None:
+        have = len(self.number)
+        self.number.update(zip(chunks, range(have, have + len(chunks))))
+        self.first = np.append(self.first, len(self.flat) + np.cumsum(count) - count)
+        self.count = np.append(self.count, count.astype(np.int32))
+        self.flat = np.append(self.flat, flat.astype(np.int32))
+        self.ended = np.append(self.ended, ended.astype(np.int32))
+
+    def keep(self, k: np.ndarray) -> None:
+        """Forget all chunks but those of the numbers ``k`` (ascending), which are numbered anew."""
+        chunks, at = list(self.number), places(self.first[k], self.count[k])   # chunks lie in the order of their numbers
+        chunks, count, flat, ended = [chunks[i] for i in k.tolist()], self.count[k], self.flat[at], self.ended[at]
+        self.__init__()
+        self.add(chunks, count, flat, ended)
+
+
+def _blocks(chunks: Iterable[str]) -> Iterator[tuple[int, list[str]]]:
+    """(width, chunks of at most that many characters), long ones under their own length."""
+    chunks = sorted(chunks, key=len)
+    size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+    lo = 0
+    while lo < len(chunks):
+        wide = next((w for w in WIDTHS if size[lo] <= w), int(size[lo]))
+        hi = min(int(np.searchsorted(size, wide, side="right")), lo + max(1, _CELLS // wide))
+        yield wide, chunks[lo:hi]
+        lo = hi
 
 
 def encode_chunks(model: PieceModel, chunks: Iterable[str], into: Encoded) -> None:
-    """Encode distinct chunks, those of one length together."""
+    """Encode distinct chunks, those of like length together."""
     top = len(model.names)
-    for size, group in groupby(sorted(chunks, key=len), key=len):
-        group = list(group)
-        for lo in range(0, len(group), _BLOCK):
-            some = group[lo:lo + _BLOCK]
-            if model.user:
-                whole = [c for c in some if c in model.user]
-                into.ids.update((c, [model.symbol[c]]) for c in whole)
-                some = [c for c in some if c not in into.ids]
-            if not some:
-                continue
-            points = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), size)
-            ids = model.code[points]
-            if size <= LONG:
-                rows, length = merge_matrix(model, ids)
-                plain = ((ids >= 0) & (ids < top)).all(axis=1)
-                for c, row, n, ok in zip(some, rows, length.tolist(), plain.tolist()):
-                    if ok:
-                        into.ids[c] = row[:n]
-                    else:
-                        into.ids[c], into.odd[c] = _pieces(model, c, row[:n])
-            else:
-                for c, row in zip(some, ids.tolist()):
-                    into.ids[c], into.odd[c] = _pieces(model, c, merge_long(model, row))
+    lengths = np.array([len(n) for n in model.names], np.int32)
+    found: list[tuple[list[str], np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def slow(some: list[str], symbols: Iterable[list[int]]) -> None:
+        made = [_pieces(model, c, row) for c, row in zip(some, symbols)]
+        found.append((some, np.array([len(ids) for ids, _ in made]), np.array([i for ids, _ in made for i in ids]),
+                      np.array([n for _, sizes in made for n in sizes])))
+
+    if model.user:
+        whole = [c for c in chunks if c in model.user]
+        chunks = [c for c in chunks if c not in model.user]
+        found.append((whole, np.ones(len(whole), int), np.array([model.symbol[c] for c in whole], int),
+                      np.array([len(c) for c in whole], int)))
+    for wide, some in _blocks(chunks):
+        points = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = np.fromiter(map(len, some), np.int64, len(some))
+        ids = np.full((len(some), wide), -1, np.int32)
+        ids[np.arange(wide) < size[:, None]] = model.code[points]
+        if wide > LONG:
+            slow(some, [merge_long(model, row) for row in ids.tolist()])
+            continue
+        rows, length = merge_matrix(model, ids)
+        length = length - (wide - size)                # without the padding
+        real = np.arange(wide) < length[:, None]
+        plain = (((rows >= 0) & (rows < top)) | ~real).all(axis=1)
+        symbols = rows[real & plain[:, None]]
+        found.append(([c for c, ok in zip(some, plain.tolist()) if ok] if not plain.all() else some,
+                      length[plain], symbols, lengths[symbols]))
+        odd = np.flatnonzero(~plain).tolist()
+        if odd:
+            slow([some[r] for r in odd], [rows[r, :length[r]].tolist() for r in odd])
+    if found:
+        into.add([c for f in found for c in f[0]], *[np.concatenate([f[k] for f in found]) for k in (1, 2, 3)])
 
 
 def decode(model: PieceModel, ids: Iterable[int]) -> str:
@@ -442,32 +497,59 @@ def load_model(path: str) -> PieceModel:
 
 
 def _encoder(model: PieceModel) -> Callable[[list[str]], tuple[Encoded, list[list[str]]]]:
-    """A table of encoded chunks that is kept between batches up to its bound."""
+    """A table of encoded chunks that is kept between batches up to its bound; ``used`` numbers the batch's chunks."""
     known = Encoded()
     cut = chunker(model)
 
     def run(normal: list[str]) -> tuple[Encoded, list[list[str]]]:
         lists = [cut(t) for t in normal]
-        new = set().union(*lists) - known.ids.keys()
-        if len(known.ids) + len(new) > CACHE:
-            known.ids.clear()
-            known.odd.clear()
-            new = set().union(*lists)
+        flat = list(chain.from_iterable(lists))
+        used = np.fromiter(map(known.number.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(used < 0).tolist()
+        new = {flat[i] for i in missing}
+        if len(known.number) + len(new) > CACHE:
+            kept, at = np.unique(used, return_inverse=True)
+            known.keep(kept[kept >= 0])
+            used = at - int(bool(missing))
         if new:
             encode_chunks(model, new, known)
+            used[missing] = [known.number[flat[i]] for i in missing]
+        known.used = used
         return known, lists
     return run
 
 
-def _groups(texts: list[str], bound: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
-    lo, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > bound:
-            yield lo, texts[lo:i]
-            lo, size = i, 0
-        size += len(t)
-    if lo < len(texts):
-        yield lo, texts[lo:]
+def _groups(column: pa.Array, bound: int = GROUP) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of runs of rows with at most ``bound`` bytes, or of one row; null is empty."""
+    end = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(end, (end[lo - 1] if lo else 0) + bound, side="right")))
+        yield lo, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+        lo = hi
+
+
+class _Strings:
+    """Byte strings by id, looked up for many ids at once."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+        self.size = np.array([len(s) for s in strings], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+
+    def joined(self, ids: np.ndarray, rows: np.ndarray) -> tuple[bytes, list[int]]:
+        """The strings of all ids, and where each row's start; row r ends before id ``rows[r + 1]``."""
+        size = self.size[ids]
+        return self.data[places(self.first[ids], size)].tobytes(), np.append(0, np.cumsum(size))[rows].tolist()
+
+
+def _surface(model: PieceModel, i: int) -> bytes:
+    """What an id adds to a decoded text: a byte piece its byte, a control piece nothing."""
+    if model.kinds[i] == _BYTE:
+        return bytes([int(model.names[i][3:5], 16)])
+    if model.kinds[i] == _UNKNOWN:
+        return model.unk_surface.encode()
+    return b"" if model.kinds[i] == _CONTROL else model.plain[i].encode()
 
 
 def encode_pieces(docs: DataFrame, text: str, model: PieceModel, out: str = "pieces") -> DataFrame:
@@ -483,48 +565,41 @@ def encode_pieces(docs: DataFrame, text: str, model: PieceModel, out: str = "pie
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = PieceModel.from_state(sent.value)
         encode = _encoder(m)
-        lengths = np.array([len(n) for n in m.names], np.int32)
-        strings: dict[str, str] = {}
-        plain: dict[str, str] = {}
-        end = str(m.eos)
-        whole = m.trim or not m.dummy or m.suffix or not m.fallback  # else the chunks decode one by one
+        digits = _Strings([b"%d " % i for i in range(len(m.names))])
+        surfaces = _Strings([_surface(m, i) for i in range(len(m.names))])
+        # else a text that is not empty starts with the prefix, and its byte pieces are whole characters
+        library = m.trim or not m.dummy or m.suffix or not m.fallback or MARK not in m.symbol
         for batch in batches:
-            for lo, some in _groups([t or "" for t in batch.column(column).cast(pa.string()).to_pylist()]):
-                both = [aligned(m, t) for t in some]
-                known, lists = encode([b[0] for b in both])
-                if len(strings) > len(known.ids):
-                    strings.clear()
-                    plain.clear()
-                digits, pieces, odd = m.digits, m.plain, known.odd
-                for c in known.ids.keys() - strings.keys():
-                    ids = known.ids[c]
-                    strings[c] = " ".join([digits[i] for i in ids])
-                    # with byte pieces: the mark before the chunk keeps its own marks from counting as the prefix
-                    plain[c] = "".join([pieces[i] for i in ids]) if c not in odd else \
-                        decode(m, [m.symbol[MARK], *ids]) if MARK in m.symbol else ""
-                flat, begins, ends, counts, of_ids, of_text = [], [], [], [], [], []
-                for (_, source), chunks in zip(both, lists):
-                    ids = [i for c in chunks for i in known.ids[c]]
-                    made = np.array([*ids, m.eos], np.int32)
-                    size = lengths[made[:-1]] if odd.keys().isdisjoint(chunks) else \
-                        np.array([s for c in chunks for s in known.sizes(m, c)], np.int32)
-                    last = np.cumsum(size)
-                    flat.append(made)
-                    begins += [source[last - size], source[-1:]]
-                    ends += [source[last], source[-1:]]
-                    counts.append(len(made))
-                    joined = " ".join(map(strings.__getitem__, chunks))
-                    of_ids.append(hashlib.sha256((f"{joined} {end}" if joined else end).encode()).hexdigest())
-                    if whole or MARK not in m.symbol:
-                        back = decode(m, [*ids, m.eos])
-                    else:
-                        back = "".join(map(plain.__getitem__, chunks))[1:]
-                    of_text.append(hashlib.sha256(back.encode()).hexdigest())
-                bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+            for lo, some in _groups(batch.column(column).cast(pa.string())):
+                normal, sources = zip(*[aligned(m, t) for t in some])
+                known, lists = encode(normal)
+                cut = np.fromiter(map(len, lists), np.int64, len(lists))
+                k = known.used
+                del lists
+                count = known.count[k]
+                at = places(known.first[k], count)
+                ids, size = known.flat[at], known.ended[at]
+                stop = np.append(0, np.cumsum(count))[np.append(0, np.cumsum(cut))]     # ids before each text
+                counts = np.diff(stop)
+                last = np.append(0, np.cumsum(size))
+                source, points = np.concatenate(sources), np.fromiter(map(len, sources), np.int64, len(sources))
+                # places in ``source``: its texts' characters, each text's end after them
+                last = last[1:] + np.repeat(np.cumsum(points) - points - last[stop[:-1]], counts)
+                ends, over = source[last], source[np.cumsum(points) - 1]
+                flat = np.insert(ids, stop[1:], m.eos)
+                begins, ends = np.insert(source[last - size], stop[1:], over), np.insert(ends, stop[1:], over)
+                bounds = np.append(0, np.cumsum(counts + 1))
+                data, edge = digits.joined(flat, bounds)
+                of_ids = [hashlib.sha256(data[a:b - 1]).hexdigest() for a, b in pairwise(edge)]
+                if library:
+                    back = [decode(m, flat[a:b].tolist()).encode() for a, b in pairwise(bounds.tolist())]
+                else:
+                    data, edge = surfaces.joined(flat, bounds)
+                    back = [data[a + 1:b] for a, b in pairwise(edge)]                   # without the prefix
                 found = pa.StructArray.from_arrays(
-                    [*[pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(v), pa.int32())) for v in (flat, begins, ends)],
-                     pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
-                    names=kind.names)
+                    [*[pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v, pa.int32())) for v in (flat, begins, ends)],
+                     pa.array(counts + 1, pa.int64()), pa.array(of_ids, pa.string()),
+                     pa.array([hashlib.sha256(b).hexdigest() for b in back], pa.string())], names=kind.names)
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, len(some)).columns, found], names=[*names, out])
     return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
 
