@@ -59,3 +59,18 @@ def test_a_full_chunk_table_keeps_what_the_batch_uses(monkeypatch):
     assert asked[1] == ["▁five", "▁seven", "▁six"]
     ids = [i for c in lists[0] for i in known.ids[c]]
     assert piece_codec.decode(model, ids) == "four five one\n six seven"
+
+
+def test_sets_too_unlike_in_size_share_no_block(spark):
+    """op3: a shingle shared by sets of which no two can link makes no block; others are cut by size."""
+    from trendspark.llm import ngram_join
+    rows = [(1, 10, 100), (1, 11, 50), (1, 12, 20), (2, 20, 100), (2, 21, 91), (2, 22, 83), (2, 23, 40), (2, 24, 40),
+            (2, 24, 40), (2, 25, 30), (3, 30, 7), (3, 30, 7)]
+    tokens = spark.createDataFrame(rows, "token long, cls long, n long")
+    got = ngram_join._sized_blocks(tokens, 90, 100).collect()
+    blocks = {}
+    for r in got:
+        blocks.setdefault((r.token, r.lead, r.last), []).append(r.cls)
+    assert sorted(sorted(v) for v in blocks.values()) == [[20, 21, 22], [23, 24]]
+    assert {(lead, last) for _, lead, last in blocks} == {(20, 22), (23, 24)}
+    assert len({t for t, *_ in blocks}) == 2

@@ -15,8 +15,8 @@ shingles each), before they are verified.
 the square of the input since points of unrelated texts have overlapping boxes. So a
 tree is built per block: linked sets share one of their ``n - ceil(num * n / den) + 1``
 first shingles in any fixed order (here: frequent shingles last, then by hash), hence
-each linked pair meets in the block of such a shingle. Blocks with the same members are
-searched once.
+each linked pair meets in the block of such a shingle. A block holds only sets whose sizes
+follow one another within the threshold ratio. Blocks with the same members are searched once.
 
 *Rounds.* First each member is compared with the smallest and the largest class of its
 blocks (a join, no grouping), the surviving pairs are verified on whole sets and
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendspark.llm.common import Scratch, batch_rows, fresh, table
@@ -241,7 +241,7 @@ def _profile(docs: DataFrame, doc_id: str, text: str, k: int, seed: int) -> Data
 
 def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, seed: int, heavy: np.ndarray,
               turn: int) -> DataFrame:
-    """(token, cls): the first shingles of each set, frequent ones last, of one residue class."""
+    """(token, cls, n): the first shingles of each set, frequent ones last, of one residue class."""
     sent = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,9 +259,28 @@ def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, seed: int,
                 first = place < np.repeat(counts - -(-counts * num // den) + 1, counts)
                 first &= splitmix(grams) % U64(PASSES) == U64(turn)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[first].view(np.int64)), pa.array(key[row[first]].view(np.int64))],
-                    names=["token", "cls"])
-    return docs.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "token long, cls long")
+                    [pa.array(grams[first].view(np.int64)), pa.array(key[row[first]].view(np.int64)),
+                     pa.array(counts[row[first]].astype(np.int64))], names=["token", "cls", "n"])
+    return docs.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "token long, cls long, n long")
+
+
+def _sized_blocks(tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """(token, cls, lead, last): the members of each block and its smallest and largest class.
+
+    The classes of one token, by size, are cut wherever a size and the next are too far apart to
+    link, since no linked pair lies across; each run of two classes or more is a block with a
+    token of its own. Unrelated texts that share a shingle mostly end here. One exchange serves all.
+    """
+    by_size = Window.partitionBy("token").orderBy("n", "cls")
+    block = Window.partitionBy("token", "run")
+    rows = (tokens.repartition("token").distinct()
+            .withColumn("joins", F.coalesce(F.lag("n").over(by_size) * den >= F.col("n") * num, F.lit(False)))
+            .withColumn("joined", F.coalesce(F.col("n") * den >= F.lead("n").over(by_size) * num, F.lit(False)))
+            .where("joins or joined")
+            .withColumn("run", F.count_if(~F.col("joins")).over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("lead", F.min("cls").over(block)).withColumn("last", F.max("cls").over(block)))
+    token = F.when(F.col("run") == 1, F.col("token")).otherwise(F.xxhash64("token", "run"))
+    return rows.select(token.alias("token"), "cls", "lead", "last")
 
 
 def _bounded_pairs(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
@@ -473,11 +492,7 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
 
     parts = []
     for turn in range(PASSES):
-        tokens = scratch.keep(_prefixes(docs, text, k, num, den, seed, heavy, turn), "prefixes")
-        shared = (tokens.groupBy("token").agg(F.min("cls").alias("lead"), F.max("cls").alias("last"))
-                  .where("lead <> last"))
-        parts.append(scratch.keep(tokens.join(shared, "token").distinct(), "found"))
-        scratch.drop(tokens)
+        parts.append(scratch.keep(_sized_blocks(_prefixes(docs, text, k, num, den, seed, heavy, turn), num, den), "found"))
     found = parts[0]
     for more in parts[1:]:
         found = found.union(more)
