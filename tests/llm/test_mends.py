@@ -74,3 +74,23 @@ def test_sets_too_unlike_in_size_share_no_block(spark):
     assert sorted(sorted(v) for v in blocks.values()) == [[20, 21, 22], [23, 24]]
     assert {(lead, last) for _, lead, last in blocks} == {(20, 22), (23, 24)}
     assert len({t for t, *_ in blocks}) == 2
+
+
+def test_phrases_shared_by_few_texts_make_no_blocks(spark, monkeypatch):
+    """op3: shingles of a few unrelated texts come after those of one text; links stay, against brute force."""
+    import brute
+    rows = [(i, " ".join([f"u{i}x{j}" for j in range(40)] + [f"p{i % 100}y{j}" for j in range(12)])) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 400, 80)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 5), "doc_id long, text string")
+    blocks, met = ngram_join._sized_blocks, set()
+
+    def seen(*args):
+        out = blocks(*args)
+        met.update(r.cls for r in out.collect())
+        return out
+    monkeypatch.setattr(ngram_join, "_sized_blocks", seen)
+    got = [(r.id, r.n_shingles, r.component_id) for r in
+           ngram_join.jaccard_components(frame, "doc_id", "text", 3, 90, 100).collect()]
+    assert sorted(got) == sorted(brute.jaccard_components(rows, 3, 90, 100))
+    assert sum(low != i for i, _, low in got) == 5
+    assert len(met) <= 20                                   # two classes of each link, some by a shared bucket

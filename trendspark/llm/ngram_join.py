@@ -14,9 +14,11 @@ shingles each), before they are verified.
 *Blocks.* One tree over all points would be searched by every point, which grows with
 the square of the input since points of unrelated texts have overlapping boxes. So a
 tree is built per block: linked sets share one of their ``n - ceil(num * n / den) + 1``
-first shingles in any fixed order (here: frequent shingles last, then by hash), hence
-each linked pair meets in the block of such a shingle. A block holds only sets whose sizes
-follow one another within the threshold ratio. Blocks with the same members are searched once.
+first shingles in any fixed order, hence each linked pair meets in the block of such a
+shingle. The order is rare shingles first, by counts of all shingles in ``SKETCH`` hash
+buckets, then by hash; it only decides how many unrelated sets meet. A block holds only sets
+whose sizes follow one another within the threshold ratio. Blocks with the same members are
+searched once.
 
 *Rounds.* First each member is compared with the smallest and the largest class of its
 blocks (a join, no grouping), the surviving pairs are verified on whole sets and
@@ -54,7 +56,8 @@ TILE = 2048
 PAIRS = 1 << 18              # candidate pairs that a tree search holds at once
 FINE_ROWS = 1024             # rows with fine points that travel in one Arrow batch (8 MB)
 PASSES = 2                   # residue classes of the block tokens, one after the other (bounds disk)
-HEAVY_LIST = 65_536          # most shingles that are moved last in the order (0.5 MB)
+SKETCH = 1 << 19             # buckets that count shingles for the order (2 MB, whatever the input)
+SKETCH_PART = 4096           # buckets whose counts are summed in one group
 BROADCAST_IDS = 1_000_000    # most document ids that are broadcast (16 MB); more are joined by shuffle
 
 
@@ -215,45 +218,64 @@ class CountTree:
         return q[keep], node[keep]
 
 
+def sketch_bucket(grams: np.ndarray) -> np.ndarray:
+    """The counting bucket of each shingle (bits that no point and no pass uses)."""
+    return ((grams >> U64(40)) & U64(SKETCH - 1)).astype(np.int64)
+
+
 def _profile(docs: DataFrame, doc_id: str, text: str, k: int, seed: int) -> DataFrame:
-    """Per text: id, set size, keys and point (kind 0); partial shingle counts (kind 1)."""
+    """Per text: id, set size, keys and point (kind 0); per task: parts of its sketch (kind 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = np.zeros(SKETCH, np.int64)
         for batch in batches:
             for part, row, grams, counts in shingle_sets(batch.column(1), k):
                 key, guard = set_keys(grams, counts, seed)
                 point = count_points(row, grams, part.rows)
                 ids = batch.column(0).slice(part.lo, part.rows)
-                values, seen = np.unique(grams, return_counts=True)
-                often = seen >= max(3, part.rows // 200)
-                m = int(often.sum())
-                blank = pa.nulls(m, pa.int64())
+                sketch += np.bincount(sketch_bucket(grams), minlength=SKETCH)
                 yield pa.RecordBatch.from_arrays([
-                    pa.concat_arrays([ids.cast(pa.int64()), pa.array(values[often].view(np.int64))]),
-                    pa.concat_arrays([pa.array(counts.astype(np.int64)), pa.array(seen[often].astype(np.int64))]),
-                    pa.concat_arrays([pa.array(key.view(np.int64), mask=counts == 0), blank]),
-                    pa.concat_arrays([pa.array(guard.view(np.int64), mask=counts == 0), blank]),
-                    pa.array([p.tobytes() for p in point] + [None] * m, pa.binary()),
-                    pa.array(np.repeat(np.array([0, 1], np.int32), [part.rows, m]))],
+                    ids.cast(pa.int64()), pa.array(counts.astype(np.int64)),
+                    pa.array(key.view(np.int64), mask=counts == 0), pa.array(guard.view(np.int64), mask=counts == 0),
+                    pa.array([p.tobytes() for p in point], pa.binary()), pa.array(np.zeros(part.rows, np.int32))],
                     names=["id", "n", "cls", "guard", "point", "kind"])
+        parts = sketch.reshape(-1, SKETCH_PART)
+        filled = np.flatnonzero(parts.any(axis=1))
+        blank = pa.nulls(len(filled), pa.int64())
+        yield pa.RecordBatch.from_arrays([
+            pa.array(filled.astype(np.int64)), blank, blank, blank,
+            pa.array([p.astype(np.min_scalar_type(p.max())).tobytes() for p in parts[filled]], pa.binary()),
+            pa.array(np.ones(len(filled), np.int32))], names=["id", "n", "cls", "guard", "point", "kind"])
     return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("t")) \
         .mapInArrow(run, "id long, n long, cls long, guard long, point binary, kind int")
 
 
-def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, seed: int, heavy: np.ndarray,
+def _shingle_counts(profile: DataFrame) -> np.ndarray:
+    """The summed sketches of all tasks: how many sets hold a shingle of each bucket."""
+    def total(rows: pa.Table) -> pa.Table:
+        counts = np.zeros(SKETCH_PART, np.int64)
+        for part in rows.column("point").to_pylist():
+            counts += np.frombuffer(part, np.dtype(f"u{len(part) // SKETCH_PART}")).astype(np.int64)
+        counts = np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32)
+        return pa.table({"id": rows.column("id").slice(0, 1), "counts": pa.array([counts.tobytes()], pa.binary())})
+
+    sketch = np.zeros((SKETCH // SKETCH_PART, SKETCH_PART), np.uint32)
+    parts = profile.where("kind = 1").select("id", "point").groupBy("id").applyInArrow(total, "id long, counts binary")
+    for row in parts.collect():
+        sketch[row["id"]] = np.frombuffer(row["counts"], np.uint32)
+    return sketch.ravel()
+
+
+def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, seed: int, sketch: np.ndarray,
               turn: int) -> DataFrame:
-    """(token, cls, n): the first shingles of each set, frequent ones last, of one residue class."""
-    sent = docs.sparkSession.sparkContext.broadcast(heavy)
+    """(token, cls, n): the first shingles of each set, rare ones first, of one residue class."""
+    sent = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = sent.value
+        often = sent.value
         for batch in batches:
             for part, row, grams, counts in shingle_sets(batch.column(0), k):
                 key, _ = set_keys(grams, counts, seed)
-                late = np.zeros(len(grams), bool)
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, grams), len(last) - 1)
-                    late = last[at] == grams
-                order = np.lexsort((grams, late, row))
+                order = np.lexsort((grams, often[sketch_bucket(grams)], row))
                 grams, row = grams[order], row[order]
                 place = np.arange(len(grams)) - np.repeat(np.cumsum(counts) - counts, counts)
                 first = place < np.repeat(counts - -(-counts * num // den) + 1, counts)
@@ -486,13 +508,11 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
         (F.min("guard") != F.max("guard")).alias("mixed")), "classes")
     if classes.where("mixed").limit(1).count():
         raise ValueError("two different sets share a key: choose another seed")
-    often = (profile.where("kind = 1").groupBy(F.col("id").alias("token")).agg(F.sum("n").alias("c"))
-             .orderBy(F.desc("c"), "token").limit(HEAVY_LIST).select("token").collect())
-    heavy = np.sort(np.array([r[0] for r in often], np.int64).view(np.uint64))
+    sketch = _shingle_counts(profile)
 
     parts = []
     for turn in range(PASSES):
-        parts.append(scratch.keep(_sized_blocks(_prefixes(docs, text, k, num, den, seed, heavy, turn), num, den), "found"))
+        parts.append(scratch.keep(_sized_blocks(_prefixes(docs, text, k, num, den, seed, sketch, turn), num, den), "found"))
     found = parts[0]
     for more in parts[1:]:
         found = found.union(more)
@@ -512,15 +532,17 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
     roots = scratch.keep(connected_components(links), "roots")
 
     labelled = (members.select("token", "lead", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-                .select("token", "lead", "cls", F.coalesce("root", "cls").alias("comp"))
-                .join(classes.select("cls", "n", "point"), "cls"))
-    asked = scratch.keep(_tile_search(_spread(labelled, tile, 3), num, den, fine=False)  # a block of two is its star
+                .select("token", "lead", "cls", F.coalesce("root", "cls").alias("comp")))
+    points = classes.select("cls", "n", "point")
+    opened = _spread(labelled, tile, 3).join(points, "cls")                  # a block of two is its star
+    asked = scratch.keep(_tile_search(opened, num, den, fine=False)
                          .select(F.col("a").alias("token"), F.col("b").alias("cls")), "asked")
     fine = _scan_classes(asked, docs, doc_id, text, classes, k, seed, scratch, "fine")
-    near = labelled.join(asked, ["token", "cls"]).join(fine.withColumnRenamed("value", "fine"), "cls")
+    near = (_spread(labelled.join(asked, ["token", "cls"]), tile, 2).join(points, "cls")
+            .join(fine.withColumnRenamed("value", "fine"), "cls"))
     with batch_rows(spark, FINE_ROWS):
         rest = scratch.keep(
-            _tile_search(_spread(near, tile, 2), num, den, fine=True)
+            _tile_search(near, num, den, fine=True)
             .join(tried, ["a", "b"], "left_anti")
             .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "rest")
     scratch.drop(asked, fine, members)
