@@ -94,3 +94,25 @@ def test_phrases_shared_by_few_texts_make_no_blocks(spark, monkeypatch):
     assert sorted(got) == sorted(brute.jaccard_components(rows, 3, 90, 100))
     assert sum(low != i for i, _, low in got) == 5
     assert len(met) <= 20                                   # two classes of each link, some by a shared bucket
+
+
+def test_large_unrelated_sets_are_dropped_before_their_sets_are_read(spark):
+    """pipeline, op3: coarse points cannot part large sets; fine points do, and keep the link."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from trendspark.llm.common import Scratch
+    rng = random.Random(2)
+    one, two = ([f"w{rng.random()}" for _ in range(4000)] for _ in range(2))
+    rows = [(1, " ".join(one)), (2, " ".join(two)), (3, " ".join(one[:3900]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = Scratch(spark, "test")
+    classes = scratch.keep(ngram_join._profile(docs, "doc_id", "text", 5, 0).where("kind = 0")
+                           .select("cls", F.col("id").alias("rep"), "n", "point"), "classes")
+    cls = {r.rep: r.cls for r in classes.collect()}
+    pairs = spark.createDataFrame([(cls[a], cls[b]) for a, b in ((1, 2), (1, 3), (2, 3))], "a long, b long")
+    coarse = scratch.keep(ngram_join._bounded_pairs(pairs, classes, 80, 100), "coarse")
+    assert coarse.count() == 3
+    fine = ngram_join._fine_pairs(coarse, docs, "doc_id", "text", classes, 5, 80, 100, 0, scratch)
+    assert [(r.a, r.b) for r in fine.collect()] == [(cls[1], cls[3])]

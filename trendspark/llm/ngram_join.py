@@ -21,8 +21,8 @@ whose sizes follow one another within the threshold ratio. Blocks with the same
 searched once.
 
 *Rounds.* First each member is compared with the smallest and the largest class of its
-blocks (a join, no grouping), the surviving pairs are verified on whole sets and
-contracted to components. Then the blocks that still hold several components are
+blocks (a join, no grouping), the surviving pairs are bounded on fine points, verified on
+whole sets and contracted to components. Then the blocks that still hold several components are
 searched with trees, only across components, in tiles of at most ``TILE`` members per
 side: a first search names the members with any candidate, and only these get fine points
 and a second search whose pairs are verified. Groups of near copies thus need no list of
@@ -481,6 +481,26 @@ def _scan_classes(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, cl
     return scratch.keep(texts.mapInArrow(run, f"cls long, value {kind}").dropDuplicates(["cls"]), what)
 
 
+def _fine_pairs(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame,
+                k: int, num: int, den: int, seed: int, scratch: Scratch) -> DataFrame:
+    """The pairs whose fine points reach the threshold; points of large sets say little, whole sets take most bytes."""
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls")))
+    fine = _scan_classes(ends, docs, doc_id, text, classes, k, seed, scratch, "fine").join(classes.select("cls", "n"), "cls")
+    rows = (pairs.join(fine.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("value").alias("x")), "a")
+            .join(fine.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("value").alias("y")), "b")
+            .select("a", "b", "na", "nb", "x", "y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at = np.arange(batch.num_rows)
+                bound = fine_bound(batch.column(4).to_pylist() + batch.column(5).to_pylist(), at, at + len(at))
+                na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
+                yield batch.select([0, 1]).filter(pa.array(may_link(bound, na, nb, num, den)))
+    with batch_rows(docs.sparkSession, FINE_ROWS):
+        return scratch.keep(rows.mapInArrow(run, "a long, b long"), "near")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame,
               k: int, num: int, den: int, seed: int, scratch: Scratch) -> DataFrame:
     """The pairs whose whole sets reach the threshold."""
@@ -528,7 +548,8 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
              .union(members.select(F.col("last").alias("a"), F.col("cls").alias("b")))
              .where("a <> b").distinct())
     tried = scratch.keep(_bounded_pairs(stars, classes, num, den), "stars")
-    links = _verified(tried, docs, doc_id, text, classes, k, num, den, seed, scratch)
+    hopeful = _fine_pairs(tried, docs, doc_id, text, classes, k, num, den, seed, scratch)
+    links = _verified(hopeful, docs, doc_id, text, classes, k, num, den, seed, scratch)
     roots = scratch.keep(connected_components(links), "roots")
 
     labelled = (members.select("token", "lead", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
