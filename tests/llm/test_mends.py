@@ -116,3 +116,64 @@ def test_large_unrelated_sets_are_dropped_before_their_sets_are_read(spark):
     assert coarse.count() == 3
     fine = ngram_join._fine_pairs(coarse, docs, "doc_id", "text", classes, 5, 80, 100, 0, scratch)
     assert [(r.a, r.b) for r in fine.collect()] == [(cls[1], cls[3])]
+
+
+def test_searches_of_near_copies_list_no_pairs(spark, monkeypatch):
+    """pipeline, op3: of a group of near copies a search returns no more rows than it reads, not its pairs."""
+    import random
+
+    import brute
+    rng = random.Random(5)
+    rows = []
+    for i in range(200):
+        words = [f"w{j}" for j in range(200)]
+        for at in rng.sample(range(200), rng.choice([2, 3, 3, 4])):
+            words[at] = f"z{rng.random()}"
+        rows.append((i, " ".join(words)))
+    search, sizes = ngram_join._tile_search, []
+
+    def seen(spread, *args, **kwargs):
+        out = search(spread, *args, **kwargs)
+        sizes.append((spread.count(), out.count()))
+        return out
+    monkeypatch.setattr(ngram_join, "_tile_search", seen)
+    for tile in (ngram_join.TILE, 64):
+        got = [(r.id, r.n_shingles, r.component_id) for r in
+               ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"),
+                                             "doc_id", "text", 5, 80, 100, tile=tile).collect()]
+        assert sorted(got) == sorted(brute.jaccard_components(rows, 5, 80, 100))
+    assert len({low for *_, low in got}) < 150
+    assert sizes[0][0] > 1000
+    assert all(made <= read for read, made in sizes), sizes
+
+
+def test_new_links_span_the_components(monkeypatch):
+    """op3: links verified in a block are right, join every component and none twice, also in small parts."""
+    monkeypatch.setattr(ngram_join, "SHINGLES", 300)
+    monkeypatch.setattr(ngram_join, "STEP", 32)
+    rng = np.random.default_rng(4)
+    base = [rng.integers(0, 1 << 62, 120).astype(np.uint64) for _ in range(3)]
+    sets = [np.unique(np.append(base[i % 3][rng.random(120) > 0.09], rng.integers(0, 1 << 62, i % 4).astype(np.uint64)))
+            for i in range(60)]
+    counts = np.array([len(s) for s in sets])
+    at, grams = np.append(0, np.cumsum(counts)), np.concatenate(sets)
+    row = np.repeat(np.arange(60), counts)
+    common = np.array([[len(np.intersect1d(x, y)) for y in sets] for x in sets])
+    known, code = np.unique(grams, return_inverse=True)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
+    assert (ngram_join.shared_shingles(row * len(known) + code, at, len(known), a, b) == common[a, b]).all()
+
+    linked = common * 185 >= 85 * (counts[:, None] + counts[None])
+    joined = linked
+    for _ in range(6):
+        joined = (joined.astype(np.int64) @ joined.astype(np.int64)) > 0
+    rows = {"comp": np.arange(60) + 500, "cls": np.arange(60), "n": counts, "side": np.zeros(60, int),
+            "i": np.zeros(60, int), "j": np.zeros(60, int), "point": ngram_join.count_points(row, grams, 60)}
+    up = {}
+    left, right = ngram_join._new_links(rows, grams, at, up, 85, 100)
+    assert linked[left, right].all()
+    assert len(left) == 60 - len(np.unique(joined, axis=0))
+    root = np.array([ngram_join._root(up, c) for c in range(500, 560)])
+    assert ((root[:, None] == root[None]) == joined).all()
+    assert not linked.all() and len(left) > 30
+    assert ngram_join._new_links(rows, grams, at, up, 85, 100) == ([], [])

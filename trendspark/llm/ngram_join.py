@@ -24,9 +24,11 @@ searched once.
 blocks (a join, no grouping), the surviving pairs are bounded on fine points, verified on
 whole sets and contracted to components. Then the blocks that still hold several components are
 searched with trees, only across components, in tiles of at most ``TILE`` members per
-side: a first search names the members with any candidate, and only these get fine points
-and a second search whose pairs are verified. Groups of near copies thus need no list of
-all their pairs, and no candidate is dropped.
+side: a first search names the members with any candidate; these get fine points, and a
+second search names those that still have one; these get their whole sets, and a third search
+verifies the pairs where they are found and returns those links that join two components. Every
+candidate is verified unless its ends are joined already, and no search lists the pairs of a
+group: each returns at most as many rows as it reads.
 
 Defined cases: null, empty and wordless texts have an empty set and are linked with
 nothing; rows with a null id only count as copies of rows that have one, and else link
@@ -55,6 +57,9 @@ LEAF = 32
 TILE = 2048
 PAIRS = 1 << 18              # candidate pairs that a tree search holds at once
 FINE_ROWS = 1024             # rows with fine points that travel in one Arrow batch (8 MB)
+SET_ROWS = 64                # rows with whole sets that travel in one Arrow batch
+SHINGLES = 1 << 20           # shingles of a tile's whole sets (8 MB), and those looked up at once
+STEP = 1 << 15               # candidate pairs between two looks at what is already found
 PASSES = 2                   # residue classes of the block tokens, one after the other (bounds disk)
 SKETCH = 1 << 19             # buckets that count shingles for the order (2 MB, whatever the input)
 SKETCH_PART = 4096           # buckets whose counts are summed in one group
@@ -333,6 +338,15 @@ def _blobs(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8), np.frombuffer(offsets, np.int64, len(one) + 1, one.offset * 8)
 
 
+def shared_shingles(keys: np.ndarray, at: np.ndarray, span: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Overlaps of pairs of sets; ``keys`` holds set * span + shingle code in order, set i from ``at[i]``."""
+    counts = at[a + 1] - at[a]
+    first = np.cumsum(counts) - counts
+    probe = keys[np.arange(counts.sum()) + np.repeat(at[a] - first, counts)] + np.repeat((b - a) * span, counts)
+    place = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
+    return np.add.reduceat((keys[place] == probe).astype(np.int64), first)
+
+
 def _search_block(rows: dict, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of the pairs of one block's tile pair that may link across components, in parts."""
     comp, side, size, point = rows["comp"], rows["side"], rows["n"], rows["point"]
@@ -349,113 +363,164 @@ def _search_block(rows: dict, num: int, den: int) -> Iterator[tuple[np.ndarray,
     for q, p in CountTree(point[holds], size[holds]).parts(point[asks], size[asks], num, den):
         a, b = asks[q], holds[p]
         ok = comp[a] != comp[b]
-        if ok.any():
-            yield a[ok], b[ok]
-
-
-def _spread(members: DataFrame, tile: int, least: int) -> DataFrame:
+        a, b = a[ok], b[ok]
+        for s in range(0, len(a), STEP):
+            yield a[s:s + STEP], b[s:s + STEP]
+
+
+def _with_candidate(rows: dict, fine: list[bytes], num: int, den: int) -> np.ndarray:
+    """Whether each member of a block's tile pair is in any candidate pair (on fine points, if there are any)."""
+    some = np.zeros(len(rows["cls"]), bool)
+    for a, b in _search_block(rows, num, den):
+        if fine:
+            ok = ~(some[a] & some[b])
+            a, b = a[ok], b[ok]
+            ok = may_link(fine_bound(fine, a, b), rows["n"][a], rows["n"][b], num, den)
+            a, b = a[ok], b[ok]
+        some[a] = some[b] = True
+    return some
+
+
+def _root(up: dict[int, int], comp: int) -> int:
+    while comp in up:
+        if up[comp] in up:
+            up[comp] = up[up[comp]]
+        comp = up[comp]
+    return comp
+
+
+def _new_links(rows: dict, grams: np.ndarray, at: np.ndarray, up: dict[int, int], num: int,
+               den: int) -> tuple[list[int], list[int]]:
+    """Positions of linked pairs of a block's tile pair, one for each two components that they join.
+
+    Set i is ``grams[at[i]:at[i + 1]]``, in order. ``up`` holds the components joined so far, each
+    with a smaller one; a pair whose ends are joined already is not verified.
+    """
+    names, comp = np.unique(rows["comp"], return_inverse=True)
+    n, names = rows["n"], names.tolist()
+    now = np.array([_root(up, c) for c in names])
+    keys, fine, span = None, [], 0
+    left, right = [], []
+    for a, b in _search_block(rows, num, den):
+        ok = now[comp[a]] != now[comp[b]]
+        a, b = a[ok], b[ok]
+        if keys is None and len(a):
+            counts = np.diff(at)
+            row = np.repeat(np.arange(len(counts)), counts)
+            known, code = np.unique(grams, return_inverse=True)
+            span = len(known)
+            keys, fine = row * span + code, fine_points(row, grams, counts)
+        ok = may_link(fine_bound(fine, a, b), n[a], n[b], num, den)
+        a, b = a[ok], b[ok]
+        part = np.cumsum(n[a]) // SHINGLES
+        for s, e in zip(np.flatnonzero(np.diff(part, prepend=-1)), np.flatnonzero(np.diff(part, append=-1)) + 1):
+            x, y = a[s:e], b[s:e]
+            ok = now[comp[x]] != now[comp[y]]
+            x, y = x[ok], y[ok]
+            if not len(x):
+                continue
+            ok = may_link(shared_shingles(keys, at, span, x, y), n[x], n[y], num, den)
+            for p, q in zip(x[ok].tolist(), y[ok].tolist()):
+                one, two = _root(up, names[comp[p]]), _root(up, names[comp[q]])
+                if one != two:
+                    up[max(one, two)] = min(one, two)
+                    left.append(p)
+                    right.append(q)
+            if ok.any():
+                now = np.array([_root(up, c) for c in names])
+    return left, right
+
+
+def _spread(members: DataFrame, tile: int, shingles: int | None = None) -> DataFrame:
     """Members of blocks with several components, once per pair (i, j) of their block's tiles.
 
-    A block of at most ``tile`` members has the one pair (0, 0); ``side`` is the row's tile.
-    Blocks of fewer than ``least`` members are left out.
+    A block of at most ``tile`` members (and ``shingles``, if given) has the one pair (0, 0);
+    ``side`` is the row's tile.
     """
+    tiles = F.ceil(F.col("c") / tile)
+    if shingles:
+        tiles = F.greatest(tiles, F.ceil(F.col("all") / shingles))
     open_blocks = (members.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                                F.count("*").alias("c"))
-                   .where(f"x <> y and c >= {least}")
-                   .select("token", F.ceil(F.col("c") / tile).cast("int").alias("tiles")))
+                                                F.count("*").alias("c"),
+                                                (F.sum("n") if shingles else F.lit(0)).alias("all"))
+                   .where("x <> y").select("token", tiles.cast("int").alias("tiles")))
     return (members.join(open_blocks, "token")
             .withColumn("side", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
             .withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")))
 
 
-def _tile_search(spread: DataFrame, num: int, den: int, fine: bool) -> DataFrame:
+def _tile_search(spread: DataFrame, num: int, den: int, value: str | None = None) -> DataFrame:
     """Tree search in each block's tile pairs.
 
-    Without fine points the result is (token, cls), the members with any candidate; with
-    them it is the pairs (a, b) themselves, a < b. Blocks with one smallest class lie in
-    one partition (per tile pair), where most of the pairs they share meet. A task holds the
-    blocks that end in one batch, and pairs in parts of about PAIRS.
+    The result is (token, cls), the members with any candidate, bounded on points and on fine
+    points if ``value`` is ``fine``; or, if it is ``set``, (a, b), links that join components. A
+    tile pair lies in one partition; a task holds those that end in one batch.
     """
-    names = ["lead", "i", "j", "token", "side", "cls", "comp", "n", "point", *(["fine"] if fine else [])]
-    number = names[:8]
+    names = ["token", "i", "j", "side", "cls", "comp", "n", "point", *([value] if value else [])]
+    number = names[:7]
+    made = ["a", "b"] if value == "set" else ["token", "cls"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        first: list[np.ndarray] = []
-        second: list[np.ndarray] = []
-        ready = 0
-
-        def found() -> pa.RecordBatch:
-            nonlocal ready
-            ready = 0
-            pairs = np.unique(np.stack([np.concatenate(first), np.concatenate(second)], axis=1), axis=0)
-            first.clear()
-            second.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-        def blocks() -> Iterator[pa.RecordBatch]:
-            nonlocal ready
+        up: dict[int, int] = {}
+
+        def blocks() -> pa.RecordBatch:
             whole = pa.Table.from_batches(held)
             held.clear()
             cols = {c: whole.column(c).to_numpy() for c in number}
             data, at = _blobs(whole.column("point"))
             cols["point"] = data[at[0]:at[-1]].reshape(-1, GROUPS)
-            data, at = _blobs(whole.column("fine")) if fine else (data, at)
+            data, at = _blobs(whole.column(value)) if value else (data, at)
             edge = np.ones(whole.num_rows, bool)
             edge[1:] = False
-            for c in names[:4]:
+            for c in names[:3]:
                 edge[1:] |= cols[c][1:] != cols[c][:-1]
             edge = np.append(np.flatnonzero(edge), whole.num_rows)
+            first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for s, e in zip(edge[:-1], edge[1:]):
                 rows = {c: v[s:e] for c, v in cols.items()}
-                cls = rows["cls"]
-                points = [data[at[r]:at[r + 1]] for r in range(s, e)] if fine else []
-                for a, b in _search_block(rows, num, den):
-                    if fine:
-                        ok = may_link(fine_bound(points, a, b), rows["n"][a], rows["n"][b], num, den)
-                        a, b = cls[a[ok]], cls[b[ok]]
-                        first.append(np.minimum(a, b))
-                        second.append(np.maximum(a, b))
-                    else:
-                        some = cls[np.unique(np.append(a, b))]
-                        first.append(np.full(len(some), rows["token"][0]))
-                        second.append(some)
-                    ready += len(first[-1])
-                    if ready >= PAIRS:
-                        yield found()
+                if value == "set":
+                    sets = data[at[s]:at[e]].view(np.uint64)
+                    left, right = _new_links(rows, sets, (at[s:e + 1] - at[s]) // 8, up, num, den)
+                    first.append(rows["cls"][left])
+                    second.append(rows["cls"][right])
+                else:
+                    fine = [data[at[r]:at[r + 1]] for r in range(s, e)] if value else []
+                    second.append(rows["cls"][_with_candidate(rows, fine, num, den)])
+                    first.append(np.full(len(second[-1]), rows["token"][0]))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), pa.array(np.concatenate(second))],
+                                              names=made)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = np.stack([batch.column(c).to_numpy() for c in range(4)], axis=1)
+            key = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
             change = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             if held:
-                before = [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in range(4)]
+                before = [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in range(3)]
                 if before != key[0].tolist():
                     change = np.append(0, change)
             if len(change):  # all but the last block are complete
                 if change[-1]:
                     held.append(batch.slice(0, change[-1]))
-                yield from blocks()
+                yield blocks()
                 held.append(batch.slice(change[-1]))
             else:
                 held.append(batch)
         if held:
-            yield from blocks()
-        if first:
-            yield found()
+            yield blocks()
 
-    rows = spread.select(*names).repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j", "token")
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    rows = spread.select(*names).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in made)).distinct()
 
 
 def _scan_classes(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame, k: int,
                   seed: int, scratch: Scratch, what: str) -> DataFrame:
     """(cls, value) of the wanted classes, from the text of their smallest id.
 
-    ``what`` is ``grams`` (the whole set) or ``fine`` (its fine point). The ids are
-    broadcast while there are at most BROADCAST_IDS of them, else joined by shuffle.
+    ``what`` is ``grams`` (the whole set), ``set`` (its bytes, in order) or ``fine`` (its fine point).
+    The ids are broadcast while there are at most BROADCAST_IDS of them, else joined by shuffle.
     """
     ids = scratch.keep(wanted.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
                        .select(F.col("rep").alias("__rep"), F.col("cls").alias("__cls")), "wanted")
@@ -472,6 +537,10 @@ def _scan_classes(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, cl
                 if what == "grams":
                     offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
                     value = pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams.view(np.int64)))
+                elif what == "set":
+                    cuts = np.append(0, np.cumsum(counts)) * 8
+                    raw = grams.tobytes()
+                    value = pa.array([raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
                 else:
                     value = pa.array(fine_points(row, grams, counts), pa.binary())
                 cls = key.view(np.int64)
@@ -552,22 +621,24 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
     links = _verified(hopeful, docs, doc_id, text, classes, k, num, den, seed, scratch)
     roots = scratch.keep(connected_components(links), "roots")
 
-    labelled = (members.select("token", "lead", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-                .select("token", "lead", "cls", F.coalesce("root", "cls").alias("comp")))
+    labelled = (members.where("cls <> lead and cls <> last")                 # the stars decided on these
+                .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+                .select("token", "cls", F.coalesce("root", "cls").alias("comp")))
     points = classes.select("cls", "n", "point")
-    opened = _spread(labelled, tile, 3).join(points, "cls")                  # a block of two is its star
-    asked = scratch.keep(_tile_search(opened, num, den, fine=False)
-                         .select(F.col("a").alias("token"), F.col("b").alias("cls")), "asked")
+    opened = _spread(labelled, tile).join(points, "cls")
+    asked = scratch.keep(_tile_search(opened, num, den), "asked")
     fine = _scan_classes(asked, docs, doc_id, text, classes, k, seed, scratch, "fine")
-    near = (_spread(labelled.join(asked, ["token", "cls"]), tile, 2).join(points, "cls")
+    near = (_spread(labelled.join(asked, ["token", "cls"]), tile).join(points, "cls")
             .join(fine.withColumnRenamed("value", "fine"), "cls"))
     with batch_rows(spark, FINE_ROWS):
-        rest = scratch.keep(
-            _tile_search(near, num, den, fine=True)
-            .join(tried, ["a", "b"], "left_anti")
-            .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "rest")
-    scratch.drop(asked, fine, members)
-    more = _verified(rest, docs, doc_id, text, classes, k, num, den, seed, scratch)
+        close = scratch.keep(_tile_search(near, num, den, "fine"), "close")
+    scratch.drop(asked, fine)
+    sets = _scan_classes(close, docs, doc_id, text, classes, k, seed, scratch, "set")
+    last = (_spread(labelled.join(close, ["token", "cls"]).join(points, "cls"), tile, SHINGLES)
+            .join(sets.withColumnRenamed("value", "set"), "cls"))
+    with batch_rows(spark, SET_ROWS):
+        more = scratch.keep(_tile_search(last, num, den, "set"), "more")
+    scratch.drop(close, sets, members)
     if more.limit(1).count():
         roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     named = (classes.select("cls", "rep").join(roots.withColumnRenamed("node", "cls"), "cls")
