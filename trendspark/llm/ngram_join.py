@@ -310,6 +310,16 @@ def _sized_blocks(tokens: DataFrame, num: int, den: int) -> DataFrame:
     return rows.select(token.alias("token"), "cls", "lead", "last")
 
 
+def _once(members: DataFrame) -> DataFrame:
+    """The members of blocks; of blocks with the same members only one."""
+    mixed = F.xxhash64("cls")
+    blocks = (members.groupBy("token").agg(
+        F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("c"),
+        F.sum(mixed.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s1"), F.sum(F.shiftrightunsigned(mixed, 33)).alias("s2"))
+        .groupBy("low", "high", "c", "s1", "s2").agg(F.min("token").alias("token")).select("token"))
+    return members.join(blocks, "token")
+
+
 def _bounded_pairs(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of classes whose points' summed minima reach the threshold."""
     one = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
@@ -605,12 +615,7 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
     found = parts[0]
     for more in parts[1:]:
         found = found.union(more)
-    mixed = F.xxhash64("cls")
-    blocks = (found.groupBy("token", "lead", "last").agg(
-        F.count("*").alias("c"), F.sum(mixed.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s1"),
-        F.sum(F.shiftrightunsigned(mixed, 33)).alias("s2"))
-        .groupBy("lead", "last", "c", "s1", "s2").agg(F.min("token").alias("token")).select("token"))
-    members = scratch.keep(found.join(blocks, "token"), "members")  # token, cls, lead, last
+    members = scratch.keep(_once(found), "members")  # token, cls, lead, last
     scratch.drop(*parts)
 
     stars = (members.select(F.col("cls").alias("a"), F.col("lead").alias("b"))
@@ -626,12 +631,12 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, k: int = 5, num:
                 .select("token", "cls", F.coalesce("root", "cls").alias("comp")))
     points = classes.select("cls", "n", "point")
     opened = _spread(labelled, tile).join(points, "cls")
-    asked = scratch.keep(_tile_search(opened, num, den), "asked")
+    asked = scratch.keep(_once(_tile_search(opened, num, den)), "asked")
     fine = _scan_classes(asked, docs, doc_id, text, classes, k, seed, scratch, "fine")
     near = (_spread(labelled.join(asked, ["token", "cls"]), tile).join(points, "cls")
             .join(fine.withColumnRenamed("value", "fine"), "cls"))
     with batch_rows(spark, FINE_ROWS):
-        close = scratch.keep(_tile_search(near, num, den, "fine"), "close")
+        close = scratch.keep(_once(_tile_search(near, num, den, "fine")), "close")
     scratch.drop(asked, fine)
     sets = _scan_classes(close, docs, doc_id, text, classes, k, seed, scratch, "set")
     last = (_spread(labelled.join(close, ["token", "cls"]).join(points, "cls"), tile, SHINGLES)
