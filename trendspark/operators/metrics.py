@@ -37,10 +37,14 @@ def participant_metrics(participants: DataFrame, matches: DataFrame,
     """Participants joined to match and team context, with derived rates.
 
     Inner joins: a participant without its match or team total drops out. They run in as
-    many partitions as the stored participants and matches need.
+    many partitions as the stored participants and matches need. A team's totals meet its
+    match first, by the match that their narrow rows are dealt by, so the wide rows of the
+    participants are exchanged once, by match and team.
     """
     parts = parts_for(participants, matches)
-    totals = totals if totals is not None else team_totals(participants)
+    if totals is None:
+        by_match = spread(participants, parts, "match_id")
+        totals = team_totals(by_match if by_match is not participants else participants.repartition("match_id"))
     m = matches.select("match_id", "queue_id", "patch", "platform", "game_start_at",
                        "game_duration_seconds", "game_duration_minutes")
     t = totals.select("match_id", "team_id", "team_kills", "team_damage_to_champions",
@@ -54,8 +58,9 @@ def participant_metrics(participants: DataFrame, matches: DataFrame,
         "damage_to_objectives", "gold_earned", "gold_spent", "creep_score", "vision_score",
         "wards_placed", "wards_killed", "control_wards_bought", "is_win",
         "ended_in_early_surrender", "_extracted_at")
-    joined = spread(p, parts, "match_id").join(spread(m, parts, "match_id"), "match_id", "inner")
-    joined = spread(joined, parts, "match_id", "team_id").join(t, ["match_id", "team_id"], "inner")
+    teams = t.join(spread(m, parts, "match_id"), "match_id", "inner")
+    joined = spread(p, parts, "match_id", "team_id").join(
+        spread(teams, parts, "match_id", "team_id"), ["match_id", "team_id"], "inner")
     minutes = F.col("game_duration_minutes")
     ka = F.col("kills") + F.col("assists")
     return joined.select(

@@ -60,8 +60,22 @@ def create_views(s: Staged) -> list[str]:
 
 
 def participant_metrics(s: Staged) -> DataFrame:
-    totals = metrics.team_totals(s.participants)
-    return metrics.participant_metrics(s.participants, s.matches, totals)
+    return metrics.participant_metrics(s.participants, s.matches)
+
+
+# the marts of one row per player and match (or metric), which windows over the player's matches make
+LAID_OUT = {"fct_player_rolling_trends": marts.player_rolling_trends, "fct_player_champion_trends": marts.player_champion_trends,
+            "fct_player_match_deltas": marts.player_match_deltas}
+
+
+def laid_out_marts(seq: DataFrame, cfg: TrendConfig = DEFAULT) -> dict[str, DataFrame]:
+    """The marts of ``LAID_OUT`` with their rows in ranges of players, so that they are written
+    by player as they are; none where a player has more rows than one task takes.
+
+    Ranges are found on the stored sequence, before the windows, and the windows keep them."""
+    if not seq.where(F.col("player_match_count") > cfg.chunk_rows).isEmpty():
+        return {}
+    return {name: mart(seq, cfg, ranged=True) for name, mart in LAID_OUT.items()}
 
 
 def build(s: Staged, tracked: DataFrame | None = None, cfg: TrendConfig = DEFAULT) -> dict[str, DataFrame]:
