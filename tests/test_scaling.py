@@ -1,4 +1,6 @@
 """Only what a query reads is derived; large steps are dealt by their size; same rows either way."""
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +106,89 @@ def test_dealt_checks_equal_plain_ones(spark, monkeypatch, tmp_path):
     dealt = suite.run_checks(tables)
     assert "RepartitionByExpression" in dealt._jdf.queryExecution().optimizedPlan().toString()
     assert _rows(dealt) == plain
+
+
+@pytest.mark.parametrize("name", ["participant_performance", "match_deltas", "latest_value", "dq_negative", "dq_trend_coverage",
+                                  "dq_failing_rows", "entity_mart_read", "player_range_view"])
+def test_marts_read_in_one_pass_are_not_stored(spark, written, name):
+    driver.QUERIES[name](spark, SF).count()
+    assert {w for w in written if w.startswith("mart-")} <= {"mart-players"}
+
+
+def test_suite_stores_only_what_several_models_read(spark, written):
+    from trendspark.plans import landing
+    landing.q_dq_suite(spark, SF).count()
+    assert {w for w in written if w.startswith("mart-")} == {"mart-pm", "mart-players"}
+
+
+def test_a_mart_that_is_stored_is_read(spark, written):
+    driver.deltas_mart(spark, SF)
+    driver.QUERIES["match_deltas"](spark, SF).count()
+    plan = driver.QUERIES["match_deltas"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert written.count("mart-deltas") == 1 and "Window" not in plan
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from trendspark.session import materialize
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    stored = materialize(spark.range(1000).selectExpr("id % 7 AS k").repartition(5, "k").groupBy("k").count(), "shuffled")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(key) == was
+    assert stored.count() == 7
+
+
+@pytest.mark.parametrize("task_bytes", [joins.TASK_BYTES, 64])
+def test_metrics_meet_matches_and_totals_in_one_dealing(spark, monkeypatch, tmp_path, capsys, task_bytes):
+    """Rows with a match, or a team, that is null or missing drop out; repeated matches repeat their participants."""
+    from fixtures import raw_tables
+    from trendspark.operators import metrics, staging
+    from trendspark.sources.schemas import RAW_TABLES
+    raw = {t: spark.createDataFrame(raw_tables()[t], RAW_TABLES[t]) for t in ("raw_matches", "raw_match_participants")}
+    p, m = staging.stage_participants(raw["raw_match_participants"]), staging.stage_matches(raw["raw_matches"])
+    odd = F.col("participant_id")
+    p = (p.withColumn("team_id", F.when(odd != 3, F.col("team_id"))).withColumn("match_id", F.when(odd == 4, None).when(odd == 5, "none").otherwise(F.col("match_id"))))
+    p.write.parquet(f"{tmp_path}/p")
+    m.unionByName(m.limit(1)).write.parquet(f"{tmp_path}/m")
+    p, m = spark.read.parquet(f"{tmp_path}/p"), spark.read.parquet(f"{tmp_path}/m")
+    monkeypatch.setattr(joins, "TASK_BYTES", task_bytes)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = metrics.participant_metrics(p, m)
+        rows, given = _rows(got), _rows(metrics.participant_metrics(p, m, metrics.team_totals(p)))
+        got.explain("formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[-1]
+    moved = [node for node in plan.split("\n\n") if re.match(r"\(\d+\) Exchange\n", node.lstrip("\n"))]
+    assert moved and sum("participant_key#" in node for node in moved) == 1, moved      # the wide rows move once
+    keep, twice = p.where("match_id IS NOT NULL AND team_id IS NOT NULL AND match_id <> 'none'"), m.groupBy("match_id").count()
+    assert rows == given and len(rows) == keep.join(twice, "match_id").agg(F.sum("count")).first()[0]
+
+
+def test_laid_out_marts_are_written_as_their_windows_left_them(spark, tmp_path):
+    from trendspark.config import TrendConfig
+    from trendspark.operators import marts
+    from trendspark.plans import models
+    seq = driver.player_sequence_table(spark, SF)
+    by_player = models.laid_out_marts(seq)
+    plain = {"fct_player_rolling_trends": marts.player_rolling_trends(seq), "fct_player_champion_trends": marts.player_champion_trends(seq),
+             "fct_player_match_deltas": marts.player_match_deltas(seq)}
+    assert models.laid_out_marts(seq, TrendConfig(chunk_rows=2)) == {} and list(by_player) == list(plain)
+    paths = models.write_marts(by_player, str(tmp_path), dealt=tuple(by_player))
+    for name, df in plain.items():
+        stored = spark.read.parquet(paths[name])
+        assert driver.normalise(stored).exceptAll(driver.normalise(df)).isEmpty() and stored.count() == df.count()
+        files = stored.select("puuid", F.input_file_name().alias("f")).distinct()
+        assert files.count() == files.select("puuid").distinct().count() and files.select("f").distinct().count() > 1
+        runs = by_player[name].sortWithinPartitions("puuid")._jdf.queryExecution().executedPlan().toString()
+        assert runs.count("Exchange") == 1 and "rangepartitioning" in runs
