@@ -50,3 +50,15 @@ def test_one_job_equals_single_checks(spark):
     assert sum(r["rows_failing"] > 0 for r in got.collect()) >= 10
     for v in kept.values():
         v.unpersist()
+
+
+def test_long_keys_travel_as_digests(spark):
+    """Keys of every length count as before; what is shuffled of a long one is 16 bytes."""
+    keys = ["", "a", "x" * 15, "x" * 16, "x" * 17, "é" * 8, "y" * 40, "y" * 40, None, None, "a"]
+    rows = [(k, "m", k, 1) for k in keys]
+    p = spark.createDataFrame(rows, "participant_key string, match_id string, puuid string, champion_id int").select(
+        "*", F.lit(100).alias("team_id"), F.lit(True).alias("is_win"), *[F.lit(1).alias(c) for c in ("kills", "deaths", "assists")])
+    assert p.select(F.max(F.octet_length(suite._entry(0, F.col("participant_key"))["key"]))).first()[0] == 16
+    tables = {"stg_match_participants": p}
+    got = {(r["model"], r["check_name"]): (r["rows_checked"], r["rows_failing"]) for r in suite.run_checks(tables).collect()}
+    assert got == _one_by_one(tables) and got["stg_match_participants", "unique participant_key"] == (11, 2)
